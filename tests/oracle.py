@@ -1,0 +1,72 @@
+"""Compare a registered query with its SQL in DuckDB.
+
+``python -m tests.oracle [folder] [name …]`` checks queries by hand.
+"""
+
+from __future__ import annotations
+
+import sys
+import time
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+
+def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for file in sorted(Path(folder).glob("*.parquet")):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    return connection
+
+
+def _rows(table) -> Counter:
+    names = sorted(table.column_names)
+    columns = [[str(v) for v in table.column(name).to_pylist()] for name in names]
+    return Counter(zip(*columns, strict=True)) if columns else Counter()
+
+
+def difference(spark_df, connection, sql: str) -> str | None:
+    """None if both results hold the same rows in the same columns."""
+    ours = spark_df.toArrow()
+    cursor = connection.execute(sql)
+    theirs = cursor.to_arrow_table()
+    if sorted(ours.column_names) != sorted(theirs.column_names):
+        return f"columns {sorted(ours.column_names)} and {sorted(theirs.column_names)}"
+    for name in ours.column_names:
+        a, b = str(ours.schema.field(name).type), str(theirs.schema.field(name).type)
+        if a.replace("large_", "") != b.replace("large_", ""):
+            return f"type of {name}: {a} and {b}"
+    left, right = _rows(ours), _rows(theirs)
+    if left != right:
+        return (
+            f"{ours.num_rows} and {theirs.num_rows} rows; only ours {list((left - right).items())[:3]}, "
+            f"only SQL {list((right - left).items())[:3]}"
+        )
+    return None
+
+
+def main() -> None:
+    import __spark_entry__ as entry
+    from tidelake.session import local_session
+
+    folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    names = sys.argv[2:] or list(entry.queries())
+    spark = local_session(8)
+    connection = connect(folder)
+    sql = entry.oracle_sql()
+    failed = 0
+    for name in names:
+        started = time.time()
+        try:
+            result = entry.queries()[name](spark, folder)
+            verdict = difference(result, connection, sql[name]) if name in sql else f"{result.count()} rows, no SQL"
+        except Exception as error:  # report and go on with the next query
+            verdict = f"{type(error).__name__}: {str(error)[:600]}"
+        failed += bool(verdict) and name in sql
+        print(f"{name:32s} {time.time() - started:6.2f}s  {verdict or 'equal'}", flush=True)
+    print("failed:", failed)
+
+
+if __name__ == "__main__":
+    main()
