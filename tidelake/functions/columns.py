@@ -29,8 +29,8 @@ def cast_to_date(df: DataFrame, name: str) -> DataFrame:
 
 
 def iso_text(day: Column) -> Column:
-    """A date as ``yyyy-MM-dd``."""
-    return F.date_format(day, "yyyy-MM-dd")
+    """The day as ``yyyy-MM-dd``; the cast is cheaper than a format pattern."""
+    return day.cast("date").cast("string")
 
 
 def plus_days(moment: Column, days: int) -> Column:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 # The four extracts a batch waits for.
 AWAITED_EXTRACTS = ("IDR", "MDS", "ECE", "FPVS")
@@ -17,27 +17,27 @@ def _last_key(order: Sequence[str], key: str) -> Column:
     return F.struct(*[F.col(name) for name in order], F.col(key).alias("_key"))
 
 
-def manifest_latest(routed: DataFrame, order: Sequence[str], key: str = "key") -> DataFrame:
-    """``role, key``: for every role the key that came last by ``order``.
+def manifest_row(routed: DataFrame, roles: Sequence[str], order: Sequence[str], key: str = "key") -> DataFrame:
+    """One row with a column per role: the key that came last by ``order``, or null.
 
-    Unrouted keys are left out. The key itself breaks ties.
+    The key itself breaks ties. There is no grouping column, so each task
+    reduces its rows to one in a single pass, without a sort.
     """
-    last = (
-        routed.filter(F.col("role").isNotNull())
-        .groupBy("role")
-        .agg(F.max(_last_key(order, key)).alias("_last"))
-    )
-    return last.select("role", F.col("_last._key").alias(key))
-
-
-def manifest_row(routed: DataFrame, roles: Sequence[str], order: Sequence[str], key: str = "key") -> DataFrame:
-    """The manifest as one row with a column per role; null where no key came."""
-    last = _last_key(order, key)
+    last = F.struct(*[F.col(name) for name in order], F.col(key).alias("_key"))
     return routed.agg(*[
         F.max(F.when(F.col("role") == role, last))["_key"].alias(role) for role in roles
     ])
 
 
+def manifest_latest(
+    routed: DataFrame, roles: Sequence[str], order: Sequence[str], key: str = "key"
+) -> DataFrame:
+    """:func:`manifest_row` as rows ``role, key``; roles without a key are left out."""
+    entries = F.array(*[F.struct(F.lit(role).alias("role"), F.col(role).alias("key")) for role in roles])
+    rows = manifest_row(routed, roles, order, key).select(F.inline(entries))
+    return rows.filter(F.col("key").isNotNull())
+
+
 def _first_seen(
     arrivals: DataFrame, batch: str, source: str, moment: str, required: Sequence[str]
 ) -> DataFrame:

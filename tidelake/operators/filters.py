@@ -22,11 +22,12 @@ def filter_equal(df: DataFrame, **wanted) -> DataFrame:
 def filter_isin(df: DataFrame, column: str, values) -> DataFrame:
     """Rows whose column is one of ``values``: a scalar, a list or a one-column DataFrame.
 
-    A null never matches. Long lists and DataFrames become a semi join.
+    A null never matches. Long lists and DataFrames become a semi join, in
+    which a hot value of ``df`` can be split at run time.
     """
     if not isinstance(values, DataFrame):
         listed = list(values) if isinstance(values, (list, tuple, set, frozenset)) else [values]
-        listed = [v for v in listed if v is not None]
+        listed = list(dict.fromkeys(v for v in listed if v is not None))
         if len(listed) <= IN_LIST_LIMIT:
             return df.filter(F.col(column).isin(listed))
         kind = T.StructType([T.StructField("_wanted", df.schema[column].dataType)])

@@ -12,8 +12,8 @@ def match_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
 
     Where both sides have a name (in any case), the left column gets the
     prefix ``.``. Columns come in order: left, then right. A null key matches
-    nothing. A key that repeats on both sides gives every pair of its rows,
-    so choose keys that are selective on one side at least.
+    nothing. A key that repeats on both sides gives every pair of its rows;
+    :func:`match_growth` tells beforehand how many that will be.
     """
     theirs = {name.lower() for name in right.columns}
 
@@ -25,12 +25,27 @@ def match_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
     return ours.join(right, left_column == right["`" + right_key + "`"], "inner")
 
 
+def match_growth(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """``key, left_rows, right_rows, pairs`` of the matches, without building them.
+
+    Both sides are counted per key before they meet, so a hot key costs no more
+    than any other.
+    """
+    ours = left.groupBy(quoted(left_key).alias("key")).agg(F.count(F.lit(1)).alias("left_rows"))
+    theirs = right.groupBy(quoted(right_key).alias("key")).agg(F.count(F.lit(1)).alias("right_rows"))
+    return ours.join(theirs, "key").withColumn("pairs", F.col("left_rows") * F.col("right_rows"))
+
+
 def match_conflicts(left: DataFrame, right: DataFrame, key: str, attribute: str) -> DataFrame:
     """Distinct matches on ``key`` whose ``attribute`` is not equal on both sides.
 
     The same rows as the matches on ``key`` minus the matches on ``attribute``,
     without building the second join. A null attribute equals nothing.
+
+    The rebalancing moves only the conflicts. It separates the distinct from
+    the join, which lets adaptive execution split a hot key, and it spreads
+    many copies of one row before they are reduced.
     """
     matched = match_join(left, right, key, key)
     agree = F.coalesce(quoted(f".{attribute}") == quoted(attribute), F.lit(False))
-    return matched.filter(~agree).distinct()
+    return matched.filter(~agree).hint("rebalance").distinct()

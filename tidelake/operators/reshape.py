@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidelake.functions.columns import value_where
+
 
 def group_max(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """The maximum of several columns per key; nulls are ignored."""
@@ -31,12 +33,21 @@ def fill_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.na.fill(0, subset=list(columns))
 
 
+# Up to here conditional maxima are used: one shuffle, and within the width
+# that Spark compiles as one stage.
+_NARROW = 50
+
+
 def pivot_max(
     df: DataFrame, key: str, column: str, value: str, values: Sequence | None = None
 ) -> DataFrame:
     """One row per key, one column per value of ``column``: the greatest ``value`` or 0."""
     wanted = list(values) if values is not None else listed_pivot_values(df, column)
-    wide = df.groupBy(key).pivot(column, wanted).agg(F.max(value))
+    if 0 < len(wanted) <= _NARROW:
+        maxima = [F.max(value_where(F.col(column), v, F.col(value), "_")).alias(str(v)) for v in wanted]
+        wide = df.groupBy(key).agg(*maxima)
+    else:
+        wide = df.groupBy(key).pivot(column, wanted).agg(F.max(value))
     return fill_zero(wide, [str(v) for v in wanted])
 
 
@@ -58,13 +69,18 @@ def group_values(
     output partitions.
     """
     counted = df.groupBy(F.col(key), F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    parts = counted.groupBy(F.col(key).alias("_key")).agg(
-        F.ceil(F.count(F.lit(1)) / per_row).alias("_parts")
+    # Only the keys that need cutting go into the join; Spark checks their size.
+    # Counting over ``n`` keeps this branch the same as ``counted``, so that its
+    # scan and shuffle run once and are reused.
+    large = (
+        counted.groupBy(F.col(key).alias("_key"))
+        .agg(F.ceil(F.count_if(F.col("n") > 0) / per_row).alias("_parts"))
+        .filter(F.col("_parts") > 1)
     )
     # First 32 bits of the MD5, a hash that any engine can repeat.
     digest = F.conv(F.substring(F.md5(F.col("value").cast("string")), 1, 8), 16, 10).cast("bigint")
     part = F.when(F.col("_parts") > 1, F.coalesce(digest % F.col("_parts"), F.lit(0))).otherwise(0)
-    cut = counted.join(parts, F.col(key).eqNullSafe(F.col("_key"))).withColumn("part", part.cast("int"))
+    cut = counted.join(large, F.col(key).eqNullSafe(F.col("_key")), "left").withColumn("part", part.cast("int"))
     if partitions is not None:
         cut = cut.repartition(partitions, key, "part")
     return cut.groupBy(key, "part").agg(

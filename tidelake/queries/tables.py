@@ -2,21 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidelake.sources.files import MOMENT_FORMAT
+from tidelake.streaming.drain import read_new_files
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 # Event types in the role of the extracts a batch waits for.
 AWAITED = ["click", "view", "purchase", "signup"]
 
+# What waits for each of them.
+ACTIVITIES = {
+    "click": "receive clicks",
+    "view": "receive views",
+    "purchase": "receive purchases",
+    "signup": "receive signups",
+}
+
 # Leading path segments in the role of the key prefixes.
 ROUTES = {"en/": "rental", "fr/": "customer", "de/": "payment"}
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
+def schema_of(spark: SparkSession, path: str) -> T.StructType:
+    """The schema of a table, looked up in its files once."""
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return _schemas[path]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(schema_of(spark, path)).parquet(path)
 
 
 def rental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,9 +135,7 @@ def messages(pages: DataFrame) -> DataFrame:
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table as a stream of its files, be it one file or a folder of files."""
-    from tidelake.streaming.drain import read_new_files
-
-    schema = table(spark, sf_dir, name).schema
+    schema = schema_of(spark, f"{sf_dir}/{name}.parquet")
     # The bracket makes the path a pattern, which a single file needs.
     return read_new_files(spark, f"{sf_dir}/{name}.parque[t]", schema)
 
