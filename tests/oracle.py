@@ -29,8 +29,7 @@ def _rows(table) -> Counter:
 def difference(spark_df, connection, sql: str) -> str | None:
     """None if both results hold the same rows in the same columns."""
     ours = spark_df.toArrow()
-    cursor = connection.execute(sql)
-    theirs = cursor.to_arrow_table()
+    theirs = connection.sql(sql).to_arrow_table()
     if sorted(ours.column_names) != sorted(theirs.column_names):
         return f"columns {sorted(ours.column_names)} and {sorted(theirs.column_names)}"
     for name in ours.column_names:

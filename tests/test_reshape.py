@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidelake.operators import profile, reshape
+
+
+@pytest.fixture
+def long(spark):
+    return spark.createDataFrame(
+        [("x", 3, "m1"), ("x", 7, "m1"), ("x", -2, "m2"), ("y", None, "m1"), ("y", 4, "m3"), ("z", 9, None)],
+        "a string, cnt bigint, major string",
+    )
+
+
+def test_pivot_takes_the_maximum_and_fills_zero(long, rows):
+    wide = reshape.pivot_max(long, "a", "major", "cnt")
+    assert wide.columns == ["a", "m1", "m2", "m3"]
+    assert rows(wide) == [("x", 7, -2, 0), ("y", 0, 0, 4), ("z", 0, 0, 0)]
+
+
+def test_both_pivot_plans_agree(long, rows, monkeypatch):
+    narrow = rows(reshape.pivot_max(long, "a", "major", "cnt", ["m3", "m1", "m9"]))
+    monkeypatch.setattr(reshape, "_NARROW", 0)
+    assert rows(reshape.pivot_max(long, "a", "major", "cnt", ["m3", "m1", "m9"])) == narrow
+
+
+def test_pivot_values_are_sorted_without_null(long, spark):
+    assert [r[0] for r in reshape.pivot_values(long, "major").collect()] == ["m1", "m2", "m3"]
+    assert reshape.listed_pivot_values(long.limit(0), "major") == []
+
+
+def test_too_many_pivot_values_are_an_error_not_a_cut(spark, long):
+    spark.conf.set("spark.sql.pivotMaxValues", "2")
+    try:
+        with pytest.raises(ValueError):
+            reshape.pivot_max(long, "a", "major", "cnt")
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
+
+
+def test_fill_zero_spares_a_numeric_key(spark, rows):
+    df = spark.createDataFrame([(None, None, "t"), (1, 2, None)], "k int, v int, s string")
+    assert rows(reshape.fill_zero(df, ["v"])) == [(None, 0, "t"), (1, 2, None)]
+
+
+def test_group_max_ignores_nulls(spark, rows):
+    df = spark.createDataFrame([(1, None, 2.0), (1, 5, None), (2, None, None)], "k int, a int, b double")
+    assert rows(reshape.group_max(df, "k", ["a", "b"])) == [(1, 5, 2.0), (2, None, None)]
+
+
+def unfolded(df, key):
+    """key -> sorted list of all values, from the parts."""
+    found = {}
+    for row in df.collect():
+        for value, n in row["values"]:
+            found.setdefault(row[key], []).extend([value] * n)
+    return {k: sorted(v, key=lambda x: (x is not None, x)) for k, v in found.items()}
+
+
+def test_group_values_are_whole(spark):
+    data = [("UK", 1), ("UK", 6), ("IN", 4), ("IN", 4), (None, 2), ("IN", None)]
+    df = spark.createDataFrame(data, "country string, n int")
+    assert unfolded(reshape.group_values(df, "country", "n"), "country") == {
+        "UK": [1, 6], "IN": [None, 4, 4], None: [2]
+    }
+
+
+def test_hot_key_is_cut_into_bounded_parts(spark):
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("k"),
+        F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id")).alias("v"),
+    )
+    grouped = reshape.group_values(df, "k", "v", per_row=500, partitions=4)
+    sizes = grouped.select("k", F.size("values").alias("size")).collect()
+    assert max(r.size for r in sizes) < 750
+    assert sum(r.k == "hot" for r in sizes) == 11  # 5,000 odd values and -1, in parts of 500
+    assert sum(r.k != "hot" for r in sizes) == 500
+    brute = {}
+    for r in df.collect():
+        brute.setdefault(r.k, []).append(r.v)
+    assert unfolded(grouped, "k") == {k: sorted(v) for k, v in brute.items()}
+    assert grouped.rdd.getNumPartitions() <= 8
+
+
+def test_schema_report(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id int, name string")
+    assert [tuple(r) for r in profile.schema_report(df).orderBy("position").collect()] == [
+        (0, "id", "int", True, 2), (1, "name", "string", True, 2)
+    ]
+    assert profile.row_count(df.limit(0)).first().rows == 0
+
+
+def test_partition_profile(spark, rows):
+    assert rows(profile.partition_profile(spark.range(0, 12, numPartitions=3))) == [(0, 4), (1, 4), (2, 4)]
+    keyed = spark.range(0, 10).repartitionById(2, (F.col("id") % 2).cast("int"))
+    assert rows(profile.partition_profile(keyed)) == [(0, 5), (1, 5)]

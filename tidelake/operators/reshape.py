@@ -48,6 +48,7 @@ def pivot_max(
         wide = df.groupBy(key).agg(*maxima)
     else:
         wide = df.groupBy(key).pivot(column, wanted).agg(F.max(value))
+        wide = wide.toDF(key, *[str(v) for v in wanted])
     return fill_zero(wide, [str(v) for v in wanted])
 
 

@@ -43,6 +43,9 @@ def number_rows(batch: DataFrame, order: list[str], name: str, after: int = 0) -
 
 
 def next_keys(existing: DataFrame, key: str, batch: DataFrame, order: list[str]) -> DataFrame:
-    """Give the batch the keys that follow the greatest existing one."""
+    """Give the batch the keys that follow the greatest existing one.
+
+    Not a sequence: one batch at a time may take keys for a table.
+    """
     greatest = existing.agg(F.max(key)).first()[0]
     return number_rows(batch, order, key, after=greatest or 0)
