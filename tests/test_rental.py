@@ -90,6 +90,9 @@ def test_latest_day_per_store(tables, spark, rows):
     assert rows(ops.latest_per_key(ops.paid_days(*tables), "store_id", "rental_date")) == [
         (1, D(2005, 5, 25)), (2, D(2005, 5, 24))
     ]
+    assert rows(ops.latest_day_per_store(*tables)) == rows(
+        ops.latest_per_key(ops.paid_days(*tables), "store_id", "rental_date")
+    )
     odd = spark.createDataFrame([(None, 1), (None, 2), ("k", None)], "k string, v int")
     assert rows(ops.latest_per_key(odd, "k", "v")) == [(None, 2), ("k", None)]
 

@@ -74,7 +74,11 @@ def test_hot_partition_is_written_by_many_tasks(spark, tmp_path):
         F.md5(F.col("id").cast("string")).alias("text"),
         F.when(F.col("id") % 3 == 0, F.col("id") % 30).otherwise(0).alias("store_id"),
     )
-    write_partitioned(wide, path, ["store_id"])
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        write_partitioned(wide, path, ["store_id"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     hot = list(Path(path).glob("store_id=0/part-*"))
     assert len(hot) > 1
     assert spark.read.parquet(path).count() == 200_000

@@ -60,8 +60,13 @@ def arrival_gate(
     moment: str,
     required: Sequence[str] = AWAITED_EXTRACTS,
 ) -> DataFrame:
-    """``batch, ready_at``: batches for which every required source has come."""
-    seen = _first_seen(arrivals, batch, source, moment, required)
+    """``batch, ready_at``: batches for which every required source has come.
+
+    In a stream the state is one row per batch; it takes a source that comes
+    late whenever that is, so no arrival is dropped.
+    """
+    awaited = arrivals.filter(F.col(source).isin(list(required)))
+    seen = _first_seen(awaited, batch, source, moment, required)
     firsts = [F.col(f"_first{i}") for i in range(len(required))]
     complete = seen
     for first in firsts:

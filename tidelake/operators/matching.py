@@ -29,11 +29,12 @@ def match_growth(left: DataFrame, right: DataFrame, left_key: str, right_key: st
     """``key, left_rows, right_rows, pairs`` of the matches, without building them.
 
     Both sides are counted per key before they meet, so a hot key costs no more
-    than any other.
+    than any other. The product is a decimal, as it can exceed 64 bits.
     """
     ours = left.groupBy(quoted(left_key).alias("key")).agg(F.count(F.lit(1)).alias("left_rows"))
     theirs = right.groupBy(quoted(right_key).alias("key")).agg(F.count(F.lit(1)).alias("right_rows"))
-    return ours.join(theirs, "key").withColumn("pairs", F.col("left_rows") * F.col("right_rows"))
+    pairs = F.col("left_rows").cast("decimal(19,0)") * F.col("right_rows").cast("decimal(19,0)")
+    return ours.join(theirs, "key").withColumn("pairs", pairs.cast("decimal(38,0)"))
 
 
 def match_conflicts(left: DataFrame, right: DataFrame, key: str, attribute: str) -> DataFrame:

@@ -78,20 +78,23 @@ def sorted_by_store(wide: DataFrame, ties: list[str]) -> DataFrame:
     return wide.orderBy("store_id", "rental_date", *ties)
 
 
-def paid_days(rental: DataFrame, payment: DataFrame, customer: DataFrame) -> DataFrame:
-    """``store_id, rental_date`` of every paid rental, the day as a date.
+def _paid(rental: DataFrame, payment: DataFrame) -> DataFrame:
+    """``customer_id, rental_date`` of every paid rental, the day as a date.
 
     The payments are reduced to their distinct rental numbers, so they fan out
     nothing, and a rental with very many payments is one number before the
     shuffle. The join reuses the partitioning of that distinct. ``rental_id``
     is the key of the rentals and so never hot on their side.
     """
-    paid = rental.select(
-        "rental_id", "customer_id", day_of(rental, "rental_date").alias("rental_date")
-    ).join(payment.select("rental_id").distinct(), "rental_id", "left_semi")
-    return paid.join(customer.select("customer_id", "store_id"), "customer_id").select(
-        "store_id", "rental_date"
-    )
+    days = rental.select("rental_id", "customer_id", day_of(rental, "rental_date").alias("rental_date"))
+    paid = days.join(payment.select("rental_id").distinct(), "rental_id", "left_semi")
+    return paid.select("customer_id", "rental_date")
+
+
+def paid_days(rental: DataFrame, payment: DataFrame, customer: DataFrame) -> DataFrame:
+    """``store_id, rental_date`` of every paid rental, the day as a date."""
+    stores = customer.select("customer_id", "store_id")
+    return _paid(rental, payment).join(stores, "customer_id").select("store_id", "rental_date")
 
 
 def mart_partitions(rental: DataFrame, payment: DataFrame, customer: DataFrame) -> DataFrame:
@@ -119,3 +122,14 @@ def distinct_counts(pairs: DataFrame, first: str, second: str) -> DataFrame:
 def latest_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
     """The greatest value of every key."""
     return df.groupBy(key).agg(F.max(value).alias(value))
+
+
+def latest_day_per_store(rental: DataFrame, payment: DataFrame, customer: DataFrame) -> DataFrame:
+    """The last paid rental day of every store.
+
+    The maximum is taken per customer first: only one row per customer is
+    shuffled, the join reuses that partitioning, and no customer is hot.
+    """
+    per_customer = latest_per_key(_paid(rental, payment), "customer_id", "rental_date")
+    stores = customer.select("customer_id", "store_id")
+    return latest_per_key(per_customer.join(stores, "customer_id"), "store_id", "rental_date")

@@ -116,7 +116,7 @@ SQL = {
         FROM events JOIN customer ON user_id = c_custkey
     """,
     "match_growth": """
-        SELECT key, left_rows, right_rows, left_rows * right_rows AS pairs
+        SELECT key, left_rows, right_rows, CAST(left_rows * right_rows AS DECIMAL(38,0)) AS pairs
         FROM (SELECT s_nationkey AS key, count(*) AS left_rows FROM supplier GROUP BY 1)
         JOIN (SELECT c_nationkey AS key, count(*) AS right_rows FROM customer GROUP BY 1) USING (key)
     """,

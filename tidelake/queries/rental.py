@@ -43,9 +43,7 @@ def distinct_counts(spark, sf_dir):
 
 
 def latest_per_key(spark, sf_dir):
-    return ops.latest_per_key(
-        ops.paid_days(*t.rental_tables(spark, sf_dir)), "store_id", "rental_date"
-    )
+    return ops.latest_day_per_store(*t.rental_tables(spark, sf_dir))
 
 
 def sort_multi(spark, sf_dir):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidelake.functions.columns import iso_text
 from tidelake.sources.files import MOMENT_FORMAT
 from tidelake.streaming.drain import read_new_files
 
@@ -97,7 +98,7 @@ def layout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("payment_date"),
         F.col("value").cast("decimal(10,2)").alias("amount"),
         F.col("event_type").alias("store_id"),
-        F.date_format("ts", "yyyy-MM-dd").alias("rental_dt"),
+        iso_text(F.col("ts")).alias("rental_dt"),
     )
 
 
@@ -108,9 +109,14 @@ LAYOUT_SCHEMA = (
 
 
 def hourly(df: DataFrame) -> DataFrame:
-    """Events as arrivals: the hour is the batch, the type is the source."""
+    """Events as arrivals: the hour is the batch, the type is the source.
+
+    The hour is found by subtraction; ``date_trunc`` would go through the time
+    zone of the session.
+    """
+    past_hour = F.make_dt_interval(mins=F.minute("ts"), secs=F.extract(F.lit("SECOND"), F.col("ts")))
     return df.select(
-        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("batch"),
+        (F.col("ts") - past_hour).alias("batch"),
         F.col("event_type").alias("source"),
         "ts",
     )

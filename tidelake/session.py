@@ -23,10 +23,9 @@ def local_session(cores: int | str = "*", memory: str = "8g", app: str = "tidela
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # Small data: join tables above 1 MB by shuffle, as a cluster would its large
-        # ones, and keep several writers busy. A cluster leaves these at their defaults.
+        # ones, and keep one task per core. A cluster leaves these at their defaults.
         .config("spark.sql.autoBroadcastJoinThreshold", "1m")
-        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
-        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
