@@ -6,7 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelake.operators.matching import match_conflicts, match_growth, match_join
-from tidelake.plans.patient_finder import find_conflicts, find_matches
+from tidelake.plans.patient_finder import (
+    birth_date_growth,
+    find_conflicts,
+    find_matches,
+    find_same_birth_date,
+    write_report,
+)
 
 D = datetime.date
 
@@ -43,6 +49,25 @@ def test_finder_conflict_carries_both_dates(files):
     assert (row["id"], row[".dob"], row["dob"]) == (2, D(1913, 10, 13), D(2013, 5, 10))
 
 
+def test_finder_pairs_by_birth_date(files, rows):
+    pairs = find_same_birth_date(*files, cut=50)  # 1/1/60 is 1960
+    assert [(r[1], r[2]) for r in rows(pairs)] == [(None, 3), ("040652095", 1)]
+    assert rows(birth_date_growth(*files, cut=50).selectExpr("key", "cast(pairs as int)")) == [
+        (D(1960, 1, 1), 1), (D(1974, 6, 13), 1)
+    ]
+
+
+def test_finder_report_from_files(spark, tmp_path, rows):
+    (tmp_path / "e.csv").write_bytes("\ufeffDOB,ssn\n1974-06-13,40652095\n1913-10-13,381347399\n".encode())
+    (tmp_path / "m.csv").write_bytes(
+        "\ufeffFirst Name,Last Name,DOB,SSN\nAnn,Lee,6/13/74,40652095\nBob,Ray,5/10/13,381347399\n".encode()
+    )
+    write_report(spark, str(tmp_path / "e.csv"), str(tmp_path / "m.csv"), str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out/by_ssn")).count() == 2
+    assert [r["first_name"] for r in spark.read.parquet(str(tmp_path / "out/conflicts")).collect()] == ["Bob"]
+    assert spark.read.parquet(str(tmp_path / "out/by_dob")).count() == 1
+
+
 def test_repeating_key_gives_every_pair_and_null_none(spark, rows):
     left = spark.createDataFrame([(1, "a"), (2, "a"), (3, None)], "id int, k string")
     right = spark.createDataFrame([("a", 7), ("a", 8), (None, 9)], "k string, n int")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime
 import json
+from pathlib import Path
 
 import pytest
 
@@ -81,6 +82,25 @@ def test_gate_opens_across_runs(spark, box, rows):
     assert gate() == [("x", day.replace(hour=5)), ("y", day.replace(hour=6))]
 
 
+def test_leftovers_of_a_failed_run_do_not_count(spark, box, rows):
+    """Half-written files of a batch that is redone are replaced or ignored."""
+    text = "batch string, source string, ts timestamp_ntz"
+    schema, day = schema_of(spark, text), datetime.datetime(2024, 1, 1)
+    stale = spark.createDataFrame([("stale", day)], "batch string, ready_at timestamp_ntz")
+    stale.write.parquet(f"{box['table']}/epoch=0")
+    post(spark, box["inbox"], [("x", "a", day)], text)
+    ready = arrival_gate(read_new_files(spark, box["inbox"], schema), "batch", "source", "ts", ["a"])
+    drain_aggregate(ready, box["table"], box["checkpoint"])
+    assert rows(latest_rows(spark, box["table"], ["batch"], ready.schema)) == [("x", day)]
+
+    appended = box["table"] + "-appended"
+    drain_to_table(read_new_files(spark, box["inbox"], schema), appended, box["checkpoint"] + "-appended")
+    spark.createDataFrame([("stale", "a", day)], text).write.mode("append").parquet(box["state"])
+    for part in Path(box["state"]).glob("part-*"):
+        (Path(appended) / part.name).write_bytes(part.read_bytes())
+    assert [r.batch for r in spark.read.parquet(appended).collect()] == ["x"]
+
+
 ROUTES = {"in/rental/": "rental", "in/payment/": "payment", "in/customer/": "customer"}
 
 

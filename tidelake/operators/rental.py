@@ -45,9 +45,10 @@ def fact_slice(
 
 
 def _prefixed(df: DataFrame, taken: set[str], prefix: str) -> DataFrame:
-    """Rename the columns whose name is taken."""
+    """Rename the columns whose name is taken, in any case."""
+    used = {name.lower() for name in taken}
     return df.select(*[
-        F.col(name).alias(f"{prefix}_{name}" if name in taken else name) for name in df.columns
+        F.col(name).alias(f"{prefix}_{name}" if name.lower() in used else name) for name in df.columns
     ])
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidelake.functions.columns import snake_names
 from tidelake.functions.match_keys import CENTURY_CUT, birth_date, identifier
-from tidelake.operators.matching import match_conflicts, match_join
+from tidelake.operators.matching import match_conflicts, match_growth, match_join
+from tidelake.sources.files import read_csv
 
 
 def normalised(people: DataFrame, cut: int = CENTURY_CUT) -> DataFrame:
@@ -22,6 +23,35 @@ def find_matches(extract: DataFrame, master: DataFrame, cut: int = CENTURY_CUT)
     return match_join(normalised(extract, cut), normalised(master, cut), "ssn", "ssn")
 
 
+def find_same_birth_date(extract: DataFrame, master: DataFrame, cut: int = CENTURY_CUT) -> DataFrame:
+    """Every pair of an extract and a master row with the same ``dob``."""
+    return match_join(normalised(extract, cut), normalised(master, cut), "dob", "dob")
+
+
+def birth_date_growth(extract: DataFrame, master: DataFrame, cut: int = CENTURY_CUT) -> DataFrame:
+    """How many pairs :func:`find_same_birth_date` gives per day, without building them."""
+    return match_growth(normalised(extract, cut), normalised(master, cut), "dob", "dob")
+
+
 def find_conflicts(extract: DataFrame, master: DataFrame, cut: int = CENTURY_CUT) -> DataFrame:
     """Matches on ``ssn`` whose ``dob`` differs or is missing."""
     return match_conflicts(normalised(extract, cut), normalised(master, cut), "ssn", "dob")
+
+
+def write_report(
+    spark: SparkSession, extract: str, master: str, target: str, cut: int = CENTURY_CUT
+) -> None:
+    """Read both CSV files as text and write matches and conflicts as Parquet.
+
+    Below ``target``: ``by_ssn``, ``conflicts`` and ``by_dob``, the last as
+    counts per day, because the pairs of equal birth dates grow with the
+    product of both files.
+    """
+    ours, theirs = read_csv(spark, extract), read_csv(spark, master)
+    results = {
+        "by_ssn": find_matches(ours, theirs, cut),
+        "conflicts": find_conflicts(ours, theirs, cut),
+        "by_dob": birth_date_growth(ours, theirs, cut),
+    }
+    for name, result in results.items():
+        result.write.mode("overwrite").parquet(f"{target}/{name}")
