@@ -57,6 +57,8 @@ def test_manifest_follows_later_files(spark, box, rows):
         drain_aggregate(latest, box["table"], box["checkpoint"])
         return rows(latest_rows(spark, box["table"], ["role"], latest.schema))
 
+    Path(box["inbox"]).mkdir()
+    assert manifest() == []
     post(spark, box["inbox"], [(5, body("r/5", "r/6")), (6, "not json")])
     post(spark, box["inbox"], [(4, body("r/4", "x/1"))])
     assert manifest() == [("rental", "r/6")]
@@ -134,7 +136,9 @@ def test_mart_is_built_only_for_a_complete_manifest(spark, box, tmp_path, rows):
         return drain_and_build(spark, stream, ROUTES, ["seq"], box["state"], str(tmp_path), box["mart"])
 
     post(spark, box["inbox"], [(1, body("in/rental/old.csv")), (2, body("in/customer/f.csv", "other/x"))])
+    post(spark, box["inbox"], [(9, "no json")])
     assert run() is False
+    assert rows(spark.read.parquet(box["state"] + "/malformed")) == [(9, "no json")]
     post(spark, box["inbox"], [(3, body("in/rental/new.csv")), (4, body("in/payment/f.csv"))])
     assert run() is True
     assert run() is True  # nothing new: the same mart again, without duplicates

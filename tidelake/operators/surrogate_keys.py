@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidelake.session import enable_checkpoints
+from tidelake.session import new_folder
 
 # Layout of monotonically_increasing_id(): partition above, place in the
 # partition in the lower 33 bits.
@@ -16,25 +16,28 @@ def number_rows(batch: DataFrame, order: list[str], name: str, after: int = 0) -
 
     The batch is range-partitioned and sorted, each partition counts its own
     rows, and the sums of the partitions before it are added. Only one number
-    per partition meets in a single task. The checkpoint fixes which row sits
-    in which partition, so a lost executor cannot change keys already given.
-    ``order`` should end in a unique column.
+    per partition meets in a single task. The sorted batch is written to the
+    shared folder before it is counted: that fixes which row sits in which
+    partition, so a lost executor cannot change keys already given, and the
+    count reads one column. ``order`` should end in a unique column.
     """
-    enable_checkpoints(batch.sparkSession)
-    placed = (
+    spark = batch.sparkSession
+    ordered = (
         batch.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn("_partition", F.shiftright("_place", _PLACE_BITS))
     )
+    folder = new_folder(spark, "numbered")
+    ordered.write.parquet(folder)
+    stored = spark.read.schema(ordered.schema).parquet(folder)
+    placed = stored.withColumn("_partition", F.shiftright("_place", _PLACE_BITS))
     sizes = placed.groupBy("_partition").agg(F.count(F.lit(1)).alias("_rows"))
     before = F.sum("_rows").over(
         Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
     )
     starts = sizes.select("_partition", F.coalesce(before, F.lit(0)).alias("_before"))
     place = F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-    # One row per shuffle partition: the size is bounded by the plan, not the data.
+    # One row per shuffle partition: bounded by the plan, not by the data.
     return (
         placed.join(F.broadcast(starts), "_partition")
         .withColumn(name, F.lit(after) + F.col("_before") + place + 1)

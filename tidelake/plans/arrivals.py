@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelake.functions.notifications import parse_notifications
+from tidelake.functions.notifications import malformed_notifications, parse_notifications
 from tidelake.operators.arrivals import manifest_row
 from tidelake.operators.filters import route_prefix
 from tidelake.plans.rental_mart import ROLES, build_from_manifest
@@ -27,10 +27,14 @@ def drain_and_build(
 
     ``messages`` is a stream with ``body`` and the sequence columns ``order``.
     The parsed keys are kept below ``state`` before anything is started, so a
-    failed build loses no notification. Returns whether the mart was built.
+    failed build loses no notification; bodies that cannot be parsed are set
+    aside in ``state/malformed``. Returns whether the mart was built.
     """
     routed = route_prefix(parse_notifications(messages), routes)
-    drain_to_table(routed, f"{state}/keys", f"{state}/checkpoint")
+    drain_to_table(routed, f"{state}/keys", f"{state}/keys-checkpoint")
+    drain_to_table(
+        malformed_notifications(messages), f"{state}/malformed", f"{state}/malformed-checkpoint"
+    )
     arrived = spark.read.schema(routed.schema).parquet(f"{state}/keys")
     manifest = manifest_row(arrived, ROLES, [*order, "record_no"])
     return build_from_manifest(spark, manifest, root, target, **options)

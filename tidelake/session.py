@@ -54,10 +54,3 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     return f"{shared_folder(spark)}/tidelake/{label}-{uuid.uuid4().hex}"
-
-
-def enable_checkpoints(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable; keep a folder that is already set."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))

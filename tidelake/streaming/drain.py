@@ -46,8 +46,11 @@ def drain_to_table(stream: DataFrame, table: str, checkpoint: str) -> StreamingQ
 def drain_aggregate(stream: DataFrame, table: str, checkpoint: str, mode: str = "update") -> StreamingQuery:
     """Write the changed rows of an aggregating stream below ``epoch=N``, then stop.
 
-    A redone batch overwrites its own folder, so the table stays right.
+    A redone batch overwrites its own folder, so the table stays right. An
+    empty first folder makes the table readable before anything has arrived.
     """
+    empty = stream.sparkSession.createDataFrame([], stream.schema)
+    empty.write.mode("ignore").parquet(f"{table}/epoch=-1")
 
     def write(rows: DataFrame, epoch: int) -> None:
         merged = rows.hint("rebalance")
