@@ -6,6 +6,9 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidelake.sources.files import MOMENT_FORMAT
+
+ESCAPE = "\\"
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)*")
 
 
@@ -30,8 +33,7 @@ def create_csv_table(
     """
     spark.sql(
         f"CREATE TABLE {_checked(name)} ({columns}) USING csv "
-        f"OPTIONS (header 'true', escape '\\\\', "
-        f"timestampNTZFormat \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") "
+        f"OPTIONS (header 'true', escape {_text(ESCAPE)}, timestampNTZFormat {_text(MOMENT_FORMAT)}) "
         f"PARTITIONED BY ({', '.join(_checked(p) for p in partitions)}) "
         f"LOCATION {_text(location)}"
     )
