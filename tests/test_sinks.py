@@ -93,6 +93,15 @@ def test_compaction_keeps_the_rows(spark, sample, tmp_path, rows):
     assert spark.read.parquet(tight).count() == 600
 
 
+def test_compaction_keeps_directory_names(spark, tmp_path):
+    df = spark.createDataFrame([(1, "01"), (2, "1"), (3, None), (4, "a/b")], "id int, store_id string")
+    df.write.partitionBy("store_id").parquet(str(tmp_path / "loose"))
+    compact(spark, str(tmp_path / "loose"), str(tmp_path / "tight"), ["store_id"])
+    names = [sorted(p.name for p in (tmp_path / name).glob("store_id=*")) for name in ("loose", "tight")]
+    assert names[0] == names[1]
+    assert "store_id=01" in names[1]
+
+
 def test_external_table_reads_empty_until_its_partitions_are_registered(spark, sample, tmp_path, rows):
     path = str(tmp_path / "ext")
     write_partitioned(sample, path, KEYS, file_format="csv", escape="\\")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tidelake.sources.files import MOMENT_FORMAT
 
@@ -36,5 +36,14 @@ def write_partitioned(
 
 
 def compact(spark: SparkSession, source: str, target: str, keys: list[str]) -> None:
-    """Rewrite a Parquet layout with one file per directory, hot ones cut by size."""
-    write_partitioned(spark.read.parquet(source), target, keys)
+    """Rewrite a Parquet layout with one file per directory, hot ones cut by size.
+
+    The keys are read as text, so that a directory such as ``store_id=01``
+    keeps its name.
+    """
+    stored = spark.read.parquet(source).schema
+    as_text = T.StructType([
+        T.StructField(field.name, T.StringType() if field.name in keys else field.dataType)
+        for field in stored
+    ])
+    write_partitioned(spark.read.schema(as_text).parquet(source), target, keys)
