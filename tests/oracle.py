@@ -16,7 +16,8 @@ import duckdb
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for file in sorted(Path(folder).glob("*.parquet")):
-        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+        parts = f"{file}/*.parquet" if file.is_dir() else file
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{parts}'")
     return connection
 
 

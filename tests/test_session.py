@@ -6,26 +6,30 @@ from tidelake import session
 
 
 class Settings:
-    def __init__(self, values):
+    def __init__(self, values, checkpoint=None):
         self.values = values
-        self.conf = self
+        self.conf = self.sparkContext = self
+        self.checkpoint = checkpoint
 
     def get(self, key, default=None):
         return self.values.get(key, default)
 
+    def getCheckpointDir(self):  # noqa: N802
+        return self.checkpoint
+
 
 def test_the_named_folder_is_used():
-    fake = Settings({"spark.checkpoint.dir": "hdfs://shared/state/", "spark.master": "yarn"})
+    fake = Settings({"spark.checkpoint.dir": "hdfs://shared/state/"}, "file:/other")
     assert session.shared_folder(fake) == "hdfs://shared/state"
     assert session.new_folder(fake, "x") != session.new_folder(fake, "x")
     assert session.new_folder(fake, "x").startswith("hdfs://shared/state/tidelake/x-")
 
 
-def test_a_cluster_without_a_folder_is_an_error():
-    with pytest.raises(ValueError):
-        session.shared_folder(Settings({"spark.master": "yarn"}))
+def test_else_the_folder_of_the_context():
+    assert session.shared_folder(Settings({}, "file:/own")) == "file:/own"
 
 
-def test_a_local_session_may_use_a_temporary_folder():
-    fake = Settings({"spark.master": "local[2]", "spark.app.id": "test"})
-    assert session.shared_folder(fake) == session.shared_folder(fake)
+@pytest.mark.parametrize("master", ["yarn", "local[2]"])
+def test_no_folder_is_an_error(master):
+    with pytest.raises(ValueError):
+        session.shared_folder(Settings({"spark.master": master}))

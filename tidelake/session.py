@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -33,22 +33,26 @@ def local_session(cores: int | str = "*", memory: str = "8g", app: str = "tidela
     return spark
 
 
-@functools.cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix="tidelake-")
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder every node can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Where that is unset, the folder given to ``setCheckpointDir`` counts.
     """
-    named = spark.conf.get(CHECKPOINT_SETTING, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if not named:
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all nodes")
-    return _local_folder(spark.conf.get("spark.app.id", ""))
+    return named.rstrip("/")
+
+
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    A cluster gets the package by ``--py-files`` or an installation instead.
+    """
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parent.parent)
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
