@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from heapq import heappop, heappush
 from itertools import chain
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,42 +38,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-class RankQueue:
-    """Positions by rank; ``pop`` gives the lowest rank and its leftmost position."""
-
-    __slots__ = ("upper", "lower", "buckets")
-
-    def __init__(self):
-        self.upper, self.lower, self.buckets = 0, {}, {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        group = rank >> _GROUP_BITS
-        self.lower[group] = self.lower.get(group, 0) | 1 << (rank & _GROUP_MASK)
-        self.upper |= 1 << group
-
-    def pop(self) -> tuple[int, int]:
-        upper = self.upper
-        group = (upper & -upper).bit_length() - 1
-        lower = self.lower[group]
-        rank = group << _GROUP_BITS | (lower & -lower).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            lower &= lower - 1
-            self.lower[group] = lower
-            if not lower:
-                self.upper = upper & upper - 1
-        return rank, position
-
-
 def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
-    """The ids of one pre-token."""
+    """The ids of one pre-token.
+
+    The queue is kept in local variables, as most pre-tokens need only some ten steps:
+    ``buckets`` has a heap of positions for each rank that waits, ``lower`` a bitmap of
+    the ranks of each group, and ``upper`` a bitmap of the groups.
+    """
     whole = ranks.get(piece)
     if whole is not None:
         return (whole,)
@@ -80,32 +52,54 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     rank_of = ranks.get
     after = list(range(1, size + 1))
     before = list(range(-1, size - 1))
-    pair: list[int | None] = [None] * size  # rank of the symbol here with the next one
-    queue = RankQueue()
-    push, pop = queue.push, queue.pop
-    for i in range(size - 1):
-        rank = pair[i] = rank_of(piece[i : i + 2])
-        if rank is not None:
-            push(rank, i)
-    while queue.upper:
-        rank, i = pop()
-        if pair[i] != rank:
-            continue  # stale
+    pair = [rank_of(piece[i : i + 2]) for i in range(size)]  # of the symbol here with the next one
+    pair[-1] = None
+    buckets: dict[int, list[int]] = {}
+    lower: dict[int, int] = {}
+    upper = 0
+    fresh = [(rank, i) for i, rank in enumerate(pair) if rank is not None]
+    while True:
+        for rank, i in fresh:
+            if rank in buckets:
+                heappush(buckets[rank], i)
+            else:
+                buckets[rank] = [i]
+                group = rank >> _GROUP_BITS
+                lower[group] = lower.get(group, 0) | 1 << (rank & _GROUP_MASK)
+                upper |= 1 << group
+        # Find-first-set in both levels, until an entry is not stale.
+        while upper:
+            group = (upper & -upper).bit_length() - 1
+            bits = lower[group]
+            rank = group << _GROUP_BITS | (bits & -bits).bit_length() - 1
+            bucket = buckets[rank]
+            i = heappop(bucket)
+            if not bucket:
+                del buckets[rank]
+                bits &= bits - 1
+                lower[group] = bits
+                if not bits:
+                    upper &= upper - 1
+            if pair[i] == rank:
+                break
+        else:
+            break
         gone = after[i]
         pair[gone] = None
         end = after[i] = after[gone]
+        fresh = []
         if end < size:
             before[end] = i
             rank = pair[i] = rank_of(piece[i : after[end]])
             if rank is not None:
-                push(rank, i)
+                fresh.append((rank, i))
         else:
             pair[i] = None
         left = before[i]
         if left >= 0:
             rank = pair[left] = rank_of(piece[left:end])
             if rank is not None:
-                push(rank, left)
+                fresh.append((rank, left))
     ids, i = [], 0
     while i < size:
         end = after[i]
@@ -149,6 +143,11 @@ def _slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
+def lists(ids: list[list[int]]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+    return pa.ListArray.from_arrays(ends, np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1])))
+
+
 def encode(df: DataFrame, text: str = "text", out: str = "ids", path: str = RANKS, pattern: str = PATTERN) -> DataFrame:
     """``df`` with the ids of each whole text."""
 
@@ -156,8 +155,7 @@ def encode(df: DataFrame, text: str = "text", out: str = "ids", path: str = RANK
         encode_text = coder(path, pattern).encode
         for batch in batches:
             for part in _slices(batch):
-                ids = pa.array(map(encode_text, texts(part.column(text))), pa.list_(pa.int32()), size=part.num_rows)
-                yield _append(part, out, ids)
+                yield _append(part, out, lists([encode_text(t) for t in texts(part.column(text))]))
 
     return df.mapInArrow(work, with_column(df, out, "array<int>"))
 
@@ -169,7 +167,7 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str = RA
         decode_ids = coder(path).decode
         for batch in batches:
             for part in _slices(batch):
-                lists = (value.values.to_numpy(zero_copy_only=False).tolist() if value.is_valid else [] for value in part.column(ids))
-                yield _append(part, out, pa.array(map(decode_ids, lists), pa.binary(), size=part.num_rows))
+                found = [decode_ids(value.values.to_numpy(zero_copy_only=False).tolist()) if value.is_valid else b"" for value in part.column(ids)]
+                yield _append(part, out, pa.array(found, pa.binary()))
 
     return df.mapInArrow(work, with_column(df, out, "binary"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,8 +10,8 @@ import regex
 
 PATTERN = public_tokenizers.PATTERN
 
-# A worker remembers this many short pre-tokens, then starts anew: some 100 MB at most.
-CACHE_PIECES = 400_000
+# A worker remembers this many short pre-tokens, then starts anew: some 150 MB at most.
+CACHE_PIECES = 600_000
 CACHE_CHARS = 64
 
 
@@ -30,6 +31,27 @@ class Cache(dict):
         return value
 
 
+# The classes of PATTERN written out for code points up to LATIN, where a plain
+# expression finds the same pre-tokens in less time.
+LATIN = "\u024f"
+_LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+_NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
+_SPACES = " \t-\r\x85\xa0"
+_LATIN_PATTERN = (
+    f" ?[{_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{_NUMBERS}]+| ?[^{_SPACES}{_LETTERS}{_NUMBERS}]+"
+    f"|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+"
+)
+_beyond_latin = re.compile(f"[^\0-{LATIN}]").search
+
+
+def is_latin(text: str) -> bool:
+    return text.isascii() or _beyond_latin(text) is None
+
+
 def splitter(pattern: str = PATTERN) -> Callable[[str], list[str]]:
     """Cuts a text into pre-tokens; together they are the whole text."""
-    return regex.compile(pattern).findall
+    general = regex.compile(pattern).findall
+    if pattern != PATTERN:
+        return general
+    latin = re.compile(_LATIN_PATTERN).findall
+    return lambda text: latin(text) if is_latin(text) else general(text)

@@ -4,11 +4,78 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelake.llm import bpe, piece_counts, token_records
+from tidelake.llm import bpe, chat, decontam, piece_counts, token_records
 from tidelake.llm.tables import table
 from tidelake.session import new_folder
 
 
+# Texts that hold control strings, as one more conversation.
+_ESCAPE_CASE = """VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]')
+AS t(conv_id, turn, role, text)"""
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    case = spark.sql(f"SELECT * FROM {_ESCAPE_CASE}")
+    done = chat.format_records(chat.records(rows.unionByName(case)))
+    back = done.select("conv_id", "layout", "formatted", chat.read_turns(F.col("formatted")).alias("back"))
+    lines = F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    learned = F.array_join(F.transform(F.filter("back", lambda t: t["learned"]), lambda t: t["text"]), "")
+    return back.select(
+        "conv_id",
+        F.size("back").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length(learned).cast("long").alias("loss_chars"),
+        F.sha2(learned, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+_OP1_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), pieces AS (
+  SELECT *, regexp_replace(role, '([<\[])(\\*)(/?s>|/?SYS>>|\||/?INST\])', '\1\\\2\3', 'g') AS role_out,
+    regexp_replace(text, '([<\[])(\\*)(/?s>|/?SYS>>|\||/?INST\])', '\1\\\2\3', 'g') AS text_out
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<|turn|>' || role_out || '<|text|>' || text_out || '<|end|>'))::BIGINT AS formatted_chars
+FROM pieces GROUP BY conv_id
+"""
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_SHINGLES_SQL = r"""
+words AS (
+  SELECT id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM texts
+), shingles AS (
+  SELECT DISTINCT id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle FROM words
+)"""
+
+_OP3_SQL = f"""
+WITH texts AS (
+  SELECT {{'item': FALSE, 'key': doc_id}} AS id, text FROM documents
+  UNION ALL SELECT {{'item': TRUE, 'key': item_id}}, text FROM benchmark
+), {_SHINGLES_SQL},
+sizes AS (SELECT id, count(*) AS n FROM shingles WHERE id.item GROUP BY id)
+SELECT d.id.key AS doc_id, i.id.key AS item_id, n AS n_shingles, count(*) AS n_shared, count(*) / n AS containment
+FROM shingles i JOIN sizes USING (id) JOIN shingles d ON d.shingle = i.shingle
+WHERE i.id.item AND NOT d.id.item
+GROUP BY d.id.key, i.id.key, n HAVING 100 * count(*) >= 80 * n
+"""
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     back = bpe.decode(bpe.encode(docs).select("doc_id", "ids"))
@@ -32,9 +99,14 @@ def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
+    "op3_decontaminate": op3_decontaminate,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_token_counts": op7_token_counts,
     "op8_token_records": op8_token_records,
 }
 
-SQL: dict[str, str] = {}
+SQL = {
+    "op1_chat_format": _OP1_SQL,
+    "op3_decontaminate": _OP3_SQL,
+}

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
-from tidelake.llm.pieces import PATTERN, Cache, splitter
+from tidelake.llm.pieces import PATTERN, Cache, is_latin, splitter
 from tidelake.llm.tables import keyed, texts
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -51,9 +51,6 @@ _CHECK = struct.Struct("<I")
 _HEAD = struct.Struct("<BqB")
 _CLOSE = b"\n"
 
-# The pre-tokens of the splitter and of the tokenizer are the same for texts up to here.
-_SHARED_ALPHABET = "ɏ"
-
 
 def masked(data: bytes) -> int:
     check = zlib.crc32(data)
@@ -108,18 +105,21 @@ class Encoder:
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         largest = max(self._tokenizer.get_vocab_size(with_added_tokens=True) - 1, END_ID)
         self.kind = np.dtype("<u2" if largest < 1 << 16 else "<u4")
+        self._type = "H" if largest < 1 << 16 else "I"
         self._split = splitter(PATTERN)
         self._packed = Cache(self._encode)
         self._end = self.kind.type(END_ID).tobytes()
 
     def _encode(self, text: str) -> bytes:
-        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        ids = self._tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}{self._type}", *ids)
 
     def __call__(self, text: str) -> np.ndarray:
-        if text and not text.isascii() and max(text) > _SHARED_ALPHABET:
-            packed = self._encode(text)
-        else:
+        # Beyond Latin script the tokenizer may know other classes of characters than the splitter.
+        if is_latin(text):
             packed = b"".join(map(self._packed.__getitem__, self._split(text)))
+        else:
+            packed = self._encode(text)
         return np.frombuffer(packed + self._end, self.kind)
 
 
