@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelake.llm import bpe, chat, decontam, piece_counts, token_records
+from tidelake.llm import bpe, chat, decontam, langid, piece_counts, token_records
 from tidelake.llm.tables import table
 from tidelake.session import new_folder
 
@@ -49,6 +49,10 @@ FROM pieces GROUP BY conv_id
 """
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -100,6 +104,7 @@ def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_language": op2_language,
     "op3_decontaminate": op3_decontaminate,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_token_counts": op7_token_counts,

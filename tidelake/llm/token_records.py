@@ -22,7 +22,7 @@ from __future__ import annotations
 import functools
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
-from tidelake.llm.pieces import PATTERN, Cache, is_latin, splitter
+from tidelake.llm.pieces import CACHE_CHARS, PATTERN, Cache, is_latin, splitter
 from tidelake.llm.tables import keyed, texts
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -98,29 +98,53 @@ def check_ids(ids: np.ndarray) -> int:
 
 
 class Encoder:
-    """The tokenizer's ids; those of short pre-tokens are remembered."""
+    """The tokenizer's ids of texts; those of short pre-tokens are remembered.
+
+    New pre-tokens that are a space and letters go to the tokenizer in one text: each
+    begins with a token that begins with a space, and no other token holds one.
+    """
 
     def __init__(self, path: str = TOKENIZER):
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        largest = max(self._tokenizer.get_vocab_size(with_added_tokens=True) - 1, END_ID)
-        self.kind = np.dtype("<u2" if largest < 1 << 16 else "<u4")
-        self._type = "H" if largest < 1 << 16 else "I"
+        size = self._tokenizer.get_vocab_size(with_added_tokens=True)
+        self.kind = np.dtype("<u2" if max(size - 1, END_ID) < 1 << 16 else "<u4")
+        space = self._tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]  # as the vocabulary writes it
+        self._opens = np.array([(self._tokenizer.id_to_token(i) or "").startswith(space) for i in range(size)])
         self._split = splitter(PATTERN)
         self._packed = Cache(self._encode)
         self._end = self.kind.type(END_ID).tobytes()
 
-    def _encode(self, text: str) -> bytes:
-        ids = self._tokenizer.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}{self._type}", *ids)
+    def _ids(self, text: str) -> np.ndarray:
+        [encoded] = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(encoded.ids, self.kind)
 
-    def __call__(self, text: str) -> np.ndarray:
+    def _encode(self, text: str) -> bytes:
+        return self._ids(text).tobytes()
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Remember the ids of those pre-tokens that are not known yet."""
+        new = [p for p in pieces.difference(self._packed) if p[0] == " " and len(p) <= CACHE_CHARS and p[1:].isalpha()]
+        if not new:
+            return
+        ids = self._ids("".join(new))
+        ends = [*(np.flatnonzero(self._opens[ids])[1:] * ids.itemsize).tolist(), ids.nbytes]
+        packed, start = ids.tobytes(), 0
+        if len(ends) != len(new):
+            raise ValueError("the tokenizer does not cut pre-tokens as expected")
+        for piece, end in zip(new, ends, strict=True):
+            self._packed.keep(piece, packed[start:end])
+            start = end
+
+    def __call__(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """The ids of each text with the end id; meant for some hundred texts at a time."""
         # Beyond Latin script the tokenizer may know other classes of characters than the splitter.
-        if is_latin(text):
-            packed = b"".join(map(self._packed.__getitem__, self._split(text)))
-        else:
-            packed = self._encode(text)
-        return np.frombuffer(packed + self._end, self.kind)
+        cut = [self._split(text) if is_latin(text) else text for text in texts]
+        self._learn(set().union(*(pieces for pieces in cut if isinstance(pieces, list))))
+        for pieces in cut:
+            known = isinstance(pieces, list)
+            packed = b"".join(map(self._packed.__getitem__, pieces)) if known else self._encode(pieces)
+            yield np.frombuffer(packed + self._end, self.kind)
 
 
 @functools.lru_cache(maxsize=2)
@@ -137,10 +161,10 @@ def write_records(df: DataFrame, target: str, key: str = "doc_id", text: str = "
         for batch in batches:
             keys = batch.column(0).to_pylist()
             for at in range(0, batch.num_rows, 256):
-                part = zip(keys[at : at + 256], texts(batch.column(1).slice(at, 256)), strict=True)
+                part = zip(keys[at : at + 256], encode(texts(batch.column(1).slice(at, 256))), strict=True)
                 yield pa.RecordBatch.from_arrays(
                     # The newline is added by the writer of lines.
-                    [pa.array([frame(pack(k, encode(t)))[: -len(_CLOSE)] for k, t in part], pa.binary())], ["frame"]
+                    [pa.array([frame(pack(k, ids))[: -len(_CLOSE)] for k, ids in part], pa.binary())], ["frame"]
                 )
 
     order = [F.asc_nulls_first("doc_id"), F.asc("tie")]
