@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelake.llm import bpe, chat, decontam, langid, piece_counts, token_records
+from tidelake.llm import bpe, chat, decontam, langid, piece_counts, pii, token_records
 from tidelake.llm.tables import table
 from tidelake.session import new_folder
 
@@ -102,6 +102,21 @@ def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.read_index(spark, target).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.label(docs)
+
+    def count(kind: str):
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, pii.BASE_KINDS),
+        F.sha2(pii.as_text(F.col("base_spans")), 256).alias("base_sha256"),
+        pii.as_text(F.col("pii")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_language": op2_language,
@@ -109,6 +124,7 @@ QUERIES = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_token_counts": op7_token_counts,
     "op8_token_records": op8_token_records,
+    "op9_personal_data": op9_personal_data,
 }
 
 SQL = {
