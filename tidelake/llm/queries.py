@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelake.llm import bpe, chat, decontam, langid, piece_counts, pii, token_records
+from tidelake.llm import bpe, chat, decontam, jaccard_join, langid, piece_counts, pii, token_records
 from tidelake.llm.tables import table
 from tidelake.session import new_folder
 
@@ -80,6 +80,24 @@ GROUP BY d.id.key, i.id.key, n HAVING 100 * count(*) >= 80 * n
 """
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
+_OP4_SQL = f"""
+WITH RECURSIVE texts AS (SELECT doc_id AS id, text FROM documents), {_SHINGLES_SQL},
+sizes AS (SELECT id, count(*) AS n FROM shingles GROUP BY id),
+links AS (
+  SELECT a.id AS a, b.id AS b FROM shingles a JOIN shingles b USING (shingle)
+  JOIN sizes x ON x.id = a.id JOIN sizes y ON y.id = b.id
+  WHERE a.id <> b.id GROUP BY a.id, b.id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+),
+reached AS (SELECT id, id AS other FROM texts UNION SELECT r.id, l.b FROM reached r JOIN links l ON r.other = l.a)
+SELECT r.id AS doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM reached r LEFT JOIN sizes s ON s.id = r.id GROUP BY r.id
+"""
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     back = bpe.decode(bpe.encode(docs).select("doc_id", "ids"))
@@ -121,6 +139,7 @@ QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_language": op2_language,
     "op3_decontaminate": op3_decontaminate,
+    "op4_jaccard_join": op4_jaccard_join,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_token_counts": op7_token_counts,
     "op8_token_records": op8_token_records,
@@ -130,4 +149,5 @@ QUERIES = {
 SQL = {
     "op1_chat_format": _OP1_SQL,
     "op3_decontaminate": _OP3_SQL,
+    "op4_jaccard_join": _OP4_SQL,
 }
