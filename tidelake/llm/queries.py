@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelake.llm import bpe, chat, decontam, jaccard_join, langid, piece_counts, pii, token_records
+from tidelake.llm import bpe, chat, decontam, jaccard_join, langid, piece_counts, pii, suffix_dedup, token_records
 from tidelake.llm.tables import table
 from tidelake.session import new_folder
 
@@ -98,6 +98,11 @@ FROM reached r LEFT JOIN sizes s ON s.id = r.id GROUP BY r.id
 """
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     back = bpe.decode(bpe.encode(docs).select("doc_id", "ids"))
@@ -140,6 +145,7 @@ QUERIES = {
     "op2_language": op2_language,
     "op3_decontaminate": op3_decontaminate,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_token_counts": op7_token_counts,
     "op8_token_records": op8_token_records,
