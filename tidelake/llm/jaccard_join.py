@@ -1,11 +1,13 @@
 """Join of documents whose sets of five-word shingles have a Jaccard similarity of 0.8.
 
 1. Documents with equal sets are one class, so that copies never meet pair by pair.
-2. Two linked sets share a shingle among the first n - ceil(0.8 n) + 1 of each, in any
-   order that is the same everywhere (prefix filter). Order: by hash, with the most
-   frequent shingles last, so that passages that many documents share bring few
-   together. A task combines its own rows first; a shingle then has one row for each
-   task at most, and classes that share one are chained to the least of them.
+2. Two linked sets share k shingles among the first n - ceil(0.8 n) + k of each, in any
+   order that is the same everywhere (prefix filter, with k = 0.06 n). Order: by hash,
+   with the most frequent shingles last, so that passages that many documents share
+   bring few together. A task combines its own rows first; a shingle then has one row
+   for each task at most. Sets that share too little of their prefix with all others
+   together are left out, twice, as this may deprive others; the rest that share a
+   shingle are chained to the least of them.
 3. Components of these chains hold every link. They are dealt into tiles of bounded
    size by size class (linked sets differ by a quarter at most, so only neighbouring
    classes meet) and a hash.
@@ -49,8 +51,30 @@ TILE_SETS = 512
 TILE_SHINGLES = 2_000_000
 
 
+# Percent of its size by which the prefix of a set is longer, and which it then has to share.
+MORE = 6
+ROUNDS = 2
+
+
+def extra(n: int) -> int:
+    return max(1, n * MORE // 100)
+
+
+def least_overlap(n: int) -> int:
+    return (SHARE * n + OF - 1) // OF
+
+
 def prefix_size(n: int) -> int:
-    return n - (SHARE * n + OF - 1) // OF + 1
+    return n - least_overlap(n) + extra(n)
+
+
+def wanted(n: int) -> int:
+    """What a set of n shares at least of its prefix with that of a linked set.
+
+    Prefixes longer by k have k in common; the linked set has 0.8 n or more and so may
+    have the smaller k.
+    """
+    return extra(least_overlap(n))
 
 
 def enough(shared: int, a: int, b: int) -> bool:
@@ -141,30 +165,52 @@ class Order:
         return np.concatenate([light, ranked[: size - len(light)]])
 
 
-_CHAIN = {"shingle": pa.int64(), "class": pa.int64(), "least": pa.int64()}
+# What a row of a shingle says of its class: that it is alone with it in its task, that
+# it stands for several of its task, or that it is known to share it.
+_ALONE, _SEVERAL, _SHARED = 0, 1, 2
+_ROW = {"shingle": pa.int64(), "class": pa.int64(), "state": pa.int8(), "spread": pa.int64()}
+_ROW_KIND = "shingle long, class long, state byte, spread long"
+
+
+def _rows(shingle: np.ndarray, owner: np.ndarray, state, spread: np.ndarray) -> pa.RecordBatch:
+    state = np.broadcast_to(np.asarray(state, np.int8), shingle.shape)
+    return _table(_ROW, **{"shingle": shingle, "class": owner, "state": state, "spread": spread})
 
 
 def _combined(shingles: list[np.ndarray], classes: list[int]) -> Iterator[pa.RecordBatch]:
-    """One row for each shingle of a task, with its least class; the others are chained to that."""
-    shingle = np.concatenate(shingles)
+    """The rows of a task: one for each shingle, and one for each class that shares it here.
+
+    The latter are spread by class, so that no shingle brings many rows to one place.
+    """
+    shingle = np.concatenate(shingles).view(np.int64)
     owner = np.repeat(np.array(classes, np.int64), [len(s) for s in shingles])
     order = np.lexsort((owner, shingle))
     shingle, owner = shingle[order], owner[order]
-    first = np.r_[True, shingle[1:] != shingle[:-1]]
-    least = owner[np.flatnonzero(first)][np.cumsum(first) - 1]
-    yield _table(_CHAIN, **{"shingle": shingle[first].view(np.int64), "class": owner[first]})
-    pairs = np.unique(np.column_stack([owner[~first], least[~first]]), axis=0)
-    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-    if len(pairs):
-        yield _table(_CHAIN, **{"shingle": pairs[:, 0], "class": pairs[:, 0], "least": pairs[:, 1]})
+    opens = np.r_[True, shingle[1:] != shingle[:-1]]
+    first = np.flatnonzero(opens)
+    several = np.diff(np.r_[first, len(shingle)]) > 1
+    yield _rows(shingle[first], owner[first], several, shingle[first])
+    shared = several[np.cumsum(opens) - 1]
+    if shared.any():
+        yield _rows(shingle[shared], owner[shared], _SHARED, owner[shared])
+
+
+def _shared_across(shingle: np.ndarray, owner: np.ndarray, state: np.ndarray) -> pa.RecordBatch:
+    """Of rows sorted by shingle and class, those alone in their task but not over all tasks."""
+    opens = np.r_[True, shingle[1:] != shingle[:-1]]
+    of = np.cumsum(opens) - 1
+    other = np.r_[False, ~opens[1:] & (owner[1:] != owner[:-1])]
+    met = np.bincount(of, other | (state == _SEVERAL)) > 0
+    kept = met[of] & (state == _ALONE)
+    return _rows(shingle[kept], owner[kept], _SHARED, owner[kept])
 
 
-def chains(documents: DataFrame, heavy: np.ndarray) -> DataFrame:
-    """Pairs (class, least) of classes that share a shingle of their prefixes."""
-    shared = documents.sparkSession.sparkContext.broadcast(heavy)
+def shared_rows(documents: DataFrame, heavy: np.ndarray) -> DataFrame:
+    """shingle and class of each shingle in the prefixes of two or more classes."""
+    broadcast = documents.sparkSession.sparkContext.broadcast(heavy)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order, seen, shingles, classes, size = Order(shared.value), set(), [], [], 0
+        order, seen, shingles, classes, size = Order(broadcast.value), set(), [], [], 0
         for batch in batches:
             for found in _batches_of_sets(batch, 1):
                 if not len(found) or (owner := _short(_digest(found))) in seen:
@@ -180,31 +226,46 @@ def chains(documents: DataFrame, heavy: np.ndarray) -> DataFrame:
             yield from _combined(shingles, classes)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by shingle and class: each class of a shingle with the first of them."""
-        last, first = None, None
+        held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int8)]
         for batch in batches:
-            ready = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
+            columns = [batch.column(i).to_numpy() for i in range(3)]
+            ready = columns[2] == _SHARED
             if ready.any():
                 yield batch.filter(pa.array(ready))
-            shingle = batch.column(0).to_numpy()[~ready]
-            owner = batch.column(1).to_numpy()[~ready]
-            if not len(shingle):
-                continue
-            opens = np.r_[last is None or shingle[0] != last, shingle[1:] != shingle[:-1]]
-            of = np.cumsum(opens) - 1
-            least = np.r_[owner[opens], 0][of]
-            if not opens[0]:
-                least[of < 0] = first
-            last, first = shingle[-1], least[-1]
-            pairs = np.unique(np.column_stack([owner, least])[owner != least], axis=0)
-            if len(pairs):
-                yield _table(_CHAIN, **{"shingle": pairs[:, 0], "class": pairs[:, 0], "least": pairs[:, 1]})
-
-    kind = "shingle long, class long, least long"
-    rows = documents.mapInArrow(prefixes, kind)
+            columns = [np.concatenate([h, c[~ready]]) for h, c in zip(held, columns, strict=True)]
+            if len(columns[0]):
+                # The last shingle may go on in the next batch; it has a row for each task at most.
+                whole = np.searchsorted(columns[0], columns[0][-1])
+                if whole:
+                    yield _shared_across(*(c[:whole] for c in columns))
+                held = [c[whole:] for c in columns]
+        if len(held[0]):
+            yield _shared_across(*held)
+
     partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_shingle = rows.repartition(partitions, "shingle").sortWithinPartitions("shingle", "class")
-    return by_shingle.mapInArrow(runs, kind).select("class", "least").distinct()
+    rows = documents.mapInArrow(prefixes, _ROW_KIND)
+    by_shingle = rows.repartition(partitions, "spread").sortWithinPartitions("shingle", "class")
+    return by_shingle.mapInArrow(runs, _ROW_KIND).select("shingle", "class").distinct()
+
+
+def _wanted(n):
+    """As `wanted`, for a column."""
+    return F.greatest(F.lit(1), F.floor(F.ceil(n * SHARE / OF) * MORE / 100))
+
+
+def chains(documents: DataFrame, classes: DataFrame, heavy: np.ndarray) -> DataFrame:
+    """Pairs (class, least) that connect all classes that may be linked."""
+    rows = written(shared_rows(documents, heavy), "shared")
+    sizes = classes.groupBy(_short_of(F.col("digest")).alias("class")).agg(F.min("n").alias("n"))
+    for _ in range(ROUNDS):
+        enough_shared = (
+            rows.groupBy("class").agg(F.count(F.lit(1)).alias("c")).join(sizes, "class").filter(F.col("c") >= _wanted(F.col("n")))
+        )
+        rows = rows.join(enough_shared.select("class"), "class", "left_semi")
+        several = rows.groupBy("shingle").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a <> b")
+        rows = written(rows.join(several.select("shingle"), "shingle", "left_semi"), "shared")
+    least = rows.groupBy("shingle").agg(F.min("class").alias("least"))
+    return rows.join(least, "shingle").filter("class <> least").select("class", "least").distinct()
 
 
 class SignatureTree:
@@ -346,7 +407,7 @@ def links(documents: DataFrame, classes: DataFrame, heavy: np.ndarray) -> DataFr
 
     ``classes``: digest, n, doc_id of one document; ``documents``: doc_id, text.
     """
-    chain = components(chains(documents, heavy))
+    chain = components(chains(documents, classes, heavy))
     grouped = classes.withColumn("node", _short_of(F.col("digest"))).join(
         chain.select("node", F.col("component").alias("group")), "node"
     )
