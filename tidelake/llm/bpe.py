@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidelake.llm.pieces import PATTERN, Cache, splitter
-from tidelake.llm.tables import texts, with_column
+from tidelake.llm.tables import texts, with_columns
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -131,10 +131,7 @@ def coder(path: str = RANKS, pattern: str = PATTERN) -> Coder:
 
 
 def _append(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
-    kept = [i for i, column in enumerate(batch.schema.names) if column.lower() != name.lower()]
-    return pa.RecordBatch.from_arrays(
-        [*(batch.column(i) for i in kept), values], [*(batch.schema.names[i] for i in kept), name]
-    )
+    return pa.RecordBatch.from_arrays([*batch.columns, values], [*batch.schema.names, name])
 
 
 def _slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
@@ -143,6 +140,12 @@ def _slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
+def _without(df: DataFrame, out: str, needed: str) -> DataFrame:
+    if out.lower() == needed.lower():
+        raise ValueError(f"the output {out} would replace the input")
+    return df.drop(out)
+
+
 def lists(ids: list[list[int]]) -> pa.Array:
     ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
     return pa.ListArray.from_arrays(ends, np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1])))
@@ -150,6 +153,7 @@ def lists(ids: list[list[int]]) -> pa.Array:
 
 def encode(df: DataFrame, text: str = "text", out: str = "ids", path: str = RANKS, pattern: str = PATTERN) -> DataFrame:
     """``df`` with the ids of each whole text."""
+    df = _without(df, out, text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_text = coder(path, pattern).encode
@@ -157,11 +161,12 @@ def encode(df: DataFrame, text: str = "text", out: str = "ids", path: str = RANK
             for part in _slices(batch):
                 yield _append(part, out, lists([encode_text(t) for t in texts(part.column(text))]))
 
-    return df.mapInArrow(work, with_column(df, out, "array<int>"))
+    return df.mapInArrow(work, with_columns(df, f"`{out}` array<int>"))
 
 
 def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str = RANKS) -> DataFrame:
     """``df`` with the bytes that each list of ids stands for."""
+    df = _without(df, out, ids)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode_ids = coder(path).decode
@@ -170,4 +175,4 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str = RA
                 found = [decode_ids(value.values.to_numpy(zero_copy_only=False).tolist()) if value.is_valid else b"" for value in part.column(ids)]
                 yield _append(part, out, pa.array(found, pa.binary()))
 
-    return df.mapInArrow(work, with_column(df, out, "binary"))
+    return df.mapInArrow(work, with_columns(df, f"`{out}` binary"))

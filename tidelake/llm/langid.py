@@ -17,7 +17,7 @@ and to every worker.
 Texts that are null or without letters are ``und`` with score 0, as is all if there is
 nothing to learn from. Null labels are not learned from. A null key counts as not held
 out and is not learned from. Ties go to the label that sorts first. Repeated rows count
-each. Other columns are left out.
+each. ``predict`` keeps all columns, ``identify`` leaves others than its own out.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidelake.llm.tables import written
+from tidelake.llm.tables import keyed, with_columns, written
 
 ORDER = 3  # bytes of the longest context
 LANGUAGES = 100
@@ -245,34 +245,40 @@ def train(labelled: DataFrame) -> Model | None:
     return Model(languages, [grams[w] for w in of], [counts[w] for w in of])
 
 
-def predict(df: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, lang_pred and score of each whole text."""
+def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+    """``df`` with lang_pred and score of each whole text; columns of these names are replaced."""
     shared = df.sparkSession.sparkContext.broadcast(model)
+    kept = df.drop("lang_pred", "score")
+    names = kept.columns
+    at_text = names.index(text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                names, scores, asked, texts = [UNKNOWN] * part.num_rows, [0.0] * part.num_rows, [], []
-                for i, value in enumerate(part.column(1)):
+                found, scores, asked, texts = [UNKNOWN] * part.num_rows, [0.0] * part.num_rows, [], []
+                for i, value in enumerate(part.column(at_text)):
                     if trees is not None and value.is_valid and _letter(value.as_py()):
                         asked.append(i)
                         texts.append(value.as_buffer().to_pybytes())
                 if asked:
                     for i, index, score in zip(asked, *map(np.ndarray.tolist, trees.best(texts)), strict=True):
-                        names[i], scores[i] = trees.languages[index], score
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(names), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"]
-                )
+                        found[i], scores[i] = trees.languages[index], score
+                columns = [*part.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, [*names, "lang_pred", "score"])
 
-    rows = df.select(df[key].cast("long").alias("doc_id"), df[text].alias("text"))
-    return rows.mapInArrow(work, "doc_id long, lang_pred string, score double")
+    return kept.mapInArrow(work, with_columns(kept, "lang_pred string, score double"))
+
+
+def model_of(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
+    """The model learned from the documents that are not held out."""
+    learned = documents.filter(F.crc32(documents[key].cast("string").cast("binary")) % 5 != 0)
+    return train(learned.select(learned[lang].alias("lang"), learned[text].alias("text")))
 
 
 def identify(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """doc_id, held_out, lang_pred and score, learned from the documents not held out."""
-    learned = documents.filter(F.crc32(documents[key].cast("string").cast("binary")) % 5 != 0)
-    model = train(learned.select(learned[lang].alias("lang"), learned[text].alias("text")))
-    found = predict(documents, model, key, text)
+    model = model_of(documents, key, text, lang)
+    found = predict(keyed(documents, key, text), model)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelake.llm import bpe, chat, decontam, jaccard_join, langid, piece_counts, pii, suffix_dedup, token_records
+from tidelake.llm import bpe, chat, decontam, jaccard_join, langid, neighbours, piece_counts, pii, suffix_dedup, token_records
 from tidelake.llm.tables import table
 from tidelake.session import new_folder
 
@@ -140,6 +140,10 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_language": op2_language,
@@ -150,6 +154,7 @@ QUERIES = {
     "op7_token_counts": op7_token_counts,
     "op8_token_records": op8_token_records,
     "op9_personal_data": op9_personal_data,
+    "op10_nearest": op10_nearest,
 }
 
 SQL = {

@@ -36,11 +36,7 @@ def texts(column: pa.Array) -> Iterator[str]:
         yield value.as_py() or ""
 
 
-def with_column(df: DataFrame, name: str, kind: str) -> str:
-    """The schema of ``df`` without ``name`` and with it at the end, as DDL."""
-    kept = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema if f.name.lower() != name.lower()]
-    return ", ".join([*kept, f"`{name}` {kind}"])
-
-
-def code_points(text) -> F.Column:
-    return F.coalesce(text, F.lit(""))
+def with_columns(df: DataFrame, added: str) -> str:
+    """The schema of ``df`` and what is added to it, as DDL."""
+    kept = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema]
+    return ", ".join([*kept, added])
