@@ -35,7 +35,7 @@ CONTEXT_CHARS = 32
 # The patterns of the contract, in possessive form, which finds the same matches without
 # trying a run of characters again from each of its positions. \G: right after a match.
 _EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
-_IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
+_IP = r"(?=[0-9])(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _CARD = r"[0-9](?:[\x20-]?[0-9])++"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
@@ -47,10 +47,11 @@ _ACCOUNT = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])"
 _LOCAL_PHONE = r"(?<![0-9+.(-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9])"
 _SECRET = r"(?<![A-Za-z0-9])(?=[0-9]{0,63}[A-Za-z])(?=[A-Za-z]{0,63}[0-9])[A-Za-z0-9]{16,64}(?![A-Za-z0-9])"
 _NAME = (
-    r"(?<![\p{L}\p{N}])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Sr|Sra|Mme|Mlle)\.? "
+    r"(?=[DFHMPS])(?<![\p{L}\p{N}])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Sr|Sra|Mme|Mlle)\.? "
     r"\p{Lu}[\p{L}'-]{1,40}(?: \p{Lu}[\p{L}'-]{1,40})?"
 )
-_ADDED = f"{_ID}|{_ACCOUNT}|{_LOCAL_PHONE}|{_NAME}|{_SECRET}"
+# All of these hold a digit.
+_NUMBERED = f"{_ID}|{_ACCOUNT}|{_LOCAL_PHONE}|{_SECRET}"
 _ADDED_FORMS = (
     ("id", r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"),
     ("local_phone", r"^\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}$"),
@@ -143,7 +144,7 @@ def base_spans(text: Column) -> Column:
     card = F.filter(_matches(text, _CARD, "card"), lambda s: _valid_card(s["value"]))
     phone = F.when(F.contains(text, F.lit("+")), _matches(text, _PHONE, "phone")).otherwise(none)
     phone = F.filter(phone, lambda s: _valid_phone(s["value"]))
-    return F.concat(email, ip, card, phone)
+    return F.concat(email, F.when(text.rlike("[0-9]"), F.concat(ip, card, phone)).otherwise(none))
 
 
 def _rank(kind: Column) -> Column:
@@ -165,7 +166,11 @@ def _added_kind(value: Column) -> Column:
 def with_spans(df: DataFrame, text: str) -> DataFrame:
     """``df`` with the columns base_spans and candidates, the other spans that may be added."""
     value = F.coalesce(df[text], F.lit(""))
-    found = _matches(value, _ADDED, "")
+    none = F.array().cast(f"array<{SPAN}>")
+    found = F.concat(
+        F.when(value.rlike("[0-9]"), _matches(value, _NUMBERED, "")).otherwise(none),
+        F.when(value.rlike(_NAME), _matches(value, _NAME, "")).otherwise(none),
+    )
     both = df.withColumns({"base_spans": base_spans(df[text]), "candidates": found})
 
     def free(span: Column) -> Column:
