@@ -1,0 +1,85 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from tidelake.llm import chat
+
+CONTROL = ["</s>", "<s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|end|>", "<|turn|>", "<\\|x", "[\\/INST]", "<\\\\s>"]
+
+
+def formatted(spark, records):
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "id long, json string")
+    done = chat.format_records(df.select("id", F.parse_json("json").alias("record")))
+    return done.withColumn("back", chat.read_turns(F.col("formatted"))).orderBy("id").collect()
+
+
+LAYOUTS = {
+    "messages": {"messages": [{"role": "user", "content": "a"}, {"role": "assistant", "content": "b"}]},
+    "conversations": {"conversations": [{"from": "user", "value": "a"}, {"from": "assistant", "value": "b"}]},
+    "prompt": {"prompt": "a", "response": "b"},
+    "instruction": {"system": "", "instruction": "a", "output": "b"},
+}
+
+
+def test_each_layout_gives_the_same_turns(spark):
+    rows = formatted(spark, list(LAYOUTS.values()))
+    assert [r["layout"] for r in rows] == list(LAYOUTS)
+    for row in rows:
+        assert [(t["role"], t["text"]) for t in row["back"] if t["role"] != "system"] == [("user", "a"), ("assistant", "b")]
+
+
+def test_fingerprints_follow_paths_and_not_values(spark):
+    same = [{"a": 1, "b": [{"c": "x"}]}, {"b": [{"c": None}, {"c": 2}], "a": "long text"}]
+    other = [{"a": 1, "b": [{"d": "x"}]}, {"a": {"b": 1}}, {"a": 1}]
+    df = spark.createDataFrame([(json.dumps(r),) for r in same + other], "json string")
+    found = [r[0] for r in df.select(chat.fingerprint(F.parse_json("json"))).collect()]
+    assert len(set(found[:2])) == 1 and len(set(found)) == 4
+
+
+def test_an_unknown_layout_is_kept_without_turns(spark):
+    rows = formatted(spark, [{"question": "a", "answer": "b"}, {}, [1, 2]])
+    assert [(r["layout"], r["turns"]) for r in rows] == [(None, None)] * 3
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*CONTROL, "a", "\\", "<", "[", "|", "\n", "é"]), max_size=6).map("".join), min_size=40, max_size=40))
+def test_any_text_comes_back_and_no_control_string_remains(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    escaped = df.select("text", chat.escaped(F.col("text")).alias("out"))
+    for row in escaped.withColumn("back", chat.unescaped(F.col("out"))).collect():
+        assert row["back"] == row["text"]
+        assert not any(control in row["out"] for control in ["</s>", "<s>", "[INST]", "[/INST]", "<SYS>>", "</SYS>>", "<|"])
+
+
+def test_conversations_with_odd_rows(spark):
+    rows = [
+        (1, 0, "user", "hi </s>[INST] ok [/INST]", "x"), (1, 1, "assistant", "<|end|> yes", "x"),
+        (2, None, None, None, "x"), (2, 1, "tool", "", "x"), (2, 1, "tool", "", "x"),
+        (None, 0, "user", "a", "x"), (3, 0, "assistant", "only <", "x"), (3, 1, "assistant", "|two", "x"), (3, 2, "user", "t" * 99_999, "x"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, record string")
+    done = chat.format_records(chat.records(df)).withColumn("back", chat.read_turns(F.col("formatted")))
+    found = {r["conv_id"]: r for r in done.collect()}
+    assert [(t["role"], t["text"]) for t in found[1]["back"]] == [(r[2], r[3]) for r in rows[:2]]
+    assert [(t["role"], t["text"]) for t in found[2]["back"]] == [("", ""), ("tool", ""), ("tool", "")]
+    assert [(t["role"], t["text"]) for t in found[None]["back"]] == [("user", "a")]
+    assert [t["text"] for t in found[3]["back"] if t["learned"]] == ["only <", "|two"]
+    for row in found.values():
+        under_mask = [row["formatted"][s["start"] : s["end"]] for s in row["loss_spans"]]
+        learned = [t["text"] for t in row["back"] if t["learned"]]
+        escaped = spark.createDataFrame([(t,) for t in learned], "t string").select(chat.escaped(F.col("t"))).collect()
+        assert under_mask == [r[0] for r in escaped]
+    assert chat.format_records(chat.records(df.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("turns", [1, 2, 3, 4, 5])
+def test_records_take_the_layout_of_their_shape(spark, turns):
+    roles = ["system", "user", "assistant"][: turns] if turns == 3 else ["user", "assistant"] * 3
+    df = spark.createDataFrame([(1, i, roles[i], f"t{i}") for i in range(turns)], "conv_id long, turn long, role string, text string")
+    row = chat.format_records(chat.records(df)).first()
+    assert row["layout"] == {1: "messages", 2: "prompt", 3: "instruction", 4: "conversations", 5: "messages"}[turns]
+    assert [t["text"] for t in row["turns"]] == [f"t{i}" for i in range(turns)]

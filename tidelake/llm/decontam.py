@@ -109,13 +109,16 @@ def contaminated(
         F.col("item_id").alias("of_item"), F.col("shingles").alias("item_shingles")
     )
     # The null key is a key like others.
-    wanted = candidates.groupBy(F.col("doc_id").alias("of_doc")).agg(F.collect_set("item_id").alias("found_items"))
+    # In structs, as null is an id like others.
+    wanted = candidates.groupBy(F.col("doc_id").alias("of_doc")).agg(
+        F.collect_set(F.struct("item_id")).alias("found_items")
+    )
     in_docs = with_shingles(docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["of_doc"])))
-    pairs = in_docs.select("doc_id", "shingles", F.explode_outer("found_items").alias("item_id")).join(
-        item_sets, F.col("item_id") == F.col("of_item")
+    pairs = in_docs.select("doc_id", "shingles", F.explode_outer("found_items").alias("found")).join(
+        item_sets, F.col("found.item_id").eqNullSafe(F.col("of_item"))
     )
     shared = F.size(F.array_intersect("shingles", "item_shingles"))
-    counted = pairs.select("doc_id", "item_id", F.size("item_shingles").alias("n_shingles"), shared.alias("n_shared"))
+    counted = pairs.select("doc_id", F.col("of_item").alias("item_id"), F.size("item_shingles").alias("n_shingles"), shared.alias("n_shared"))
     return (
         counted.filter(F.col("n_shared") >= needed(F.col("n_shingles")))
         .groupBy("doc_id", "item_id", "n_shingles")
