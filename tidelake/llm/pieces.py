@@ -25,14 +25,11 @@ class Cache(dict):
     def __missing__(self, piece: str):
         value = self._work(piece)
         if len(piece) <= CACHE_CHARS:
-            self.keep(piece, value)
+            if len(self) >= self._pieces:
+                self.clear()
+            self[piece] = value
         return value
 
-    def keep(self, piece: str, value) -> None:
-        if len(self) >= self._pieces:
-            self.clear()
-        self[piece] = value
-
 
 # The classes of PATTERN written out for code points up to LATIN, where a plain
 # expression finds the same pre-tokens in less time.

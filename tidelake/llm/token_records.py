@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
-from tidelake.llm.pieces import CACHE_CHARS, PATTERN, Cache, is_latin, splitter
+from tidelake.llm.pieces import CACHE_CHARS, CACHE_PIECES, PATTERN, is_latin, splitter
 from tidelake.llm.tables import keyed, texts
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -100,51 +100,69 @@ def check_ids(ids: np.ndarray) -> int:
 class Encoder:
     """The tokenizer's ids of texts; those of short pre-tokens are remembered.
 
-    New pre-tokens that are a space and letters go to the tokenizer in one text: each
-    begins with a token that begins with a space, and no other token holds one.
+    New pre-tokens go to the tokenizer in one text, in which it cuts them as before. If
+    they are a space and letters, each begins with a token that begins with a space, and
+    no other token holds one; others without white space inside are set apart by line
+    breaks, which are tokens of their own.
     """
 
-    def __init__(self, path: str = TOKENIZER):
+    def __init__(self, path: str = TOKENIZER, remembered: int = CACHE_PIECES):
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         size = self._tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2" if max(size - 1, END_ID) < 1 << 16 else "<u4")
         space = self._tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]  # as the vocabulary writes it
         self._opens = np.array([(self._tokenizer.id_to_token(i) or "").startswith(space) for i in range(size)])
+        [self._break] = self._ids("\n").tolist()
         self._split = splitter(PATTERN)
-        self._packed = Cache(self._encode)
+        self._known: dict[str, bytes] = {}
+        self._remembered = remembered
         self._end = self.kind.type(END_ID).tobytes()
 
     def _ids(self, text: str) -> np.ndarray:
         [encoded] = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(encoded.ids, self.kind)
 
-    def _encode(self, text: str) -> bytes:
-        return self._ids(text).tobytes()
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Remember the ids of those pre-tokens that are not known yet."""
-        new = [p for p in pieces.difference(self._packed) if p[0] == " " and len(p) <= CACHE_CHARS and p[1:].isalpha()]
-        if not new:
-            return
-        ids = self._ids("".join(new))
-        ends = [*(np.flatnonzero(self._opens[ids])[1:] * ids.itemsize).tolist(), ids.nbytes]
-        packed, start = ids.tobytes(), 0
-        if len(ends) != len(new):
+    def _together(self, pieces: list[str], apart: str) -> dict[str, bytes]:
+        if not pieces:
+            return {}
+        ids = self._ids(apart.join(["", *pieces]))
+        starts = np.flatnonzero(ids == self._break if apart else self._opens[ids])
+        if len(starts) != len(pieces):
             raise ValueError("the tokenizer does not cut pre-tokens as expected")
-        for piece, end in zip(new, ends, strict=True):
-            self._packed.keep(piece, packed[start:end])
-            start = end
+        width, packed = ids.itemsize, ids.tobytes()
+        ends = [*(starts[1:] * width).tolist(), len(packed)]
+        begins = ((starts + len(apart)) * width).tolist()
+        return {piece: packed[a:b] for piece, a, b in zip(pieces, begins, ends, strict=True)}
+
+    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """The packed ids of pre-tokens that are not known yet; short ones are remembered."""
+        words = [p for p in pieces if p[0] == " " and p[1:].isalpha()]
+        marks = [p for p in pieces if not (p[0] == " " and p[1:].isalpha()) and not p[1:].isspace() and not p.isspace()]
+        found = self._together(words, "") | self._together(marks, "\n")
+        for piece in pieces:
+            if piece not in found:  # white space
+                found[piece] = self._ids(piece).tobytes()
+        if len(self._known) + len(found) > self._remembered:
+            self._known.clear()
+        self._known.update((p, ids) for p, ids in found.items() if len(p) <= CACHE_CHARS)
+        return found
 
     def __call__(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """The ids of each text with the end id; meant for some hundred texts at a time."""
-        # Beyond Latin script the tokenizer may know other classes of characters than the splitter.
-        cut = [self._split(text) if is_latin(text) else text for text in texts]
-        self._learn(set().union(*(pieces for pieces in cut if isinstance(pieces, list))))
-        for pieces in cut:
-            known = isinstance(pieces, list)
-            packed = b"".join(map(self._packed.__getitem__, pieces)) if known else self._encode(pieces)
-            yield np.frombuffer(packed + self._end, self.kind)
+        known, cut, new = self._known.get, [], set()
+        for text in texts:
+            # Beyond Latin script the tokenizer may know other classes of characters than the splitter.
+            pieces = self._split(text) if is_latin(text) else None
+            packed = [self._ids(text).tobytes()] if pieces is None else list(map(known, pieces))
+            absent = [] if pieces is None else [(i, p) for i, p in enumerate(pieces) if packed[i] is None]
+            new.update(p for _, p in absent)
+            cut.append((packed, absent))
+        found = self._learn(new)
+        for packed, absent in cut:
+            for i, piece in absent:
+                packed[i] = found[piece]
+            yield np.frombuffer(b"".join(packed) + self._end, self.kind)
 
 
 @functools.lru_cache(maxsize=2)
