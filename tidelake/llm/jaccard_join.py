@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidelake.llm.graph import components
 from tidelake.llm.shingles import shingle_sets
-from tidelake.llm.tables import keyed, written
+from tidelake.llm.tables import keyed, probable, sieve, written
 
 # Similarity of 0.8 in whole numbers: 100 * shared >= 80 * (a + b - shared).
 SHARE, OF = 4, 5
@@ -168,20 +168,17 @@ class Order:
 # What a row of a shingle says of its class: that it is alone with it in its task, that
 # it stands for several of its task, or that it is known to share it.
 _ALONE, _SEVERAL, _SHARED = 0, 1, 2
-_ROW = {"shingle": pa.int64(), "class": pa.int64(), "state": pa.int8(), "spread": pa.int64()}
-_ROW_KIND = "shingle long, class long, state byte, spread long"
+_ROW = {"shingle": pa.int64(), "class": pa.int64(), "state": pa.int8()}
+_ROW_KIND = "shingle long, class long, state byte"
 
 
-def _rows(shingle: np.ndarray, owner: np.ndarray, state, spread: np.ndarray) -> pa.RecordBatch:
+def _rows(shingle: np.ndarray, owner: np.ndarray, state) -> pa.RecordBatch:
     state = np.broadcast_to(np.asarray(state, np.int8), shingle.shape)
-    return _table(_ROW, **{"shingle": shingle, "class": owner, "state": state, "spread": spread})
+    return _table(_ROW, **{"shingle": shingle, "class": owner, "state": state})
 
 
 def _combined(shingles: list[np.ndarray], classes: list[int]) -> Iterator[pa.RecordBatch]:
-    """The rows of a task: one for each shingle, and one for each class that shares it here.
-
-    The latter are spread by class, so that no shingle brings many rows to one place.
-    """
+    """The rows of a task: one for each shingle, and one for each class that shares it here."""
     shingle = np.concatenate(shingles).view(np.int64)
     owner = np.repeat(np.array(classes, np.int64), [len(s) for s in shingles])
     order = np.lexsort((owner, shingle))
@@ -189,10 +186,10 @@ def _combined(shingles: list[np.ndarray], classes: list[int]) -> Iterator[pa.Rec
     opens = np.r_[True, shingle[1:] != shingle[:-1]]
     first = np.flatnonzero(opens)
     several = np.diff(np.r_[first, len(shingle)]) > 1
-    yield _rows(shingle[first], owner[first], several, shingle[first])
+    yield _rows(shingle[first], owner[first], several)
     shared = several[np.cumsum(opens) - 1]
     if shared.any():
-        yield _rows(shingle[shared], owner[shared], _SHARED, owner[shared])
+        yield _rows(shingle[shared], owner[shared], _SHARED)
 
 
 def _shared_across(shingle: np.ndarray, owner: np.ndarray, state: np.ndarray) -> pa.RecordBatch:
@@ -202,7 +199,7 @@ def _shared_across(shingle: np.ndarray, owner: np.ndarray, state: np.ndarray) ->
     other = np.r_[False, ~opens[1:] & (owner[1:] != owner[:-1])]
     met = np.bincount(of, other | (state == _SEVERAL)) > 0
     kept = met[of] & (state == _ALONE)
-    return _rows(shingle[kept], owner[kept], _SHARED, owner[kept])
+    return _rows(shingle[kept], owner[kept], _SHARED)
 
 
 def shared_rows(documents: DataFrame, heavy: np.ndarray) -> DataFrame:
@@ -244,7 +241,9 @@ def shared_rows(documents: DataFrame, heavy: np.ndarray) -> DataFrame:
 
     partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = documents.mapInArrow(prefixes, _ROW_KIND)
-    by_shingle = rows.repartition(partitions, "spread").sortWithinPartitions("shingle", "class")
+    # Rows known to be shared go by class, so that no shingle brings many rows to one place.
+    spread = F.when(F.col("state") == _SHARED, F.col("class")).otherwise(F.col("shingle"))
+    by_shingle = rows.repartition(partitions, spread).sortWithinPartitions("shingle", "class")
     return by_shingle.mapInArrow(runs, _ROW_KIND).select("shingle", "class").distinct()
 
 
@@ -383,23 +382,30 @@ def _joined(units: DataFrame) -> DataFrame:
 
 
 def member_sets(documents: DataFrame, members: DataFrame) -> DataFrame:
-    """group, bucket, part, ..., digest and shingles, computed from one document of each class."""
-    wanted = documents.join(members.withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of")))
-    names = [c for c in members.columns if c != "doc_id"]
-    rows = wanted.select("text", *names)
-    kind = rows.drop("text").schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
+    """``members`` with the shingles of one document of each class.
+
+    A sieve of their ids spares most texts the work and all texts a shuffle.
+    """
+    bits = documents.sparkSession.sparkContext.broadcast(sieve(members.select(F.xxhash64("doc_id").alias("h"))))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            asked, kept, sets = batch.column(batch.schema.get_field_index("digest")).to_pylist(), [], []
-            for i, found in enumerate(_batches_of_sets(batch, 0)):
-                if _digest(found) == asked[i]:  # else a row that repeats the key with another text
-                    kept.append(i)
-                    sets.append(found.tobytes())
-            part = batch.take(pa.array(kept, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(sets, pa.binary())], [*names, "shingles"])
-
-    return rows.mapInArrow(work, f"{kind}, shingles binary").dropDuplicates(["digest"])
+            asked = np.flatnonzero(probable(bits.value, batch.column(2).to_numpy()))
+            for at in range(0, len(asked), 512):
+                part = batch.take(pa.array(asked[at : at + 512]))
+                sets = [found.tobytes() for found in _batches_of_sets(part, 1)]
+                digests = [hashlib.blake2b(s, digest_size=16).digest() for s in sets]
+                yield _table(_SET, of=part.column(0), of_digest=digests, shingles=sets)
+
+    sets = documents.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(
+        work, "of long, of_digest binary, shingles binary"
+    )
+    # Rows that repeat a key with another text have another digest.
+    same = (F.col("digest") == F.col("of_digest")) & F.col("doc_id").eqNullSafe(F.col("of"))
+    return members.join(sets, same).drop("doc_id", "of", "of_digest")
+
+
+_SET = {"of": pa.int64(), "of_digest": pa.binary(), "shingles": pa.binary()}
 
 
 def links(documents: DataFrame, classes: DataFrame, heavy: np.ndarray) -> DataFrame:

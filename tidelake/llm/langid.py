@@ -70,6 +70,8 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     key, count = np.concatenate(keys), np.concatenate(counts)
     order = np.argsort(key, kind="stable")
     key, count = key[order], count[order]
+    if not len(key):
+        return key, count
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     return key[first], np.add.reduceat(count, first)
 
@@ -90,15 +92,19 @@ def count_grams(df: DataFrame) -> DataFrame:
                     size += len(text)
                     if size >= CHUNK_BYTES or at == len(texts) - 1:
                         joined = np.frombuffer(_PAD + _PAD.join(kept), np.uint8)
-                        grams.append(np.unique(_windows(_plain[joined], 8), return_counts=True))
+                        windows = _windows(_plain[joined], 8)
+                        # The bytes between two texts are context only.
+                        between = np.cumsum([len(t) + ORDER for t in kept[:-1]], dtype=np.int64) - ORDER
+                        windows = np.delete(windows, (between[:, None] + np.arange(ORDER)).ravel())
+                        grams.append(np.unique(windows, return_counts=True))
                         size, kept = 0, []
                 if language in found:
                     grams.append(found[language])
                 found[language] = _summed([g for g, _ in grams], [n for _, n in grams])
         for language, (gram, n) in found.items():
+            names = pa.array([language] * len(gram), pa.string())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([language] * len(gram)), pa.array(gram.astype(np.int64)), pa.array(n.astype(np.int64))],
-                ["lang", "gram", "n"],
+                [names, pa.array(gram.astype(np.int64)), pa.array(n.astype(np.int64))], ["lang", "gram", "n"]
             )
 
     counted = df.select("lang", "text").mapInArrow(work, "lang string, gram long, n long")

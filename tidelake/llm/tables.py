@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -30,6 +31,34 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Bits of a sieve: 8 MB, whatever the number of keys.
+SIEVE_BITS = 1 << 26
+
+
+def sieve(hashes: DataFrame) -> np.ndarray:
+    """A bit for each remainder of the one column of 64-bit hashes, for `probable`.
+
+    A fixed size bounds what is collected; with too many keys it lets more rows through,
+    so that an exact join has to follow.
+    """
+    [name] = hashes.columns
+    bit = F.pmod(F.col(name), F.lit(SIEVE_BITS)) + 1
+    pages = hashes.groupBy(F.bitmap_bucket_number(bit).alias("page")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")
+    )
+    found = np.zeros(SIEVE_BITS // 8, np.uint8)
+    for row in pages.collect():
+        part = np.frombuffer(row["bits"], np.uint8)
+        found[(row["page"] - 1) * len(part) : row["page"] * len(part)] = part
+    return found
+
+
+def probable(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """False only where no key had this hash."""
+    bit = hashes % SIEVE_BITS
+    return bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 > 0
+
+
 def texts(column: pa.Array) -> Iterator[str]:
     """The texts of an Arrow column one by one; null is empty."""
     for value in column:
