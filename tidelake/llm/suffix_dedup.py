@@ -25,6 +25,7 @@ than key and text are left out.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,13 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidelake.llm.shingles import mix
-from tidelake.llm.tables import keyed, written
+from tidelake.llm.tables import keyed, probable, sieve, written
 
 LENGTH = 400
 ANCHOR = 32  # bytes
 LEFT = LENGTH - ANCHOR
 SHALLOW = 64  # bytes, in chunks of 4
-GROUP = 2048
+GROUP = 16_384  # anchors in one task, some 16 MB
 SEGMENT = 1 << 19  # bytes of a long text at a time
 
 _CHUNK = 4
@@ -236,14 +237,16 @@ def _scan_text(digest: bytes, text: bytes) -> Iterator[tuple]:
                 yield None, digest, place - len(context[0]), place + len(context[1])
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scan(bits, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of the texts whose place is in the sieve: of equal texts, as a rule, one."""
     seen: set[bytes] = set()
     for batch in batches:
         rows = []
-        for digest, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        for i in np.flatnonzero(probable(bits.value, batch.column(2).to_numpy())).tolist():
+            digest = batch.column(0)[i].as_py()
             if digest not in seen:  # equal texts of a task give the same rows
                 seen.add(digest)
-                rows.extend(_scan_text(digest, text.as_buffer().to_pybytes()))
+                rows.extend(_scan_text(digest, batch.column(1)[i].as_buffer().to_pybytes()))
             if len(rows) > 100_000:
                 yield _batch(_SCAN, rows)
                 rows = []
@@ -273,11 +276,11 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(_MEMBER, rows)
 
 
-_MATCH = {"digest": pa.binary(), "start": pa.int64(), "end": pa.int64(), "key": pa.int64(), "string": pa.int64()}
-_MATCH_KIND = "digest binary, start long, end long, key long, string long"
+_MATCH = {"digest": pa.binary(), "start": pa.int64(), "end": pa.int64(), "string": pa.int64()}
+_MATCH_KIND = "digest binary, start long, end long, string long"
 
 
-def _open_strings(key: int, member: tuple, ranges: list[tuple[int, int]]) -> Iterator[tuple]:
+def _open_strings(member: tuple, ranges: list[tuple[int, int]]) -> Iterator[tuple]:
     """The strings of an anchor that have no match in its part, by hash."""
     digest, at, left, right = member
     text = np.frombuffer(left[::-1] + right, np.uint8)
@@ -288,10 +291,10 @@ def _open_strings(key: int, member: tuple, ranges: list[tuple[int, int]]) -> Ite
     begin = at - len(left)
     for i, string in enumerate(strings[: len(left) + 1]):
         if begin + i not in closed:
-            yield digest, begin + i, begin + i + LENGTH, key, string
+            yield digest, begin + i, None, string
 
 
-def _match_group(key: int, split: bool, members: list[tuple]) -> Iterator[tuple]:
+def _match_group(split: bool, members: list[tuple]) -> Iterator[tuple]:
     if len(members) > 1:
         found = matches([m[2] for m in members], [m[3] for m in members])
     else:
@@ -299,9 +302,9 @@ def _match_group(key: int, split: bool, members: list[tuple]) -> Iterator[tuple]
     for member, ranges in zip(members, found, strict=True):
         digest, at = member[:2]
         for least, most in ranges:
-            yield digest, at - most, at - least + LENGTH, None, None
+            yield digest, at - most, at - least + LENGTH, None
         if split:
-            yield from _open_strings(key, member, ranges)
+            yield from _open_strings(member, ranges)
 
 
 def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,14 +315,14 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, part, split, *member in zip(*columns, strict=True):
             if (key, part, split) != group:
                 if members:
-                    rows.extend(_match_group(group[0], group[2], members))
+                    rows.extend(_match_group(group[2], members))
                 group, members = (key, part, split), []
             members.append(tuple(member))
             if len(rows) > 50_000:
                 yield _batch(_MATCH, rows)
                 rows = []
     if members:
-        rows.extend(_match_group(group[0], group[2], members))
+        rows.extend(_match_group(group[2], members))
     yield _batch(_MATCH, rows)
 
 
@@ -328,11 +331,16 @@ def covered(documents: DataFrame) -> DataFrame:
 
     ``documents``: doc_id, text (not null), digest.
     """
-    partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = documents.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = documents.groupBy("digest").agg(F.min("doc_id").alias("of"), F.count(F.lit(1)).alias("copies"))
     texts = written(texts, "texts")
-    long_enough = documents.filter(F.octet_length("text") >= LENGTH)
-    scanned = written(long_enough.select("digest", "text").mapInArrow(_scan, _SCAN_KIND), "anchors")
+    # Of equal texts the one of the least key is looked at.
+    one = spark.sparkContext.broadcast(sieve(texts.select(F.xxhash64("digest", "of").alias("h"))))
+    long_enough = documents.filter(F.octet_length("text") >= LENGTH).select(
+        "digest", "text", F.xxhash64("digest", "doc_id").alias("h")
+    )
+    scanned = written(long_enough.mapInArrow(functools.partial(_scan, one), _SCAN_KIND), "anchors")
     found = scanned.filter("key is not null").select("key", "digest", "start")
     place = F.struct("digest", "start")
     repeated = (
@@ -341,38 +349,44 @@ def covered(documents: DataFrame) -> DataFrame:
         .filter("a <> b")
         .select("key", F.ceil(F.col("n") / GROUP).cast("int").alias("parts"))
     )
-    members = (
+    members = written(
         found.join(repeated, "key")
         .distinct()
         .withColumn("part", F.pmod(F.xxhash64("digest", "start"), F.col("parts")).cast("int"))
         .groupBy("digest")
         .agg(F.collect_list(F.struct("key", "start", "part", (F.col("parts") > 1).alias("split"))).alias("anchors"))
         .join(texts.select("digest", "of"), "digest")
-        .withColumnRenamed("digest", "wanted")
+        .select(F.col("digest").alias("wanted"), F.xxhash64("digest", "of").alias("wanted_h"), "anchors"),
+        "members",
     )
+    some = spark.sparkContext.broadcast(sieve(members.select("wanted_h")))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What the sieve lets through, so that few texts are shuffled."""
+        for batch in batches:
+            yield batch.filter(pa.array(probable(some.value, batch.column(2).to_numpy())))
+
+    picked = long_enough.mapInArrow(pick, "digest binary, text string, h long")
     matched = written(
-        long_enough.join(members, (F.col("digest") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("of")))
+        picked.join(members, (F.col("digest") == F.col("wanted")) & (F.col("h") == F.col("wanted_h")))
+        .dropDuplicates(["digest", "h"])  # rows that repeat a key and a text
         .select("digest", "text", "anchors")
         .mapInArrow(_contexts, _MEMBER_KIND)
-        .dropDuplicates(["key", "digest", "at"])  # rows that repeat a key and a text
         .repartition(partitions, "key", "part")
         .sortWithinPartitions("key", "part")
         .mapInArrow(_match, _MATCH_KIND),
         "matches",
     )
-    strings = matched.filter("string is not null")
+    strings = matched.filter("string is not null").select("digest", "start", "string")
     position = F.struct("digest", "start")
     again = (
-        strings.groupBy("key", "string")
-        .agg(F.min(position).alias("a"), F.max(position).alias("b"))
-        .filter("a <> b")
-        .select("key", "string")
+        strings.groupBy("string").agg(F.min(position).alias("a"), F.max(position).alias("b")).filter("a <> b").select("string")
     )
     spans = (
         scanned.filter("key is null")
         .select("digest", "start", "end")
         .union(matched.filter("string is null").select("digest", "start", "end"))
-        .union(strings.join(again, ["key", "string"]).select("digest", "start", "end"))
+        .union(strings.join(again, "string", "left_semi").select("digest", "start", F.col("start") + LENGTH))
         .distinct()
         .groupBy("digest")
         .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
