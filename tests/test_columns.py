@@ -63,20 +63,38 @@ def test_snake_names(spark):
 
 
 def test_short_dates(spark):
-    texts = ["6/13/74", "5/10/13", "12/1/69", "12/1/70", "2/29/00", "2/30/01", "13/1/01", "1974-06-13", "x", None]
+    texts = ["3/2/88", "11/30/07", "12/1/24", "12/1/25", "2/29/00", "2/30/01", "13/1/01", "1988-03-02", "x", None, "03/02/1988", "1/1/198"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [r.d for r in df.select(short_date(F.col("t")).alias("d")).collect()] == [
-        D(1974, 6, 13), D(2013, 5, 10), D(2069, 12, 1), D(1970, 12, 1), D(2000, 2, 29),
-        None, None, None, None, None,
+        D(1988, 3, 2), D(2007, 11, 30), D(2024, 12, 1), D(1925, 12, 1), D(2000, 2, 29),
+        None, None, None, None, None, D(1988, 3, 2), None,
     ]
     early = df.select(short_date(F.col("t"), cut=0).alias("d")).collect()
-    assert early[1].d == D(1913, 5, 10)
+    assert early[1].d == D(1907, 11, 30)
     assert early[4].d is None  # 1900 had no 29 February
 
 
-def test_birth_date_takes_both_forms(spark):
-    df = spark.createDataFrame([("1974-06-13",), ("6/13/74",), (" 6/13/74 ",), ("13.6.74",)], "t string")
-    assert [r.d for r in df.select(birth_date(F.col("t")).alias("d")).collect()] == [D(1974, 6, 13)] * 3 + [None]
+def test_birth_date_takes_whole_dates_only(spark):
+    whole = ["1988-03-02", "3/2/88", " 3/2/88 ", "03/02/1988", "1988-03-02 10:11:12", "1988-03-02T10:11"]
+    wrong = ["2.3.88", "1988", "1988-3", "12345", "1988-03-02 xyz", "1988-02-30", "", " ", None]
+    df = spark.createDataFrame([(t,) for t in whole + wrong], "t string")
+    found = [r.d for r in df.select(birth_date(F.col("t")).alias("d")).collect()]
+    assert found == [D(1988, 3, 2)] * len(whole) + [None] * len(wrong)
+
+
+def test_no_birth_date_lies_in_the_future(spark):
+    df = spark.range(100).select(F.format_string("1/1/%02d", F.col("id")).alias("t"))
+    assert max(r.d for r in df.select(birth_date(F.col("t")).alias("d")).collect()) < D.today()
+
+
+def test_dates_are_found_in_any_case(spark):
+    df = spark.createDataFrame([("2024-01-02 03:04:05",)], "Rental_Date string")
+    assert cast_to_date(df, "rental_date").first()[0] == D(2024, 1, 2)
+
+
+def test_wrong_identifiers_are_null(spark):
+    df = spark.createDataFrame([("",), ("  ",), ("N/A",), ("12-3",), (" 12 ",)], "t string")
+    assert [r[0] for r in df.select(identifier(F.col("t"))).collect()] == [None] * 4 + ["000000012"]
 
 
 def test_identifier_gets_its_zeros_back_and_is_never_cut(spark):

@@ -10,7 +10,6 @@ from tidelake.plans.patient_finder import (
     birth_date_growth,
     find_conflicts,
     find_matches,
-    find_same_birth_date,
     write_report,
 )
 
@@ -19,17 +18,23 @@ D = datetime.date
 
 @pytest.fixture
 def files(spark):
-    """Extract and master in their raw forms; invented people."""
+    """Extract and master in their raw forms; people, numbers and days are invented.
+
+    Of the shape of the recorded case: one match by birth date, two by identifier,
+    and one of these in conflict, a two-digit year read a century apart.
+    """
     extract = spark.createDataFrame(
-        [("1974-06-13", "40652095"), ("1913-10-13", "381347399"), ("1950-08-23", "890105302"), ("1960-01-01", None)],
+        [("1988-03-02", "1000007"), ("1907-11-30", "700000021"), ("1990-07-07", "800000005"), ("1961-02-03", None), ("1990", " ")],
         "DOB string, ssn string",
     )
     master = spark.createDataFrame(
         [
-            (1, "Ann", "Lee", "6/13/74", "040652095"),
-            (2, "Bob", "Ray", "5/10/13", "381347399"),
-            (3, "Cy", "Poe", "1/1/60", None),
-            (4, "Di", "Fox", "8/24/50", "111111111"),
+            (1, "Ann", "Lee", "3/2/88", "001000007"),
+            (2, "Bob", "Ray", "11/30/07", "700000021"),
+            (3, "Cy", "Poe", "2/4/61", None),
+            (4, "Di", "Fox", "7/8/90", "900000001"),
+            (5, "Ed", "Orr", "", ""),
+            (6, "Flo", "Kay", "1990-7", "N/A"),
         ],
         "id int, `First Name` string, `Last Name` string, DOB string, SSN string",
     )
@@ -40,27 +45,31 @@ def test_finder_matches_after_normalising(files, rows):
     matches = find_matches(*files)
     assert matches.columns == [".dob", ".ssn", "id", "first_name", "last_name", "dob", "ssn"]
     assert [(r[0], r[2], r[5]) for r in rows(matches)] == [
-        (D(1913, 10, 13), 2, D(2013, 5, 10)), (D(1974, 6, 13), 1, D(1974, 6, 13))
+        (D(1907, 11, 30), 2, D(2007, 11, 30)), (D(1988, 3, 2), 1, D(1988, 3, 2))
     ]
 
 
 def test_finder_conflict_carries_both_dates(files):
     (row,) = find_conflicts(*files).collect()
-    assert (row["id"], row[".dob"], row["dob"]) == (2, D(1913, 10, 13), D(2013, 5, 10))
+    assert (row["id"], row[".dob"], row["dob"]) == (2, D(1907, 11, 30), D(2007, 11, 30))
 
 
-def test_finder_pairs_by_birth_date(files, rows):
-    pairs = find_same_birth_date(*files, cut=50)  # 1/1/60 is 1960
-    assert [(r[1], r[2]) for r in rows(pairs)] == [(None, 3), ("040652095", 1)]
-    assert rows(birth_date_growth(*files, cut=50).selectExpr("key", "cast(pairs as int)")) == [
-        (D(1960, 1, 1), 1), (D(1974, 6, 13), 1)
-    ]
+def test_the_recorded_counts_hold_for_invented_rows(files):
+    by_day = birth_date_growth(*files).selectExpr("key", "cast(pairs as int)").collect()
+    assert [tuple(r) for r in by_day] == [(D(1988, 3, 2), 1)]
+    assert (len(by_day), find_matches(*files).count(), find_conflicts(*files).count()) == (1, 2, 1)
+
+
+def test_blank_and_wrong_identifiers_match_nothing(spark):
+    extract = spark.createDataFrame([("1988-03-02", s) for s in ("", "  ", "N/A", None, "12-3")], "DOB string, ssn string")
+    master = extract.withColumnRenamed("ssn", "SSN")
+    assert find_matches(extract, master).count() == 0
 
 
 def test_finder_report_from_files(spark, tmp_path, rows):
-    (tmp_path / "e.csv").write_bytes("\ufeffDOB,ssn\n1974-06-13,40652095\n1913-10-13,381347399\n".encode())
+    (tmp_path / "e.csv").write_bytes("\ufeffDOB,ssn\n1988-03-02,1000007\n1907-11-30,700000021\n".encode())
     (tmp_path / "m.csv").write_bytes(
-        "\ufeffFirst Name,Last Name,DOB,SSN\nAnn,Lee,6/13/74,40652095\nBob,Ray,5/10/13,381347399\n".encode()
+        "\ufeffFirst Name,Last Name,DOB,SSN\nAnn,Lee,3/2/88,1000007\nBob,Ray,11/30/07,700000021\n".encode()
     )
     write_report(spark, str(tmp_path / "e.csv"), str(tmp_path / "m.csv"), str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out/by_ssn")).count() == 2

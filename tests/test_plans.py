@@ -9,7 +9,7 @@ import pytest
 from tests.conftest import SMALL
 from tidelake.queries import arrivals, matching, rental, reshape
 
-WRITING = {"next_key", "incremental_files", "stream_drain", "stream_parse", "stream_manifest", "stream_gate"}
+WRITING = {"next_key", "incremental_files", "stream_drain", "stream_parse", "stream_manifest", "stream_gate", "wait_for_all"}
 READING = {
     name: query
     for family in (rental, matching, reshape, arrivals)

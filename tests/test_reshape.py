@@ -20,10 +20,30 @@ def test_pivot_takes_the_maximum_and_fills_zero(long, rows):
     assert rows(wide) == [("x", 7, -2, 0), ("y", 0, 0, 4), ("z", 0, 0, 0)]
 
 
-def test_both_pivot_plans_agree(long, rows, monkeypatch):
-    narrow = rows(reshape.pivot_max(long, "a", "major", "cnt", ["m3", "m1", "m9"]))
-    monkeypatch.setattr(reshape, "_NARROW", 0)
-    assert rows(reshape.pivot_max(long, "a", "major", "cnt", ["m3", "m1", "m9"])) == narrow
+def test_pivot_with_awkward_names(spark, rows):
+    names = ["v1.2", "Click", "click", "a", "a`b", "A"]
+    df = spark.createDataFrame([("k", i, n) for i, n in enumerate(names)], "a string, `c.nt` long, major string")
+    wide = reshape.pivot_max(df, "a", "major", "c.nt", names)
+    assert wide.columns == ["a", "v1.2", "Click", "click_2", "a_2", "a`b", "A_3"]
+    assert rows(wide) == [("k", 0, 1, 2, 3, 4, 5)]
+    assert [r[0] for r in reshape.pivot_max(df, "a", "major", "c.nt", []).collect()] == ["k"]
+
+
+def test_wide_pivots_have_the_same_plan(spark, rows):
+    df = spark.range(300).selectExpr("id % 3 as k", "concat('v', id % 120) as c", "id as n")
+    values = [f"v{i}" for i in range(120)]
+    (first, *_) = rows(reshape.pivot_max(df, "k", "c", "n", values))
+    assert first[0] == 0 and first[1:5] == (240, 0, 0, 243)
+
+
+def test_pivot_keeps_what_is_no_number(spark):
+    df = spark.createDataFrame([("k", float("nan"), "x"), ("k", 1.0, "x")], "a string, n double, c string")
+    assert str(reshape.pivot_max(df, "a", "c", "n").first()["x"]) == "nan"
+
+
+def test_group_max_of_a_dotted_name(spark, rows):
+    df = spark.createDataFrame([(1, 5), (1, 7)], "`k.x` int, `a.b` int")
+    assert rows(reshape.group_max(df, "k.x", ["a.b"])) == [(1, 7)]
 
 
 def test_pivot_values_are_sorted_without_null(long, spark):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import json
 from pathlib import Path
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidelake.sinks import tables as ddl
 from tidelake.sinks.partitioned import compact, write_partitioned
-from tidelake.sinks.text import partition_lines, write_partition_lines
+from tidelake.sinks.text import line_values, partition_lines, write_partition_lines
 from tidelake.sources.files import read_csv
 
 SCHEMA = "id int, amount decimal(10,2), store_id int, rental_dt string"
@@ -140,14 +141,25 @@ def test_insert_by_name_fills_missing_columns(spark, tmp_path, rows):
 
 def test_partition_lines_are_in_order_whole_and_bounded(spark):
     df = spark.range(0, 25, numPartitions=2)
-    lines = {(r.partition, r.part): r.line for r in partition_lines(df, F.col("id"), per_line=5).collect()}
-    assert lines[(0, 0)] == "0,1,2,3,4"
-    assert lines[(0, 2)] == "10,11"
-    assert lines[(1, 0)] == "12,13,14,15,16"
-    assert sorted(int(v) for line in lines.values() for v in line.split(",")) == list(range(25))
-
-
-def test_partition_lines_as_text(spark, tmp_path):
-    df = spark.createDataFrame([("x",), (None,), ("z",)], "v string").coalesce(1)
-    write_partition_lines(df, F.col("v"), str(tmp_path / "out"))
-    assert [r.value for r in spark.read.text(str(tmp_path / "out")).collect()] == ["x,null,z"]
+    lines = {(r.partition, r.part): json.loads(r.line) for r in partition_lines(df, F.col("id"), per_line=5).collect()}
+    assert lines[(0, 0)] == ["0", "1", "2", "3", "4"]
+    assert lines[(0, 2)] == ["10", "11"]
+    assert lines[(1, 0)] == ["12", "13", "14", "15", "16"]
+    assert sorted(int(v) for line in lines.values() for v in line) == list(range(25))
+
+
+def test_any_text_survives_partition_lines(spark, tmp_path):
+    texts = ["x", None, "null", "Lee, Ann", "two\nlines", 'a "quote"', "back\\slash", "", "é"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string").coalesce(1)
+    write_partition_lines(df, F.col("v"), str(tmp_path / "out"), per_line=4)
+    lines = spark.read.text(str(tmp_path / "out"))
+    assert lines.count() == 3
+    back = [r[0] for r in lines.select(F.explode(line_values(F.col("value")))).collect()]
+    assert sorted(map(str, back)) == sorted(map(str, texts)) and back.count(None) == 1
+
+
+def test_jdbc_tables_are_declared_with_their_options():
+    text = ddl.jdbc_ddl("db.t", "jdbc:x://h/d?q='1'", "public.people", user="me")
+    assert text == (
+        "CREATE TABLE `db`.`t` USING jdbc OPTIONS (`url` 'jdbc:x://h/d?q=\\'1\\'', `dbtable` 'public.people', `user` 'me')"
+    )

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime
 import json
+import os
 from pathlib import Path
 
 import pytest
@@ -9,7 +10,7 @@ import pytest
 from tidelake.functions.notifications import parse_notifications
 from tidelake.operators.arrivals import arrival_gate, manifest_latest
 from tidelake.operators.filters import route_prefix
-from tidelake.plans.arrivals import drain_and_build
+from tidelake.plans.arrivals import drain_and_build, drain_and_open
 from tidelake.streaming.drain import drain_aggregate, drain_to_table, latest_rows, read_new_files
 
 MESSAGES = "seq long, body string"
@@ -46,6 +47,22 @@ def test_only_new_files_are_added(spark, box):
     assert drain() == [1, 2, 3]
 
 
+def test_old_files_are_read(spark, box):
+    schema = schema_of(spark, MESSAGES)
+
+    def drain():
+        drain_to_table(read_new_files(spark, box["inbox"], schema), box["table"], box["checkpoint"])
+        return sorted(r.seq for r in spark.read.parquet(box["table"]).collect())
+
+    post(spark, box["inbox"], [(1, "new")])
+    assert drain() == [1]
+    known = set(Path(box["inbox"]).glob("part-*"))
+    post(spark, box["inbox"], [(2, "copied with its time")])
+    for part in set(Path(box["inbox"]).glob("part-*")) - known:
+        os.utime(part, (1_000_000_000, 1_000_000_000))
+    assert drain() == [1, 2]
+
+
 def test_manifest_follows_later_files(spark, box, rows):
     schema = schema_of(spark, MESSAGES)
 
@@ -54,8 +71,8 @@ def test_manifest_follows_later_files(spark, box, rows):
         latest = manifest_latest(
             route_prefix(keys, {"r/": "rental", "p/": "payment"}), ["rental", "payment"], ["seq", "record_no"]
         )
-        drain_aggregate(latest, box["table"], box["checkpoint"])
-        return rows(latest_rows(spark, box["table"], ["role"], latest.schema))
+        drain_aggregate(latest, box["table"], box["checkpoint"], ["role"])
+        return rows(latest_rows(spark, box["table"], latest.schema))
 
     Path(box["inbox"]).mkdir()
     assert manifest() == []
@@ -74,8 +91,9 @@ def test_gate_opens_across_runs(spark, box, rows):
     def gate():
         arrived = read_new_files(spark, box["inbox"], schema, files_per_batch=1)
         ready = arrival_gate(arrived, "batch", "source", "ts", ["a", "b"])
-        drain_aggregate(ready, box["table"], box["checkpoint"])
-        return rows(latest_rows(spark, box["table"], ["batch"], ready.schema))
+        drain_aggregate(ready, box["table"], box["checkpoint"], ["batch"])
+        assert len(list(Path(box["table"]).glob("epoch=*"))) == 2  # the last one and the empty one
+        return rows(latest_rows(spark, box["table"], ready.schema))
 
     post(spark, box["inbox"], [("x", "a", day), ("y", "a", day)], text)
     post(spark, box["inbox"], [("x", "b", day.replace(hour=5))], text)
@@ -92,8 +110,8 @@ def test_leftovers_of_a_failed_run_do_not_count(spark, box, rows):
     stale.write.parquet(f"{box['table']}/epoch=0")
     post(spark, box["inbox"], [("x", "a", day)], text)
     ready = arrival_gate(read_new_files(spark, box["inbox"], schema), "batch", "source", "ts", ["a"])
-    drain_aggregate(ready, box["table"], box["checkpoint"])
-    assert rows(latest_rows(spark, box["table"], ["batch"], ready.schema)) == [("x", day)]
+    drain_aggregate(ready, box["table"], box["checkpoint"], ["batch"])
+    assert rows(latest_rows(spark, box["table"], ready.schema)) == [("x", day)]
 
     appended = box["table"] + "-appended"
     drain_to_table(read_new_files(spark, box["inbox"], schema), appended, box["checkpoint"] + "-appended")
@@ -141,7 +159,7 @@ def test_mart_is_built_only_for_a_complete_manifest(spark, box, tmp_path, rows):
     assert rows(spark.read.parquet(box["state"] + "/malformed")) == [(9, "no json")]
     post(spark, box["inbox"], [(3, body("in/rental/new.csv")), (4, body("in/payment/f.csv"))])
     assert run() is True
-    assert run() is True  # nothing new: the same mart again, without duplicates
+    assert run() is False  # nothing new
     mart = spark.read.schema(
         "rental_date string, payment_date string, amount string, store_id string, rental_dt string"
     ).parquet(box["mart"])
@@ -150,3 +168,53 @@ def test_mart_is_built_only_for_a_complete_manifest(spark, box, tmp_path, rows):
         ("2007-02-14", "2007-02-16", "0.99", "1", "2007-02-14"),
     ]
     assert (tmp_path / "mart/store_id=1/rental_dt=2007-02-14").is_dir()
+
+
+def event(name, key):
+    return json.dumps({"Records": [{"eventName": name, "s3": {"object": {"key": key}}}]})
+
+
+def test_builds_do_not_mix_and_are_tried_again(spark, box, tmp_path, rows):
+    for role, header, line in (
+        ("rental", "rental_id,customer_id,rental_date", "1,5,2007-02-14"),
+        ("payment", "rental_id,payment_date,amount", "1,2007-02-15,5.99"),
+        ("customer", "customer_id,store_id", "5,1"),
+    ):
+        (tmp_path / "in" / role).mkdir(parents=True)
+        (tmp_path / f"in/{role}/a.csv").write_text(f"{header}\n{line}\n")
+    schema = schema_of(spark, MESSAGES)
+
+    def run():
+        stream = read_new_files(spark, box["inbox"], schema)
+        return drain_and_build(spark, stream, ROUTES, ["seq"], box["state"], str(tmp_path), box["mart"])
+
+    post(spark, box["inbox"], [(1, body("in/rental/a.csv", "in/payment/missing.csv", "in/customer/a.csv"))])
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        run()
+    (tmp_path / "in/payment/missing.csv").write_text("rental_id,payment_date,amount\n1,2007-02-15,1.00\n")
+    assert run() is True  # the failed build again
+    post(spark, box["inbox"], [(2, body("in/rental/a.csv"))])
+    assert run() is False  # a rental alone is not joined with old payments
+    post(spark, box["inbox"], [(3, event("ObjectRemoved:Delete", "in/payment/a.csv"))])
+    assert run() is False  # a removal brings no file
+    post(spark, box["inbox"], [(4, body("in/payment/a.csv", "in/customer/a.csv"))])
+    assert run() is True
+    assert [r.amount for r in spark.read.parquet(box["mart"]).collect()] == ["5.99"]
+    assert spark.read.parquet(box["state"] + "/built").count() == 2
+
+
+def test_batches_are_opened_once(spark, box, rows):
+    text = "batch string, source string, ts timestamp_ntz"
+    schema, day = schema_of(spark, text), datetime.datetime(2024, 1, 1)
+
+    def run():
+        stream = read_new_files(spark, box["inbox"], schema)
+        return [rows(df) for df in drain_and_open(spark, stream, box["state"], ["a", "b"])]
+
+    Path(box["inbox"]).mkdir()
+    assert run() == [[], []]
+    post(spark, box["inbox"], [("x", "a", day), ("x", "b", day), ("y", "a", day), (None, "b", day)], text)
+    assert run() == [[("x", day)], [(None, "a"), ("y", "b")]]
+    post(spark, box["inbox"], [("y", "b", day), ("x", "a", day)], text)
+    assert run() == [[("y", day)], [(None, "a")]]
+    assert run() == [[], [(None, "a")]]

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
-from tidelake.operators.surrogate_keys import next_keys, number_rows
+from tidelake.operators.surrogate_keys import insert_with_keys, next_keys, number_rows
+from tidelake.session import shared_folder
 
 
 def test_numbers_are_consecutive_and_in_order(spark):
@@ -23,3 +26,15 @@ def test_next_keys_follow_the_greatest(spark):
     assert sorted(r.id for r in next_keys(existing, "id", batch, ["name"]).collect()) == [10, 11]
     assert sorted(r.id for r in next_keys(existing.limit(0), "id", batch, ["name"]).collect()) == [1, 2]
     assert next_keys(existing, "id", batch.limit(0), ["name"]).count() == 0
+
+
+def test_the_mark_spares_the_scan_and_no_copy_stays(spark, tmp_path):
+    existing = spark.createDataFrame([(5,), (9,)], "id long")
+    mark, given = str(tmp_path / "mark"), []
+    copies = Path(shared_folder(spark).removeprefix("file:")) / "tidelake"
+    before = set(copies.glob("numbered-*"))
+    for names in (["x", "y"], ["z"]):
+        batch = spark.createDataFrame([(n,) for n in names], "name string")
+        insert_with_keys(existing, "id", batch, ["name"], lambda rows: given.extend(r.id for r in rows.collect()), mark)
+    assert sorted(given) == [10, 11, 12]
+    assert set(copies.glob("numbered-*")) == before

@@ -12,13 +12,21 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_name(name: str, *tables: DataFrame) -> str:
+    """``name``, with underscores until no column of the tables is called that, in any case."""
+    taken = {column.lower() for table in tables for column in table.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def day_of(df: DataFrame, name: str) -> Column:
-    """Date part of a column; text that is no date gives null.
+    """Date part of a column, named in any case; text that is no date gives null.
 
     A plain cast is kept for typed columns, so that a comparison with a day
     becomes a range on the raw column and reaches the Parquet reader.
     """
-    if isinstance(df.schema[name].dataType, T.StringType):
+    if isinstance(df.select(quoted(name)).schema[0].dataType, T.StringType):
         return quoted(name).try_cast("date")
     return quoted(name).cast("date")
 
@@ -45,8 +53,8 @@ def value_where(column: Column, match, value: Column, name: str) -> Column:
 
 def spread(df: DataFrame, keep: Iterable[str], column: str, values: Iterable[str], value: str) -> DataFrame:
     """One conditional column per listed value, next to the kept columns."""
-    wide = [value_where(F.col(column), v, F.col(value), str(v)) for v in values]
-    return df.select(*keep, *wide)
+    wide = [value_where(quoted(column), v, quoted(value), str(v)) for v in values]
+    return df.select(*map(quoted, keep), *wide)
 
 
 def result_json(result: Column) -> Column:

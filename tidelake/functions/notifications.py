@@ -50,6 +50,11 @@ def first_record(messages: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
+def created(records: DataFrame) -> DataFrame:
+    """Only the records of files that have come; others, such as removals, start nothing."""
+    return records.filter(F.col("event_name").startswith("ObjectCreated"))
+
+
 def malformed_notifications(messages: DataFrame, body: str = "body") -> DataFrame:
     """Messages whose body holds no record list, kept whole for a later look."""
     return messages.filter(_records(body).isNull())

@@ -13,10 +13,6 @@ from pyspark.sql import DataFrame, functions as F
 AWAITED_EXTRACTS = ("IDR", "MDS", "ECE", "FPVS")
 
 
-def _last_key(order: Sequence[str], key: str) -> Column:
-    return F.struct(*[F.col(name) for name in order], F.col(key).alias("_key"))
-
-
 def manifest_row(routed: DataFrame, roles: Sequence[str], order: Sequence[str], key: str = "key") -> DataFrame:
     """One row with a column per role: the key that came last by ``order``, or null.
 

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
-# Longest list that goes into an IN expression, and largest rule table that is
-# sent to every executor. Both come from the caller's program, not from data.
-IN_LIST_LIMIT = 1_000
-RULE_LIMIT = 100_000
+from tidelake.functions.columns import free_name, quoted
 
 
 def filter_equal(df: DataFrame, **wanted) -> DataFrame:
@@ -22,18 +20,16 @@ def filter_equal(df: DataFrame, **wanted) -> DataFrame:
 def filter_isin(df: DataFrame, column: str, values) -> DataFrame:
     """Rows whose column is one of ``values``: a scalar, a list or a one-column DataFrame.
 
-    A null never matches. Long lists and DataFrames become a semi join, in
-    which a hot value of ``df`` can be split at run time.
+    A null never matches, and values are cast as in any comparison. A list is
+    part of the plan, so values that come from data belong into a DataFrame;
+    that becomes a semi join, in which a hot value of ``df`` can be split at
+    run time.
     """
-    if not isinstance(values, DataFrame):
-        listed = list(values) if isinstance(values, (list, tuple, set, frozenset)) else [values]
-        listed = list(dict.fromkeys(v for v in listed if v is not None))
-        if len(listed) <= IN_LIST_LIMIT:
-            return df.filter(F.col(column).isin(listed))
-        kind = T.StructType([T.StructField("_wanted", df.schema[column].dataType)])
-        values = df.sparkSession.createDataFrame([(v,) for v in listed], kind)
-    wanted = values.toDF("_wanted")
-    return df.join(wanted, F.col(column) == F.col("_wanted"), "left_semi")
+    if isinstance(values, DataFrame):
+        name = free_name("_wanted", df)
+        return df.join(values.toDF(name), quoted(column) == F.col(name), "left_semi")
+    listed = list(values) if isinstance(values, (list, tuple, set, frozenset)) else [values]
+    return df.filter(quoted(column).isin(list(dict.fromkeys(v for v in listed if v is not None))))
 
 
 def contains_value(df: DataFrame, column: str, values) -> bool:
@@ -59,28 +55,29 @@ def unrouted(routed: DataFrame) -> DataFrame:
     return routed.filter(F.col("role").isNull())
 
 
-def _rules(keys: DataFrame, targets) -> DataFrame:
-    """``(_key, target)`` from a mapping (sent to all executors) or a DataFrame."""
+def _rules(keys: DataFrame, targets, name: str) -> DataFrame:
+    """``(name, target)`` from a mapping, which is one value of the plan, or a DataFrame.
+
+    Spark chooses the join by size in either case.
+    """
     if isinstance(targets, DataFrame):
-        return targets.toDF("_key", "target")
-    if len(targets) > RULE_LIMIT:
-        raise ValueError("give a rule table of this size as a DataFrame")
-    rows = keys.sparkSession.createDataFrame(list(targets.items()), "_key string, target string")
-    return F.broadcast(rows)
+        return targets.toDF(name, "target")
+    rules = json.dumps([{"k": key, "v": target} for key, target in targets.items()])
+    listed = F.from_json(F.lit(rules), "array<struct<k:string,v:string>>")
+    return keys.sparkSession.range(1).select(F.inline(listed).alias(name, "target"))
 
 
 def lookup_exact(keys: DataFrame, targets, key: str = "key") -> DataFrame:
     """Add ``target`` by exact key; null where there is none.
 
-    ``targets`` is a mapping, or a DataFrame of (key, target) with unique keys,
-    for which Spark picks the join by size.
+    ``targets`` is a mapping written in the program, or a DataFrame of
+    (key, target) with unique keys.
     """
-    rules = _rules(keys, targets)
-    return keys.join(rules, F.col(key) == F.col("_key"), "left").drop("_key")
+    name = free_name("_key", keys)
+    return keys.join(_rules(keys, targets, name), quoted(key) == F.col(name), "left").drop(name)
 
 
 def unmatched_keys(keys: DataFrame, targets, key: str = "key") -> DataFrame:
     """Rows whose key has no target."""
-    return keys.join(_rules(keys, targets), F.col(key) == F.col("_key"), "left_anti")
-
-
+    name = free_name("_key", keys)
+    return keys.join(_rules(keys, targets, name), quoted(key) == F.col(name), "left_anti")

@@ -44,28 +44,37 @@ def fact_slice(
     )
 
 
-def _prefixed(df: DataFrame, taken: set[str], prefix: str) -> DataFrame:
-    """Rename the columns whose name is taken, in any case."""
-    used = {name.lower() for name in taken}
-    return df.select(*[
-        F.col(name).alias(f"{prefix}_{name}" if name.lower() in used else name) for name in df.columns
-    ])
+def _prefixed(df: DataFrame, taken: set[str], prefix: str) -> tuple[DataFrame, dict[str, str]]:
+    """Rename the columns whose name is taken, in any case; also the new name of each old one."""
+    used = {name.lower() for name in taken} | {name.lower() for name in df.columns}
+    clashing = {name.lower() for name in taken}
+    names = {}
+    for name in df.columns:
+        new = name
+        if name.lower() in clashing:
+            new = f"{prefix}_{name}"
+            while new.lower() in used:
+                new += "_"
+            used.add(new.lower())
+        names[name.lower()] = new
+    return df.toDF(*names.values()), names
 
 
 def rental_wide(rental: DataFrame, payment: DataFrame, customer: DataFrame) -> DataFrame:
     """All columns of the three sides under unambiguous names.
 
     ``customer`` keeps its names; a rental column of the same name becomes
-    ``rental_…``, a payment column that clashes becomes ``payment_…``. The
-    rental date loses its time of day.
+    ``rental_…``, a payment column that clashes becomes ``payment_…``, with
+    underscores at the end where that is taken too. The rental date loses its
+    time of day.
     """
-    rentals = _prefixed(
+    rentals, ours = _prefixed(
         rental.withColumn("rental_date", day_of(rental, "rental_date")), set(customer.columns), "rental"
     )
-    payments = _prefixed(payment, set(customer.columns) | set(rentals.columns), "payment")
+    payments, theirs = _prefixed(payment, set(customer.columns) | set(rentals.columns), "payment")
     return (
-        rentals.join(customer, rentals["rental_customer_id"] == customer["customer_id"])
-        .join(payments, F.col("rental_id") == F.col("payment_rental_id"))
+        rentals.join(customer, rentals[ours["customer_id"]] == customer["customer_id"])
+        .join(payments, rentals[ours["rental_id"]] == payments[theirs["rental_id"]])
         .select(*rentals.columns, *payments.columns, *customer.columns)
     )
 

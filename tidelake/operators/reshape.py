@@ -6,17 +6,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidelake.functions.columns import value_where
+from tidelake.functions.columns import quoted, value_where
 
 
 def group_max(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """The maximum of several columns per key; nulls are ignored."""
-    return df.groupBy(key).agg(*[F.max(name).alias(name) for name in columns])
+    return df.groupBy(quoted(key)).agg(*[F.max(quoted(name)).alias(name) for name in columns])
 
 
 def pivot_values(df: DataFrame, column: str) -> DataFrame:
     """The distinct values of a column in order, without null."""
-    return df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column)
+    return df.select(quoted(column)).filter(quoted(column).isNotNull()).distinct().orderBy(quoted(column))
 
 
 def listed_pivot_values(df: DataFrame, column: str) -> list:
@@ -29,27 +29,46 @@ def listed_pivot_values(df: DataFrame, column: str) -> list:
 
 
 def fill_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Null to zero in the given columns; a numeric key stays as it is."""
-    return df.na.fill(0, subset=list(columns))
+    """Null to zero in the given numeric columns; a numeric key stays as it is.
 
-
-# Up to here conditional maxima are used: one shuffle, and within the width
-# that Spark compiles as one stage.
-_NARROW = 50
+    NaN is a value and stays.
+    """
+    named = {name.lower() for name in columns}
+    return df.select(*[
+        F.coalesce(quoted(name), F.lit(0)).alias(name) if name.lower() in named else quoted(name) for name in df.columns
+    ])
+
+
+def wide_names(key: str, values: Sequence) -> list[str]:
+    """Column names for pivoted values: their text, with ``_2``, ``_3`` … where a name
+    is taken in any case, by the key or by an earlier value."""
+    taken, names = {key.lower()}, []
+    for value in values:
+        name, n = str(value), 1
+        while name.lower() in taken:
+            n += 1
+            name = f"{value}_{n}"
+        taken.add(name.lower())
+        names.append(name)
+    return names
 
 
 def pivot_max(
     df: DataFrame, key: str, column: str, value: str, values: Sequence | None = None
 ) -> DataFrame:
-    """One row per key, one column per value of ``column``: the greatest ``value`` or 0."""
+    """One row per key, one column per value of ``column``: the greatest ``value`` or 0.
+
+    The maxima of all columns are taken in one pass and one shuffle. Columns are
+    named by :func:`wide_names`. NaN counts as the greatest value, as in Spark.
+    """
     wanted = list(values) if values is not None else listed_pivot_values(df, column)
-    if 0 < len(wanted) <= _NARROW:
-        maxima = [F.max(value_where(F.col(column), v, F.col(value), "_")).alias(str(v)) for v in wanted]
-        wide = df.groupBy(key).agg(*maxima)
-    else:
-        wide = df.groupBy(key).pivot(column, wanted).agg(F.max(value))
-        wide = wide.toDF(key, *[str(v) for v in wanted])
-    return fill_zero(wide, [str(v) for v in wanted])
+    maxima = [
+        F.coalesce(F.max(value_where(quoted(column), v, quoted(value), "_")), F.lit(0)).alias(f"_{i}")
+        for i, v in enumerate(wanted)
+    ]
+    keyed = df.groupBy(quoted(key))
+    wide = keyed.agg(*maxima) if maxima else df.select(quoted(key)).distinct()
+    return wide.toDF(key, *wide_names(key, wanted))
 
 
 def group_values(

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidelake.session import new_folder
+from tidelake.session import new_folder, remove_folder
 
 # Layout of monotonically_increasing_id(): partition above, place in the
 # partition in the lower 33 bits.
 _PLACE_BITS = 33
 
 
-def number_rows(batch: DataFrame, order: list[str], name: str, after: int = 0) -> DataFrame:
+def number_rows(
+    batch: DataFrame, order: list[str], name: str, after: int = 0, folder: str | None = None
+) -> DataFrame:
     """Add ``name``: ``after`` + 1, 2, 3 … in the given order, in parallel.
 
     The batch is range-partitioned and sorted, each partition counts its own
@@ -19,7 +22,9 @@ def number_rows(batch: DataFrame, order: list[str], name: str, after: int = 0) -
     per partition meets in a single task. The sorted batch is written to the
     shared folder before it is counted: that fixes which row sits in which
     partition, so a lost executor cannot change keys already given, and the
-    count reads one column. ``order`` should end in a unique column.
+    count reads one column. The result is read from that copy, in ``folder``
+    or a new one; :func:`insert_with_keys` removes it. ``order`` should end in
+    a unique column.
     """
     spark = batch.sparkSession
     ordered = (
@@ -27,7 +32,7 @@ def number_rows(batch: DataFrame, order: list[str], name: str, after: int = 0) -
         .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
     )
-    folder = new_folder(spark, "numbered")
+    folder = folder or new_folder(spark, "numbered")
     ordered.write.parquet(folder)
     stored = spark.read.schema(ordered.schema).parquet(folder)
     placed = stored.withColumn("_partition", F.shiftright("_place", _PLACE_BITS))
@@ -45,10 +50,46 @@ def number_rows(batch: DataFrame, order: list[str], name: str, after: int = 0) -
     )
 
 
-def next_keys(existing: DataFrame, key: str, batch: DataFrame, order: list[str]) -> DataFrame:
+def read_mark(spark: SparkSession, mark: str) -> int | None:
+    """The greatest key that a state table has noted, if any."""
+    try:
+        return spark.read.schema("last long").parquet(mark).agg(F.max("last")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def next_keys(
+    existing: DataFrame,
+    key: str,
+    batch: DataFrame,
+    order: list[str],
+    mark: str | None = None,
+    folder: str | None = None,
+) -> DataFrame:
     """Give the batch the keys that follow the greatest existing one.
 
-    Not a sequence: one batch at a time may take keys for a table.
+    Not a sequence: one batch at a time may take keys for a table. With
+    ``mark``, a small state table that notes the greatest key given, only the
+    first batch scans the keys of the whole table. The note is written before
+    the keys are used, so a batch that fails leaves a gap and no key twice.
     """
-    greatest = existing.agg(F.max(key)).first()[0]
-    return number_rows(batch, order, key, after=greatest or 0)
+    spark = batch.sparkSession
+    after = read_mark(spark, mark) if mark else None
+    if after is None:
+        after = existing.agg(F.max(key)).first()[0] or 0
+    numbered = number_rows(batch, order, key, after=after, folder=folder)
+    if mark:
+        spark.range(1).select(F.lit(after + numbered.count()).alias("last")).write.mode("append").parquet(mark)
+    return numbered
+
+
+def insert_with_keys(
+    existing: DataFrame, key: str, batch: DataFrame, order: list[str], insert, mark: str | None = None
+) -> None:
+    """Hand the batch with its new keys to ``insert``, then remove the numbered copy."""
+    spark = batch.sparkSession
+    folder = new_folder(spark, "numbered")
+    insert(next_keys(existing, key, batch, order, mark, folder))
+    remove_folder(spark, folder)

@@ -23,13 +23,11 @@ def find_matches(extract: DataFrame, master: DataFrame, cut: int = CENTURY_CUT)
     return match_join(normalised(extract, cut), normalised(master, cut), "ssn", "ssn")
 
 
-def find_same_birth_date(extract: DataFrame, master: DataFrame, cut: int = CENTURY_CUT) -> DataFrame:
-    """Every pair of an extract and a master row with the same ``dob``."""
-    return match_join(normalised(extract, cut), normalised(master, cut), "dob", "dob")
-
-
 def birth_date_growth(extract: DataFrame, master: DataFrame, cut: int = CENTURY_CUT) -> DataFrame:
-    """How many pairs :func:`find_same_birth_date` gives per day, without building them."""
+    """How many pairs of an extract and a master row with the same ``dob`` there are per day.
+
+    They are counted and not built, as they grow with the product of both files.
+    """
     return match_growth(normalised(extract, cut), normalised(master, cut), "dob", "dob")
 
 

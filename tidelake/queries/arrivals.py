@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from tidelake.functions.columns import result_json
 from tidelake.functions.notifications import (
+    created,
     first_record,
     malformed_notifications,
     parse_notifications,
 )
 from tidelake.operators import arrivals as ops
 from tidelake.operators.filters import lookup_exact, route_prefix, unmatched_keys
+from tidelake.plans.arrivals import drain_and_open
 from tidelake.queries import tables as t
 from tidelake.session import new_folder
 from tidelake.streaming.drain import drain_aggregate, drain_to_table, latest_rows
@@ -31,7 +33,8 @@ _ROLE = """
 """
 _MANIFEST = f"""
     SELECT role, arg_max(key, page_id * 2 + record_no) AS key
-    FROM (SELECT *, {_ROLE} AS role FROM ({_KEYS})) WHERE role IS NOT NULL GROUP BY role
+    FROM (SELECT *, {_ROLE} AS role FROM ({_KEYS}) WHERE event_name LIKE 'ObjectCreated%')
+    WHERE role IS NOT NULL GROUP BY role
 """
 _ARRIVED = "SELECT date_trunc('hour', ts) AS batch, event_type AS source, ts FROM events"
 _GATE = f"""
@@ -40,6 +43,11 @@ _GATE = f"""
           WHERE source IN ('click', 'view', 'purchase', 'signup') GROUP BY ALL)
     GROUP BY batch HAVING count(*) = 4
 """
+_MISSING = f"""
+    SELECT batch, unnest(['click', 'view', 'purchase', 'signup']) AS source
+    FROM (SELECT DISTINCT batch FROM ({_ARRIVED}))
+    EXCEPT SELECT batch, source FROM ({_ARRIVED})
+"""
 _BODY = f"""
     '{{"Records":[{{"eventName":"ObjectCreated:Put","s3":{{"object":{{"key":"' || {_PATH}
     || '"}}}}}},{{"eventName":"ObjectRemoved:Delete","s3":{{"object":{{"key":"' || {_PATH} || '.old"}}}}}}]}}'
@@ -96,11 +104,11 @@ def json_build(spark, sf_dir):
 
 
 def manifest_latest(spark, sf_dir):
-    return ops.manifest_latest(_routed(spark, sf_dir), _ROLES, _ORDER)
+    return ops.manifest_latest(created(_routed(spark, sf_dir)), _ROLES, _ORDER)
 
 
 def manifest_row(spark, sf_dir):
-    return ops.manifest_row(_routed(spark, sf_dir), [*_ROLES, "refund"], _ORDER)
+    return ops.manifest_row(created(_routed(spark, sf_dir)), [*_ROLES, "refund"], _ORDER)
 
 
 def arrival_gate(spark, sf_dir):
@@ -135,13 +143,13 @@ def stream_parse(spark, sf_dir):
 
 def _aggregated(spark, rows, keys):
     folder = new_folder(spark, "stream")
-    drain_aggregate(rows, f"{folder}/table", f"{folder}/checkpoint")
-    return latest_rows(spark, f"{folder}/table", keys, rows.schema)
+    drain_aggregate(rows, f"{folder}/table", f"{folder}/checkpoint", keys)
+    return latest_rows(spark, f"{folder}/table", rows.schema)
 
 
 def stream_manifest(spark, sf_dir):
     routed = route_prefix(parse_notifications(t.messages(t.stream(spark, sf_dir, "pages"))), t.ROUTES)
-    return _aggregated(spark, ops.manifest_latest(routed, _ROLES, _ORDER), ["role"])
+    return _aggregated(spark, ops.manifest_latest(created(routed), _ROLES, _ORDER), ["role"])
 
 
 def stream_gate(spark, sf_dir):
@@ -149,6 +157,22 @@ def stream_gate(spark, sf_dir):
     return _aggregated(spark, ops.arrival_gate(arrived, "batch", "source", "ts", t.AWAITED), ["batch"])
 
 
+def wait_for_all(spark, sf_dir):
+    """The wait-for-all job, run twice: batches opened by each run, and what others lack."""
+    folder = new_folder(spark, "waiting")
+    runs = [
+        drain_and_open(spark, t.hourly(t.stream(spark, sf_dir, "events")), folder, t.AWAITED) for _ in range(2)
+    ]
+    opened = [
+        run.select("batch", F.lit(f"opened {i}").alias("state"), F.lit(None).cast("string").alias("source"), "ready_at")
+        for i, (run, _) in enumerate(runs)
+    ]
+    missing = runs[1][1].select(
+        "batch", F.lit("missing").alias("state"), "source", F.lit(None).cast("timestamp_ntz").alias("ready_at")
+    )
+    return opened[0].union(opened[1]).union(missing)
+
+
 QUERIES = {
     "parse_notifications": parse,
     "first_record": first,
@@ -166,6 +190,7 @@ QUERIES = {
     "stream_parse": stream_parse,
     "stream_manifest": stream_manifest,
     "stream_gate": stream_gate,
+    "wait_for_all": wait_for_all,
 }
 
 SQL = {
@@ -192,14 +217,14 @@ SQL = {
         FROM ({_MANIFEST})
     """,
     "arrival_gate": _GATE,
-    "arrival_missing": f"""
-        SELECT batch, unnest(['click', 'view', 'purchase', 'signup']) AS source
-        FROM (SELECT DISTINCT batch FROM ({_ARRIVED}))
-        EXCEPT SELECT batch, source FROM ({_ARRIVED})
-    """,
+    "arrival_missing": _MISSING,
     "incremental_files": "SELECT * FROM events",
     "stream_drain": f"SELECT page_id, {_BODY} AS body FROM pages",
     "stream_parse": _KEYS,
     "stream_manifest": _MANIFEST,
     "stream_gate": _GATE,
+    "wait_for_all": f"""
+        SELECT batch, 'opened 0' AS state, NULL::VARCHAR AS source, ready_at FROM ({_GATE})
+        UNION ALL SELECT batch, 'missing', source, NULL::TIMESTAMP FROM ({_MISSING})
+    """,
 }

@@ -55,13 +55,26 @@ def normalise_match_keys(spark, sf_dir):
         "o_orderkey",
         F.date_format("o_orderdate", "M/d/yy").alias("short_dob"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("iso_dob"),
+        F.date_format("o_orderdate", "MM/dd/yyyy").alias("long_dob"),
+        # Partial, doubtful and wrong forms of both.
+        F.when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "yyyy"))
+        .when(F.col("o_orderkey") % 3 == 1, F.date_format("o_orderdate", "yyyy-M"))
+        .otherwise(F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" xyz")))
+        .alias("odd_dob"),
         F.col("o_custkey").cast("string").alias("ssn"),
+        F.when(F.col("o_orderkey") % 3 == 0, "  ")
+        .when(F.col("o_orderkey") % 3 == 1, "N/A")
+        .otherwise(F.concat(F.lit(" "), F.col("o_custkey").cast("string")))
+        .alias("odd_ssn"),
     )
     return raw.select(
         "o_orderkey",
         birth_date(F.col("short_dob")).alias("dob"),
         birth_date(F.col("iso_dob")).alias("same_dob"),
+        birth_date(F.col("long_dob")).alias("long_dob"),
+        birth_date(F.col("odd_dob")).alias("odd_dob"),
         identifier(F.col("ssn")).alias("ssn"),
+        identifier(F.col("odd_ssn")).alias("odd_ssn"),
     )
 
 
@@ -123,7 +136,9 @@ SQL = {
     "match_conflicts": f"({_ON_ID}) EXCEPT ({_ON_ATTR})",
     "normalise_match_keys": """
         SELECT o_orderkey, CAST(o_orderdate AS DATE) AS dob, CAST(o_orderdate AS DATE) AS same_dob,
-               lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS ssn
+               CAST(o_orderdate AS DATE) AS long_dob, NULL::DATE AS odd_dob,
+               lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS ssn,
+               CASE WHEN o_orderkey % 3 = 2 THEN lpad(CAST(o_custkey AS VARCHAR), 9, '0') END AS odd_ssn
         FROM orders
     """,
     "patient_finder": """

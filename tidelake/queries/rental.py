@@ -10,6 +10,7 @@ from tidelake.functions.columns import cast_to_date, iso_text, plus_days
 from tidelake.operators import rental as ops
 from tidelake.operators.filters import filter_equal
 from tidelake.operators.surrogate_keys import next_keys
+from tidelake.plans.reports import profile_rows
 from tidelake.queries import tables as t
 
 _FACT = """
@@ -107,7 +108,13 @@ def next_key(spark, sf_dir):
     return next_keys(t.customer(spark, sf_dir), "customer_id", new, ["s_suppkey"])
 
 
+def rental_profile(spark, sf_dir):
+    """The profile job's numbers and latest days."""
+    return profile_rows(*t.rental_tables(spark, sf_dir))
+
+
 QUERIES = {
+    "rental_profile": rental_profile,
     "rental_fact": rental_fact,
     "rental_wide": rental_wide,
     "distinct_partitions": distinct_partitions,
@@ -192,4 +199,11 @@ SQL = {
                (SELECT max(c_custkey) FROM customer) + row_number() OVER (ORDER BY s_suppkey) AS customer_id
         FROM supplier
     """,
+    "rental_profile": f"""
+        WITH pairs AS (SELECT DISTINCT store_id, rental_date FROM ({_FACT}))
+        SELECT 'pairs' AS measure, NULL::INTEGER AS store_id, CAST(count(*) AS VARCHAR) AS value FROM pairs
+        UNION ALL SELECT 'store_id_values', NULL, CAST(count(DISTINCT store_id) AS VARCHAR) FROM pairs
+        UNION ALL SELECT 'rental_date_values', NULL, CAST(count(DISTINCT rental_date) AS VARCHAR) FROM pairs
+        UNION ALL SELECT 'latest', store_id, max(rental_date) FROM pairs GROUP BY store_id
+    """,
 }

@@ -41,14 +41,21 @@ def group_values(spark, sf_dir):
     return grouped.select("event_type", "part", F.array_join(listed, ",").alias("values"))
 
 
-def partition_profile(spark, sf_dir):
-    """All rows, summed over the partitions of the scan.
+def pivot_odd_names(spark, sf_dir):
+    """The pivot over values that are awkward as names: dots, twins in case, the key's own, a backtick."""
+    odd = {"click": "v1.2", "error": "Click", "purchase": "click", "signup": "user_id", "view": "a`b"}
+    name = F.col("event_type")
+    for old, new in odd.items():
+        name = F.when(F.col("event_type") == old, new).otherwise(name)
+    renamed = t.events(spark, sf_dir).withColumn("event_type", name)
+    wide = reshape.pivot_max(renamed, "user_id", "event_type", "value", list(odd.values()))
+    return wide.toDF("user_id", *[f"c{i}" for i in range(len(odd))])
+
 
-    How many partitions there are depends on the files and the session, so
-    only the sum has a counterpart in SQL.
-    """
-    per_partition = profile.partition_profile(t.events(spark, sf_dir))
-    return per_partition.agg(F.sum("rows").alias("rows"))
+def partition_profile(spark, sf_dir):
+    """Rows per partition of a known split: by the id modulo five."""
+    split = t.events(spark, sf_dir).repartitionById(5, (F.col("event_id") % 5).cast("int"))
+    return profile.partition_profile(split)
 
 
 def row_count(spark, sf_dir):
@@ -65,6 +72,7 @@ QUERIES = {
     "fill_zero": fill_zero,
     "pivot_values": pivot_values,
     "pivot_max": pivot_max,
+    "pivot_odd_names": pivot_odd_names,
     "group_values": group_values,
     "partition_profile": partition_profile,
     "row_count": row_count,
@@ -94,7 +102,11 @@ SQL = {
                string_agg(concat(user_id, ':', n), ',' ORDER BY user_id) AS values
         FROM placed GROUP BY event_type, part
     """,
-    "partition_profile": "SELECT count(*) AS rows FROM events",
+    "pivot_odd_names": "SELECT user_id, " + ", ".join(
+        f"coalesce(max(CASE WHEN event_type = '{e}' THEN value END), 0.0) AS c{i}"
+        for i, e in enumerate(["click", "error", "purchase", "signup", "view"])
+    ) + " FROM events GROUP BY user_id",
+    "partition_profile": "SELECT CAST(event_id % 5 AS INTEGER) AS partition, count(*) AS rows FROM events GROUP BY 1",
     "row_count": "SELECT count(*) AS rows FROM lineitem",
     "schema_report": """
         SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS name,

@@ -10,14 +10,15 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidelake.functions.columns import plus_days
-from tidelake.operators.surrogate_keys import next_keys
+from tidelake.operators.surrogate_keys import insert_with_keys
 from tidelake.plans.rental_mart import build_mart
+from tidelake.plans.reports import write_pivot
 from tidelake.queries import tables as t
 from tidelake.session import new_folder
 from tidelake.sinks import tables as ddl
 from tidelake.sinks.partitioned import compact, write_partitioned
-from tidelake.sinks.text import write_partition_lines
-from tidelake.sources.files import read_csv, read_lines
+from tidelake.sinks.text import line_values, write_partition_lines
+from tidelake.sources.files import ANY_TEXT, read_csv, read_lines
 from tidelake.sources.tables import literal_rows as rows_of, read_table
 
 _KEYS = ["store_id", "rental_dt"]
@@ -44,7 +45,9 @@ def scan_csv_header(spark, sf_dir):
 
 
 def scan_csv_infer(spark, sf_dir):
-    return read_csv(spark, t.write_csv(_orders(spark, sf_dir), new_folder(spark, "csv")), infer=True)
+    """Numbers are inferred as int or bigint by their size; the query fixes the wider one."""
+    found = read_csv(spark, t.write_csv(_orders(spark, sf_dir), new_folder(spark, "csv")), infer=True)
+    return found.withColumns({name: F.col(name).cast("bigint") for name in ("o_orderkey", "o_custkey")})
 
 
 def scan_text(spark, sf_dir):
@@ -59,17 +62,19 @@ def scan_catalog(spark, sf_dir):
         spark, name, "customer_id BIGINT, store_id INT, name STRING, balance DOUBLE", new_folder(spark, "table")
     )
     ddl.insert_rows(t.customer(spark, sf_dir), name)
-    return read_table(spark, name, "default")
+    found = read_table(spark, name, "default")
+    spark.sql(f"DROP TABLE {name}")  # the files stay, and with them the result
+    return found
 
 
 def literal_rows(spark, sf_dir):
-    """A rule table written in the program, joined to the events it describes."""
+    """A rule table written in the program, joined to all events; some have no rule."""
     rules = rows_of(
         spark,
         [("click", "traffic", 1), ("view", "traffic", 1), ("purchase", "sale", 5)],
         "event_type string, kind string, weight int",
     )
-    return t.events(spark, sf_dir).join(F.broadcast(rules), "event_type").select(
+    return t.events(spark, sf_dir).join(F.broadcast(rules), "event_type", "left").select(
         "event_id", "event_type", "kind", "weight"
     )
 
@@ -82,11 +87,11 @@ def sink_partitioned_parquet(spark, sf_dir):
 
 def sink_partitioned_csv_overwrite(spark, sf_dir):
     folder = new_folder(spark, "layout")
-    rows = t.layout_rows(spark, sf_dir)
-    write_partitioned(rows, folder, _KEYS, file_format="csv")
+    rows = t.layout_rows(spark, sf_dir).withColumn("note", t.odd_text(F.col("event_id")))
+    write_partitioned(rows, folder, _KEYS, file_format="csv", **ANY_TEXT)
     again = rows.filter(F.col("store_id") == "click").withColumn("amount", -F.col("amount"))
-    write_partitioned(again, folder, _KEYS, file_format="csv")  # other stores stay
-    return read_csv(spark, folder, schema=t.LAYOUT_SCHEMA)
+    write_partitioned(again, folder, _KEYS, file_format="csv", **ANY_TEXT)  # other stores stay
+    return read_csv(spark, folder, schema=_NOTED_SCHEMA, **ANY_TEXT)
 
 
 def compact_one_file(spark, sf_dir):
@@ -101,13 +106,22 @@ def compact_one_file(spark, sf_dir):
     per_file = stored.groupBy(*_KEYS, F.col("_metadata.file_path").alias("file")).agg(
         F.count(F.lit(1)).alias("rows")
     )
-    return per_file.groupBy(*_KEYS).agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"))
+    # A directory has one file, or several where it exceeds the advisory size.
+    return per_file.groupBy(*_KEYS).agg(F.sum("rows").alias("rows"), (F.count(F.lit(1)) >= 1).alias("has_files"))
+
+
+# The columns of the files in order, then those of the directories.
+_NOTED_SCHEMA = (
+    "event_id BIGINT, payment_date TIMESTAMP_NTZ, amount DECIMAL(10,2), note STRING, "
+    "store_id STRING, rental_dt STRING"
+)
 
 
 def _external(spark, sf_dir):
     folder, name = new_folder(spark, "layout"), _table_name("rental_payment")
-    write_partitioned(t.layout_rows(spark, sf_dir), folder, _KEYS, file_format="csv", escape="\\")
-    ddl.create_csv_table(spark, name, t.LAYOUT_SCHEMA, _KEYS, folder)
+    rows = t.layout_rows(spark, sf_dir).withColumn("note", t.odd_text(F.col("event_id")))
+    write_partitioned(rows, folder, _KEYS, file_format="csv", **ANY_TEXT)
+    ddl.create_csv_table(spark, name, _NOTED_SCHEMA, _KEYS, folder, **ANY_TEXT)
     ddl.recover_partitions(spark, name)
     return name
 
@@ -138,43 +152,86 @@ def insert_rows(spark, sf_dir):
     new = t.table(spark, sf_dir, "supplier").select(
         F.col("s_name").alias("name"), F.col("s_nationkey").alias("store_id"), F.lit(True).alias("active")
     )
-    joined = next_keys(known, "customer_id", new, ["name"])
-    ddl.insert_rows(joined, customers)
+    state = new_folder(spark, "marks")
+    insert_with_keys(
+        known, "customer_id", new, ["name"], lambda rows: ddl.insert_rows(rows, customers), f"{state}/customer"
+    )
 
     now = F.lit("2024-01-01 10:00:00").cast("timestamp_ntz")
-    rented = joined.select(
+    rented = spark.table(customers).filter("active").select(
         "customer_id",
         now.alias("rental_date"),
         plus_days(now, 4).alias("return_date"),
     )
-    ddl.insert_rows(next_keys(t.rental(spark, sf_dir), "rental_id", rented, ["customer_id"]), rentals)
-    return spark.table(customers).join(spark.table(rentals), "customer_id", "left")
+    insert_with_keys(
+        t.rental(spark, sf_dir),
+        "rental_id",
+        rented,
+        ["customer_id"],
+        lambda rows: ddl.insert_rows(rows, rentals),
+        f"{state}/rental",
+    )
+    found = spark.table(customers).join(spark.table(rentals), "customer_id", "left")
+    for name in (customers, rentals):
+        spark.sql(f"DROP TABLE {name}")  # the files stay, and with them the result
+    return found
 
 
 def sink_text(spark, sf_dir):
     """Values written as lists, one line per part of a partition, and taken apart again."""
     folder = new_folder(spark, "lines")
-    write_partition_lines(t.customer(spark, sf_dir), F.col("name"), folder)
-    return read_lines(spark, folder).select(F.explode(F.split("value", ",")).alias("name"))
-
-
-def rental_mart(spark, sf_dir):
-    """The whole mart job: three CSV inputs, one fact layout, read back."""
-    rental, payment, customer = t.rental_tables(spark, sf_dir)
+    names = t.customer(spark, sf_dir).select("name", t.odd_text(F.col("customer_id")).alias("note"))
+    write_partition_lines(names, F.coalesce("note", "name"), f"{folder}/a")
+    write_partition_lines(names, F.col("note"), f"{folder}/b")
+    parts = [
+        read_lines(spark, f"{folder}/{part}").select(F.lit(part).alias("part"), F.explode(line_values(F.col("value"))).alias("name"))
+        for part in ("a", "b")
+    ]
+    return parts[0].union(parts[1])
+
+
+def pivot_job(spark, sf_dir):
+    """The pivot job, read back from its text lines."""
+    target = new_folder(spark, "pivot")
+    write_pivot(t.events(spark, sf_dir), "user_id", "event_type", "value", target)
+    kind = "struct<user_id:bigint," + ",".join(f"{name}:double" for name in t.EVENT_TYPES) + ">"
+    rows = read_lines(spark, f"{target}/lines").select(F.explode(line_values(F.col("value"))).alias("row"))
+    return rows.select(F.from_json("row", kind).alias("row")).select("row.*")
+
+
+def _mart(spark, sf_dir, keys, rental):
+    _, payment, customer = t.rental_tables(spark, sf_dir)
     files = {
         role: t.write_csv(df, new_folder(spark, role))
         for role, df in (("rental", rental), ("payment", payment), ("customer", customer))
     }
     target = new_folder(spark, "mart")
-    build_mart(spark, files, target, keys=["store_id"])
-    return spark.read.schema(
-        "store_id STRING, rental_date STRING, payment_date STRING, amount STRING"
-    ).parquet(target).select(
-        F.col("store_id").cast("int").alias("store_id"),
-        "rental_date",
-        F.col("payment_date").cast("timestamp_ntz").alias("payment_date"),
-        F.col("amount").cast("double").alias("amount"),
-    )
+    build_mart(spark, files, target, keys=keys)
+    columns = "store_id STRING, rental_date STRING, payment_date STRING, amount STRING"
+    if "rental_dt" in keys:
+        columns += ", rental_dt STRING"
+    stored = spark.read.schema(columns).parquet(target)
+    return stored.withColumns({
+        "store_id": F.col("store_id").cast("int"),
+        "payment_date": F.col("payment_date").cast("timestamp_ntz"),
+        "amount": F.col("amount").cast("double"),
+    })
+
+
+def rental_mart(spark, sf_dir):
+    """The whole mart job: three CSV inputs, one fact layout, read back."""
+    return _mart(spark, sf_dir, ["store_id"], t.rental(spark, sf_dir))
+
+
+def rental_mart_days(spark, sf_dir):
+    """The mart in its layout by store and day, over the rentals that pass for one month.
+
+    All rentals take part: the days of a year are folded to those of one
+    month, so that there are at most 31 directories for each store.
+    """
+    day = F.concat(F.lit("2024-01-"), F.date_format("rental_date", "dd")).cast("date")
+    rental = t.rental(spark, sf_dir).withColumn("rental_date", day)
+    return _mart(spark, sf_dir, ["store_id", "rental_dt"], rental)
 
 
 QUERIES = {
@@ -190,7 +247,9 @@ QUERIES = {
     "recover_partitions": recover_partitions,
     "insert_rows": insert_rows,
     "sink_text": sink_text,
+    "pivot_job": pivot_job,
     "rental_mart": rental_mart,
+    "rental_mart_days": rental_mart_days,
 }
 
 SQL = {
@@ -199,9 +258,7 @@ SQL = {
                o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate
         FROM orders
     """,
-    "scan_csv_infer": f"SELECT {_DAYS} FROM orders".replace(
-        "o_orderkey, o_custkey", "CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey"
-    ),
+    "scan_csv_infer": f"SELECT {_DAYS} FROM orders",
     "scan_text": "SELECT url AS value FROM pages",
     "scan_catalog": """
         SELECT c_custkey AS customer_id, c_nationkey AS store_id, c_name AS name, c_acctbal AS balance
@@ -209,19 +266,19 @@ SQL = {
     """,
     "literal_rows": """
         SELECT event_id, event_type, kind, weight
-        FROM events JOIN (VALUES ('click', 'traffic', 1), ('view', 'traffic', 1), ('purchase', 'sale', 5))
+        FROM events LEFT JOIN (VALUES ('click', 'traffic', 1), ('view', 'traffic', 1), ('purchase', 'sale', 5))
              AS r(event_type, kind, weight) USING (event_type)
     """,
     "sink_partitioned_parquet": _LAYOUT,
     "sink_partitioned_csv_overwrite": f"""
-        SELECT event_id, payment_date, store_id, rental_dt,
+        SELECT event_id, payment_date, store_id, rental_dt, {t.odd_sql("event_id")} AS note,
                CASE WHEN store_id = 'click' THEN -amount ELSE amount END AS amount
         FROM ({_LAYOUT})
     """,
     "compact_one_file": f"""
-        SELECT store_id, rental_dt, count(*) AS rows, CAST(1 AS BIGINT) AS files FROM ({_LAYOUT}) GROUP BY ALL
+        SELECT store_id, rental_dt, count(*) AS rows, true AS has_files FROM ({_LAYOUT}) GROUP BY ALL
     """,
-    "external_csv_table": _LAYOUT,
+    "external_csv_table": f"SELECT *, {t.odd_sql('event_id')} AS note FROM ({_LAYOUT})",
     "recover_partitions": f"SELECT store_id, rental_dt, count(*) AS rows FROM ({_LAYOUT}) GROUP BY ALL",
     "insert_rows": """
         SELECT c_custkey AS customer_id, c_nationkey AS store_id, c_name AS name, NULL::BOOLEAN AS active,
@@ -234,10 +291,22 @@ SQL = {
                TIMESTAMP '2024-01-01 10:00:00', TIMESTAMP '2024-01-05 10:00:00', NULL
         FROM supplier
     """,
-    "sink_text": "SELECT c_name AS name FROM customer",
+    "sink_text": f"""
+        SELECT 'a' AS part, coalesce({t.odd_sql("c_custkey")}, c_name) AS name FROM customer
+        UNION ALL SELECT 'b', {t.odd_sql("c_custkey")} FROM customer
+    """,
+    "pivot_job": "SELECT user_id, " + ", ".join(
+        f"coalesce(max(CASE WHEN event_type = '{e}' THEN value END), 0.0) AS \"{e}\"" for e in t.EVENT_TYPES
+    ) + " FROM events GROUP BY user_id",
     "rental_mart": """
         SELECT c_nationkey AS store_id, strftime(o_orderdate, '%Y-%m-%d') AS rental_date,
                l_shipdate AS payment_date, l_extendedprice AS amount
         FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN customer ON o_custkey = c_custkey
     """,
+    "rental_mart_days": """
+        SELECT c_nationkey AS store_id, strftime(o_orderdate, '2024-01-%d') AS rental_date,
+               strftime(o_orderdate, '2024-01-%d') AS rental_dt,
+               l_shipdate AS payment_date, l_extendedprice AS amount
+        FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN customer ON o_custkey = c_custkey
+    """,
 }

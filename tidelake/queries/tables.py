@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidelake.functions.columns import iso_text
 from tidelake.sources.files import MOMENT_FORMAT
@@ -25,19 +25,8 @@ ACTIVITIES = {
 ROUTES = {"en/": "rental", "fr/": "customer", "de/": "payment"}
 
 
-_schemas: dict[str, T.StructType] = {}
-
-
-def schema_of(spark: SparkSession, path: str) -> T.StructType:
-    """The schema of a table, looked up in its files once."""
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return _schemas[path]
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    return spark.read.schema(schema_of(spark, path)).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def rental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +91,26 @@ def layout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Texts that a careless file format would not give back.
+_ODD = ["two\nlines", 'a, "quoted"\\ text', "null", "back\\", " spaced ", None]
+
+
+def odd_text(number):
+    """One of some odd texts, or null, by number."""
+    text = F.lit(_ODD[-1]).cast("string")
+    for i, value in enumerate(_ODD[:-1]):
+        text = F.when(number % len(_ODD) == i, value).otherwise(text)
+    return text
+
+
+def odd_sql(number: str) -> str:
+    """:func:`odd_text` in SQL."""
+    cases = "".join(
+        f" WHEN {i} THEN " + "'" + value.replace("'", "''") + "'" for i, value in enumerate(_ODD[:-1])
+    )
+    return f"CASE {number} % {len(_ODD)}{cases} END"
+
+
 LAYOUT_SCHEMA = (
     "event_id BIGINT, payment_date TIMESTAMP_NTZ, amount DECIMAL(10,2), "
     "store_id STRING, rental_dt STRING"
@@ -141,7 +150,7 @@ def messages(pages: DataFrame) -> DataFrame:
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table as a stream of its files, be it one file or a folder of files."""
-    schema = schema_of(spark, f"{sf_dir}/{name}.parquet")
+    schema = table(spark, sf_dir, name).schema
     # The bracket makes the path a pattern, which a single file needs.
     return read_new_files(spark, f"{sf_dir}/{name}.parque[t]", schema)
 

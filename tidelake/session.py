@@ -55,6 +55,21 @@ def find_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, on any file system that Spark reaches."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(folder)
+    return sorted(status.getPath().getName() for status in found)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own, on any file system that Spark reaches."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     return f"{shared_folder(spark)}/tidelake/{label}-{uuid.uuid4().hex}"

@@ -23,17 +23,20 @@ def _text(value: str) -> str:
 
 
 def create_csv_table(
-    spark: SparkSession, name: str, columns: str, partitions: list[str], location: str
+    spark: SparkSession, name: str, columns: str, partitions: list[str], location: str, **options: str
 ) -> None:
     """External table over CSV files with a header line and ``\\`` as escape.
 
+    ``options`` are added to these, such as ``ANY_TEXT`` of the reader.
+
     ``columns`` is a DDL list such as ``"rental_id INT, amount DECIMAL(10,2)"``
     and names the partition columns too. Partitions that exist as directories
     are seen after :func:`recover_partitions`.
     """
+    given = {"header": "true", "escape": ESCAPE, "timestampNTZFormat": MOMENT_FORMAT, **options}
+    listed = ", ".join(f"{key} {_text(value)}" for key, value in given.items())
     spark.sql(
-        f"CREATE TABLE {_checked(name)} ({columns}) USING csv "
-        f"OPTIONS (header 'true', escape {_text(ESCAPE)}, timestampNTZFormat {_text(MOMENT_FORMAT)}) "
+        f"CREATE TABLE {_checked(name)} ({columns}) USING csv OPTIONS ({listed}) "
         f"PARTITIONED BY ({', '.join(_checked(p) for p in partitions)}) "
         f"LOCATION {_text(location)}"
     )
@@ -46,6 +49,20 @@ def create_parquet_table(spark: SparkSession, name: str, columns: str, location:
     )
 
 
+def create_jdbc_table(spark: SparkSession, name: str, url: str, table: str, **options: str) -> None:
+    """Catalog table over a table of a relational database; its columns come from there.
+
+    ``options`` are those of the reader, such as ``user`` or ``partitionColumn``.
+    """
+    spark.sql(jdbc_ddl(name, url, table, **options))
+
+
+def jdbc_ddl(name: str, url: str, table: str, **options: str) -> str:
+    given = {"url": url, "dbtable": table, **options}
+    listed = ", ".join(f"{_checked(key)} {_text(str(value))}" for key, value in given.items())
+    return f"CREATE TABLE {_checked(name)} USING jdbc OPTIONS ({listed})"
+
+
 def recover_partitions(spark: SparkSession, name: str) -> None:
     """Register every ``key=value`` directory below the table's location."""
     spark.catalog.recoverPartitions(name)

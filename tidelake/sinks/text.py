@@ -9,15 +9,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 _PLACE_BITS = 33
 
 
-def partition_lines(df: DataFrame, value: Column, per_line: int = 1_000, separator: str = ",") -> DataFrame:
-    """Rows ``partition, part, line``: the values of one partition in order.
+def partition_lines(df: DataFrame, value: Column, per_line: int = 1_000) -> DataFrame:
+    """Rows ``partition, part, line``: the values of one partition in order, as a JSON array.
 
     A partition of any size is cut into lines of at most ``per_line`` values,
-    so no task holds more than that in one row. Nulls are written as ``null``.
+    so no task holds more than that in one row. :func:`line_values` reads a
+    line back: any text, and null, comes out as it went in.
     """
     place = F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
     numbered = df.select(
-        F.coalesce(value.cast("string"), F.lit("null")).alias("_value"),
+        value.cast("string").alias("_value"),
         F.monotonically_increasing_id().alias("_place"),
     )
     grouped = numbered.groupBy(
@@ -27,12 +28,15 @@ def partition_lines(df: DataFrame, value: Column, per_line: int = 1_000, separat
     return grouped.select(
         "partition",
         "part",
-        F.array_join(F.transform("_values", lambda v: v["_value"]), separator).alias("line"),
+        F.to_json(F.transform("_values", lambda v: v["_value"])).alias("line"),
     )
 
 
-def write_partition_lines(
-    df: DataFrame, value: Column, path: str, per_line: int = 1_000, separator: str = ","
-) -> None:
+def line_values(line: Column) -> Column:
+    """The array of texts that a line of :func:`partition_lines` holds."""
+    return F.from_json(line, "array<string>")
+
+
+def write_partition_lines(df: DataFrame, value: Column, path: str, per_line: int = 1_000) -> None:
     """Write :func:`partition_lines` as text files."""
-    partition_lines(df, value, per_line, separator).select("line").write.mode("overwrite").text(path)
+    partition_lines(df, value, per_line).select("line").write.mode("overwrite").text(path)

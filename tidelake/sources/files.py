@@ -7,6 +7,16 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 # Six fraction digits: the default of three would cut microseconds.
 MOMENT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
+# Options for CSV files whose texts may hold anything but the control character
+# that ends a record: files stay splittable, and quotes are doubled. To be given
+# to the writer, the reader and the table alike.
+ANY_TEXT = {
+    "lineSep": "\x1e",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 
 def read_csv(
     spark: SparkSession,

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidelake.session import folder_names, remove_folder
+
 
 def read_new_files(
     spark: SparkSession,
@@ -14,11 +16,16 @@ def read_new_files(
     files_per_batch: int = 10_000,
     **options,
 ) -> DataFrame:
-    """A stream of the files below ``path`` that its checkpoint has not seen."""
+    """A stream of the files below ``path`` that its checkpoint has not seen.
+
+    Files of any age are read, as copies keep old times. For that the
+    checkpoint remembers the name of each file it has ever seen.
+    """
     return (
         spark.readStream.format(file_format)
         .schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", "36500d")
         .options(**options)
         .load(path)
     )
@@ -43,17 +50,33 @@ def drain_to_table(stream: DataFrame, table: str, checkpoint: str) -> StreamingQ
     return query
 
 
-def drain_aggregate(stream: DataFrame, table: str, checkpoint: str, mode: str = "update") -> StreamingQuery:
-    """Write the changed rows of an aggregating stream below ``epoch=N``, then stop.
+def _stored(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
+    fields = [field for field in schema.fields if field.name != "epoch"]
+    return spark.read.schema(T.StructType([*fields, T.StructField("epoch", T.LongType())])).parquet(table)
+
+
+def drain_aggregate(
+    stream: DataFrame, table: str, checkpoint: str, keys: list[str], mode: str = "update"
+) -> StreamingQuery:
+    """Keep the last row of every key of an aggregating stream, then stop.
 
-    A redone batch overwrites its own folder, so the table stays right. An
-    empty first folder makes the table readable before anything has arrived.
+    Each batch writes the whole keyed table below ``epoch=N``: its own rows and
+    those of the epoch before whose key it lacks. A redone batch overwrites its
+    own folder, so the table stays right, and older folders are removed at the
+    end. An empty first folder makes the table readable before anything has
+    arrived.
     """
-    empty = stream.sparkSession.createDataFrame([], stream.schema)
-    empty.write.mode("ignore").parquet(f"{table}/epoch=-1")
+    spark = stream.sparkSession
+    spark.createDataFrame([], stream.schema).write.mode("ignore").parquet(f"{table}/epoch=-1")
 
     def write(rows: DataFrame, epoch: int) -> None:
-        merged = rows.hint("rebalance")
+        before = _stored(spark, table, stream.schema).filter(F.col("epoch") < epoch)
+        last = before.agg(F.max("epoch")).first()[0]
+        kept = before.filter(F.col("epoch") == F.lit(last)).drop("epoch")
+        names = {name: f"_new_{i}" for i, name in enumerate(keys)}
+        changed = rows.select(*[F.col(name).alias(new) for name, new in names.items()])
+        same = [F.col(name).eqNullSafe(F.col(new)) for name, new in names.items()]
+        merged = rows.unionByName(kept.join(changed, same, "left_anti")).hint("rebalance")
         merged.write.mode("overwrite").parquet(f"{table}/epoch={epoch}")
 
     query = (
@@ -64,13 +87,15 @@ def drain_aggregate(stream: DataFrame, table: str, checkpoint: str, mode: str =
         .start()
     )
     query.awaitTermination()
+    epochs = [int(name.removeprefix("epoch=")) for name in folder_names(spark, table) if name.startswith("epoch=")]
+    for epoch in epochs:
+        if 0 <= epoch < max(epochs):
+            remove_folder(spark, f"{table}/epoch={epoch}")
     return query
 
 
-def latest_rows(spark: SparkSession, table: str, keys: list[str], schema: T.StructType) -> DataFrame:
-    """The last written row of every key in a :func:`drain_aggregate` table."""
-    stored = T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])
-    rows = spark.read.schema(stored).parquet(table)
-    values = [name for name in rows.columns if name not in (*keys, "epoch")]
-    last = rows.groupBy(*keys).agg(F.max(F.struct("epoch", *values)).alias("_last"))
-    return last.select(*keys, *[F.col(f"_last.{name}").alias(name) for name in values])
+def latest_rows(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
+    """The rows of a :func:`drain_aggregate` table, one for each key."""
+    rows = _stored(spark, table, schema)
+    last = rows.agg(F.max("epoch")).first()[0]
+    return rows.filter(F.col("epoch") == F.lit(last)).drop("epoch")
