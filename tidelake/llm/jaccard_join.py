@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidelake.llm.graph import components
 from tidelake.llm.shingles import shingle_sets
-from tidelake.llm.tables import keyed, probable, sieve, written
+from tidelake.llm.tables import keyed, probable, sieve, sifted, written
 
 # Similarity of 0.8 in whole numbers: 100 * shared >= 80 * (a + b - shared).
 SHARE, OF = 4, 5
@@ -203,7 +203,10 @@ def _shared_across(shingle: np.ndarray, owner: np.ndarray, state: np.ndarray) ->
 
 
 def shared_rows(documents: DataFrame, heavy: np.ndarray) -> DataFrame:
-    """shingle and class of each shingle in the prefixes of two or more classes."""
+    """shingle and class of each shingle in the prefixes of two or more classes.
+
+    Equal sets in several tasks may repeat a row.
+    """
     broadcast = documents.sparkSession.sparkContext.broadcast(heavy)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +247,7 @@ def shared_rows(documents: DataFrame, heavy: np.ndarray) -> DataFrame:
     # Rows known to be shared go by class, so that no shingle brings many rows to one place.
     spread = F.when(F.col("state") == _SHARED, F.col("class")).otherwise(F.col("shingle"))
     by_shingle = rows.repartition(partitions, spread).sortWithinPartitions("shingle", "class")
-    return by_shingle.mapInArrow(runs, _ROW_KIND).select("shingle", "class").distinct()
+    return by_shingle.mapInArrow(runs, _ROW_KIND).select("shingle", "class")
 
 
 def _wanted(n):
@@ -253,16 +256,19 @@ def _wanted(n):
 
 
 def chains(documents: DataFrame, classes: DataFrame, heavy: np.ndarray) -> DataFrame:
-    """Pairs (class, least) that connect all classes that may be linked."""
+    """Pairs (class, least) that connect all classes that may be linked.
+
+    The rounds only leave out what cannot be linked; that sieves and repeated rows
+    keep a few classes too many does no harm.
+    """
     rows = written(shared_rows(documents, heavy), "shared")
     sizes = classes.groupBy(_short_of(F.col("digest")).alias("class")).agg(F.min("n").alias("n"))
     for _ in range(ROUNDS):
-        enough_shared = (
-            rows.groupBy("class").agg(F.count(F.lit(1)).alias("c")).join(sizes, "class").filter(F.col("c") >= _wanted(F.col("n")))
-        )
-        rows = rows.join(enough_shared.select("class"), "class", "left_semi")
+        counts = rows.groupBy("class").agg(F.count(F.lit(1)).alias("c"))
+        enough_shared = counts.join(sizes, "class").filter(F.col("c") >= _wanted(F.col("n"))).select("class")
+        rows = sifted(rows, "class", enough_shared)
         several = rows.groupBy("shingle").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a <> b")
-        rows = written(rows.join(several.select("shingle"), "shingle", "left_semi"), "shared")
+        rows = written(sifted(rows, "shingle", several.select("shingle")), "shared")
     least = rows.groupBy("shingle").agg(F.min("class").alias("least"))
     return rows.join(least, "shingle").filter("class <> least").select("class", "least").distinct()
 

@@ -25,7 +25,6 @@ than key and text are left out.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidelake.llm.shingles import mix
-from tidelake.llm.tables import keyed, probable, sieve, written
+from tidelake.llm.tables import keyed, sifted, written
 
 LENGTH = 400
 ANCHOR = 32  # bytes
@@ -237,16 +236,14 @@ def _scan_text(digest: bytes, text: bytes) -> Iterator[tuple]:
                 yield None, digest, place - len(context[0]), place + len(context[1])
 
 
-def _scan(bits, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of the texts whose place is in the sieve: of equal texts, as a rule, one."""
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[bytes] = set()
     for batch in batches:
         rows = []
-        for i in np.flatnonzero(probable(bits.value, batch.column(2).to_numpy())).tolist():
-            digest = batch.column(0)[i].as_py()
+        for digest, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             if digest not in seen:  # equal texts of a task give the same rows
                 seen.add(digest)
-                rows.extend(_scan_text(digest, batch.column(1)[i].as_buffer().to_pybytes()))
+                rows.extend(_scan_text(digest, text.as_buffer().to_pybytes()))
             if len(rows) > 100_000:
                 yield _batch(_SCAN, rows)
                 rows = []
@@ -335,12 +332,12 @@ def covered(documents: DataFrame) -> DataFrame:
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = documents.groupBy("digest").agg(F.min("doc_id").alias("of"), F.count(F.lit(1)).alias("copies"))
     texts = written(texts, "texts")
-    # Of equal texts the one of the least key is looked at.
-    one = spark.sparkContext.broadcast(sieve(texts.select(F.xxhash64("digest", "of").alias("h"))))
     long_enough = documents.filter(F.octet_length("text") >= LENGTH).select(
         "digest", "text", F.xxhash64("digest", "doc_id").alias("h")
     )
-    scanned = written(long_enough.mapInArrow(functools.partial(_scan, one), _SCAN_KIND), "anchors")
+    # Of equal texts, as a rule, only that of the least key is looked at.
+    one = sifted(long_enough, "h", texts.select(F.xxhash64("digest", "of").alias("h")))
+    scanned = written(one.mapInArrow(_scan, _SCAN_KIND), "anchors")
     found = scanned.filter("key is not null").select("key", "digest", "start")
     place = F.struct("digest", "start")
     repeated = (
@@ -359,14 +356,7 @@ def covered(documents: DataFrame) -> DataFrame:
         .select(F.col("digest").alias("wanted"), F.xxhash64("digest", "of").alias("wanted_h"), "anchors"),
         "members",
     )
-    some = spark.sparkContext.broadcast(sieve(members.select("wanted_h")))
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """What the sieve lets through, so that few texts are shuffled."""
-        for batch in batches:
-            yield batch.filter(pa.array(probable(some.value, batch.column(2).to_numpy())))
-
-    picked = long_enough.mapInArrow(pick, "digest binary, text string, h long")
+    picked = sifted(long_enough, "h", members.select("wanted_h"))  # so that few texts are shuffled
     matched = written(
         picked.join(members, (F.col("digest") == F.col("wanted")) & (F.col("h") == F.col("wanted_h")))
         .dropDuplicates(["digest", "h"])  # rows that repeat a key and a text

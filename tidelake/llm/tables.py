@@ -59,6 +59,21 @@ def probable(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 > 0
 
 
+def sifted(df: DataFrame, name: str, keys: DataFrame) -> DataFrame:
+    """The rows whose 64-bit hash ``name`` may be among the one column of ``keys``.
+
+    Spares a join where a few rows too many do no harm, or fall out later.
+    """
+    bits = df.sparkSession.sparkContext.broadcast(sieve(keys))
+    at = df.columns.index(name)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(probable(bits.value, batch.column(at).to_numpy())))
+
+    return df.mapInArrow(work, df.schema)
+
+
 def texts(column: pa.Array) -> Iterator[str]:
     """The texts of an Arrow column one by one; null is empty."""
     for value in column:
