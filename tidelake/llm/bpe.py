@@ -58,6 +58,7 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     lower: dict[int, int] = {}
     upper = 0
     fresh = [(rank, i) for i, rank in enumerate(pair) if rank is not None]
+    live = len(fresh)  # pairs that may still be merged; without any, all that waits is stale
     while True:
         for rank, i in fresh:
             if rank in buckets:
@@ -68,7 +69,7 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
                 lower[group] = lower.get(group, 0) | 1 << (rank & _GROUP_MASK)
                 upper |= 1 << group
         # Find-first-set in both levels, until an entry is not stale.
-        while upper:
+        while live:
             group = (upper & -upper).bit_length() - 1
             bits = lower[group]
             rank = group << _GROUP_BITS | (bits & -bits).bit_length() - 1
@@ -85,6 +86,7 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
         else:
             break
         gone = after[i]
+        live -= 1 if pair[gone] is None else 2
         pair[gone] = None
         end = after[i] = after[gone]
         fresh = []
@@ -97,9 +99,12 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
             pair[i] = None
         left = before[i]
         if left >= 0:
+            if pair[left] is not None:
+                live -= 1
             rank = pair[left] = rank_of(piece[left:end])
             if rank is not None:
                 fresh.append((rank, left))
+        live += len(fresh)
     ids, i = [], 0
     while i < size:
         end = after[i]

@@ -10,22 +10,29 @@ import regex
 
 PATTERN = public_tokenizers.PATTERN
 
-# A worker remembers this many short pre-tokens, then starts anew: some 150 MB at most.
-CACHE_PIECES = 600_000
+# A worker remembers so many short pre-tokens of late, and those of the time before: some
+# 200 MB at most.
+CACHE_PIECES = 400_000
 CACHE_CHARS = 64
 
 
 class Cache(dict):
-    """``cache[piece]`` is ``work(piece)``, remembered within fixed bounds."""
+    """``cache[piece]`` is ``work(piece)``, remembered within fixed bounds.
+
+    When it is full, a new one begins, which takes over what is asked for again.
+    """
 
     def __init__(self, work: Callable[[str], object], pieces: int = CACHE_PIECES):
         super().__init__()
-        self._work, self._pieces = work, pieces
+        self._work, self._pieces, self._before = work, pieces, {}
 
     def __missing__(self, piece: str):
-        value = self._work(piece)
+        value = self._before.get(piece)
+        if value is None:
+            value = self._work(piece)
         if len(piece) <= CACHE_CHARS:
             if len(self) >= self._pieces:
+                self._before = dict(self)
                 self.clear()
             self[piece] = value
         return value
