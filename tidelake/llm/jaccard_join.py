@@ -524,7 +524,8 @@ def join(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
         "doc_id", "n", F.coalesce("component", "digest").alias("label")
     )
     labelled = written(labelled, "labelled")
-    least = labelled.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
+    # Written, so that the join has plain shuffles on both sides, which Spark can split.
+    least = written(labelled.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least")), "least")
     return labelled.join(least, "label", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")
     )
