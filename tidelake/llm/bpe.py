@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidelake.llm.pieces import PATTERN, Cache, splitter
-from tidelake.llm.tables import texts, with_columns
+from tidelake.llm.tables import small_batches, texts, with_columns
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -159,6 +159,7 @@ def lists(ids: list[list[int]]) -> pa.Array:
 def encode(df: DataFrame, text: str = "text", out: str = "ids", path: str = RANKS, pattern: str = PATTERN) -> DataFrame:
     """``df`` with the ids of each whole text."""
     df = _without(df, out, text)
+    small_batches(df.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_text = coder(path, pattern).encode

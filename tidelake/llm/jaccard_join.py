@@ -2,7 +2,7 @@
 
 1. Documents with equal sets are one class, so that copies never meet pair by pair.
 2. Two linked sets share k shingles among the first n - ceil(0.8 n) + k of each, in any
-   order that is the same everywhere (prefix filter, with k = 0.06 n). Order: by hash,
+   order that is the same everywhere (prefix filter, with k = 0.15 n). Order: by hash,
    with the most frequent shingles last, so that passages that many documents share
    bring few together. A task combines its own rows first; a shingle then has one row
    for each task at most. Sets that share too little of their prefix with all others
@@ -52,7 +52,7 @@ TILE_SHINGLES = 2_000_000
 
 
 # Percent of its size by which the prefix of a set is longer, and which it then has to share.
-MORE = 6
+MORE = 15
 ROUNDS = 2
 
 
@@ -128,7 +128,7 @@ def scan(documents: DataFrame) -> DataFrame:
                     sets.append(shingles)
                     size += len(shingles)
             yield _table(_SCAN, doc_id=batch.column(0), n=n, digest=digests)
-            if size > 2 * TILE_SHINGLES:
+            if size > TILE_SHINGLES:
                 yield from _heavy(sets)
                 sets, size, seen = [], 0, set()
         if sets:
@@ -219,7 +219,7 @@ def shared_rows(documents: DataFrame, heavy: np.ndarray) -> DataFrame:
                 shingles.append(order.prefix(found))
                 classes.append(owner)
                 size += len(shingles[-1])
-            if size > TILE_SHINGLES:
+            if size > TILE_SHINGLES // 2:
                 yield from _combined(shingles, classes)
                 seen, shingles, classes, size = set(), [], [], 0
         if shingles:
@@ -265,10 +265,11 @@ def chains(documents: DataFrame, classes: DataFrame, heavy: np.ndarray) -> DataF
     sizes = classes.groupBy(_short_of(F.col("digest")).alias("class")).agg(F.min("n").alias("n"))
     for _ in range(ROUNDS):
         counts = rows.groupBy("class").agg(F.count(F.lit(1)).alias("c"))
-        enough_shared = counts.join(sizes, "class").filter(F.col("c") >= _wanted(F.col("n"))).select("class")
-        rows = sifted(rows, "class", enough_shared)
-        several = rows.groupBy("shingle").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a <> b")
-        rows = written(sifted(rows, "shingle", several.select("shingle")), "shared")
+        enough_shared = counts.join(sizes, "class").filter(F.col("c") >= _wanted(F.col("n")))
+        sieves = {"class": sieve(enough_shared.select("class"))}
+        owners = sifted(rows, sieves).groupBy("shingle").agg(F.min("class").alias("a"), F.max("class").alias("b"))
+        sieves["shingle"] = sieve(owners.filter("a <> b").select("shingle"))
+        rows = written(sifted(rows, sieves), "shared")
     least = rows.groupBy("shingle").agg(F.min("class").alias("least"))
     return rows.join(least, "shingle").filter("class <> least").select("class", "least").distinct()
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidelake.llm.tables import keyed, with_columns, written
+from tidelake.llm.tables import keyed, small_batches, with_columns, written
 
 ORDER = 3  # bytes of the longest context
 LANGUAGES = 100
@@ -232,6 +232,7 @@ class Model:
 
 def train(labelled: DataFrame) -> Model | None:
     """The model of a DataFrame of lang and text, from all its rows."""
+    small_batches(labelled.sparkSession)
     counted = written(count_grams(labelled.filter("lang is not null and text is not null")), "grams")
     sizes = counted.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     languages = sorted(row["lang"] for row in sizes)
@@ -253,6 +254,7 @@ def train(labelled: DataFrame) -> Model | None:
 
 def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """``df`` with lang_pred and score of each whole text; columns of these names are replaced."""
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
     kept = df.drop("lang_pred", "score")
     names = kept.columns

@@ -25,6 +25,7 @@ than key and text are left out.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidelake.llm.shingles import mix
-from tidelake.llm.tables import keyed, sifted, written
+from tidelake.llm.tables import keyed, probable, sieve, sifted, written
 
 LENGTH = 400
 ANCHOR = 32  # bytes
@@ -236,15 +237,17 @@ def _scan_text(digest: bytes, text: bytes) -> Iterator[tuple]:
                 yield None, digest, place - len(context[0]), place + len(context[1])
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scan(bits, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of the texts whose hash is in the sieve: of equal texts, as a rule, one."""
     seen: set[bytes] = set()
     for batch in batches:
+        batch = batch.filter(pa.array(probable(bits.value, batch.column(2).to_numpy())))
         rows = []
         for digest, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             if digest not in seen:  # equal texts of a task give the same rows
                 seen.add(digest)
                 rows.extend(_scan_text(digest, text.as_buffer().to_pybytes()))
-            if len(rows) > 100_000:
+            if len(rows) > 50_000:
                 yield _batch(_SCAN, rows)
                 rows = []
         yield _batch(_SCAN, rows)
@@ -336,8 +339,8 @@ def covered(documents: DataFrame) -> DataFrame:
         "digest", "text", F.xxhash64("digest", "doc_id").alias("h")
     )
     # Of equal texts, as a rule, only that of the least key is looked at.
-    one = sifted(long_enough, "h", texts.select(F.xxhash64("digest", "of").alias("h")))
-    scanned = written(one.mapInArrow(_scan, _SCAN_KIND), "anchors")
+    one = spark.sparkContext.broadcast(sieve(texts.select(F.xxhash64("digest", "of").alias("h"))))
+    scanned = written(long_enough.mapInArrow(functools.partial(_scan, one), _SCAN_KIND), "anchors")
     found = scanned.filter("key is not null").select("key", "digest", "start")
     place = F.struct("digest", "start")
     repeated = (
@@ -356,7 +359,7 @@ def covered(documents: DataFrame) -> DataFrame:
         .select(F.col("digest").alias("wanted"), F.xxhash64("digest", "of").alias("wanted_h"), "anchors"),
         "members",
     )
-    picked = sifted(long_enough, "h", members.select("wanted_h"))  # so that few texts are shuffled
+    picked = sifted(long_enough, {"h": sieve(members.select("wanted_h"))})  # so that few texts are shuffled
     matched = written(
         picked.join(members, (F.col("digest") == F.col("wanted")) & (F.col("h") == F.col("wanted_h")))
         .dropDuplicates(["digest", "h"])  # rows that repeat a key and a text

@@ -15,8 +15,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rows in one Arrow batch: texts may be long, and a task has a batch on both sides.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let this session hand texts to Python in small batches, to bound memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def keyed(df: DataFrame, key: str, value: str, names: tuple[str, str] = ("doc_id", "text")) -> DataFrame:
     """Only the two columns an operator works on, so that no other name can clash."""
+    small_batches(df.sparkSession)
     return df.select(df[key].cast("long").alias(names[0]), df[value].alias(names[1]))
 
 
@@ -59,17 +69,17 @@ def probable(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 > 0
 
 
-def sifted(df: DataFrame, name: str, keys: DataFrame) -> DataFrame:
-    """The rows whose 64-bit hash ``name`` may be among the one column of ``keys``.
+def sifted(df: DataFrame, sieves: dict[str, np.ndarray]) -> DataFrame:
+    """The rows that pass the sieves of the columns of 64-bit hashes.
 
     Spares a join where a few rows too many do no harm, or fall out later.
     """
-    bits = df.sparkSession.sparkContext.broadcast(sieve(keys))
-    at = df.columns.index(name)
+    shared = df.sparkSession.sparkContext.broadcast({df.columns.index(name): bits for name, bits in sieves.items()})
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(probable(bits.value, batch.column(at).to_numpy())))
+            kept = [probable(bits, batch.column(at).to_numpy()) for at, bits in shared.value.items()]
+            yield batch.filter(pa.array(np.logical_and.reduce(kept)))
 
     return df.mapInArrow(work, df.schema)
 
