@@ -26,6 +26,15 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return own.union(others).distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node leads to one other at most, and none that is led to leads on."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("leads"), F.lit(0).alias("led")).union(
+        edges.select("b", F.lit(0), F.lit(1))
+    )
+    seen = ends.groupBy("node").agg(F.sum("leads").alias("leads"), F.max("led").alias("led"))
+    return seen.filter("leads > 1 or leads = 1 and led = 1").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node and component (the least node it is connected with) of the two columns of ``edges``.
 
@@ -35,13 +44,8 @@ def components(edges: DataFrame) -> DataFrame:
     """
     a, b = edges.columns
     named = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct()
-    current, before = written(named, "edges"), None
-    while True:
-        # Edges that all lead to least nodes stay as they are.
-        seen = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == before:
-            break
-        before = seen
+    current = written(named, "edges")
+    while not _are_stars(current):
         current = written(_small_star(_large_star(current)), "edges")
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)

@@ -28,7 +28,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidelake.llm.tables import written
 
 THRESHOLD = 0.5
-ROUNDS = 12
+ROUNDS = 30
+SETTLED = 0.01  # of a log odds, between two rounds
 SMOOTHING = 1.0
 CONTEXT_CHARS = 32
 
@@ -296,12 +297,17 @@ def train(df: DataFrame, text: str = "text") -> tuple[dict[str, dict[str, float]
     counted = written(combinations(df, text).coalesce(1), "combinations")
     votes = functools.reduce(lambda a, b: a + b, (F.col(name).cast("int") for name in LABELERS))
     probability = 1 / (1 + F.exp(-votes.cast("double")))  # to begin with, the majority
+    before: list[float] = []
     for _ in range(ROUNDS):
         table, yes, no = _expected(counted, probability, LABELERS)
         if yes + no == 0:
             return None
-        bias = math.log((yes + SMOOTHING) / (no + SMOOTHING))
-        probability = 1 / (1 + F.exp(-_log_odds(_weights(table, yes, no), bias, F.col)))
+        bias, weights = math.log((yes + SMOOTHING) / (no + SMOOTHING)), _weights(table, yes, no)
+        probability = 1 / (1 + F.exp(-_log_odds(weights, bias, F.col)))
+        now = [bias, *(weight for by_value in weights.values() for weight in by_value.values())]
+        if before and max(abs(a - b) for a, b in zip(before, now, strict=True)) < SETTLED:
+            break
+        before = now
     table, yes, no = _expected(counted, probability, FORM)
     return _weights(table, yes, no), math.log((yes + SMOOTHING) / (no + SMOOTHING))
 
