@@ -49,7 +49,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    back = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text")).drop("text"))
+    back = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"))
     return back.select(
         "doc_id",
         "lang",

@@ -58,6 +58,25 @@ def test_tables(odd, empty):
     assert bpe.decode(bpe.encode(empty)).count() == 0
 
 
+def test_both_in_one_pass(odd, empty):
+    rows = bpe.round_trip(odd.drop("ids")).collect()
+    assert rows[0].asDict().keys() == {"doc_id", "text", "digest", "score", "ids", "decoded"}
+    assert all(r["ids"] == CODER.encode(r["text"] or "") and bytes(r["decoded"]) == (r["text"] or "").encode() for r in rows)
+    assert len(rows) == odd.count() and bpe.round_trip(empty).count() == 0
+
+
+def test_what_is_remembered_is_dropped_for_others():
+    from tidelake.llm import memory
+
+    dropped = []
+    memory.enter("one", lambda: dropped.append("one"))
+    memory.enter("one", lambda: dropped.append("one again"))
+    assert dropped == []
+    memory.enter("two")
+    memory.enter("two")
+    assert dropped == ["one again"]
+
+
 def test_null_ids_are_empty(spark):
     df = spark.createDataFrame([(1, None), (2, [])], "id long, ids array<int>")
     assert {bytes(r["decoded"]) for r in bpe.decode(df).collect()} == {b""}

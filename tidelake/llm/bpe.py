@@ -23,6 +23,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tidelake.llm.memory import enter
 from tidelake.llm.pieces import PATTERN, Cache, splitter
 from tidelake.llm.tables import small_batches, texts, with_columns
 
@@ -162,6 +163,7 @@ def encode(df: DataFrame, text: str = "text", out: str = "ids", path: str = RANK
     small_batches(df.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("bpe", coder.cache_clear)
         encode_text = coder(path, pattern).encode
         for batch in batches:
             for part in _slices(batch):
@@ -170,11 +172,29 @@ def encode(df: DataFrame, text: str = "text", out: str = "ids", path: str = RANK
     return df.mapInArrow(work, with_columns(df, f"`{out}` array<int>"))
 
 
+def round_trip(df: DataFrame, text: str = "text", ids: str = "ids", out: str = "decoded", path: str = RANKS, pattern: str = PATTERN) -> DataFrame:
+    """``df`` with the ids of each whole text, and the bytes decoded from these; one pass for both."""
+    df = _without(_without(df, ids, text), out, text)
+    small_batches(df.sparkSession)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("bpe", coder.cache_clear)
+        both = coder(path, pattern)
+        for batch in batches:
+            for part in _slices(batch):
+                found = [both.encode(t) for t in texts(part.column(text))]
+                decoded = pa.array(map(both.decode, found), pa.binary(), size=part.num_rows)
+                yield _append(_append(part, ids, lists(found)), out, decoded)
+
+    return df.mapInArrow(work, with_columns(df, f"`{ids}` array<int>, `{out}` binary"))
+
+
 def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str = RANKS) -> DataFrame:
     """``df`` with the bytes that each list of ids stands for."""
     df = _without(df, out, ids)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("bpe", coder.cache_clear)
         decode_ids = coder(path).decode
         for batch in batches:
             for part in _slices(batch):

@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidelake.llm.graph import components
+from tidelake.llm.memory import enter
 from tidelake.llm.shingles import shingle_sets
 from tidelake.llm.tables import keyed, probable, sieve, sifted, written
 
@@ -117,6 +118,7 @@ def scan(documents: DataFrame) -> DataFrame:
     """doc_id, n and digest of each set; with a shingle instead, how often a task met it."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("jaccard_join")
         sets, size, seen = [], 0, set()
         for batch in batches:
             n, digests = [], []
@@ -210,6 +212,7 @@ def shared_rows(documents: DataFrame, heavy: np.ndarray) -> DataFrame:
     broadcast = documents.sparkSession.sparkContext.broadcast(heavy)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("jaccard_join")
         order, seen, shingles, classes, size = Order(broadcast.value), set(), [], [], 0
         for batch in batches:
             for found in _batches_of_sets(batch, 1):

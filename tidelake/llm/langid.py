@@ -30,6 +30,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidelake.llm.memory import enter
 from tidelake.llm.tables import keyed, small_batches, with_columns, written
 
 ORDER = 3  # bytes of the longest context
@@ -80,6 +81,7 @@ def count_grams(df: DataFrame) -> DataFrame:
     """lang, gram (four bytes as a number), n of a DataFrame of lang and text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("langid")
         found: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             by_language: dict[str, list[bytes]] = {}
@@ -193,6 +195,10 @@ class Model:
         place[row[known >> _BITS].astype(np.int64) << _BITS | known & SYMBOLS - 1] = np.arange(len(known))
         return row, place
 
+    def forget(self) -> None:
+        """Drop the direct tables, which are made again when they are needed."""
+        self.__dict__.pop("_places", None)
+
     def lengths_of(self, texts: list[bytes]) -> np.ndarray:
         """Code lengths of whole texts (not empty), by language."""
         row, place = self._places
@@ -262,6 +268,7 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = shared.value
+        enter("langid", (lambda: None) if trees is None else trees.forget)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)

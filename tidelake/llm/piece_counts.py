@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidelake.llm.bpe import RANKS, read_ranks
+from tidelake.llm.memory import enter
 from tidelake.llm.pieces import PATTERN, Cache, splitter
 from tidelake.llm.tables import keyed, texts
 
@@ -106,6 +107,7 @@ def count_tokens(df: DataFrame, key: str = "doc_id", text: str = "text", path: s
     """doc_id, n_words (pre-tokens) and n_tokens of each whole text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("piece_counts", counter.cache_clear)
         count = counter(path, pattern)
         for batch in batches:
             counts = [count(text) for text in texts(batch.column(1))]

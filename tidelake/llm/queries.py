@@ -105,7 +105,7 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    back = bpe.decode(bpe.encode(docs).select("doc_id", "ids"))
+    back = bpe.round_trip(docs)
     return back.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

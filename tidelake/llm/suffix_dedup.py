@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tidelake.llm.memory import enter
 from tidelake.llm.shingles import mix
 from tidelake.llm.tables import keyed, probable, sieve, sifted, written
 
@@ -239,6 +240,7 @@ def _scan_text(digest: bytes, text: bytes) -> Iterator[tuple]:
 
 def _scan(bits, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of the texts whose hash is in the sieve: of equal texts, as a rule, one."""
+    enter("suffix_dedup")
     seen: set[bytes] = set()
     for batch in batches:
         batch = batch.filter(pa.array(probable(bits.value, batch.column(2).to_numpy())))

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
+from tidelake.llm.memory import enter
 from tidelake.llm.pieces import CACHE_CHARS, CACHE_PIECES, PATTERN, is_latin, splitter
 from tidelake.llm.tables import keyed, texts
 
@@ -175,6 +176,7 @@ def write_records(df: DataFrame, target: str, key: str = "doc_id", text: str = "
     spark = df.sparkSession
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("token_records", encoder.cache_clear)
         encode = encoder(path)
         for batch in batches:
             keys = batch.column(0).to_pylist()
