@@ -28,8 +28,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidelake.llm.tables import written
 
 THRESHOLD = 0.5
-ROUNDS = 30
-SETTLED = 0.01  # of a log odds, between two rounds
+ROUNDS = 12
+SETTLED = 0.05  # of a log odds, between two rounds
 SMOOTHING = 1.0
 CONTEXT_CHARS = 32
 
