@@ -79,9 +79,11 @@ def next_keys(
     after = read_mark(spark, mark) if mark else None
     if after is None:
         after = existing.agg(F.max(key)).first()[0] or 0
+    folder = folder or new_folder(spark, "numbered")
     numbered = number_rows(batch, order, key, after=after, folder=folder)
     if mark:
-        spark.range(1).select(F.lit(after + numbered.count()).alias("last")).write.mode("append").parquet(mark)
+        rows = spark.read.schema(batch.schema).parquet(folder).count()  # from the footers of the copy
+        spark.range(1).select(F.lit(after + rows).cast("long").alias("last")).write.mode("append").parquet(mark)
     return numbered
 
 
