@@ -64,6 +64,18 @@ def test_results_are_those_of_all_strings(spark, monkeypatch, group):
     assert sum(0 < n < len((t or "").encode()) for t, (n, _, _) in zip(texts, wanted, strict=True)) > 20
 
 
+def test_a_string_matched_in_one_part_and_alone_in_another(spark, monkeypatch):
+    monkeypatch.setattr(module, "GROUP", 2)
+    texts = []
+    for seed in range(30):
+        rng = random.Random(seed)
+        passage = "".join(rng.choices("abcdefgh", k=module.LENGTH))
+        texts += [f"{3 * seed + n:03d}A" + words(rng, 4) + c + passage + c + words(rng, 4) for n, c in enumerate("XYZ")]
+    wanted = expected([t.encode() for t in texts], module.LENGTH)
+    assert all(n == module.LENGTH for n, _, _ in wanted)
+    assert found(spark, texts) == dict(enumerate(wanted))
+
+
 def test_long_texts_go_in_segments(monkeypatch):
     text = words(random.Random(2), 3000).encode()
     whole = module.anchors(text)

@@ -16,7 +16,8 @@ after, l + r >= 400, cover each other's bytes; overlaps add up.
 Equal texts of 400 bytes and more cover each other whole, and only one of them is looked
 at further. Equal contexts within a text are found before anything is shuffled. A group
 of more than ``GROUP`` anchors is dealt into parts; strings that have no match in their
-part are then counted by hash over all parts, so that none is lost.
+part are then looked up by hash among all strings of the other parts, those matched
+there included, so that none is lost.
 
 Null texts are empty. Rows that repeat a key and a text are documents of their own.
 Texts shorter than the length lose nothing. An empty table gives no rows. Columns other
@@ -282,18 +283,18 @@ _MATCH = {"digest": pa.binary(), "start": pa.int64(), "end": pa.int64(), "string
 _MATCH_KIND = "digest binary, start long, end long, string long"
 
 
-def _open_strings(member: tuple, ranges: list[tuple[int, int]]) -> Iterator[tuple]:
-    """The strings of an anchor that have no match in its part, by hash."""
-    digest, at, left, right = member
+def _strings(member: tuple, ranges: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and hash of each string of an anchor, and whether it has a match in its part."""
+    _, at, left, right = member
     text = np.frombuffer(left[::-1] + right, np.uint8)
     if len(text) < LENGTH:
-        return
-    strings = _string_hashes(text, LENGTH).view(np.int64).tolist()
-    closed = {at - back for least, most in ranges for back in range(least, most + 1)}
-    begin = at - len(left)
-    for i, string in enumerate(strings[: len(left) + 1]):
-        if begin + i not in closed:
-            yield digest, begin + i, None, string
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
+    strings = _string_hashes(text, LENGTH).view(np.int64)[: len(left) + 1]
+    backs = len(left) - np.arange(len(strings))
+    closed = np.zeros(len(strings), bool)
+    for least, most in ranges:
+        closed |= (backs >= least) & (backs <= most)
+    return at - backs, strings, closed
 
 
 def _match_group(split: bool, members: list[tuple]) -> Iterator[tuple]:
@@ -301,28 +302,44 @@ def _match_group(split: bool, members: list[tuple]) -> Iterator[tuple]:
         found = matches([m[2] for m in members], [m[3] for m in members])
     else:
         found = [[]]
+    matched, size = [], 0
     for member, ranges in zip(members, found, strict=True):
         digest, at = member[:2]
         for least, most in ranges:
             yield digest, at - most, at - least + LENGTH, None
         if split:
-            yield from _open_strings(member, ranges)
+            starts, strings, closed = _strings(member, ranges)
+            for start, string in zip(starts[~closed].tolist(), strings[~closed].tolist(), strict=True):
+                yield digest, start, None, string
+            matched.append(strings[closed])
+            size += len(matched[-1])
+            if size > 1 << 20:  # few differ
+                matched = [np.unique(np.concatenate(matched))]
+                size = 0
+    if matched:
+        for string in np.unique(np.concatenate(matched)).tolist():
+            yield None, None, None, string
 
 
 def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key and part to what is covered; of split groups also the open strings."""
+    """Rows sorted by key and part to what is covered; of split groups also the strings.
+
+    Those without a match in their part are open and have a row each, with their place;
+    the others have one row for each string and part, without a place.
+    """
     group, members, rows = None, [], []
     for batch in batches:
         columns = [batch.column(i).to_pylist() for i in range(7)]
         for key, part, split, *member in zip(*columns, strict=True):
             if (key, part, split) != group:
                 if members:
-                    rows.extend(_match_group(group[2], members))
+                    for row in _match_group(group[2], members):
+                        rows.append(row)
+                        if len(rows) > 50_000:
+                            yield _batch(_MATCH, rows)
+                            rows = []
                 group, members = (key, part, split), []
             members.append(tuple(member))
-            if len(rows) > 50_000:
-                yield _batch(_MATCH, rows)
-                rows = []
     if members:
         rows.extend(_match_group(group[2], members))
     yield _batch(_MATCH, rows)
@@ -374,14 +391,23 @@ def covered(documents: DataFrame) -> DataFrame:
     )
     strings = matched.filter("string is not null").select("digest", "start", "string")
     position = F.struct("digest", "start")
+    elsewhere = F.bool_or(F.col("digest").isNull())  # matched in another part
     again = (
-        strings.groupBy("string").agg(F.min(position).alias("a"), F.max(position).alias("b")).filter("a <> b").select("string")
+        strings.groupBy("string")
+        .agg(
+            F.min(F.when(F.col("digest").isNotNull(), position)).alias("a"),
+            F.max(F.when(F.col("digest").isNotNull(), position)).alias("b"),
+            elsewhere.alias("elsewhere"),
+        )
+        .filter("a <> b or (elsewhere and a is not null)")
+        .select("string")
     )
+    opened = strings.filter("digest is not null")
     spans = (
         scanned.filter("key is null")
         .select("digest", "start", "end")
         .union(matched.filter("string is null").select("digest", "start", "end"))
-        .union(strings.join(again, "string", "left_semi").select("digest", "start", F.col("start") + LENGTH))
+        .union(opened.join(again, "string", "left_semi").select("digest", "start", F.col("start") + LENGTH))
         .distinct()
         .groupBy("digest")
         .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
