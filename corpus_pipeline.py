@@ -7,7 +7,8 @@ All stages but the last return the columns of ``documents``.
 - language: documents without a language (no text, or no letter in it) go; a missing
   label is filled with the predicted one.
 - near_duplicates: of each group of documents linked by a Jaccard similarity of 0.8 over
-  five-word shingles, the one with the least id stays.
+  five-word shingles, the one with the least id stays (null comes last); of rows that
+  repeat an id, each is a document of its own unless its text repeats as well.
 - benchmark: documents that hold 0.8 of the shingles of a benchmark item go.
 - personal_data: spans are replaced by their kind in brackets; n_chars follows the text.
 - tokens: the ids of each text and the text decoded from them.
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidelake.llm import bpe, decontam, jaccard_join, langid, pii
-from tidelake.llm.tables import table
+from tidelake.llm.tables import ROW, row_hash, table
 from tidelake.session import new_folder
 
 
@@ -32,11 +33,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    joined = jaccard_join.join(docs)
-    kept = joined.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id"))
-    first = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
-    # Rows that repeat an id and a text are copies as well; the join has dealt them by id already.
-    return first.dropDuplicates(["doc_id", "text"])
+    # By row, as ids may be null or repeat; rows that repeat an id and a text are copies.
+    rows = docs.withColumn(ROW, row_hash("doc_id", "text"))
+    joined = jaccard_join.join(rows, key=ROW).distinct()
+    known = rows.select(F.col(ROW).alias("doc_id"), F.col("doc_id").alias("of")).distinct()
+    # Known ids come before null.
+    order = F.struct(F.col("of").isNull().alias("last"), "of", "doc_id")
+    kept = (
+        joined.join(known, "doc_id")
+        .groupBy("component_id")
+        .agg(F.min(order).alias("least"))
+        .select(F.col("least.doc_id").alias(ROW))
+    )
+    return rows.join(kept, ROW, "left_semi").dropDuplicates([ROW]).select(docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

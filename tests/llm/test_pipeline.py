@@ -73,3 +73,29 @@ def test_an_empty_table(spark, tables):
 def test_a_text_of_another_column_is_not_touched(spark, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet").withColumn("source", F.lit("a@b.example.com"))
     assert {r["source"] for r in corpus_pipeline.personal_data(spark, docs, tables).collect()} == {"a@b.example.com"}
+
+
+def test_null_and_repeated_ids_are_decided_by_row(spark, tables):
+    base = " ".join(f"word{i}" for i in range(60))
+    other = " ".join(f"other{i}" for i in range(60))
+    texts = [
+        (None, base), (None, base + " more"), (None, "clean text that stands alone in all of this corpus"),
+        (1, other), (2, other + " more"), (2, "a different text under the same number that is linked to none"),
+        (None, other + " again"), (None, base),
+    ]
+
+    def documents(rows):
+        rows = [(i, t, "en", "s", len(t)) for i, t in rows]
+        return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+
+    kept = corpus_pipeline.near_duplicates(spark, documents(texts), tables)
+    assert kept.columns == COLUMNS
+    found = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert sum(t in (base, base + " more") for _, t in found) == 1
+    assert sorted(found, key=str)[:2] == sorted([(1, other), texts[5]], key=str)
+    assert texts[2] in found and len(found) == 4
+
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    mixed = [(None, f"one {item} two"), (None, "clean words"), (7, f"three {item} four"), (7, "clean words too"), (7, "clean words too")]
+    clean = corpus_pipeline.benchmark(spark, documents(mixed), tables).collect()
+    assert sorted(r["text"] for r in clean) == ["clean words", "clean words too", "clean words too"]

@@ -22,7 +22,7 @@ import string
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidelake.llm.tables import keyed, written
+from tidelake.llm.tables import ROW, keyed, row_hash, written
 
 SHINGLE_WORDS = 5
 CONTAINMENT_PERCENT = 80
@@ -134,6 +134,10 @@ def contaminated(
 
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no item is found, with all their columns."""
-    found = contaminated(documents, benchmark).select(F.col("doc_id").alias("found_id")).distinct()
-    return documents.join(found, documents["doc_id"].eqNullSafe(found["found_id"]), "left_anti")
+    """The documents in which no item is found, with all their columns.
+
+    Decides by row, as ids may be null or repeat.
+    """
+    rows = documents.withColumn(ROW, row_hash("doc_id", "text"))
+    found = contaminated(rows, benchmark, key=ROW).select(F.col("doc_id").alias(ROW)).distinct()
+    return rows.join(found, ROW, "left_anti").select(documents.columns)

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidelake.session import new_folder
 
@@ -30,6 +30,15 @@ def keyed(df: DataFrame, key: str, value: str, names: tuple[str, str] = ("doc_id
     return df.select(df[key].cast("long").alias(names[0]), df[value].alias(names[1]))
 
 
+# The identity of a row where ids may be null or repeat.
+ROW = "_row_hash"
+
+
+def row_hash(key: str, text: str) -> Column:
+    """64 bits of id and text; rows that repeat both are the same to any decision."""
+    return F.xxhash64(F.col(key).isNull(), F.col(key), F.col(text).isNull(), F.col(text))
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows, written to the shared folder and read again.
 
