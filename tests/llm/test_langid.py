@@ -106,3 +106,36 @@ def test_the_model_is_bounded(corpus, monkeypatch):
     monkeypatch.setattr(langid, "LANGUAGES", 2)
     model = langid.model_of(corpus)
     assert len(model.languages) == 2 and len(model.known[langid.ORDER]) <= 60
+
+
+def many(spark, labels):
+    """Some large labels and many of one document each, all of which are to be learned."""
+    rng = random.Random(8)
+    rows = [(sentence(rng, lang, 200), lang) for lang in sorted(SOUNDS) * 20]
+    rows += [("".join(rng.choices("abcdefgh", k=90)), f"r{i:03d}") for i in range(labels)]
+    return spark.createDataFrame(rows, "text string, lang string")
+
+
+def test_rare_labels_shrink_no_other(spark, monkeypatch):
+    few, all_of = langid.train(many(spark, 0)), langid.train(many(spark, 120))
+    assert len(all_of.languages) == 123
+    monkeypatch.setattr(langid, "CELLS", 1000)
+    blocks = langid.train(many(spark, 120))
+    assert isinstance(blocks, langid.Blocks) and not isinstance(all_of, langid.Blocks)
+    rows = many(spark, 120).collect()
+    texts = [r["text"].encode() for r in rows]
+    lengths = blocks.lengths_of(texts)
+    assert np.array_equal(lengths, all_of.lengths_of(texts))
+    # As without the rare labels, but for bytes that share a symbol.
+    first = [all_of.languages.index(lang) for lang in few.languages]
+    assert np.array_equal(lengths[:, first], few.lengths_of(texts))
+    index, score = blocks.best(texts)
+    assert [blocks.languages[i] for i in index] == [r["lang"] for r in rows] and score.min() > 0.5
+
+
+def test_a_label_keeps_its_strings_beside_others(spark, monkeypatch):
+    monkeypatch.setattr(langid, "CELLS", 10_000)
+    alone, beside = langid.train(many(spark, 0)), langid.train(many(spark, 40))
+    known = np.unique(np.concatenate([b.known[langid.ORDER] for b in beside.blocks]))
+    strings = alone.blocks if isinstance(alone, langid.Blocks) else [alone]
+    assert len(known) >= max(len(b.known[langid.ORDER]) for b in strings)

@@ -9,10 +9,11 @@ and the score is its share of the probability at equal priors.
 
 Before that, A-Z are lower-cased and other ASCII characters than letters become spaces,
 as digits and punctuation tell no language. Counts are taken over all labelled documents.
-What the trees keep is bounded: the ``LANGUAGES`` most frequent labels, of each the most
-frequent strings of four, at most ``GRAMS`` and ``CELLS`` in all, and own symbols for the
-``SYMBOLS`` - 1 most frequent bytes, the others sharing one. Only that goes to the driver
-and to every worker.
+All labels are learned, unless ``LANGUAGES`` names a number of the most frequent ones. Of
+each the trees keep the most frequent strings of four, at most ``GRAMS`` whatever the
+number of labels, and own symbols for the ``SYMBOLS`` - 1 most frequent bytes, the others
+sharing one. Only that goes to the driver and to every worker; it grows with the kept
+strings: one table of up to ``CELLS`` cells, or else tables of ``BLOCK`` labels each.
 
 Texts that are null or without letters are ``und`` with score 0, as is all if there is
 nothing to learn from. Null labels are not learned from. A null key counts as not held
@@ -34,9 +35,10 @@ from tidelake.llm.memory import enter
 from tidelake.llm.tables import keyed, small_batches, with_columns, written
 
 ORDER = 3  # bytes of the longest context
-LANGUAGES = 100
+LANGUAGES: int | None = None  # all
 GRAMS = 100_000
 CELLS = 8_000_000
+BLOCK = 4  # languages in a table
 SYMBOLS = 128
 UNIT = 1 << 16  # of a bit
 UNKNOWN = "und"
@@ -67,6 +69,13 @@ def _windows(values: np.ndarray, bits: int) -> np.ndarray:
     return packed
 
 
+def _bounds(texts: list[bytes]) -> np.ndarray:
+    """Where each text begins and ends among joined ones, but for the last end."""
+    sizes = np.array([len(text) for text in texts])
+    starts = np.cumsum(np.r_[0, sizes[:-1] + ORDER])
+    return np.ravel(np.column_stack([starts, starts + sizes]))[:-1]
+
+
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     key, count = np.concatenate(keys), np.concatenate(counts)
     order = np.argsort(key, kind="stable")
@@ -113,6 +122,17 @@ def count_grams(df: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def _symbols(grams: list[np.ndarray], counts: list[np.ndarray]) -> np.ndarray:
+    """The symbol of each byte."""
+    by_byte = np.zeros(256, np.int64)
+    for gram, n in zip(grams, counts, strict=True):
+        np.add.at(by_byte, gram & 255, n)
+    own = np.argsort(-by_byte, kind="stable")[: SYMBOLS - 1]
+    symbol = np.full(256, SYMBOLS - 1, np.uint8)
+    symbol[own] = np.arange(len(own), dtype=np.uint8)
+    return symbol
+
+
 class Model:
     """Frozen statistics of all languages as tables of code lengths.
 
@@ -121,14 +141,8 @@ class Model:
     leave each context of k symbols. ``known`` and ``contexts`` are their sorted keys.
     """
 
-    def __init__(self, languages: list[str], grams: list[np.ndarray], counts: list[np.ndarray]):
+    def __init__(self, languages: list[str], grams: list[np.ndarray], counts: list[np.ndarray], symbol: np.ndarray):
         self.languages = languages
-        by_byte = np.zeros(256, np.int64)
-        for gram, n in zip(grams, counts, strict=True):
-            np.add.at(by_byte, gram & 255, n)
-        own = np.argsort(-by_byte, kind="stable")[: SYMBOLS - 1]
-        symbol = np.full(256, SYMBOLS - 1, np.uint8)
-        symbol[own] = np.arange(len(own), dtype=np.uint8)
         self.symbols = symbol[_plain]
         self.known, self.lengths, self.contexts, self.escapes = [], [], [], []
         coded = []
@@ -209,10 +223,7 @@ class Model:
         absent = np.flatnonzero(at < 0)
         if len(absent):
             codes[absent] = self.code(keys[absent].astype(np.int64), ORDER)
-        sizes = np.array([len(text) for text in texts])
-        starts = np.cumsum(np.r_[0, sizes[:-1] + ORDER])
-        bounds = np.ravel(np.column_stack([starts, starts + sizes]))[:-1]
-        return np.add.reduceat(codes, bounds, axis=0, dtype=np.int64)[::2]
+        return np.add.reduceat(codes, _bounds(texts), axis=0, dtype=np.int64)[::2]
 
     def best(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Index of the language and score of each text; long texts go in pieces."""
@@ -236,26 +247,49 @@ class Model:
         return index, 1 / np.exp2(-np.minimum(behind, 1000.0)).sum(axis=1)
 
 
+class Blocks(Model):
+    """Statistics of more languages than one table holds, in a table for each ``BLOCK``."""
+
+    def __init__(self, languages: list[str], grams: list[np.ndarray], counts: list[np.ndarray], symbol: np.ndarray):
+        self.languages = languages
+        self.symbols = symbol[_plain]
+        blocks = [slice(at, at + BLOCK) for at in range(0, len(languages), BLOCK)]
+        self.blocks = [Model(languages[b], grams[b], counts[b], symbol) for b in blocks]
+
+    def lengths_of(self, texts: list[bytes]) -> np.ndarray:
+        joined = np.frombuffer(_PAD + _PAD.join(texts), np.uint8)
+        keys, place = np.unique(_windows(self.symbols[joined], _BITS), return_inverse=True)
+        keys, bounds = keys.astype(np.int64), _bounds(texts)
+        found = [np.add.reduceat(b.code(keys, ORDER)[place], bounds, axis=0, dtype=np.int64)[::2] for b in self.blocks]
+        return np.concatenate(found, axis=1)
+
+
 def train(labelled: DataFrame) -> Model | None:
     """The model of a DataFrame of lang and text, from all its rows."""
     small_batches(labelled.sparkSession)
     counted = written(count_grams(labelled.filter("lang is not null and text is not null")), "grams")
-    sizes = counted.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    by_size = counted.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang")
+    sizes = (by_size if LANGUAGES is None else by_size.limit(LANGUAGES)).collect()
     languages = sorted(row["lang"] for row in sizes)
     if not languages:
         return None
-    most = max(1, min(GRAMS, CELLS // len(languages) ** 2))
+    if LANGUAGES is not None:
+        counted = counted.filter(F.col("lang").isin(languages))
     by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     kept = (
-        counted.filter(F.col("lang").isin(languages))
-        .withColumn("place", F.row_number().over(by_count))
-        .filter(F.col("place") <= most)
+        counted.withColumn("place", F.row_number().over(by_count))
+        .filter(F.col("place") <= GRAMS)
         .select("lang", "gram", "n")
         .toArrow()
     )
-    names, grams, counts = (kept.column(i).to_numpy() for i in range(3))
-    of = [names == language for language in languages]
-    return Model(languages, [grams[w] for w in of], [counts[w] for w in of])
+    names = kept.column(0).combine_chunks().dictionary_encode()
+    of, gram, n = names.indices.to_numpy(), kept.column(1).to_numpy(), kept.column(2).to_numpy()
+    order = np.argsort(of, kind="stable")
+    bounds = np.searchsorted(of[order], np.arange(len(names.dictionary) + 1))
+    rows = {name: order[a:b] for name, a, b in zip(names.dictionary.to_pylist(), bounds[:-1], bounds[1:], strict=True)}
+    grams, counts = [gram[rows[name]] for name in languages], [n[rows[name]] for name in languages]
+    one_table = len(np.unique(gram)) * len(languages) <= CELLS
+    return (Model if one_table else Blocks)(languages, grams, counts, _symbols(grams, counts))
 
 
 def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
