@@ -66,3 +66,13 @@ def test_new_pre_tokens_go_together(spark):
     for _ in range(2):  # the second time from memory
         found = list(token_records.encoder()(texts))
         assert [ids.tolist() for ids in found] == [encode(t) for t in texts]
+
+
+def test_added_tokens_are_those_of_the_tokenizer_as_loaded(spark):
+    texts = ["a<|endoftext|> here", "<|endoftext|>", "a <|endof text|> b", "x <|endoftext|>\n<|endoftext|> y z", "a here", "<| endoftext |>"]
+    tokenizer = Tokenizer.from_file(token_records.TOKENIZER)
+    wanted = [[*tokenizer.encode(t, add_special_tokens=False).ids, token_records.END_ID] for t in texts]
+    assert [ids.tolist() for ids in token_records.Encoder()(texts)] == wanted
+    index = written(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert [r["n_tokens"] for r in index] == list(map(len, wanted))
+    assert [r["ids_crc32"] for r in index] == [zlib.crc32(np.array(ids, "<u4").tobytes()) for ids in wanted]

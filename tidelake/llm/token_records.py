@@ -104,12 +104,13 @@ class Encoder:
     New pre-tokens go to the tokenizer in one text, in which it cuts them as before. If
     they are a space and letters, each begins with a token that begins with a space, and
     no other token holds one; others without white space inside are set apart by line
-    breaks, which are tokens of their own.
+    breaks, which are tokens of their own. Texts that hold an added token go whole.
     """
 
     def __init__(self, path: str = TOKENIZER, remembered: int = CACHE_PIECES):
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # The tokenizer finds these in a whole text, before it cuts pre-tokens.
+        self._added = [token.content for token in self._tokenizer.get_added_tokens_decoder().values()]
         size = self._tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2" if max(size - 1, END_ID) < 1 << 16 else "<u4")
         space = self._tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]  # as the vocabulary writes it
@@ -124,10 +125,16 @@ class Encoder:
         [encoded] = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(encoded.ids, self.kind)
 
+    def _holds_added(self, text: str) -> bool:
+        return any(content in text for content in self._added)
+
     def _together(self, pieces: list[str], apart: str) -> dict[str, bytes]:
         if not pieces:
             return {}
-        ids = self._ids(apart.join(["", *pieces]))
+        joined = apart.join(["", *pieces])
+        if self._holds_added(joined):  # at a seam, as no piece holds one
+            return {piece: self._ids(piece).tobytes() for piece in pieces}
+        ids = self._ids(joined)
         starts = np.flatnonzero(ids == self._break if apart else self._opens[ids])
         if len(starts) != len(pieces):
             raise ValueError("the tokenizer does not cut pre-tokens as expected")
@@ -154,7 +161,7 @@ class Encoder:
         known, cut, new = self._known.get, [], set()
         for text in texts:
             # Beyond Latin script the tokenizer may know other classes of characters than the splitter.
-            pieces = self._split(text) if is_latin(text) else None
+            pieces = self._split(text) if is_latin(text) and not self._holds_added(text) else None
             packed = [self._ids(text).tobytes()] if pieces is None else list(map(known, pieces))
             absent = [] if pieces is None else [(i, p) for i, p in enumerate(pieces) if packed[i] is None]
             new.update(p for _, p in absent)
