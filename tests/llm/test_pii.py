@@ -110,3 +110,32 @@ def test_odd_and_empty_tables(odd, empty):
     assert sorted(str(r["text"]) for r in pii.redact(odd).collect()) == sorted(str(r["text"]) for r in odd.collect())
     assert pii.redact(odd).columns == odd.columns
     assert pii.label(empty).count() == 0 and pii.train(empty) is None
+
+
+NAMES = {
+    "contact: Maria Garcia": ["Maria Garcia"],
+    "my name is John Smith, and more": ["John Smith"],
+    "user Ada Smith wrote": ["Ada Smith"],
+    "call Élodie J. Müller now": ["Élodie J. Müller"],
+    "ask Dr. Ada Lovelace and Frau Maria Schmidt": ["Dr. Ada Lovelace", "Frau Maria Schmidt"],
+    "The Quick Brown Fox and Johnson Martinson": [],
+    "peter and maria in small letters, Maria9 too": [],
+}
+
+
+def test_names_without_a_title(spark):
+    rows = [(i, text) for i, text in enumerate([*NAMES] * 5)]
+    named = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {}
+    for row in pii.with_spans(named, "text").select("text", "candidates").collect():
+        found[row["text"]] = [s["value"] for s in row["candidates"]]
+        assert {s["kind"] for s in row["candidates"]} <= {"name"}
+        assert all(row["text"][s["start"] : s["end"]] == s["value"] for s in row["candidates"])
+    assert found == NAMES
+    votes = spark.createDataFrame([("name", "Dr. Ada Lovelace", ""), ("name", "Maria Garcia", "")], "kind string, value string, before string")
+    s = F.struct("kind", "value", "before")
+    votes = votes.select(*(by(s).alias(name) for name, by in pii.LABELERS.items())).collect()
+    assert [(r["by_gazetteer"], r["by_title"]) for r in votes] == [(0, 1), (1, 0)]
+    model = {"kind": {"name": 2.0}}, -1.0
+    texts = {r["text"] for r in pii.redact(named, model=model).collect()}
+    assert "contact: [NAME]" in texts and "my name is [NAME], and more" in texts

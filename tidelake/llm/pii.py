@@ -1,9 +1,9 @@
 """Personal data: fixed patterns, and more spans by weak supervision.
 
 Base spans (email, ip, card, phone) come from fixed patterns and always stay. Other
-candidates (national ids, account numbers, phones without a country, credentials, names
-after a title) are judged: labelers by format, gazetteer, context and shape vote for,
-against or not at all, base spans being judged along with them. Expectation maximisation
+candidates (national ids, account numbers, phones without a country, credentials, names:
+what follows a title, and runs of capitalised words that hold a listed name) are judged:
+labelers by format, gazetteer, title, context and shape vote for, against or not at all, base spans being judged along with them. Expectation maximisation
 over the counts of each combination of votes estimates how reliable each labeler is, and
 a naive Bayes classifier over the form of a span is trained with the posteriors. Spans
 it gives at least ``THRESHOLD`` are added, unless they overlap a base span.
@@ -47,17 +47,28 @@ _ID = r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])"
 _ACCOUNT = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])"
 _LOCAL_PHONE = r"(?<![0-9+.(-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9])"
 _SECRET = r"(?<![A-Za-z0-9])(?=[0-9]{0,63}[A-Za-z])(?=[A-Za-z]{0,63}[0-9])[A-Za-z0-9]{16,64}(?![A-Za-z0-9])"
-_NAME = (
-    r"(?=[DFHMPS])(?<![\p{L}\p{N}])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Sr|Sra|Mme|Mlle)\.? "
+# Given names and surnames that are common in the languages of the documents.
+GAZETTEER = (
+    "Anna|Antonio|Carlos|Carmen|Charles|David|Elena|Emma|Garcia|Hans|James|Jean|John|José|Juan|Klaus|Laura|"
+    "Louis|Lucas|Maria|Marie|Martin|Mary|Michael|Müller|Paul|Peter|Pierre|Robert|Schmidt|Smith|Thomas|William"
+)
+
+_TITLE = r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Sr|Sra|Mme|Mlle)"
+_TITLED = (
+    r"(?=[DFHMPS])(?<![\p{L}\p{N}])" + _TITLE + r"\.? "
     r"\p{Lu}[\p{L}'-]{1,40}(?: \p{Lu}[\p{L}'-]{1,40})?"
 )
+_WORD = r"(?!" + _TITLE + r"(?![\p{L}\p{N}]))\p{Lu}(?:[\p{L}'-]{1,40}(?![\p{L}\p{N}])|\.)"
+# Up to two words before the listed name and two after it.
+_LISTED = rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}])(?:{_WORD} ){{0,2}}?(?:{GAZETTEER})(?![\p{{L}}\p{{N}}])(?: {_WORD}){{0,2}}"
+_NAME = f"{_TITLED}|{_LISTED}"
 # All of these hold a digit.
 _NUMBERED = f"{_ID}|{_ACCOUNT}|{_LOCAL_PHONE}|{_SECRET}"
 _ADDED_FORMS = (
     ("id", r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"),
     ("local_phone", r"^\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}$"),
     ("account", r"^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$"),
-    ("name", r"^[A-Z][a-z]+\.? "),
+    ("name", r"^[^0-9]+$"),
 )
 ADDED_KINDS = ("account", "id", "local_phone", "name", "secret")
 KINDS = BASE_KINDS + ADDED_KINDS
@@ -69,12 +80,6 @@ CUES = (
     "phone|secret|ssn|tel|telefon|teléfono|téléphone|token|user"
 )
 
-# Given names and surnames that are common in those languages.
-GAZETTEER = (
-    "Anna|Antonio|Carlos|Carmen|Charles|David|Elena|Emma|Garcia|Hans|James|Jean|John|José|Juan|Klaus|Laura|"
-    "Louis|Lucas|Maria|Marie|Martin|Mary|Michael|Müller|Paul|Peter|Pierre|Robert|Schmidt|Smith|Thomas|William"
-)
-
 SPAN = "struct<kind:string,start:int,end:int,value:string,before:string>"
 
 
@@ -170,7 +175,8 @@ def with_spans(df: DataFrame, text: str) -> DataFrame:
     none = F.array().cast(f"array<{SPAN}>")
     found = F.concat(
         F.when(value.rlike("[0-9]"), _matches(value, _NUMBERED, "")).otherwise(none),
-        F.when(value.rlike(_NAME), _matches(value, _NAME, "")).otherwise(none),
+        # Most texts hold neither a title nor a listed name.
+        F.when(value.rlike(f"{_TITLE}\\.? |{GAZETTEER}"), _matches(value, _NAME, "")).otherwise(none),
     )
     both = df.withColumns({"base_spans": base_spans(df[text]), "candidates": found})
 
@@ -191,11 +197,15 @@ def _by_format(s: Column) -> Column:
 
 
 def _by_gazetteer(s: Column) -> Column:
-    listed = s["value"].rlike(f"(?<![\\p{{L}}])(?:{GAZETTEER})(?![\\p{{L}}])") | (s["kind"] == "name")
+    listed = s["value"].rlike(f"(?<![\\p{{L}}])(?:{GAZETTEER})(?![\\p{{L}}])")
     domain = (s["kind"] == "email") & s["value"].rlike(r"\.(?:com|org|net|edu|gov|de|fr|es|uk|io)$")
     return F.when(listed | domain, 1).otherwise(0)
 
 
+def _by_title(s: Column) -> Column:
+    return F.when(s["value"].rlike(f"^{_TITLE}\\.? "), 1).otherwise(0)
+
+
 def _by_context(s: Column) -> Column:
     cue = F.lower(s["before"]).rlike(f"(?<![\\p{{L}}])(?:{CUES})[^\\p{{L}}]{{0,12}}$")
     unit = s["before"].rlike(r"[%$€£#]\s?$")
@@ -210,7 +220,13 @@ def _by_shape(s: Column) -> Column:
     return F.when(same, -1).when(mixed | (s["kind"].isin("ip", "card", "phone")), 1).otherwise(0)
 
 
-LABELERS = {"by_format": _by_format, "by_gazetteer": _by_gazetteer, "by_context": _by_context, "by_shape": _by_shape}
+LABELERS = {
+    "by_format": _by_format,
+    "by_gazetteer": _by_gazetteer,
+    "by_title": _by_title,
+    "by_context": _by_context,
+    "by_shape": _by_shape,
+}
 
 
 # The form of a span, for the classifier: a few values for each name.
