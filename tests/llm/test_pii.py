@@ -139,3 +139,21 @@ def test_names_without_a_title(spark):
     model = {"kind": {"name": 2.0}}, -1.0
     texts = {r["text"] for r in pii.redact(named, model=model).collect()}
     assert "contact: [NAME]" in texts and "my name is [NAME], and more" in texts
+
+
+def test_reliabilities_are_settled(monkeypatch):
+    # Votes that say little of each other, so that the estimate moves slowly.
+    votes = []
+    for i, n in enumerate([30, 22, 19, 26, 25, 21, 18, 31]):
+        signs = [str(1 if i >> k & 1 else -1) for k in range(3)]
+        votes.append({**dict.fromkeys(pii.LABELERS, "0"), **dict(zip(pii.LABELERS, signs, strict=False)), "n": n})
+    weights, bias = pii.reliabilities(votes)
+    monkeypatch.setattr(pii, "ROUNDS", 100_000)
+    monkeypatch.setattr(pii, "SETTLED", 1e-9)
+    far, far_bias = pii.reliabilities(votes)
+    assert bias == pytest.approx(far_bias, abs=0.01)
+    assert all(weights[k][v] == pytest.approx(w, abs=0.01) for k, by in far.items() for v, w in by.items())
+    monkeypatch.setattr(pii, "ROUNDS", 12)
+    monkeypatch.setattr(pii, "SETTLED", 0.05)  # as before
+    early, _ = pii.reliabilities(votes)
+    assert any(abs(early[k][v] - w) > 0.05 for k, by in far.items() for v, w in by.items())

@@ -20,7 +20,6 @@ by ``label`` and ``redact``, but for one named as an output, which is replaced.
 
 from __future__ import annotations
 
-import functools
 import math
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -28,8 +27,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidelake.llm.tables import written
 
 THRESHOLD = 0.5
-ROUNDS = 12
-SETTLED = 0.05  # of a log odds, between two rounds
+ROUNDS = 10_000  # never reached where the reliabilities settle
+SETTLED = 1e-6  # of a log odds, between two rounds
 SMOOTHING = 1.0
 CONTEXT_CHARS = 32
 
@@ -308,22 +307,37 @@ def _weights(table, yes: float, no: float) -> dict[str, dict[str, float]]:
     }
 
 
-def train(df: DataFrame, text: str = "text") -> tuple[dict[str, dict[str, float]], float] | None:
-    """Weights and bias of the span classifier, from all rows; None without candidates."""
-    counted = written(combinations(df, text).coalesce(1), "combinations")
-    votes = functools.reduce(lambda a, b: a + b, (F.col(name).cast("int") for name in LABELERS))
-    probability = 1 / (1 + F.exp(-votes.cast("double")))  # to begin with, the majority
+def reliabilities(votes: list[dict]) -> tuple[dict[str, dict[str, float]], float]:
+    """Weights and bias of the labelers from the count ``n`` of each combination of votes."""
+    # To begin with, the majority.
+    odds = [float(sum(int(row[name]) for name in LABELERS)) for row in votes]
     before: list[float] = []
     for _ in range(ROUNDS):
-        table, yes, no = _expected(counted, probability, LABELERS)
-        if yes + no == 0:
-            return None
+        yes = no = 0.0
+        table: dict[str, dict[str, tuple[float, float]]] = {name: {} for name in LABELERS}
+        for row, o in zip(votes, odds, strict=True):
+            y, n = row["n"] / (1 + math.exp(-o)), row["n"] / (1 + math.exp(o))
+            yes, no = yes + y, no + n
+            for name, by_value in table.items():
+                a, b = by_value.get(row[name], (0.0, 0.0))
+                by_value[row[name]] = a + y, b + n
         bias, weights = math.log((yes + SMOOTHING) / (no + SMOOTHING)), _weights(table, yes, no)
-        probability = 1 / (1 + F.exp(-_log_odds(weights, bias, F.col)))
+        odds = [bias + sum(weights[name][row[name]] for name in LABELERS) for row in votes]
         now = [bias, *(weight for by_value in weights.values() for weight in by_value.values())]
         if before and max(abs(a - b) for a, b in zip(before, now, strict=True)) < SETTLED:
             break
         before = now
+    return weights, bias
+
+
+def train(df: DataFrame, text: str = "text") -> tuple[dict[str, dict[str, float]], float] | None:
+    """Weights and bias of the span classifier, from all rows; None without candidates."""
+    counted = written(combinations(df, text).coalesce(1), "combinations")
+    votes = counted.groupBy(*LABELERS).agg(F.sum("n").alias("n")).orderBy(*LABELERS).collect()  # some hundred rows at most
+    if not votes:
+        return None
+    weights, bias = reliabilities([row.asDict() for row in votes])
+    probability = 1 / (1 + F.exp(-_log_odds(weights, bias, F.col)))
     table, yes, no = _expected(counted, probability, FORM)
     return _weights(table, yes, no), math.log((yes + SMOOTHING) / (no + SMOOTHING))
 
