@@ -5,7 +5,7 @@ kept; ``run`` writes what a stage returns as Parquet and reads it again for the
 All stages but the last return the columns of ``documents``.
 
 - language: documents without a language (no text, or no letter in it) go; a missing
-  label is filled with the predicted one.
+  label is filled with the predicted one, or stays null if no label can be learned.
 - near_duplicates: of each group of documents linked by a Jaccard similarity of 0.8 over
   five-word shingles, the one with the least id stays (null comes last); of rows that
   repeat an id, each is a document of its own unless its text repeats as well.
@@ -27,7 +27,10 @@ from tidelake.session import new_folder
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = langid.predict(docs, langid.model_of(docs))
+    model = langid.model_of(docs)
+    if model is None:  # no label to learn from
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found = langid.predict(docs, model)
     kept = found.filter(F.col("lang_pred") != langid.UNKNOWN)
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
 

@@ -99,3 +99,10 @@ def test_null_and_repeated_ids_are_decided_by_row(spark, tables):
     mixed = [(None, f"one {item} two"), (None, "clean words"), (7, f"three {item} four"), (7, "clean words too"), (7, "clean words too")]
     clean = corpus_pipeline.benchmark(spark, documents(mixed), tables).collect()
     assert sorted(r["text"] for r in clean) == ["clean words", "clean words too", "clean words too"]
+
+
+def test_without_labels_only_texts_without_letters_go(spark, tables):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    kept = corpus_pipeline.language(spark, docs.withColumn("lang", F.lit(None).cast("string")), tables)
+    assert kept.columns == COLUMNS
+    assert sorted((r["doc_id"], r["lang"]) for r in kept.collect()) == [(i, None) for i in (0, 0, 10, 20, 30, 40, 80)]
