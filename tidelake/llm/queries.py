@@ -4,8 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelake.llm import bpe, chat, decontam, jaccard_join, langid, neighbours, piece_counts, pii, suffix_dedup, token_records
-from tidelake.llm.tables import table
+from tidelake.llm import (
+    bpe,
+    chat,
+    decontam,
+    jaccard_join,
+    langid,
+    neighbours,
+    piece_counts,
+    pii,
+    prefix_trie,
+    suffix_dedup,
+    token_records,
+    whitening,
+)
+from tidelake.llm.tables import table, written
 from tidelake.session import new_folder
 
 
@@ -144,6 +157,68 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(*prefix_trie.share_heads(written(turns, "trie-places")))
+
+
+# Here the subtree of a node is what the paths to its smallest members pass through.
+_OP11_SQL = r"""
+WITH numbered AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, count(*) AS n, conv_id - conv_id % 20 AS opens,
+    xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, z: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)))) % 4 AS h
+  FROM numbered GROUP BY conv_id
+), known AS (
+  SELECT c.conv_id, c.opens, c.h, least(c.h, coalesce(o.n, 0)) AS k FROM convs c LEFT JOIN convs o ON o.conv_id = c.opens
+), turns AS (
+  SELECT k.conv_id, place - h + k AS depth, role, text FROM numbered n JOIN known k USING (conv_id) WHERE place > h
+  UNION ALL SELECT k.conv_id, place, role, text FROM numbered n JOIN known k ON n.conv_id = k.opens WHERE place <= k
+), hashed AS (
+  SELECT conv_id, depth, sha256(length(role) || ':' || role || text) AS turn,
+    len(list_filter(string_split_regex(text, '[ 	-
+]+'), lambda w: w <> '')) AS words
+  FROM turns
+), sequences AS (
+  SELECT k.conv_id, list(turn ORDER BY depth) FILTER (turn IS NOT NULL) AS turns, list(words ORDER BY depth) FILTER (turn IS NOT NULL) AS words
+  FROM known k LEFT JOIN hashed h USING (conv_id) GROUP BY k.conv_id
+), prefixes AS (
+  SELECT conv_id, depth, sha256(concat_ws(',', turns[1:depth])) AS key, CASE WHEN depth > 0 THEN words[depth] ELSE 0 END AS words,
+    depth = coalesce(len(turns), 0) AS ends
+  FROM sequences, unnest(range(0, coalesce(len(turns), 0) + 1)) AS t(depth)
+), nodes AS (
+  SELECT depth, CASE WHEN depth > 0 THEN key ELSE '' END AS key, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY ALL
+), paths AS (
+  SELECT p.conv_id AS via, n.* FROM prefixes p
+  JOIN nodes n ON n.depth = p.depth AND n.key = CASE WHEN p.depth > 0 THEN p.key ELSE '' END
+), parents AS (
+  SELECT n.depth, n.key, u.conv_id AS parent_conv_id FROM nodes n JOIN paths u ON u.via = n.conv_id AND u.depth = n.depth - 1
+), children AS (
+  SELECT depth - 1 AS depth, parent_conv_id AS conv_id, count(*) AS n_children FROM parents GROUP BY ALL
+), sums AS (
+  SELECT p.depth, p.conv_id, sum(((u.n_convs - 1) * u.words)::BIGINT)::BIGINT AS saved_tokens,
+    (count(*) FILTER (c.n_children IS NULL))::BIGINT AS n_leaves
+  FROM nodes u JOIN paths p ON p.via = u.conv_id AND p.depth <= u.depth
+  LEFT JOIN children c ON c.conv_id = u.conv_id AND c.depth = u.depth GROUP BY p.depth, p.conv_id
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, parent_conv_id, n.n_convs, coalesce(n_children, 0)::BIGINT AS n_children, n_leaves, saved_tokens,
+  ends_sha256
+FROM nodes n LEFT JOIN parents USING (depth, key) LEFT JOIN children c ON c.depth = n.depth AND c.conv_id = n.conv_id
+JOIN sums s ON s.depth = n.depth AND s.conv_id = n.conv_id
+"""
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_language": op2_language,
@@ -155,10 +230,13 @@ QUERIES = {
     "op8_token_records": op8_token_records,
     "op9_personal_data": op9_personal_data,
     "op10_nearest": op10_nearest,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_whitening": op12_whitening,
 }
 
 SQL = {
     "op1_chat_format": _OP1_SQL,
     "op3_decontaminate": _OP3_SQL,
     "op4_jaccard_join": _OP4_SQL,
+    "op11_prefix_trie": _OP11_SQL,
 }
