@@ -41,12 +41,12 @@ class Cache(dict):
 # The classes of PATTERN written out for code points up to LATIN, where a plain
 # expression finds the same pre-tokens in less time.
 LATIN = "\u024f"
-_LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
-_NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
-_SPACES = " \t-\r\x85\xa0"
+LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
+SPACES = " \t-\r\x85\xa0"
 _LATIN_PATTERN = (
-    f" ?[{_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{_NUMBERS}]+| ?[^{_SPACES}{_LETTERS}{_NUMBERS}]+"
-    f"|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+"
+    f" ?[{LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+"
+    f"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
 )
 _beyond_latin = re.compile(f"[^\0-{LATIN}]").search
 

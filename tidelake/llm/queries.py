@@ -11,6 +11,7 @@ from tidelake.llm import (
     jaccard_join,
     langid,
     neighbours,
+    packing,
     piece_counts,
     pii,
     prefix_trie,
@@ -219,6 +220,13 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_language": op2_language,
@@ -232,6 +240,7 @@ QUERIES = {
     "op10_nearest": op10_nearest,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_whitening": op12_whitening,
+    "op13_retrieval_packing": op13_retrieval_packing,
 }
 
 SQL = {
