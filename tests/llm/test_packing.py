@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -55,6 +56,8 @@ CASES = [
     "é 中文 \U0001f600 ²½ ٠",
     "\x00\x01 \x1c\x1f\x85 marks \"'s\" '\"' 'd'd",
     "x" * 3000,
+    "a.b'c.'s ('word') x1y2'3s é,ü. (Ā) 5×6÷7 Straße; ñ'd \u0301a, 1\u0301 a\u0301,b <|ENDOFTEXT|>",
+    " lead  and\ttrail \xa0x\x85y\u2003z ",
 ]
 
 
@@ -63,7 +66,14 @@ def test_ids_as_the_library_has_them(spark, odd):
     texts = CASES + [r["text"] or "" for r in odd.collect()] + CASES
     texts += [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     for _ in range(2):
-        assert [np.frombuffer(ids, "<u2").tolist() for ids in encode(texts)] == library(texts)
+        ids, bounds = encode(pa.array([None, *texts, None, ""])[1:-1])
+        found = [[*ids[a:b].tolist(), packing.END_ID] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        assert found == library([*texts, None])
+
+
+def test_texts_are_taken_by_bytes():
+    batch = pa.RecordBatch.from_arrays([pa.array(["ab", None, "c" * 50, "", "d" * 3, "é"])], ["text"])
+    assert [part.num_rows for part in packing.slices(batch, 0, 6)] == [2, 1, 3]
 
 
 @pytest.mark.parametrize("block", [4, 1024])
@@ -100,17 +110,21 @@ def test_a_window_takes_the_documents_most_like_its_seed():
     assert len(windows) == 16 and not rest and sum(len(k) == 1 for k in kinds) >= 15
 
 
-def test_scores_are_bm25():
+def test_scores_are_bm25(monkeypatch):
     docs = [np.array(ids, "<u2") for ids in ([1, 1, 2], [2, 3], [3, 3, 3, 4], [5])]
     held = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=7)
     weights, mean = packing.inverse_frequencies(held, 4), 2.5
-    found = packing.Index(docs, weights, mean).scores(np.array([1, 3, 3, 6], "<u2"))
-    for d, score in zip(docs, found, strict=True):
-        wanted = 0
-        for term in (1, 3, 6):
-            f = int((d == term).sum())
-            wanted += max(np.log((4 - held[term] + 0.5) / (held[term] + 0.5)), 0) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * len(d) / mean))
-        assert score == pytest.approx(wanted)
+    for common in (1, 100):
+        monkeypatch.setattr(packing, "COMMON", common)
+        index = packing.Index(docs, weights, mean)
+        for q, query in enumerate(docs):
+            for i, (d, score) in enumerate(zip(docs, index.scores(q), strict=True)):
+                wanted = 0
+                for term in set(query.tolist()):
+                    f = int((d == term).sum())
+                    idf = max(np.log((4 - held[term] + 0.5) / (held[term] + 0.5)), 0)
+                    wanted += idf * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * len(d) / mean))
+                assert i == q or score == pytest.approx(wanted, rel=1e-6)
 
 
 def test_the_last_parts_are_cut_into_powers_of_two():

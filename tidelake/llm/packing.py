@@ -22,25 +22,31 @@ from __future__ import annotations
 
 import functools
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from tidelake.llm.memory import enter
-from tidelake.llm.pieces import CACHE_CHARS, CACHE_PIECES, LETTERS, NUMBERS, SPACES, is_latin
-from tidelake.llm.tables import keyed, texts, written
+from tidelake.llm.pieces import CACHE_CHARS, LETTERS, NUMBERS, SPACES, is_latin
+from tidelake.llm.tables import keyed, written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
 WINDOW = 2048
+# A worker remembers so many short runs: some 200 MB at most.
+REMEMBERED = 1_000_000
 # Documents that one index holds.
 BLOCK = 1_024
 
+# Of an index: ids that one in so many documents hold have a whole row.
+COMMON = 16
+
 # Usual values of the saturation of a count and of the weight of length.
 _K1, _B = 1.2, 0.75
 _SEED = 271_828
@@ -50,60 +56,126 @@ _LATIN_WORDS = re.compile(
 ).findall
 
 
+# Classes of bytes, for cuts that the tokenizer makes wherever they occur: around each
+# digit, and between a letter and a sign other than the apostrophe.
+_OTHER, _LETTER, _SIGN, _DIGIT = range(4)
+_CLASSES = np.full(256, _OTHER, np.uint8)
+_CLASSES[33:127] = _SIGN
+_CLASSES[ord("'")] = _OTHER
+for _first, _last, _class in ("azL", "AZL", "09D"):
+    _CLASSES[ord(_first) : ord(_last) + 1] = _LETTER if _class == "L" else _DIGIT
+_CUTS = np.zeros((4, 4), bool)
+_CUTS[_DIGIT, :] = _CUTS[:, _DIGIT] = _CUTS[_LETTER, _SIGN] = _CUTS[_SIGN, _LETTER] = True
+
+
+def cut_apart(column: pa.StringArray) -> pa.StringArray:
+    """The texts with a space more at such cuts, so that words repeat as they are."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    classes = _CLASSES[data]
+    # Two bytes that begin so are a letter (U+00C0 to U+017F), except for two signs.
+    letters = (data[:-1] >= 0xC3) & (data[:-1] <= 0xC5) & ~((data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7)))
+    classes[1:][letters] = _LETTER
+    at = np.flatnonzero(_CUTS[classes[:-1], classes[1:]]) + 1
+    starts = offsets - offsets[0]
+    moved = (starts + np.searchsorted(at, starts)).astype(np.int32)
+    more = np.insert(data, at, ord(" "))
+    return pa.StringArray.from_buffers(len(column), pa.py_buffer(moved), pa.py_buffer(more))
+
+
 class WordEncoder:
-    """The tokenizer's ids of texts; those of short words are remembered.
+    """The tokenizer's ids of texts; those of short runs are remembered.
 
-    The tokenizer lower-cases and cuts at white space, and the last token of a word is
-    marked. Texts beyond Latin script, in which it may compose characters, and texts that
-    hold an added token go to it whole.
+    The tokenizer cuts at white space, whatever stands around it, and lower-cases, so that
+    the ids of a text are those of its runs between ASCII white space. Arrow finds the
+    runs of many texts and which of them are the same. New runs of Latin script go to the
+    tokenizer together, as the last token of each word is marked; others go one by one.
+    Texts that hold an added token, which it finds before it lower-cases, go whole.
     """
 
-    def __init__(self, path: str = TOKENIZER, remembered: int = CACHE_PIECES):
+    def __init__(self, path: str = TOKENIZER, remembered: int = REMEMBERED):
         self._tokenizer = Tokenizer.from_file(path)
         self._added = [token.content for token in self._tokenizer.get_added_tokens_decoder().values()]
         self.size = self._tokenizer.get_vocab_size(with_added_tokens=True)
         if self.size > 1 << 16:
             raise ValueError("ids are kept in 16 bits")
         self._closes = np.array([(self._tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(self.size)])
+        # For words of printable ASCII, which it writes as they are.
+        self._plain = Tokenizer.from_file(path)
+        self._plain.normalizer = normalizers.Sequence([])
+        self._plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self._known: dict[str, bytes] = {}
         self._remembered = remembered
-        self._end = np.array([END_ID], "<u2").tobytes()
 
     def _ids(self, text: str) -> np.ndarray:
         [encoded] = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(encoded.ids, "<u2")
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        ids = self._ids(" ".join(words))
-        ends = ((np.flatnonzero(self._closes[ids]) + 1) * 2).tolist()
-        if len(ends) != len(words):
+    def _learn(self, runs: list[str]) -> dict[str, bytes]:
+        found, words, mixed, counts = {}, [], [], []
+        for run in runs:
+            if run.isalpha() and run.isascii():
+                words.append(run)
+            elif is_latin(lowered := run.lower()):
+                mixed.append(run)
+                counts.append(len(_LATIN_WORDS(lowered)))
+            else:
+                found[run] = self._ids(run).tobytes()
+        parts = [" ".join(words[at : at + 256]) for at in range(0, len(words), 256)]
+        encoded = self._plain.encode_batch_fast(parts, add_special_tokens=False)
+        some = [np.array(e.ids, "<u2") for e in encoded] + [self._ids(" ".join(mixed))]
+        ids = np.concatenate(some)
+        last = np.flatnonzero(self._closes[ids]) + 1
+        of = np.cumsum(np.concatenate([np.ones(len(words), np.int64), np.array(counts, np.int64)]))
+        if (of[-1] if len(of) else 0) != len(last):
             raise ValueError("the tokenizer does not cut words as expected")
+        ends = (np.concatenate([[0], last])[of] * 2).tolist()
         packed = ids.tobytes()
-        found = {word: packed[a:b] for word, a, b in zip(words, [0, *ends], ends, strict=False)}
-        if len(self._known) + len(found) > self._remembered:
-            self._known.clear()
-        self._known.update((word, ids) for word, ids in found.items() if len(word) <= CACHE_CHARS)
+        found.update((run, packed[a:b]) for run, a, b in zip([*words, *mixed], [0, *ends], ends, strict=False))
         return found
 
-    def __call__(self, texts: Iterable[str]) -> Iterator[bytes]:
-        """The ids of each text with the end id, two bytes each; meant for some hundred texts at a time."""
-        known, cut, new = self._known.get, [], set()
-        for text in texts:
-            lowered = text.lower()
-            if is_latin(lowered) and not any(content in text for content in self._added):
-                words = _LATIN_WORDS(lowered)
-                packed = list(map(known, words))
-                absent = [(i, words[i]) for i, ids in enumerate(packed) if ids is None] if None in packed else []
-                new.update(word for _, word in absent)
-            else:
-                packed, absent = [self._ids(text).tobytes()], []
-            cut.append((packed, absent))
-        found = self._learn(list(new)) if new else {}
-        for packed, absent in cut:
-            for i, word in absent:
-                packed[i] = found[word]
-            packed.append(self._end)
-            yield b"".join(packed)
+    def _run_ids(self, runs: list[str]) -> list[bytes]:
+        packed = list(map(self._known.get, runs))
+        if None not in packed:
+            return packed
+        absent = [i for i, ids in enumerate(packed) if ids is None]
+        found = self._learn([runs[i] for i in absent])
+        for i in absent:
+            packed[i] = found[runs[i]]
+        if len(self._known) + len(found) > self._remembered:
+            self._known.clear()
+        self._known.update((run, ids) for run, ids in found.items() if len(run) <= CACHE_CHARS)
+        return packed
+
+    def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts, one after the other, and where each begins and ends."""
+        plain = column.fill_null("")
+        whole = {}
+        for content in self._added:
+            for i in np.flatnonzero(pc.match_substring(plain, content)).tolist():
+                whole[i] = self._ids(plain[i].as_py())
+        runs = pc.ascii_split_whitespace(pc.ascii_lower(cut_apart(plain)))
+        same = runs.flatten().dictionary_encode()
+        packed = self._run_ids(same.dictionary.to_pylist())
+        taken = pa.array(packed, pa.large_binary()).take(same.indices)
+        ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(taken) + 1] // 2
+        found = np.frombuffer(taken.buffers()[2] or b"", "<u2")[: ends[-1]]
+        bounds = ends[np.asarray(runs.offsets) - runs.offsets[0].as_py()]
+        if whole:
+            parts = [whole.get(i, found[a:b]) for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True))]
+            bounds = np.cumsum([0, *map(len, parts)])
+            found = np.concatenate(parts)
+        return found, bounds
+
+
+def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of some ``size`` bytes of a column of texts; a longer text is a part of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())
+    at = 0
+    while at < batch.num_rows:
+        to = max(int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")), at + 1)
+        yield batch.slice(at, to - at)
+        at = to
 
 
 @functools.lru_cache(maxsize=2)
@@ -121,19 +193,23 @@ def tokens(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = T
         enter("packing", encoder.cache_clear)
         encode = encoder(path)
         places = np.random.Generator(np.random.PCG64(_SEED)).permutation(encode.size)
+        end = np.array([END_ID], "<u2")
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                all_ids = list(encode(texts(part.column(1))))
-                counts = [len(ids) // 2 for ids in all_ids]
-                cuts = [count // window * window * 2 for count in counts]
-                tails = [ids[cut:] for ids, cut in zip(all_ids, cuts, strict=True)]
-                routes = [int(places[np.frombuffer(tail, "<u2")].min()) if tail else 0 for tail in tails]
+            for part in slices(batch, 1):
+                ids, bounds = encode(part.column(1))
+                counts, wholes, tails, routes = [], [], [], []
+                for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                    of = np.concatenate([ids[a:b], end])
+                    cut = len(of) // window * window
+                    counts.append(len(of))
+                    wholes.append(of[:cut].tobytes())
+                    tails.append(of[cut:].tobytes())
+                    routes.append(int(places[of[cut:]].min()) if cut < len(of) else 0)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
                         pa.array(counts, pa.int64()),
-                        pa.array([ids[:cut] for ids, cut in zip(all_ids, cuts, strict=True)], pa.binary()),
+                        pa.array(wholes, pa.binary()),
                         pa.array(tails, pa.binary()),
                         pa.array(routes, pa.int64()),
                     ],
@@ -173,28 +249,43 @@ def inverse_frequencies(held: np.ndarray, documents: int) -> np.ndarray:
 
 
 class Index:
-    """The inverted index of a block: for each id the documents that hold it, with BM25 weights."""
+    """The inverted index of a block: for each id the documents that hold it, with BM25 weights.
+
+    What one in ``COMMON`` documents or more hold has a row with the weights of all.
+    """
 
     def __init__(self, documents: list[np.ndarray], weights: np.ndarray, mean: float):
         self.count = len(documents)
         lengths = np.array([len(ids) for ids in documents])
         keys = np.concatenate(documents).astype(np.int64) * self.count + np.repeat(np.arange(self.count), lengths)
         keys, often = np.unique(keys, return_counts=True)
-        ids, self._documents = keys // self.count, keys % self.count
+        ids, self._documents = np.divmod(keys, self.count)
         norm = _K1 * (1 - _B + _B * lengths / mean)
         self._scores = weights[ids] * often * (_K1 + 1) / (often + norm[self._documents])
-        self._starts = np.searchsorted(ids, np.arange(len(weights) + 1))
-        self._telling = weights > 0
-
-    def scores(self, query: np.ndarray) -> np.ndarray:
-        """The score of each document for the distinct ids of the query."""
-        terms = np.unique(query)
-        terms = terms[self._telling[terms]]
-        slices = [slice(a, b) for a, b in zip(self._starts[terms].tolist(), self._starts[terms + 1].tolist(), strict=True)]
-        if not slices:
-            return np.zeros(self.count)
-        documents = np.concatenate([self._documents[s] for s in slices])
-        return np.bincount(documents, np.concatenate([self._scores[s] for s in slices]), self.count)
+        self._starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        self._lengths = np.diff(self._starts, append=len(ids))
+        of = np.repeat(np.arange(len(self._starts)), self._lengths)
+        common = self._lengths * COMMON >= self.count
+        self._row = np.where(common, np.cumsum(common) - 1, -1)
+        self._rows = np.zeros((int(common.sum()), self.count), np.float32)
+        inside = common[of]
+        self._rows[self._row[of[inside]], self._documents[inside]] = self._scores[inside]
+        # The ids of each document; one that no other document has, or that tells nothing, adds nothing.
+        useful = (weights[ids] > 0) & (self._lengths[of] > 1)
+        order = np.argsort(self._documents[useful], kind="stable")
+        self._terms = of[useful][order]
+        self._bounds = np.searchsorted(self._documents[useful][order], np.arange(self.count + 1))
+
+    def scores(self, document: int) -> np.ndarray:
+        """The score of each other document of the block for the distinct ids of one."""
+        terms = self._terms[self._bounds[document] : self._bounds[document + 1]]
+        row = self._row[terms]
+        found = self._rows[row[row >= 0]].sum(axis=0)
+        rare = terms[row < 0]
+        lengths = self._lengths[rare]
+        ends = np.cumsum(lengths)
+        at = np.repeat(self._starts[rare] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+        return found + np.bincount(self._documents[at], self._scores[at], self.count)
 
 
 # A document that may be packed: its row, and where the ids that are left begin.
@@ -212,7 +303,7 @@ def fill(parts: list[Part], weights: np.ndarray, mean: float, window: int = WIND
     while total >= window:
         seed = int(np.argmax(lengths))
         chosen, room = [left[seed]], window - int(lengths[seed])
-        scores = index.scores(left[seed][2])
+        scores = index.scores(seed)
         lengths[seed] = 0
         # Best first; those without a word of the seed come last, by place.
         ranked = np.argsort(-scores, kind="stable")
