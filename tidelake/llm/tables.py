@@ -15,13 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Rows in one Arrow batch: texts may be long, and a task has a batch on both sides.
+# Rows and bytes of one Arrow batch: texts may be long, and a task has a batch on both sides.
 BATCH_ROWS = 1_000
+BATCH_BYTES = 8 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
     """Let this session hand texts to Python in small batches, to bound memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def keyed(df: DataFrame, key: str, value: str, names: tuple[str, str] = ("doc_id", "text")) -> DataFrame:
