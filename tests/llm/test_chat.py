@@ -83,3 +83,44 @@ def test_records_take_the_layout_of_their_shape(spark, turns):
     row = chat.format_records(chat.records(df)).first()
     assert row["layout"] == {1: "messages", 2: "prompt", 3: "instruction", 4: "conversations", 5: "messages"}[turns]
     assert [t["text"] for t in row["turns"]] == [f"t{i}" for i in range(turns)]
+
+
+def test_further_fields_and_empty_lists_keep_the_layout(spark):
+    records = [
+        {"messages": [{"role": "user", "content": "a", "name": "n"}, {"role": "assistant", "content": "b"}], "id": 7},
+        {"prompt": "a", "response": "b", "id": 1, "meta": {"prompt": 2}},
+        {"instruction": "a", "output": "b"},
+        {"instruction": "a", "output": None, "system": "s", "tags": []},
+        {"messages": []},
+        {"conversations": [{"from": "user", "value": "a", "weight": 1.5}, {"from": "assistant", "value": "b"}], "source": "x"},
+        {"messages": [{"role": "user", "content": ["a", 1]}, {"role": "assistant"}]},
+        {"messages": [{"role": "user", "text": "a"}]},
+        {"messages": ["a", {"role": "user", "content": "a"}]},
+        {"prompt": "a"},
+        {"messages": {"role": "user", "content": "a"}},
+        None,
+    ]
+    rows = formatted(spark, records)
+    pair = [("user", "a"), ("assistant", "b")]
+    turns = [r["turns"] and [(t["role"], t["text"]) for t in r["turns"]] for r in rows]
+    assert [r["layout"] for r in rows[:7]] == ["messages", "prompt", "instruction", "instruction", "messages", "conversations", "messages"]
+    assert turns[:7] == [
+        pair, pair, pair, [("system", "s"), ("user", "a"), ("assistant", None)], [], pair, [("user", '["a",1]'), ("assistant", None)],
+    ]
+    assert [r["layout"] for r in rows[7:]] == [None] * 5 and turns[7:] == [None] * 5
+    assert rows[4]["formatted"] == "" and rows[4]["loss_spans"] == []
+
+
+def test_one_fingerprint_has_one_layout(spark):
+    records = [{"prompt": p, "response": r, "x": x} for p in ("a", None, 3) for r in ("b", None) for x in (1, "1")]
+    df = spark.createDataFrame([(json.dumps(r),) for r in records], "json string").select(F.parse_json("json").alias("record"))
+    found = chat.canonical_turns(df).select(chat.fingerprint(F.col("record")).alias("f"), "layout").distinct().collect()
+    assert [r["layout"] for r in found] == ["prompt"]
+
+
+def test_the_loss_is_read_under_the_mask(spark):
+    rows = [(1, 0, "assistant", "é </s> one "), (1, 1, "user", "no"), (1, 2, "assistant", "<\\|end|> two"), (2, 0, "user", "none")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    done = chat.format_records(chat.records(df))
+    found = dict(done.select("conv_id", chat.learned_text(F.col("formatted"), F.col("loss_spans"))).collect())
+    assert found == {1: rows[0][3] + rows[2][3], 2: ""}

@@ -12,7 +12,6 @@ from tidelake.session import new_folder
 
 def library():
     tokenizer = Tokenizer.from_file(token_records.TOKENIZER)
-    tokenizer.encode_special_tokens = True
     return lambda text: [*tokenizer.encode(text or "", add_special_tokens=False).ids, token_records.END_ID]
 
 
@@ -38,12 +37,47 @@ def test_records_hold_the_ids_by_ascending_key(spark, odd):
         start += len(ids)
 
 
-def test_files_are_cut_and_stay_in_order(spark, monkeypatch):
-    monkeypatch.setattr(token_records, "RECORDS_PER_FILE", 7)
-    df = spark.range(100).selectExpr("id as doc_id", "concat('text ', id) as text")
+def starts(index):
+    at = 0
+    for row in index:
+        assert row["start"] == at
+        at += row["n_tokens"]
+
+
+def test_files_are_cut_by_bytes_and_stay_in_order(spark, monkeypatch):
+    monkeypatch.setattr(token_records, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(token_records, "BLOCKS_PER_FILE", 2)
+    df = spark.range(100).selectExpr("id as doc_id", "repeat(concat('text ', id, ' '), if(id % 10 = 0, 500, 5)) as text")
     index = written(spark, df)
     assert [r["doc_id"] for r in index] == list(range(100))
-    assert len({r["file"] for r in index}) >= 100 / 7
+    starts(index)
+    sizes = {}
+    for r in index:
+        sizes.setdefault(r["file"], []).append(r["length"])
+    assert len(sizes) > 10 and all(sum(lengths) <= 2 * max(300, max(lengths)) for lengths in sizes.values())
+
+
+def test_more_than_a_thousand_files_of_one_task(spark, monkeypatch):
+    monkeypatch.setattr(token_records, "BLOCK_BYTES", 1)
+    monkeypatch.setattr(token_records, "BLOCKS_PER_FILE", 1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    try:
+        index = written(spark, spark.range(1100).selectExpr("id as doc_id", "concat('text ', id) as text"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [r["doc_id"] for r in index] == list(range(1100)) and len({r["file"] for r in index}) == 1100
+    starts(index)
+
+
+def test_one_key_with_two_texts(spark):
+    rows = [(1, "a b c"), (1, "d"), (1, "d"), (2, "e f"), (None, "g"), (None, None)]
+    index = written(spark, spark.createDataFrame(rows, "doc_id long, text string"))
+    assert [r["doc_id"] for r in index] == [None, None, 1, 1, 1, 2]
+    starts(index)
+    encode = library()
+    found = [token_records.read_record(r["file"], r["offset"], r["length"]) for r in index]
+    assert sorted(map(str, ((k, ids.tolist()) for k, ids in found))) == sorted(str((k, encode(t))) for k, t in rows)
 
 
 def test_an_empty_table(spark, empty):

@@ -2,8 +2,9 @@
 
 A record is a variant. Its fingerprint is the hash of its nested field paths, without
 types and values, so that one hash names one layout; declarative mappings, chosen by
-fingerprint, say where the turns are. A record whose layout no mapping knows has null
-turns and is kept, so that nothing is lost unseen.
+fingerprint, say where the turns are. Further fields do no harm, an empty list of turns
+gives none, and a text that is not a string is its JSON. A record whose layout no mapping
+knows has null turns and is kept, so that nothing is lost unseen.
 
 Every turn becomes ``<|turn|>role<|text|>text<|end|>``. Control strings of this and of
 other common templates inside a role or a text get one more backslash after their first
@@ -16,6 +17,7 @@ id is an id like others. Only the named columns are read. Empty tables give no r
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from dataclasses import dataclass
 
@@ -31,9 +33,18 @@ _ESCAPED = r"([<\[])\\(\\*)(/?s>|/?SYS>>|\||/?INST\])"
 TURNS_TYPE = "array<struct<role:string,text:string>>"
 
 
+def _has(record: Column, field: str) -> Column:
+    """Whether a variant has a field, be it null."""
+    return F.try_variant_get(record, f"$.{field}", "variant").isNotNull()
+
+
+def _text(record: Column, field: str) -> Column:
+    return F.try_variant_get(record, f"$.{field}", "string")
+
+
 @dataclass(frozen=True)
 class ListLayout:
-    """The turns are the elements of an array of objects."""
+    """The turns are the elements of an array of objects; an empty array has none."""
 
     name: str
     path: str
@@ -44,9 +55,21 @@ class ListLayout:
         fields = ", ".join(sorted([self.role, self.text]))
         return f"OBJECT<{self.path}: ARRAY<OBJECT<{fields}>>>"
 
+    def _elements(self, record: Column) -> Column:
+        return F.try_variant_get(record, f"$.{self.path}", "array<variant>")
+
+    def fits(self, record: Column) -> Column:
+        """Whether the field paths hold those of this layout, among whatever others."""
+        found = self._elements(record)
+        objects = F.forall(found, lambda e: F.schema_of_variant(e).startswith("OBJECT<"))
+        both = F.exists(found, lambda e: _has(e, self.role)) & F.exists(found, lambda e: _has(e, self.text))
+        return found.isNotNull() & objects & ((F.size(found) == 0) | both)
+
     def turns(self, record: Column) -> Column:
-        found = F.variant_get(record, f"$.{self.path}", f"array<struct<{self.role}:string,{self.text}:string>>")
-        return F.transform(found, lambda t: F.struct(t[self.role].alias("role"), t[self.text].alias("text")))
+        return F.transform(
+            self._elements(record),
+            lambda e: F.struct(_text(e, self.role).alias("role"), _text(e, self.text).alias("text")),
+        )
 
 
 @dataclass(frozen=True)
@@ -55,24 +78,29 @@ class FieldLayout:
 
     name: str
     fields: tuple[tuple[str, str], ...]  # (field, role) in the order of the turns
+    optional: tuple[str, ...] = ()  # fields that give no turn where they are absent
 
     def shape(self) -> str:
         return f"OBJECT<{', '.join(sorted(field for field, _ in self.fields))}>"
 
+    def fits(self, record: Column) -> Column:
+        """Whether the record has all required fields, among whatever others."""
+        wanted = [_has(record, field) for field, _ in self.fields if field not in self.optional]
+        return F.schema_of_variant(record).startswith("OBJECT<") & functools.reduce(Column.__and__, wanted)
+
     def turns(self, record: Column) -> Column:
-        return F.array(
-            *(
-                F.struct(F.lit(role).alias("role"), F.variant_get(record, f"$.{field}", "string").alias("text"))
-                for field, role in self.fields
-            )
-        )
+        def turn(field: str, role: str) -> Column:
+            made = F.struct(F.lit(role).alias("role"), _text(record, field).alias("text"))
+            return F.when(_has(record, field), made) if field in self.optional else made
+
+        return F.filter(F.array(*(turn(*field) for field in self.fields)), lambda t: t.isNotNull())
 
 
 MAPPINGS = (
     ListLayout("messages", "messages", "role", "content"),
     ListLayout("conversations", "conversations", "from", "value"),
     FieldLayout("prompt", (("prompt", "user"), ("response", "assistant"))),
-    FieldLayout("instruction", (("system", "system"), ("instruction", "user"), ("output", "assistant"))),
+    FieldLayout("instruction", (("system", "system"), ("instruction", "user"), ("output", "assistant")), ("system",)),
 )
 
 
@@ -86,14 +114,24 @@ def fingerprint(record: Column) -> Column:
 
 
 def canonical_turns(df: DataFrame, record: str = "record", out: str = "turns", mappings=MAPPINGS) -> DataFrame:
-    """``df`` with ``layout`` (null if unknown) and the turns, chosen by fingerprint."""
+    """``df`` with ``layout`` (null if unknown) and the turns, chosen by fingerprint.
+
+    A fingerprint that is not that of a mapping itself goes to the first mapping whose
+    required paths are among its paths. This looks at paths only, so that it is the same
+    for all records of one fingerprint.
+    """
     found = fingerprint(df[record])
-    layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS_TYPE)
+    layout = F.lit(None).cast("string")
+    for mapping in reversed(mappings):
+        layout = F.when(mapping.fits(df[record]), F.lit(mapping.name)).otherwise(layout)
     for mapping in mappings:
         same = found == hashlib.sha256(mapping.shape().encode()).hexdigest()
         layout = F.when(same, F.lit(mapping.name)).otherwise(layout)
-        turns = F.when(same, mapping.turns(df[record])).otherwise(turns)
-    return df.withColumns({"layout": layout, out: turns})
+    named = df.withColumn("layout", F.when(df[record].isNotNull(), layout))
+    turns = F.lit(None).cast(TURNS_TYPE)
+    for mapping in mappings:
+        turns = F.when(F.col("layout") == mapping.name, mapping.turns(named[record])).otherwise(turns)
+    return named.withColumn(out, turns)
 
 
 def escaped(text: Column) -> Column:
@@ -143,6 +181,12 @@ def loss_spans(text: Column) -> Column:
     return F.aggregate(parts, start, step, lambda state: state["spans"])
 
 
+def learned_text(text: Column, spans: Column) -> Column:
+    """What lies under the loss mask, unescaped, with nothing between."""
+    cut = F.transform(spans, lambda s: unescaped(F.substr(text, s["start"] + 1, s["end"] - s["start"])))
+    return F.array_join(cut, "")
+
+
 def format_records(df: DataFrame, record: str = "record", mappings=MAPPINGS) -> DataFrame:
     """``df`` with layout, turns, the formatted text and its loss mask as spans."""
     with_turns = canonical_turns(df, record, "turns", mappings)

@@ -32,15 +32,15 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     case = spark.sql(f"SELECT * FROM {_ESCAPE_CASE}")
     done = chat.format_records(chat.records(rows.unionByName(case)))
-    back = done.select("conv_id", "layout", "formatted", chat.read_turns(F.col("formatted")).alias("back"))
+    learned = chat.learned_text(F.col("formatted"), F.col("loss_spans"))
+    back = done.select("conv_id", "formatted", learned.alias("learned"), chat.read_turns(F.col("formatted")).alias("back"))
     lines = F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    learned = F.array_join(F.transform(F.filter("back", lambda t: t["learned"]), lambda t: t["text"]), "")
     return back.select(
         "conv_id",
         F.size("back").cast("long").alias("n_turns"),
         F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
-        F.length(learned).cast("long").alias("loss_chars"),
-        F.sha2(learned, 256).alias("loss_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
 

@@ -7,10 +7,11 @@ checksums stay sound. Record: 1 if the key is null, else 0 (1 byte), the key (8)
 bytes of an id (1), the ids.
 
 Files are written by Spark's own writer below the shared folder and hold the records
-by ascending key; the names ascend with the keys. They are cut after
-``RECORDS_PER_FILE`` records, since a file is read as one row. The index has one row
-for each record: file, offset, length, key, number of ids, their checksum, and the
-ids before it in all files. ``read_record`` fetches one record by it.
+by ascending key; task and number of a file, both in its name, ascend with the keys. A
+file is read as one row, so that it is cut by bytes: after ``BLOCKS_PER_FILE`` blocks of
+some ``BLOCK_BYTES``, or of one longer record. The index has one row for each record:
+file, offset, length, key, number of ids, their checksum, and the ids before it in all
+files. ``read_record`` fetches one record by it.
 
 Null texts are empty, so that only the end id remains. Null keys come first; equal
 keys are ordered by a hash of the text and else stand in any order. An empty table
@@ -36,7 +37,8 @@ from tidelake.llm.tables import keyed, texts
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
-RECORDS_PER_FILE = 4096
+BLOCK_BYTES = 2 << 20
+BLOCKS_PER_FILE = 8
 INDEX = "_index"
 
 _NAMES = ["file", "offset", "length", "doc_id", "n_tokens", "ids_crc32", "before"]
@@ -185,14 +187,24 @@ def write_records(df: DataFrame, target: str, key: str = "doc_id", text: str = "
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter("token_records", encoder.cache_clear)
         encode = encoder(path)
+        block, size = [], 0
+
+        def out() -> pa.RecordBatch:
+            # The last newline is added by the writer of lines.
+            return pa.RecordBatch.from_arrays([pa.array([b"".join(block)[: -len(_CLOSE)]], pa.binary())], ["frames"])
+
         for batch in batches:
             keys = batch.column(0).to_pylist()
             for at in range(0, batch.num_rows, 256):
-                part = zip(keys[at : at + 256], encode(texts(batch.column(1).slice(at, 256))), strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    # The newline is added by the writer of lines.
-                    [pa.array([frame(pack(k, ids))[: -len(_CLOSE)] for k, ids in part], pa.binary())], ["frame"]
-                )
+                for k, ids in zip(keys[at : at + 256], encode(texts(batch.column(1).slice(at, 256))), strict=True):
+                    framed = frame(pack(k, ids))
+                    if block and size + len(framed) > BLOCK_BYTES:
+                        yield out()
+                        block, size = [], 0
+                    block.append(framed)
+                    size += len(framed)
+        if block:
+            yield out()
 
     order = [F.asc_nulls_first("doc_id"), F.asc("tie")]
     (
@@ -201,10 +213,10 @@ def write_records(df: DataFrame, target: str, key: str = "doc_id", text: str = "
         .repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order)
         .sortWithinPartitions(*order)
         .select("doc_id", "text")
-        .mapInArrow(work, "frame binary")
-        .select(F.col("frame").cast("string").alias("value"))
+        .mapInArrow(work, "frames binary")
+        .select(F.col("frames").cast("string").alias("value"))
         .write.option("lineSep", _CLOSE.decode())
-        .option("maxRecordsPerFile", RECORDS_PER_FILE)
+        .option("maxRecordsPerFile", BLOCKS_PER_FILE)
         .text(target)
     )
 
@@ -242,15 +254,19 @@ def write_index(spark: SparkSession, target: str) -> None:
 def read_index(spark: SparkSession, target: str) -> DataFrame:
     """The index with ``start``, the ids before a record in all files.
 
-    One row for each file is added up in one place; the records are joined with that.
+    The files of each writing task are added up together, and one row for each task in
+    one place; the records are joined with that.
     """
     records = spark.read.schema(_INDEX_SCHEMA).parquet(f"{target}/{INDEX}")
-    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    files = (
-        records.groupBy("file")
-        .agg(F.sum("n_tokens").alias("ids"))
-        .select("file", F.coalesce(F.sum("ids").over(earlier), F.lit(0)).alias("earlier"))
-    )
+    # As numbers: names are not padded beyond five and three digits.
+    task, number = (F.regexp_extract("file", r"part-([0-9]+)-[^/]*-c([0-9]+)[^/]*$", i).cast("long") for i in (1, 2))
+    files = records.groupBy("file").agg(F.sum("n_tokens").alias("ids")).withColumns({"task": task, "number": number})
+    earlier_tasks = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = files.groupBy("task").agg(F.sum("ids").alias("ids"))
+    tasks = tasks.select("task", F.coalesce(F.sum("ids").over(earlier_tasks), F.lit(0)).alias("in_tasks"))
+    earlier_files = Window.partitionBy("task").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("file", "task", F.coalesce(F.sum("ids").over(earlier_files), F.lit(0)).alias("in_files"))
+    files = files.join(tasks, "task").select("file", (F.col("in_tasks") + F.col("in_files")).alias("earlier"))
     return records.join(files, "file").withColumn("start", F.col("earlier") + F.col("before")).drop("earlier")
 
 
