@@ -67,3 +67,35 @@ def test_a_rule_mapping_of_any_size(spark):
             (str(i), f'job "{i}"') for i in range(min(size, 5))
         ]
         assert found.columns == ["key", "_key", "target"]
+
+
+def test_rules_join_like_the_longest_prefix(spark):
+    keys = ["a/b/c", "a/b", "a", "", None, "x/y", "a/b/c", "é/1"]
+    rules = [("a", "A"), ("a/b", "AB"), ("a/b", "AA"), ("a/b/c/d", "long"), ("é/", "E"), (None, "no")]
+    df = spark.createDataFrame([(i, k, "old") for i, k in enumerate(keys)], "n int, key string, _key string")
+    table = spark.createDataFrame(rules, "prefix string, role string")
+    found = [r["role"] for r in filters.route_by_rules(df, table).orderBy("n").collect()]
+    assert found == ["AA", "AA", "A", None, None, None, "AA", "E"]
+    with_default = table.union(spark.createDataFrame([("", "any")], "prefix string, role string"))
+    found = [r["role"] for r in filters.route_by_rules(df, with_default).orderBy("n").collect()]
+    assert found == ["AA", "AA", "A", "any", None, "any", "AA", "E"]
+    assert filters.route_by_rules(df, table.limit(0)).filter("role IS NOT NULL").count() == 0
+    assert filters.route_by_rules(df.limit(0), table).count() == 0
+
+
+def test_rules_can_go_by_their_own_order(spark):
+    df = spark.createDataFrame([("a/b/c",), ("a",), ("x",)], "key string")
+    rules = [("a/b", "late", 9), ("a", "early", 1), ("", "first", 0), ("x", "x", 5)]
+    table = spark.createDataFrame(rules, "prefix string, role string, place int")
+    assert {r["key"]: r["role"] for r in filters.route_by_rules(df, table, first="place").collect()} == {"a/b/c": "first", "a": "first", "x": "first"}
+    found = filters.route_by_rules(df, table.filter("prefix <> ''"), first="place").collect()
+    assert {r["key"]: r["role"] for r in found} == {"a/b/c": "early", "a": "early", "x": "x"}
+
+
+def test_a_hundred_thousand_rules_need_no_chain_and_no_nested_loop(spark):
+    rules = spark.range(100_000).selectExpr("concat('p', id, '/') AS prefix", "concat('r', id) AS role")
+    keys = spark.range(1_000).selectExpr("concat('p', id * 100, '/file') AS key")
+    routed = filters.route_by_rules(keys, rules)
+    plan = routed._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and len(plan) < 40_000
+    assert routed.filter("role = concat('r', substring(key, 2, length(key) - 6))").count() == 1_000

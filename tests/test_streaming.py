@@ -8,10 +8,18 @@ from pathlib import Path
 import pytest
 
 from tidelake.functions.notifications import parse_notifications
-from tidelake.operators.arrivals import arrival_gate, manifest_latest
+from tidelake.operators.arrivals import arrival_gate, latest_by_role, manifest_latest
 from tidelake.operators.filters import route_prefix
 from tidelake.plans.arrivals import drain_and_build, drain_and_open
-from tidelake.streaming.drain import drain_aggregate, drain_to_table, latest_rows, read_new_files
+from tidelake.streaming.drain import (
+    current_rows,
+    drain_aggregate,
+    drain_changes,
+    drain_to_table,
+    fold_changes,
+    latest_rows,
+    read_new_files,
+)
 
 MESSAGES = "seq long, body string"
 
@@ -218,3 +226,33 @@ def test_batches_are_opened_once(spark, box, rows):
     post(spark, box["inbox"], [("y", "b", day), ("x", "a", day)], text)
     assert run() == [[("y", day)], [(None, "a")]]
     assert run() == [[], [(None, "a")]]
+
+
+def test_a_batch_writes_only_the_roles_it_changed(spark, box):
+    schema = schema_of(spark, "seq long, role string, key string")
+    kept = ["role"]
+
+    def drain():
+        rows = latest_by_role(read_new_files(spark, box["inbox"], schema), ["seq"])
+        drain_changes(rows, box["table"], box["checkpoint"])
+        return {r.role: r.key for r in current_rows(spark, box["table"], rows.schema, kept).collect()}
+
+    def changed(epoch):
+        return {r.role: r.key for r in spark.read.parquet(f"{box['table']}/epoch={epoch}").collect()}
+
+    Path(box["inbox"]).mkdir()
+    assert drain() == {}
+    post(spark, box["inbox"], [(1, "a", "a1"), (2, "b", "b2"), (3, None, "none")], "seq long, role string, key string")
+    assert drain() == {"a": "a1", "b": "b2"}
+    # The query is started anew: what it knows comes from the state store.
+    post(spark, box["inbox"], [(5, "b", "b5"), (0, "a", "a0"), (4, "c", "c4")], "seq long, role string, key string")
+    assert drain() == {"a": "a1", "b": "b5", "c": "c4"}
+    last = max(int(p.name.removeprefix("epoch=")) for p in Path(box["table"]).glob("epoch=*"))
+    assert changed(last)["b"] == "b5" and changed(last).get("a", "a1") == "a1"
+    rows_schema = schema_of(spark, "role string, key string")
+    for _ in range(2):
+        fold_changes(spark, box["table"], rows_schema, kept)
+        assert {r.role: r.key for r in current_rows(spark, box["table"], rows_schema, kept).collect()} == {"a": "a1", "b": "b5", "c": "c4"}
+    post(spark, box["inbox"], [(9, "a", "a9")], "seq long, role string, key string")
+    assert drain() == {"a": "a9", "b": "b5", "c": "c4"}
+    assert len(list(Path(box["table"]).glob("epoch=*"))) <= 3

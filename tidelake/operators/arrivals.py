@@ -34,6 +34,16 @@ def manifest_latest(
     return rows.filter(F.col("key").isNotNull())
 
 
+def latest_by_role(routed: DataFrame, order: Sequence[str], key: str = "key") -> DataFrame:
+    """``role, key``: the key of each role that came last by ``order``; for any number of roles.
+
+    In a stream the state is one row for each role.
+    """
+    last = F.struct(*[F.col(name) for name in order], F.col(key).alias("_key"))
+    found = routed.filter(F.col("role").isNotNull()).groupBy("role").agg(F.max(last).alias("_last"))
+    return found.select("role", F.col("_last._key").alias("key"))
+
+
 def _first_seen(
     arrivals: DataFrame, batch: str, source: str, moment: str, required: Sequence[str]
 ) -> DataFrame:

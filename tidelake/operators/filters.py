@@ -50,6 +50,41 @@ def route_prefix(keys: DataFrame, routes: Mapping[str, str], key: str = "key") -
     return keys.withColumn("role", role)
 
 
+def route_by_rules(keys: DataFrame, rules: DataFrame, key: str = "key", first: str | None = None) -> DataFrame:
+    """Add ``role`` by any number of rules, a DataFrame of (prefix, role); null for none.
+
+    The longest prefix wins, or with ``first`` the rule that is least by that column of
+    ``rules``; ties go to the least role. Each distinct key is cut at the lengths that
+    prefixes have, which are as many as the longest one has characters, and its beginnings
+    meet the rules in a join on equal texts. A null key has no role.
+    """
+    found, role = free_name("_key", keys), free_name("role", keys)
+    place = F.col(first) if first else F.lit(0)
+    ranked = rules.filter(F.col("prefix").isNotNull()).groupBy("prefix").agg(F.min(F.struct(place.alias("place"), "role")).alias("rule"))
+    # The empty prefix would be one join key for all rows.
+    anything = ranked.filter("prefix = ''").select("rule").first()
+    ranked = ranked.filter("prefix <> ''")
+    lengths = sorted(row[0] for row in ranked.select(F.length("prefix")).distinct().collect())
+    distinct = keys.select(quoted(key).alias(found)).filter(F.col(found).isNotNull()).distinct()
+    cuts = F.filter(F.lit(lengths).cast("array<int>"), lambda n: n <= F.length(found))
+    cut = distinct.select(found, F.explode(cuts).alias("_length"))
+    cut = cut.select(found, "_length", F.substring(found, F.lit(1), F.col("_length")).alias("prefix"))
+    order = F.struct("rule.place", F.lit(0).alias("length"), "rule.role") if first else F.struct(
+        F.lit(0).alias("place"), (-F.col("_length")).alias("length"), "rule.role"
+    )
+    best = cut.join(ranked, "prefix").groupBy(found).agg(F.min(order).alias("_best"))
+    routed = keys.join(best, quoted(key) == F.col(found), "left")
+    chosen = F.col("_best.role")
+    if anything:
+        rule = anything["rule"]
+        other = F.lit(rule["role"])
+        better = F.col("_best").isNull()
+        if first:
+            better = better | (F.lit(rule["place"]) < F.col("_best.place"))
+        chosen = F.when(F.col(key).isNotNull(), F.when(better, other).otherwise(chosen))
+    return routed.withColumn(role, chosen).drop(found, "_best")
+
+
 def unrouted(routed: DataFrame) -> DataFrame:
     """Keys that no prefix took."""
     return routed.filter(F.col("role").isNull())

@@ -12,11 +12,13 @@ from tidelake.functions.notifications import (
     parse_notifications,
 )
 from tidelake.operators import arrivals as ops
-from tidelake.operators.filters import lookup_exact, route_prefix, unmatched_keys
+from tidelake.operators.filters import lookup_exact, route_by_rules, route_prefix, unmatched_keys
 from tidelake.plans.arrivals import drain_and_open
 from tidelake.queries import tables as t
 from tidelake.session import new_folder
-from tidelake.streaming.drain import drain_aggregate, drain_to_table, latest_rows
+from tidelake.streaming.drain import current_rows, drain_aggregate, drain_changes, drain_to_table, fold_changes, latest_rows
+from tidelake.streaming.gate import drain_gate, gate_rows
+from tidelake.streaming.ledger import drain_files
 
 _ROLES = list(t.ROUTES.values())
 _ORDER = ["page_id", "record_no"]
@@ -157,6 +159,45 @@ def stream_gate(spark, sf_dir):
     return _aggregated(spark, ops.arrival_gate(arrived, "batch", "source", "ts", t.AWAITED), ["batch"])
 
 
+def route_rules(spark, sf_dir):
+    """Routing by rules that come from the data: a beginning of each path is a prefix."""
+    keys = _keys(spark, sf_dir)
+    rules = keys.filter("record_no = 0").select(
+        F.expr("substring(key, 1, 4 + CAST(page_id % 9 AS INT))").alias("prefix"), F.concat(F.lit("r"), F.col("page_id") % 7).alias("role")
+    )
+    return route_by_rules(keys, rules)
+
+
+def stream_latest(spark, sf_dir):
+    """The last key of each role, from the changes that the batches of a stream wrote."""
+    folder = new_folder(spark, "stream")
+    routed = route_prefix(parse_notifications(t.messages(t.stream(spark, sf_dir, "pages"))), t.ROUTES)
+    rows = ops.latest_by_role(created(routed), _ORDER)
+    drain_changes(rows, f"{folder}/table", f"{folder}/checkpoint")
+    fold_changes(spark, f"{folder}/table", rows.schema, ["role"])
+    return current_rows(spark, f"{folder}/table", rows.schema, ["role"])
+
+
+def gate_states(spark, sf_dir):
+    """Opened and missing batches of a stream that forgets what is a day older than the latest."""
+    folder = new_folder(spark, "gate")
+    drain_gate(t.hourly(t.stream(spark, sf_dir, "events")), folder, t.AWAITED, delay="1 day")
+    return gate_rows(spark, folder)
+
+
+def ledger_files(spark, sf_dir):
+    """Files read once by a ledger of their names, over two runs, with an archive."""
+    folder = new_folder(spark, "ledger")
+    rows = t.events(spark, sf_dir)
+    for part in range(2):
+        rows.filter(F.col("event_id") % 2 == part).write.mode("append").parquet(f"{folder}/inbox")
+        for _ in range(2):
+            drain_files(
+                spark, f"{folder}/inbox", rows.schema, f"{folder}/table", f"{folder}/ledger", archive=f"{folder}/archive"
+            )
+    return spark.read.schema(rows.schema).parquet(f"{folder}/table")
+
+
 def wait_for_all(spark, sf_dir):
     """The wait-for-all job, run twice: batches opened by each run, and what others lack."""
     folder = new_folder(spark, "waiting")
@@ -191,6 +232,10 @@ QUERIES = {
     "stream_manifest": stream_manifest,
     "stream_gate": stream_gate,
     "wait_for_all": wait_for_all,
+    "route_rules": route_rules,
+    "stream_latest": stream_latest,
+    "gate_states": gate_states,
+    "ledger_files": ledger_files,
 }
 
 SQL = {
@@ -227,4 +272,19 @@ SQL = {
         SELECT batch, 'opened 0' AS state, NULL::VARCHAR AS source, ready_at FROM ({_GATE})
         UNION ALL SELECT batch, 'missing', source, NULL::TIMESTAMP FROM ({_MISSING})
     """,
+    "route_rules": f"""
+        SELECT k.page_id, k.record_no, any_value(k.event_name) AS event_name, any_value(k.key) AS key,
+               min_by(r.role, {{'length': -length(r.prefix), 'role': r.role}}) AS role
+        FROM ({_KEYS}) AS k LEFT JOIN (
+            SELECT substr(key, 1, CAST(4 + page_id % 9 AS INT)) AS prefix, 'r' || page_id % 7 AS role
+            FROM ({_KEYS}) WHERE record_no = 0
+        ) AS r ON starts_with(k.key, r.prefix) GROUP BY k.page_id, k.record_no
+    """,
+    "stream_latest": _MANIFEST,
+    "gate_states": f"""
+        SELECT 'opened' AS state, batch, NULL::VARCHAR AS source, ready_at AS ts FROM ({_GATE})
+        UNION ALL SELECT 'missing', batch, source, NULL::TIMESTAMP FROM ({_MISSING})
+        WHERE batch < (SELECT max(date_trunc('hour', ts)) - INTERVAL 1 DAY FROM events WHERE event_type IN ('click', 'view', 'purchase', 'signup'))
+    """,
+    "ledger_files": "SELECT * FROM events",
 }

@@ -17,6 +17,7 @@ from tidelake.queries import tables as t
 from tidelake.session import new_folder
 from tidelake.sinks import tables as ddl
 from tidelake.sinks.partitioned import compact, write_partitioned
+from tidelake.sinks.publish import compact_small, publish_batch, stored_files
 from tidelake.sinks.text import line_values, write_partition_lines
 from tidelake.sources.files import ANY_TEXT, read_csv, read_lines
 from tidelake.sources.tables import literal_rows as rows_of, read_table
@@ -110,6 +111,37 @@ def compact_one_file(spark, sf_dir):
     return per_file.groupBy(*_KEYS).agg(F.sum("rows").alias("rows"), (F.count(F.lit(1)) >= 1).alias("has_files"))
 
 
+def _per_directory(files):
+    names = [F.regexp_extract("directory", f"/{key}=([^/]*)", 1).alias(key) for key in _KEYS]
+    return files.filter("path NOT LIKE '%/_published/%'").groupBy(*names).agg(F.count(F.lit(1)).alias("files"))
+
+
+def compact_selective(spark, sf_dir):
+    """Files of each directory before and after the small ones are merged, with its rows.
+
+    The clicks came in three appends; directories of one file stay as they are.
+    """
+    folder = new_folder(spark, "layout")
+    rows = t.layout_rows(spark, sf_dir)
+    write_partitioned(rows.filter("store_id <> 'click'"), folder, _KEYS, mode="append")
+    for part in range(3):
+        write_partitioned(rows.filter((F.col("store_id") == "click") & (F.col("event_id") % 3 == part)), folder, _KEYS, mode="append")
+    before = t.kept(_per_directory(stored_files(spark, folder)))
+    compact_small(spark, folder, _KEYS)
+    after = _per_directory(stored_files(spark, folder)).withColumnRenamed("files", "files_after")
+    stored = spark.read.schema(t.LAYOUT_SCHEMA).parquet(folder).groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("rows"))
+    return before.withColumnRenamed("files", "files_before").join(after, _KEYS).join(stored, _KEYS)
+
+
+def publish_once(spark, sf_dir):
+    """A layout after three batches, of which two were appended again."""
+    folder = new_folder(spark, "layout")
+    rows = t.layout_rows(spark, sf_dir)
+    for part in (0, 1, 1, 2, 0):
+        publish_batch(rows.filter(F.col("event_id") % 3 == part), folder, _KEYS, f"part-{part}")
+    return spark.read.schema(t.LAYOUT_SCHEMA).parquet(folder)
+
+
 # The columns of the files in order, then those of the directories.
 _NOTED_SCHEMA = (
     "event_id BIGINT, payment_date TIMESTAMP_NTZ, amount DECIMAL(10,2), note STRING, "
@@ -243,6 +275,8 @@ QUERIES = {
     "sink_partitioned_parquet": sink_partitioned_parquet,
     "sink_partitioned_csv_overwrite": sink_partitioned_csv_overwrite,
     "compact_one_file": compact_one_file,
+    "compact_selective": compact_selective,
+    "publish_once": publish_once,
     "external_csv_table": external_csv_table,
     "recover_partitions": recover_partitions,
     "insert_rows": insert_rows,
@@ -278,6 +312,12 @@ SQL = {
     "compact_one_file": f"""
         SELECT store_id, rental_dt, count(*) AS rows, true AS has_files FROM ({_LAYOUT}) GROUP BY ALL
     """,
+    "compact_selective": f"""
+        SELECT store_id, rental_dt, CASE WHEN store_id = 'click' THEN count(DISTINCT event_id % 3) ELSE 1 END AS files_before,
+               1::BIGINT AS files_after, count(*) AS rows
+        FROM ({_LAYOUT}) GROUP BY store_id, rental_dt
+    """,
+    "publish_once": _LAYOUT,
     "external_csv_table": f"SELECT *, {t.odd_sql('event_id')} AS note FROM ({_LAYOUT})",
     "recover_partitions": f"SELECT store_id, rental_dt, count(*) AS rows FROM ({_LAYOUT}) GROUP BY ALL",
     "insert_rows": """

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidelake.functions.columns import iso_text
+from tidelake.session import new_folder
 from tidelake.sources.files import MOMENT_FORMAT
 from tidelake.streaming.drain import read_new_files
 
@@ -155,6 +156,13 @@ def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_new_files(spark, f"{sf_dir}/{name}.parque[t]", schema)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """The rows as they are now, written to the shared folder."""
+    path = new_folder(df.sparkSession, "kept")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     df.write.option("header", True).option("timestampNTZFormat", MOMENT_FORMAT).csv(path)
     return path

@@ -55,19 +55,59 @@ def find_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
 
 
-def folder_names(spark: SparkSession, path: str) -> list[str]:
-    """Names of what lies in a folder, on any file system that Spark reaches."""
+def _located(spark: SparkSession, path: str):
+    """A path and its file system, whatever file system Spark reaches it on."""
     context = spark.sparkContext
-    folder = context._jvm.org.apache.hadoop.fs.Path(path)
-    found = folder.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(folder)
-    return sorted(status.getPath().getName() for status in found)
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder."""
+    system, folder = _located(spark, path)
+    return sorted(status.getPath().getName() for status in system.listStatus(folder))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, place = _located(spark, path)
+    return system.exists(place)
+
+
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the files below a folder of this library's own, relative to it."""
+    system, folder = _located(spark, path)
+    start = system.makeQualified(folder).toString().rstrip("/") + "/"
+    found, names = system.listFiles(folder, True), []
+    while found.hasNext():
+        names.append(found.next().getPath().toString().removeprefix(start))
+    return sorted(names)
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file, with the folders above its new place; a file that was moved before is left."""
+    system, place = _located(spark, source)
+    _, goal = _located(spark, target)
+    if system.exists(place):
+        system.mkdirs(goal.getParent())
+        if not system.rename(place, goal):
+            raise OSError(f"{source} cannot be moved to {target}")
+
+
+def remove_file(spark: SparkSession, path: str) -> None:
+    system, place = _located(spark, path)
+    system.delete(place, False)
+
+
+def mark_file(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    system, place = _located(spark, path)
+    system.create(place, True).close()
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder of this library's own, on any file system that Spark reaches."""
-    context = spark.sparkContext
-    folder = context._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    """Delete a folder of this library's own."""
+    system, folder = _located(spark, path)
+    system.delete(folder, True)
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

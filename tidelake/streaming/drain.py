@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelake.session import folder_names, remove_folder
+from tidelake.session import folder_names, path_exists, remove_folder
 
 
 def read_new_files(
@@ -94,6 +96,70 @@ def drain_aggregate(
     return query
 
 
+def drain_changes(stream: DataFrame, table: str, checkpoint: str, mode: str = "update") -> StreamingQuery:
+    """Write only the rows that a batch of an aggregating stream has changed, then stop.
+
+    Spark's state store keeps one row for each key, from which a restart goes on; each
+    batch writes what it changed below ``epoch=N``, which it overwrites if it is redone.
+    :func:`current_rows` reads the last row of each key, :func:`fold_changes` keeps the
+    number of folders small.
+    """
+    stream.sparkSession.createDataFrame([], stream.schema).write.mode("ignore").parquet(f"{table}/epoch=-1")
+
+    def write(rows: DataFrame, epoch: int) -> None:
+        rows.hint("rebalance").write.mode("overwrite").parquet(f"{table}/epoch={epoch}")
+
+    query = (
+        stream.writeStream.outputMode(mode)
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def _changes(spark: SparkSession, table: str) -> list[int]:
+    return sorted(int(name.removeprefix("epoch=")) for name in folder_names(spark, table) if name.startswith("epoch="))
+
+
+def current_rows(spark: SparkSession, table: str, schema: T.StructType, keys: list[str]) -> DataFrame:
+    """The rows of a :func:`drain_changes` table, one for each key: that of its last batch.
+
+    A folder that :func:`fold_changes` wrote is named by the last batch that went into it
+    and read instead of all up to that.
+    """
+    folded = [int(name.removeprefix("folded-")) for name in folder_names(spark, table) if re.fullmatch(r"folded-\d+", name)]
+    whole = max((n for n in folded if path_exists(spark, f"{table}/folded-{n}/_SUCCESS")), default=None)
+    later = [epoch for epoch in _changes(spark, table) if whole is None or epoch > whole]
+    folders = [f"{table}/epoch={epoch}" for epoch in later] + ([f"{table}/folded-{whole}"] if whole is not None else [])
+    if not folders:
+        return spark.createDataFrame([], schema)
+    at = F.regexp_extract("_metadata.file_path", r"/(?:epoch=|folded-)(-?\d+)/[^/]*$", 1).cast("long")
+    rows = spark.read.schema(schema).parquet(*folders).withColumn("_epoch", at)
+    values = F.struct(*[F.col(f"`{name}`") for name in schema.names])
+    return rows.groupBy(*keys).agg(F.max_by(values, "_epoch").alias("_row")).select("_row.*")
+
+
+def fold_changes(spark: SparkSession, table: str, schema: T.StructType, keys: list[str]) -> None:
+    """Write the current row of each key to one folder and remove those it stands for.
+
+    Readers go by the folded folder as soon as it is whole, so that this may die anywhere.
+    """
+    epochs = _changes(spark, table)
+    if epochs[-1] < 0:
+        return
+    target = f"folded-{epochs[-1]}"
+    if not path_exists(spark, f"{table}/{target}/_SUCCESS"):
+        current_rows(spark, table, schema, keys).hint("rebalance").write.mode("overwrite").parquet(f"{table}/{target}")
+    for epoch in epochs[:-1]:
+        remove_folder(spark, f"{table}/epoch={epoch}")
+    for name in folder_names(spark, table):
+        if name.startswith("folded-") and name != target:
+            remove_folder(spark, f"{table}/{name}")
+
+
 def latest_rows(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
     """The rows of a :func:`drain_aggregate` table, one for each key."""
     rows = _stored(spark, table, schema)
