@@ -3,15 +3,18 @@
 Base spans (email, ip, card, phone) come from fixed patterns and always stay. Other
 candidates (national ids, account numbers, phones without a country, credentials, names:
 what follows a title, and runs of capitalised words that hold a listed name) are judged:
-labelers by format, gazetteer, title, context and shape vote for, against or not at all, base spans being judged along with them. Expectation maximisation
-over the counts of each combination of votes estimates how reliable each labeler is, and
-a naive Bayes classifier over the form of a span is trained with the posteriors. Spans
-it gives at least ``THRESHOLD`` are added, unless they overlap a base span.
+labelers by format, gazetteer, title, context and shape vote for, against or not at all.
+Expectation maximisation over the counts of each combination of votes estimates how often
+each labeler is right and how common true spans of each kind are; a labeler that does not
+vote says nothing. A naive Bayes classifier over the form of a span (its words and their
+shapes, what stands before it) is trained with the posteriors. Spans it gives at least
+``THRESHOLD`` are added, unless they overlap a base span. No candidate is bounded in length.
 
 Positions come from cutting a text at the matches: the pieces between them and the
 matches alternate, so that their lengths add up to code points. Counts are over all
 documents; there is at most one row for each combination of votes and form, whatever the
-size of the input. Each text is scanned twice, once to count and once to label.
+size of the input. Each text is scanned once: its spans are written beside it, from which
+they are counted and then labelled.
 
 Null and empty texts have no spans. Repeated rows are labelled each and count each. An
 empty table, or one without candidates, adds no spans. All columns of the input are kept
@@ -30,6 +33,8 @@ THRESHOLD = 0.5
 ROUNDS = 10_000  # never reached where the reliabilities settle
 SETTLED = 1e-6  # of a log odds, between two rounds
 SMOOTHING = 1.0
+# What is known of a labeler before its votes are seen: so many right and wrong ones.
+RIGHT, WRONG = 8.0, 2.0
 CONTEXT_CHARS = 32
 
 # The patterns of the contract, in possessive form, which finds the same matches without
@@ -43,9 +48,9 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 
 # What may be personal besides; the kinds of matches are told apart by `_ADDED_FORMS`.
 _ID = r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])"
-_ACCOUNT = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])"
+_ACCOUNT = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,}+(?![A-Za-z0-9])"
 _LOCAL_PHONE = r"(?<![0-9+.(-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9])"
-_SECRET = r"(?<![A-Za-z0-9])(?=[0-9]{0,63}[A-Za-z])(?=[A-Za-z]{0,63}[0-9])[A-Za-z0-9]{16,64}(?![A-Za-z0-9])"
+_SECRET = r"(?<![A-Za-z0-9])(?=[0-9]*+[A-Za-z])(?=[A-Za-z]*+[0-9])[A-Za-z0-9]{16,}+"
 # Given names and surnames that are common in the languages of the documents.
 GAZETTEER = (
     "Anna|Antonio|Carlos|Carmen|Charles|David|Elena|Emma|Garcia|Hans|James|Jean|John|José|Juan|Klaus|Laura|"
@@ -53,20 +58,19 @@ GAZETTEER = (
 )
 
 _TITLE = r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Sr|Sra|Mme|Mlle)"
-_TITLED = (
-    r"(?=[DFHMPS])(?<![\p{L}\p{N}])" + _TITLE + r"\.? "
-    r"\p{Lu}[\p{L}'-]{1,40}(?: \p{Lu}[\p{L}'-]{1,40})?"
-)
-_WORD = r"(?!" + _TITLE + r"(?![\p{L}\p{N}]))\p{Lu}(?:[\p{L}'-]{1,40}(?![\p{L}\p{N}])|\.)"
+# A whole word; a single letter may end in a dot. Runs begin where no word goes on before.
+_WORD = r"(?!" + _TITLE + r"(?![\p{L}\p{N}]))\p{Lu}(?:[\p{L}'-]++(?![\p{L}\p{N}])|\.)"
+_BEGIN = r"(?=\p{Lu})(?<![\p{L}\p{N}'-])"
+_TITLED = rf"(?=[DFHMPS]){_BEGIN}{_TITLE}\.? {_WORD}(?: {_WORD})?"
 # Up to two words before the listed name and two after it.
-_LISTED = rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}])(?:{_WORD} ){{0,2}}?(?:{GAZETTEER})(?![\p{{L}}\p{{N}}])(?: {_WORD}){{0,2}}"
+_LISTED = rf"{_BEGIN}(?:{_WORD} ){{0,2}}?(?:{GAZETTEER})(?![\p{{L}}\p{{N}}])(?: {_WORD}){{0,2}}"
 _NAME = f"{_TITLED}|{_LISTED}"
 # All of these hold a digit.
 _NUMBERED = f"{_ID}|{_ACCOUNT}|{_LOCAL_PHONE}|{_SECRET}"
 _ADDED_FORMS = (
     ("id", r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"),
     ("local_phone", r"^\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}$"),
-    ("account", r"^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$"),
+    ("account", r"^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,}+$"),
     ("name", r"^[^0-9]+$"),
 )
 ADDED_KINDS = ("account", "id", "local_phone", "name", "secret")
@@ -79,6 +83,12 @@ CUES = (
     "phone|secret|ssn|tel|telefon|teléfono|téléphone|token|user"
 )
 
+# Words of places and houses, which are not persons whatever name they bear.
+PLACES = (
+    "Avenue|Avenida|Bridge|Calle|Church|College|Company|Gasse|Inc|Institut|Institute|Lane|Ltd|Place|Plaza|Platz|Road|"
+    "Rue|Saint|San|Sankt|Santa|School|Square|Straße|Street|University|Weg"
+)
+
 SPAN = "struct<kind:string,start:int,end:int,value:string,before:string>"
 
 
@@ -175,7 +185,7 @@ def with_spans(df: DataFrame, text: str) -> DataFrame:
     found = F.concat(
         F.when(value.rlike("[0-9]"), _matches(value, _NUMBERED, "")).otherwise(none),
         # Most texts hold neither a title nor a listed name.
-        F.when(value.rlike(f"{_TITLE}\\.? |{GAZETTEER}"), _matches(value, _NAME, "")).otherwise(none),
+        F.when(value.rlike(f"{_BEGIN}{_TITLE}\\.? |(?=\\p{{Lu}})(?:{GAZETTEER})"), _matches(value, _NAME, "")).otherwise(none),
     )
     both = df.withColumns({"base_spans": base_spans(df[text]), "candidates": found})
 
@@ -190,33 +200,45 @@ def with_spans(df: DataFrame, text: str) -> DataFrame:
 
 
 def _by_format(s: Column) -> Column:
-    strict = s["kind"].isin("id", "local_phone", *BASE_KINDS) | s["value"].rlike("^(?:AKIA|ASIA|ghp_)")
+    strict = s["kind"].isin("id", "local_phone", "account") | s["value"].rlike("^(?:AKIA|ASIA|ghp_)")
     plain = (s["kind"] == "secret") & ~s["value"].rlike("^[0-9a-f]+$|^[A-Z0-9]+$")
     return F.when(strict, 1).when(plain, -1).otherwise(0)
 
 
+def _is_listed(s: Column) -> Column:
+    return s["value"].rlike(f"(?<![\\p{{L}}])(?:{GAZETTEER})(?![\\p{{L}}])")
+
+
+def _is_titled(s: Column) -> Column:
+    return s["value"].rlike(f"^{_TITLE}\\.? ")
+
+
+def _is_place(s: Column) -> Column:
+    inside = s["value"].rlike(f"(?<![\\p{{L}}])(?:{PLACES})(?![\\p{{L}}])")
+    before = F.lower(s["before"]).rlike(f"(?<![\\p{{L}}])(?:{PLACES.lower()})[ -]$")
+    return (s["kind"] == "name") & (inside | before)
+
+
 def _by_gazetteer(s: Column) -> Column:
-    listed = s["value"].rlike(f"(?<![\\p{{L}}])(?:{GAZETTEER})(?![\\p{{L}}])")
-    domain = (s["kind"] == "email") & s["value"].rlike(r"\.(?:com|org|net|edu|gov|de|fr|es|uk|io)$")
-    return F.when(listed | domain, 1).otherwise(0)
+    return F.when((s["kind"] == "name") & _is_listed(s) & ~_is_place(s), 1).otherwise(0)
 
 
 def _by_title(s: Column) -> Column:
-    return F.when(s["value"].rlike(f"^{_TITLE}\\.? "), 1).otherwise(0)
+    return F.when(_is_titled(s), 1).otherwise(0)
 
 
 def _by_context(s: Column) -> Column:
     cue = F.lower(s["before"]).rlike(f"(?<![\\p{{L}}])(?:{CUES})[^\\p{{L}}]{{0,12}}$")
     unit = s["before"].rlike(r"[%$€£#]\s?$")
-    return F.when(cue, 1).when(unit, -1).otherwise(0)
+    return F.when(unit, -1).when(cue, 1).otherwise(0)
 
 
 def _by_shape(s: Column) -> Column:
     letters = F.length(F.regexp_replace(s["value"], r"[^\p{L}]", ""))
     digits = F.length(_digits(s["value"]))
-    mixed = (letters > 0) & (digits * 5 >= F.length(s["value"]))
+    mixed = (s["kind"] != "name") & (letters > 0) & (digits * 5 >= F.length(s["value"]))
     same = s["value"].rlike(r"^(.)\1+$|(.)\2{7}|0123456|1234567|abcdef")
-    return F.when(same, -1).when(mixed | (s["kind"].isin("ip", "card", "phone")), 1).otherwise(0)
+    return F.when(same | _is_place(s), -1).when(mixed, 1).otherwise(0)
 
 
 LABELERS = {
@@ -249,7 +271,34 @@ def _mark(s: Column) -> Column:
     return F.when(last.rlike("""[=:"']"""), "assigned").when(last == "", "first").otherwise("plain")
 
 
-FORM = {"length": _length, "digit_share": _digit_share, "case": _case, "mark": _mark, "kind": lambda s: s["kind"]}
+def _cue(s: Column) -> Column:
+    """The listed word that stands right before, if any."""
+    return F.regexp_extract(F.lower(s["before"]), f"(?<![\\p{{L}}])({CUES}|{PLACES.lower()})[^\\p{{L}}]{{0,12}}$", 1)
+
+
+def _words(s: Column) -> Column:
+    return F.least(F.size(F.split(s["value"], r"[\x20.-]+")), F.lit(4)).cast("string")
+
+
+def _shape(s: Column) -> Column:
+    """Runs of capitals, small letters and digits as one letter each, of the first few runs."""
+    runs = F.regexp_replace(F.regexp_replace(s["value"], r"\p{Lu}+", "A"), r"[\p{L}&&[^A]]+", "a")
+    return F.left(F.regexp_replace(runs, r"[0-9]+", "0"), F.lit(6))
+
+
+FORM = {
+    "length": _length,
+    "digit_share": _digit_share,
+    "case": _case,
+    "mark": _mark,
+    "cue": _cue,
+    "words": _words,
+    "shape": _shape,
+    "listed": lambda s: _is_listed(s).cast("string"),
+    "titled": lambda s: _is_titled(s).cast("string"),
+    "place": lambda s: _is_place(s).cast("string"),
+    "kind": lambda s: s["kind"],
+}
 
 
 def _described(s: Column) -> Column:
@@ -257,10 +306,9 @@ def _described(s: Column) -> Column:
     return F.struct(*(part(s).cast("string").alias(name) for name, part in parts.items()))
 
 
-def combinations(df: DataFrame, text: str) -> DataFrame:
-    """How often each combination of votes and form occurs among base spans and candidates."""
-    spans = with_spans(df.select(df[text].alias("text")), "text")
-    one = spans.select(F.explode_outer(F.concat("base_spans", "candidates")).alias("s")).filter("s is not null")
+def combinations(spans: DataFrame) -> DataFrame:
+    """How often each combination of votes and form occurs among the candidates."""
+    one = spans.select(F.explode("candidates").alias("s"))
     described = one.select(_described(F.col("s")).alias("d")).select("d.*")
     return described.groupBy(*LABELERS, *FORM).agg(F.count(F.lit(1)).alias("n"))
 
@@ -268,78 +316,89 @@ def combinations(df: DataFrame, text: str) -> DataFrame:
 def _log_odds(weights: dict[str, dict[str, float]], bias: float, value) -> Column:
     total = F.lit(bias)
     for name, by_value in weights.items():
-        term = F.lit(0.0)
-        for key, weight in sorted(by_value.items()):
-            term = F.when(value(name) == key, F.lit(weight)).otherwise(term)
-        total = total + term
+        if by_value:
+            known = F.create_map(*(F.lit(x) for item in sorted(by_value.items()) for x in item))
+            total = total + F.coalesce(F.try_element_at(known, value(name)), F.lit(0.0))
     return total
 
 
-def _expected(counted: DataFrame, probability: Column, names) -> tuple[dict[str, dict[str, tuple[float, float]]], float, float]:
-    """For each value of each name, its expected counts among true and among other spans."""
+def _weights(counted: DataFrame, probability: Column) -> dict[str, dict[str, float]]:
+    """Log odds of each value of each name for each kind, from expected counts of true and other spans.
+
+    The kinds have their own odds, as what tells in one says nothing in another. A value
+    is taken to be as common among both as in all, with a weight of ``SMOOTHING`` spans.
+    """
     long = counted.select(
-        F.col("n"),
+        "n",
+        "kind",
         probability.alias("p"),
-        F.explode(F.array(*(F.struct(F.lit(k).alias("name"), F.col(k).alias("value")) for k in names))).alias("v"),
+        F.explode(F.array(*(F.struct(F.lit(k).alias("name"), F.col(k).alias("value")) for k in FORM))).alias("v"),
     )
     rows = (
-        long.groupBy("v.name", "v.value")
+        long.groupBy("kind", "v.name", "v.value")
         .agg(F.sum(F.col("n") * F.col("p")).alias("yes"), F.sum(F.col("n") * (1 - F.col("p"))).alias("no"))
-        .orderBy("name", "value")
-        .collect()  # some values for each name
+        .orderBy("kind", "name", "value")
+        .collect()  # some values for each kind and name
     )
-    table: dict[str, dict[str, tuple[float, float]]] = {name: {} for name in names}
+    whole = {row["kind"]: (row["yes"], row["no"]) for row in rows if row["name"] == "kind"}
+    table: dict[str, dict[str, float]] = {name: {} for name in FORM}
     for row in rows:
-        table[row["name"]][row["value"]] = (row["yes"], row["no"])
-    first = next(iter(table.values()))
-    return table, sum(yes for yes, _ in first.values()), sum(no for _, no in first.values())
-
-
-def _weights(table, yes: float, no: float) -> dict[str, dict[str, float]]:
-    """Log odds of each value, smoothed."""
-    return {
-        name: {
-            value: math.log((y + SMOOTHING) / (yes + SMOOTHING * len(by_value)))
-            - math.log((n + SMOOTHING) / (no + SMOOTHING * len(by_value)))
-            for value, (y, n) in by_value.items()
-        }
-        for name, by_value in table.items()
-    }
-
-
-def reliabilities(votes: list[dict]) -> tuple[dict[str, dict[str, float]], float]:
-    """Weights and bias of the labelers from the count ``n`` of each combination of votes."""
-    # To begin with, the majority.
-    odds = [float(sum(int(row[name]) for name in LABELERS)) for row in votes]
-    before: list[float] = []
+        yes, no = whole[row["kind"]]
+        if row["name"] == "kind":
+            table["kind"][row["kind"]] = math.log((yes + SMOOTHING) / (no + SMOOTHING))
+        else:
+            usual = SMOOTHING * (row["yes"] + row["no"]) / (yes + no)
+            table[row["name"]][f"{row['kind']}|{row['value']}"] = math.log(
+                (row["yes"] + usual) / (yes + SMOOTHING) * (no + SMOOTHING) / (row["no"] + usual)
+            )
+    return table
+
+
+def reliabilities(votes: list[dict]) -> tuple[dict[str, float], dict[str, float]]:
+    """The log odds that a vote of each labeler is right, and that a candidate of each kind is true.
+
+    From the count ``n`` of each ``kind`` and combination of votes. A labeler is right as
+    often for true spans as for others; what it does not vote on is no evidence. How
+    common true spans are is held halfway to even odds, so that no kind is taken whole or
+    not at all on few votes.
+    """
+    voted = [[(name, int(row[name])) for name in LABELERS if int(row[name])] for row in votes]
+    trust = dict.fromkeys(LABELERS, math.log(RIGHT / WRONG))
+    prior = {row["kind"]: 0.0 for row in votes}
     for _ in range(ROUNDS):
-        yes = no = 0.0
-        table: dict[str, dict[str, tuple[float, float]]] = {name: {} for name in LABELERS}
-        for row, o in zip(votes, odds, strict=True):
-            y, n = row["n"] / (1 + math.exp(-o)), row["n"] / (1 + math.exp(o))
-            yes, no = yes + y, no + n
-            for name, by_value in table.items():
-                a, b = by_value.get(row[name], (0.0, 0.0))
-                by_value[row[name]] = a + y, b + n
-        bias, weights = math.log((yes + SMOOTHING) / (no + SMOOTHING)), _weights(table, yes, no)
-        odds = [bias + sum(weights[name][row[name]] for name in LABELERS) for row in votes]
-        now = [bias, *(weight for by_value in weights.values() for weight in by_value.values())]
-        if before and max(abs(a - b) for a, b in zip(before, now, strict=True)) < SETTLED:
+        right, cast = dict.fromkeys(LABELERS, RIGHT), dict.fromkeys(LABELERS, RIGHT + WRONG)
+        true, count = dict.fromkeys(prior, SMOOTHING), dict.fromkeys(prior, 2 * SMOOTHING)
+        for row, some in zip(votes, voted, strict=True):
+            p = 1 / (1 + math.exp(-(prior[row["kind"]] + sum(vote * trust[name] for name, vote in some))))
+            true[row["kind"]] += row["n"] * (p + 0.5) / 2
+            count[row["kind"]] += row["n"]
+            for name, vote in some:
+                right[name] += row["n"] * (p if vote > 0 else 1 - p)
+                cast[name] += row["n"]
+        now = {name: math.log(right[name] / (cast[name] - right[name])) for name in LABELERS}
+        common = {kind: math.log(true[kind] / (count[kind] - true[kind])) for kind in prior}
+        moved = max(abs(a - b) for a, b in zip([*now.values(), *common.values()], [*trust.values(), *prior.values()], strict=True))
+        trust, prior = now, common
+        if moved < SETTLED:
             break
-        before = now
-    return weights, bias
+    return trust, prior
 
 
-def train(df: DataFrame, text: str = "text") -> tuple[dict[str, dict[str, float]], float] | None:
-    """Weights and bias of the span classifier, from all rows; None without candidates."""
-    counted = written(combinations(df, text).coalesce(1), "combinations")
-    votes = counted.groupBy(*LABELERS).agg(F.sum("n").alias("n")).orderBy(*LABELERS).collect()  # some hundred rows at most
+def fit(counted: DataFrame) -> tuple[dict[str, dict[str, float]], float] | None:
+    """Weights and bias of the span classifier from :func:`combinations`."""
+    votes = counted.groupBy("kind", *LABELERS).agg(F.sum("n").alias("n")).orderBy("kind", *LABELERS).collect()  # some hundred rows at most
     if not votes:
         return None
-    weights, bias = reliabilities([row.asDict() for row in votes])
-    probability = 1 / (1 + F.exp(-_log_odds(weights, bias, F.col)))
-    table, yes, no = _expected(counted, probability, FORM)
-    return _weights(table, yes, no), math.log((yes + SMOOTHING) / (no + SMOOTHING))
+    trust, prior = reliabilities([row.asDict() for row in votes])
+    by_vote = {name: {"1": odds, "-1": -odds} for name, odds in trust.items()}
+    probability = 1 / (1 + F.exp(-_log_odds({**by_vote, "kind": prior}, 0.0, F.col)))
+    return _weights(counted, probability), 0.0
+
+
+def train(df: DataFrame, text: str = "text") -> tuple[dict[str, dict[str, float]], float] | None:
+    """Weights and bias of the span classifier, from all rows; None without candidates."""
+    spans = with_spans(df.select(df[text].alias("text")), "text")
+    return fit(written(combinations(spans), "combinations"))
 
 
 def label(df: DataFrame, text: str = "text", model=None, out: str = "pii") -> DataFrame:
@@ -347,17 +406,20 @@ def label(df: DataFrame, text: str = "text", model=None, out: str = "pii") -> Da
 
     Without a model one is trained on the rows themselves.
     """
-    model = model or train(df, text)
     spans = with_spans(df.drop(out, "base_spans", "candidates"), text)
+    if model is None:
+        spans = written(spans, "pii-spans")
+        model = fit(written(combinations(spans), "combinations"))
     if model is None:
         added = F.array().cast(f"array<{SPAN}>")
     else:
         weights, bias = model
 
         def likely(s: Column) -> Column:
-            return _log_odds(weights, bias, lambda name: FORM[name](s).cast("string")) >= math.log(
-                THRESHOLD / (1 - THRESHOLD)
-            )
+            def value(name: str) -> Column:
+                return s["kind"] if name == "kind" else F.concat(s["kind"], F.lit("|"), FORM[name](s).cast("string"))
+
+            return _log_odds(weights, bias, value) >= math.log(THRESHOLD / (1 - THRESHOLD))
 
         added = F.filter("candidates", likely)
     return (
