@@ -7,9 +7,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from tidelake.llm import packing
+from tidelake.llm import packing, tables
 from tidelake.llm.queries import op13_retrieval_packing
 
 
@@ -73,7 +74,7 @@ def test_ids_as_the_library_has_them(spark, odd):
 
 def test_texts_are_taken_by_bytes():
     batch = pa.RecordBatch.from_arrays([pa.array(["ab", None, "c" * 50, "", "d" * 3, "é"])], ["text"])
-    assert [part.num_rows for part in packing.slices(batch, 0, 6)] == [2, 1, 3]
+    assert [part.num_rows for part in tables.slices(batch, 0, 6)] == [2, 1, 3]
 
 
 @pytest.mark.parametrize("block", [4, 1024])
@@ -145,3 +146,17 @@ def test_query_is_the_contract(spark):
         assert r["ids_crc32"] == zlib.crc32(part.tobytes()) and r["doc_tokens"] == len(ids)
         seen[r["doc_id"]] += r["length"]
     assert seen == {key: len(ids) for key, ids in wanted.items()}
+
+
+PARTS = [
+    " ", "\n", "\t ", "\xa0", "\x85", "\u2003", "\x1c", "a", "WORD", "É", "Ā", "İ", "ß", "×", "1", "42", "²", "٠", "'s", "'", "''RE", "don't", ",",
+    ".'", "(", "<|", "<|endoftext|>", "<|ENDOFTEXT|>", "中文", "\U0001f600", "e\u0301", "\u0301", "\x00", "_", "Σ", "ΑΣ",
+]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PARTS), max_size=12).map("".join), min_size=1, max_size=12))
+def test_any_text_is_encoded_as_by_the_library(texts):
+    ids, bounds = packing.encoder()(pa.array(texts))
+    found = [[*ids[a:b].tolist(), packing.END_ID] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    assert found == library(texts)

@@ -3,7 +3,9 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from tidelake.llm import token_records
@@ -98,7 +100,7 @@ def test_new_pre_tokens_go_together(spark):
     texts = ["a bc def ghi", "", "the the  the", "x" * 100 + " y", "Ünï cödé", "中文 text"]
     encode = library()
     for _ in range(2):  # the second time from memory
-        found = list(token_records.encoder()(texts))
+        found = list(token_records.encoder()(pa.array(texts)))
         assert [ids.tolist() for ids in found] == [encode(t) for t in texts]
 
 
@@ -106,7 +108,21 @@ def test_added_tokens_are_those_of_the_tokenizer_as_loaded(spark):
     texts = ["a<|endoftext|> here", "<|endoftext|>", "a <|endof text|> b", "x <|endoftext|>\n<|endoftext|> y z", "a here", "<| endoftext |>"]
     tokenizer = Tokenizer.from_file(token_records.TOKENIZER)
     wanted = [[*tokenizer.encode(t, add_special_tokens=False).ids, token_records.END_ID] for t in texts]
-    assert [ids.tolist() for ids in token_records.Encoder()(texts)] == wanted
+    assert [ids.tolist() for ids in token_records.Encoder()(pa.array(texts))] == wanted
     index = written(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     assert [r["n_tokens"] for r in index] == list(map(len, wanted))
     assert [r["ids_crc32"] for r in index] == [zlib.crc32(np.array(ids, "<u4").tobytes()) for ids in wanted]
+
+
+PARTS = [
+    " ", "  ", "\n", "\n\n ", "\t", "\r\n", "\xa0", "\x85", "\u2003", "\x1c", "\x0b", "a", "Word", "é", "Ā", "ß", "×", "÷", "1", "42", "²", "٠", "'s", "'",
+    "''re", "don't", ",", ".", "--", "(", "<|", "<|endoftext|>", "中文", "\U0001f600", "e\u0301", "\x00", "_", "\u200b",
+]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PARTS), max_size=12).map("".join), min_size=1, max_size=12))
+def test_any_text_is_encoded_as_by_the_library(texts):
+    encode = library()
+    found = token_records.encoder()(pa.array(["x", *texts, None])[1:])
+    assert [ids.tolist() for ids in found] == [encode(t) for t in [*texts, ""]]

@@ -34,7 +34,7 @@ from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from tidelake.llm.memory import enter
 from tidelake.llm.pieces import CACHE_CHARS, LETTERS, NUMBERS, SPACES, is_latin
-from tidelake.llm.tables import keyed, written
+from tidelake.llm.tables import keyed, slices, written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
@@ -62,8 +62,8 @@ _OTHER, _LETTER, _SIGN, _DIGIT = range(4)
 _CLASSES = np.full(256, _OTHER, np.uint8)
 _CLASSES[33:127] = _SIGN
 _CLASSES[ord("'")] = _OTHER
-for _first, _last, _class in ("azL", "AZL", "09D"):
-    _CLASSES[ord(_first) : ord(_last) + 1] = _LETTER if _class == "L" else _DIGIT
+for _first, _last, _class in ("a", "z", _LETTER), ("A", "Z", _LETTER), ("0", "9", _DIGIT):
+    _CLASSES[ord(_first) : ord(_last) + 1] = _class
 _CUTS = np.zeros((4, 4), bool)
 _CUTS[_DIGIT, :] = _CUTS[:, _DIGIT] = _CUTS[_LETTER, _SIGN] = _CUTS[_SIGN, _LETTER] = True
 
@@ -73,8 +73,10 @@ def cut_apart(column: pa.StringArray) -> pa.StringArray:
     offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
     classes = _CLASSES[data]
-    # Two bytes that begin so are a letter (U+00C0 to U+017F), except for two signs.
+    # Two bytes that begin so are a letter (U+00C0 to U+017F), except for two signs and one
+    # capital, which becomes a letter and a sign.
     letters = (data[:-1] >= 0xC3) & (data[:-1] <= 0xC5) & ~((data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7)))
+    letters &= ~((data[:-1] == 0xC4) & (data[1:] == 0xB0))
     classes[1:][letters] = _LETTER
     at = np.flatnonzero(_CUTS[classes[:-1], classes[1:]]) + 1
     starts = offsets - offsets[0]
@@ -168,16 +170,6 @@ class WordEncoder:
         return found, bounds
 
 
-def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The batch in parts of some ``size`` bytes of a column of texts; a longer text is a part of its own."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())
-    at = 0
-    while at < batch.num_rows:
-        to = max(int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")), at + 1)
-        yield batch.slice(at, to - at)
-        at = to
-
-
 @functools.lru_cache(maxsize=2)
 def encoder(path: str = TOKENIZER) -> WordEncoder:
     return WordEncoder(path)

@@ -23,20 +23,23 @@ from __future__ import annotations
 import functools
 import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
 from tidelake.llm.memory import enter
-from tidelake.llm.pieces import CACHE_CHARS, CACHE_PIECES, PATTERN, is_latin, splitter
-from tidelake.llm.tables import keyed, texts
+from tidelake.llm.pieces import CACHE_CHARS, is_latin
+from tidelake.llm.tables import keyed, slices
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
+# A worker remembers so many short units: some 200 MB at most.
+REMEMBERED = 1_000_000
 BLOCK_BYTES = 2 << 20
 BLOCKS_PER_FILE = 8
 INDEX = "_index"
@@ -100,16 +103,59 @@ def check_ids(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+# Classes of bytes, for cuts that the tokenizer makes wherever they occur: between letters,
+# digits and other signs than the apostrophe, and around white space.
+_OTHER, _LETTER, _SIGN, _DIGIT, _SPACE = range(5)
+_CLASSES = np.full(256, _OTHER, np.uint8)
+_CLASSES[33:127] = _SIGN
+_CLASSES[ord("'")] = _OTHER
+for _first, _last, _class in ("a", "z", _LETTER), ("A", "Z", _LETTER), ("0", "9", _DIGIT), ("\t", "\r", _SPACE), (" ", " ", _SPACE):
+    _CLASSES[ord(_first) : ord(_last) + 1] = _class
+_CUTS = np.zeros((5, 5), bool)
+for _a in _LETTER, _SIGN, _DIGIT:
+    _CUTS[_a, [_b for _b in (_LETTER, _SIGN, _DIGIT) if _b != _a]] = True
+_CUTS[[_OTHER, _LETTER, _SIGN, _DIGIT], _SPACE] = True
+
+
+def units(column: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """All texts, cut into units of whole pre-tokens, and where the units of each text begin and end.
+
+    The last white space before a word goes with it if it is a space, else alone; what
+    white space is before that is a unit of its own, and so is that at the end of a text.
+    """
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    starts = (offsets - offsets[0]).astype(np.int64)
+    classes = _CLASSES[data]
+    # Two bytes that begin so are a letter (U+00C0 to U+017F), except for two signs.
+    letters = (data[:-1] >= 0xC3) & (data[:-1] <= 0xC5) & ~((data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7)))
+    classes[1:][letters] = _LETTER
+    cut = np.zeros(len(data) + 1, bool)
+    cut[1:-1] = _CUTS[classes[:-1], classes[1:]]
+    cut[starts] = True
+    space = classes == _SPACE
+    # The last of white space that a word of the same text follows, and what follows it.
+    last = np.flatnonzero(space[:-1] & ~space[1:] & ~cut[1:-1])
+    cut[last] = True
+    cut[last[data[last] != ord(" ")] + 1] = True
+    places = np.flatnonzero(cut)
+    found = pa.StringArray.from_buffers(
+        max(len(places) - 1, 0), pa.py_buffer(places.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))
+    )
+    return found, np.searchsorted(places, starts)
+
+
 class Encoder:
-    """The tokenizer's ids of texts; those of short pre-tokens are remembered.
+    """The tokenizer's ids of texts; those of short units are remembered.
 
-    New pre-tokens go to the tokenizer in one text, in which it cuts them as before. If
-    they are a space and letters, each begins with a token that begins with a space, and
-    no other token holds one; others without white space inside are set apart by line
-    breaks, which are tokens of their own. Texts that hold an added token go whole.
+    Arrow finds the units of many texts and which of them are the same. New ones go to the
+    tokenizer in one text, in which it cuts them as before. If they are a space and
+    letters, each begins with a token that begins with a space, and no other token holds
+    one; others without white space inside are set apart by line breaks, which are tokens
+    of their own. Units beyond Latin script go one by one, texts with an added token whole.
     """
 
-    def __init__(self, path: str = TOKENIZER, remembered: int = CACHE_PIECES):
+    def __init__(self, path: str = TOKENIZER, remembered: int = REMEMBERED):
         self._tokenizer = Tokenizer.from_file(path)
         # The tokenizer finds these in a whole text, before it cuts pre-tokens.
         self._added = [token.content for token in self._tokenizer.get_added_tokens_decoder().values()]
@@ -118,61 +164,70 @@ class Encoder:
         space = self._tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]  # as the vocabulary writes it
         self._opens = np.array([(self._tokenizer.id_to_token(i) or "").startswith(space) for i in range(size)])
         [self._break] = self._ids("\n").tolist()
-        self._split = splitter(PATTERN)
         self._known: dict[str, bytes] = {}
         self._remembered = remembered
-        self._end = self.kind.type(END_ID).tobytes()
 
     def _ids(self, text: str) -> np.ndarray:
         [encoded] = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(encoded.ids, self.kind)
 
-    def _holds_added(self, text: str) -> bool:
-        return any(content in text for content in self._added)
-
     def _together(self, pieces: list[str], apart: str) -> dict[str, bytes]:
         if not pieces:
             return {}
         joined = apart.join(["", *pieces])
-        if self._holds_added(joined):  # at a seam, as no piece holds one
+        if any(content in joined for content in self._added):  # at a seam, as no unit holds one
             return {piece: self._ids(piece).tobytes() for piece in pieces}
         ids = self._ids(joined)
         starts = np.flatnonzero(ids == self._break if apart else self._opens[ids])
         if len(starts) != len(pieces):
-            raise ValueError("the tokenizer does not cut pre-tokens as expected")
+            raise ValueError("the tokenizer does not cut units as expected")
         width, packed = ids.itemsize, ids.tobytes()
         ends = [*(starts[1:] * width).tolist(), len(packed)]
         begins = ((starts + len(apart)) * width).tolist()
         return {piece: packed[a:b] for piece, a, b in zip(pieces, begins, ends, strict=True)}
 
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """The packed ids of pre-tokens that are not known yet; short ones are remembered."""
-        words = [p for p in pieces if p[0] == " " and p[1:].isalpha()]
-        marks = [p for p in pieces if not (p[0] == " " and p[1:].isalpha()) and not p[1:].isspace() and not p.isspace()]
-        found = self._together(words, "") | self._together(marks, "\n")
-        for piece in pieces:
-            if piece not in found:  # white space
-                found[piece] = self._ids(piece).tobytes()
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        words, marks, found = [], [], {}
+        for unit in new:
+            if not is_latin(unit):
+                found[unit] = self._ids(unit).tobytes()
+            elif unit[0] == " " and unit[1:].isalpha():
+                words.append(unit)
+            elif len(unit.split()) == 1 and (unit[0] == " " or not unit[0].isspace()) and not unit[-1].isspace():
+                marks.append(unit)
+            else:  # white space
+                found[unit] = self._ids(unit).tobytes()
+        return found | self._together(words, "") | self._together(marks, "\n")
+
+    def _packed(self, some: list[str]) -> list[bytes]:
+        packed = list(map(self._known.get, some))
+        if None not in packed:
+            return packed
+        absent = [i for i, ids in enumerate(packed) if ids is None]
+        found = self._learn([some[i] for i in absent])
+        for i in absent:
+            packed[i] = found[some[i]]
         if len(self._known) + len(found) > self._remembered:
             self._known.clear()
-        self._known.update((p, ids) for p, ids in found.items() if len(p) <= CACHE_CHARS)
-        return found
-
-    def __call__(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
-        """The ids of each text with the end id; meant for some hundred texts at a time."""
-        known, cut, new = self._known.get, [], set()
-        for text in texts:
-            # Beyond Latin script the tokenizer may know other classes of characters than the splitter.
-            pieces = self._split(text) if is_latin(text) and not self._holds_added(text) else None
-            packed = [self._ids(text).tobytes()] if pieces is None else list(map(known, pieces))
-            absent = [] if pieces is None else [(i, p) for i, p in enumerate(pieces) if packed[i] is None]
-            new.update(p for _, p in absent)
-            cut.append((packed, absent))
-        found = self._learn(new)
-        for packed, absent in cut:
-            for i, piece in absent:
-                packed[i] = found[piece]
-            yield np.frombuffer(b"".join(packed) + self._end, self.kind)
+        self._known.update((unit, ids) for unit, ids in found.items() if len(unit) <= CACHE_CHARS)
+        return packed
+
+    def __call__(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text with the end id."""
+        plain = column.fill_null("")
+        whole = {}
+        for content in self._added:
+            for i in np.flatnonzero(pc.match_substring(plain, content)).tolist():
+                whole[i] = self._ids(plain[i].as_py())
+        cut, bounds = units(plain)
+        same = cut.dictionary_encode()
+        taken = pa.array(self._packed(same.dictionary.to_pylist()), pa.large_binary()).take(same.indices)
+        ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(taken) + 1] // self.kind.itemsize
+        found = np.frombuffer(taken.buffers()[2] or b"", self.kind)[: ends[-1]]
+        places = ends[bounds].tolist()
+        end = np.array([END_ID], self.kind)
+        for i, (a, b) in enumerate(zip(places[:-1], places[1:], strict=True)):
+            yield np.concatenate([whole.get(i, found[a:b]), end])
 
 
 @functools.lru_cache(maxsize=2)
@@ -194,9 +249,8 @@ def write_records(df: DataFrame, target: str, key: str = "doc_id", text: str = "
             return pa.RecordBatch.from_arrays([pa.array([b"".join(block)[: -len(_CLOSE)]], pa.binary())], ["frames"])
 
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            for at in range(0, batch.num_rows, 256):
-                for k, ids in zip(keys[at : at + 256], encode(texts(batch.column(1).slice(at, 256))), strict=True):
+            for part in slices(batch, 1):
+                for k, ids in zip(part.column(0).to_pylist(), encode(part.column(1)), strict=True):
                     framed = frame(pack(k, ids))
                     if block and size + len(framed) > BLOCK_BYTES:
                         yield out()
