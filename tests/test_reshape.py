@@ -116,3 +116,29 @@ def test_partition_profile(spark, rows):
     assert rows(profile.partition_profile(spark.range(0, 12, numPartitions=3))) == [(0, 4), (1, 4), (2, 4)]
     keyed = spark.range(0, 10).repartitionById(2, (F.col("id") % 2).cast("int"))
     assert rows(profile.partition_profile(keyed)) == [(0, 5), (1, 5)]
+
+
+def test_a_pivot_of_fifty_thousand_values_needs_no_list(spark):
+    df = spark.range(50_000).selectExpr("id % 2 AS k", "concat('c', id) AS c", "CAST(id AS DOUBLE) AS v")
+    odd = spark.createDataFrame([(None, "a", 1.0), (5, None, 2.0), (5, "x", None), (0, "c0", 9.0)], "k long, c string, v double")
+    maps = reshape.pivot_map(df.union(odd), "k", "c", "v", per_row=1_000)
+    cells = maps.selectExpr("k", "part", "explode(values) AS (c, v)")
+    assert cells.count() == 50_002 and maps.selectExpr("max(cardinality(values)) AS n").first()["n"] < 1_300
+    assert cells.filter("k = 0 AND c = 'c0'").first()["v"] == 9.0
+    assert [(r["c"], r["part"]) for r in cells.filter("k IS NULL OR k = 5").orderBy("c").collect()] == [("a", 0), ("null", 0)]
+    assert "50_000" not in str(maps.columns) and reshape.pivot_map(df.limit(0), "k", "c", "v").count() == 0
+
+
+def test_heavy_values_are_all_found_and_counted(spark):
+    df = spark.range(100_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN '' WHEN id % 50 = 2 THEN NULL ELSE concat('x', id) END AS a", "id AS b", "id % 40 AS c"
+    )
+    found = {(r["column"], r["value"]): r["rows"] for r in profile.skew_report(df, ["a", "b", "c"], share=0.01).collect()}
+    counted = {}
+    for r in df.groupBy("a").count().filter("count >= 1000").collect():
+        counted["a", r["a"]] = r["count"]
+    counted.update({("c", str(i)): 2_500 for i in range(40)})
+    assert found == counted and ("a", None) in found and ("a", "") in found
+    assert profile.skew_report(df.limit(0), ["a"]).count() == 0
+    with pytest.raises(ValueError):
+        profile.skew_report(df, ["a"], share=0)

@@ -106,3 +106,24 @@ def group_values(
     return cut.groupBy(key, "part").agg(
         F.sort_array(F.collect_list(F.struct("value", "n"))).alias("values")
     )
+
+
+def pivot_map(df: DataFrame, key: str, column: str, value: str, per_row: int = 10_000) -> DataFrame:
+    """:func:`pivot_max` for any number of values: rows ``key, part, values``, a map by name.
+
+    No list of the values exists anywhere. A key with more than ``per_row`` of them is cut
+    into parts by a hash of the value; all others have the one part 0. A name that a key
+    does not have, or only with nulls, is not in its map, where :func:`pivot_max` has 0.
+    """
+    name = F.coalesce(F.col(column).cast("string"), F.lit("null"))
+    cells = df.groupBy(F.col(key), name.alias("name")).agg(F.max(value).alias("value")).filter(F.col("value").isNotNull())
+    # Only the keys that need cutting go into the join; Spark checks their size.
+    large = (
+        cells.groupBy(F.col(key).alias("_key"))
+        .agg(F.ceil(F.count_if(F.col("value").isNotNull()) / per_row).alias("_parts"))
+        .filter(F.col("_parts") > 1)
+    )
+    part = F.when(F.col("_parts") > 1, F.pmod(F.xxhash64("name"), F.col("_parts"))).otherwise(0)
+    cut = cells.join(large, F.col(key).eqNullSafe(F.col("_key")), "left").withColumn("part", part.cast("int"))
+    entries = F.collect_list(F.struct("name", "value"))
+    return cut.groupBy(key, "part").agg(F.map_from_entries(entries).alias("values"))

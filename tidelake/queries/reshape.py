@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidelake.functions.columns import spread
+from tidelake.functions.columns import iso_text, spread
 from tidelake.operators import profile, reshape
 from tidelake.queries import tables as t
 
@@ -66,6 +66,17 @@ def schema_report(spark, sf_dir):
     return profile.schema_report(t.table(spark, sf_dir, "orders"))
 
 
+def pivot_map(spark, sf_dir):
+    """The pivot over types and days, as maps, taken apart again."""
+    named = t.events(spark, sf_dir).withColumn("name", F.concat_ws(" ", "event_type", iso_text(F.col("ts"))))
+    maps = reshape.pivot_map(named, "user_id", "name", "value", per_row=20)
+    return maps.select("user_id", F.explode("values").alias("name", "value"))
+
+
+def skew_report(spark, sf_dir):
+    return profile.skew_report(t.events(spark, sf_dir), ["event_type", "user_id", "event_id"], share=0.002)
+
+
 QUERIES = {
     "conditional_column": conditional_column,
     "group_max": group_max,
@@ -75,6 +86,8 @@ QUERIES = {
     "pivot_odd_names": pivot_odd_names,
     "group_values": group_values,
     "partition_profile": partition_profile,
+    "pivot_map": pivot_map,
+    "skew_report": skew_report,
     "row_count": row_count,
     "schema_report": schema_report,
 }
@@ -115,4 +128,13 @@ SQL = {
                true AS nullable, (SELECT count(*) FROM orders) AS rows
         FROM (DESCRIBE SELECT * FROM orders)
     """,
+    "pivot_map": """
+        SELECT user_id, event_type || ' ' || strftime(ts, '%Y-%m-%d') AS name, max(value) AS value FROM events GROUP BY ALL
+        HAVING max(value) IS NOT NULL
+    """,
+    "skew_report": " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value, count(*) AS rows FROM events
+        GROUP BY {c} HAVING count(*) >= (SELECT count(*) FROM events) * 0.002::DOUBLE"""
+        for c in ("event_type", "user_id", "event_id")
+    ),
 }
