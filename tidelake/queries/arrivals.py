@@ -284,7 +284,7 @@ SQL = {
     "gate_states": f"""
         SELECT 'opened' AS state, batch, NULL::VARCHAR AS source, ready_at AS ts FROM ({_GATE})
         UNION ALL SELECT 'missing', batch, source, NULL::TIMESTAMP FROM ({_MISSING})
-        WHERE batch < (SELECT max(date_trunc('hour', ts)) - INTERVAL 1 DAY FROM events WHERE event_type IN ('click', 'view', 'purchase', 'signup'))
+        WHERE batch < (SELECT max(date_trunc('hour', ts)) - INTERVAL 1 DAY FROM events)
     """,
     "ledger_files": "SELECT * FROM events",
 }

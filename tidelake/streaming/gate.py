@@ -41,9 +41,9 @@ def drain_gate(
 ) -> StreamingQuery:
     """Take in what has arrived, keep what :func:`gate_rows` gives, then stop.
 
-    Batches are moments. Rows without a batch or a moment take no part, other sources do
-    not count, and of a source that comes again the earliest moment counts until the
-    batch opens. Within a micro-batch rows are reduced to one for each batch and source
+    Batches are moments. Rows without a batch or a moment take no part, other sources only
+    make a batch known, and of a source that comes again the earliest moment counts until
+    the batch opens. Within a micro-batch rows are reduced to one for each batch and source
     before they are shuffled, so that a hot batch does no harm.
     """
     spark = arrivals.sparkSession
@@ -61,7 +61,7 @@ def drain_gate(
         mark = F.lit(passed).cast("timestamp_ntz")
         known = rows.select(
             F.col(batch).cast("timestamp_ntz").alias("batch"), F.col(source).alias("source"), F.col(moment).cast("timestamp_ntz").alias("ts")
-        ).filter(F.col("source").isin(wanted) & F.col("batch").isNotNull() & F.col("ts").isNotNull())
+        ).filter(F.col("batch").isNotNull() & F.col("ts").isNotNull())
         is_late = F.coalesce(F.col("batch") < mark, F.lit(False))
         come = known.filter(~is_late).groupBy("batch").agg(
             *[F.min(F.when(F.col("source") == name, F.col("ts"))).alias(first) for name, first in zip(wanted, firsts, strict=True)],
@@ -82,7 +82,7 @@ def drain_gate(
         said = (
             merged.filter(ready & ~F.col("opened")).select(F.lit(OPENED).alias("state"), "batch", no_source.alias("source"), last.alias("ts"))
             .union(merged.filter(over).select(F.lit(MISSING), "batch", F.explode(F.array_compact(lacking)), no_moment))
-            .union(known.filter(is_late).select(F.lit(LATE), "batch", "source", "ts"))
+            .union(known.filter(is_late & F.col("source").isin(wanted)).select(F.lit(LATE), "batch", "source", "ts"))
         )
         said.write.mode("overwrite").parquet(f"{folder}/said/epoch={epoch}")
         merged.filter(~over).withColumn("opened", ready).write.mode("overwrite").parquet(f"{folder}/open/epoch={epoch}")
