@@ -45,16 +45,18 @@ def skew_report(df: DataFrame, columns: list[str], share: float = 0.01) -> DataF
     # An empty text and a null stay apart by the letter before.
     texts = [F.when(F.col(c).isNull(), "n").otherwise(F.concat(F.lit("v"), F.col(c).cast("string"))).alias(f"_{i}") for i, c in enumerate(columns)]
     rows = df.select(*texts)
-    tops = rows.agg(*[F.expr(f"approx_top_k(_{i}, {most}, {counters})").alias(f"_{i}") for i in range(len(columns))])
+    tops = rows.agg(
+        F.count(F.lit(1)).alias("total"),
+        *[F.expr(f"approx_top_k(_{i}, {most}, {counters})").alias(f"_{i}") for i in range(len(columns))],
+    )
 
     def listed(i: int):
         return F.transform(f"_{i}", lambda t: F.struct(F.lit(i).alias("at"), t["item"].alias("item")))
 
-    candidates = tops.select(F.inline(F.flatten(F.array(*map(listed, range(len(columns)))))))
+    candidates = tops.select("total", F.inline(F.flatten(F.array(*map(listed, range(len(columns)))))))
     cells = rows.select(F.inline(F.array(*[F.struct(F.lit(i).alias("at"), F.col(f"_{i}").alias("item")) for i in range(len(columns))])))
-    counted = cells.join(candidates, ["at", "item"], "left_semi").groupBy("at", "item").agg(F.count(F.lit(1)).alias("rows"))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))  # one row
-    held = counted.join(F.broadcast(total), F.col("rows") >= F.col("_total") * share)
+    counted = cells.join(candidates, ["at", "item"]).groupBy("at", "item", "total").agg(F.count(F.lit(1)).alias("rows"))
+    held = counted.filter(F.col("rows") >= F.col("total") * share)
     names = F.array(*map(F.lit, columns))
     value = F.when(F.col("item").startswith("v"), F.expr("substring(item, 2)"))
     return held.select(names[F.col("at")].alias("column"), value.alias("value"), "rows")
