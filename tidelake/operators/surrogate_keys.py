@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidelake.session import new_folder, remove_folder
+from tidelake.session import folder_names, new_folder, path_exists, publish_file, remove_folder
 
 # Layout of monotonically_increasing_id(): partition above, place in the
 # partition in the lower 33 bits.
@@ -60,6 +62,43 @@ def read_mark(spark: SparkSession, mark: str) -> int | None:
         return None
 
 
+# Entries of a ledger in one folder, so that no listing grows with its history.
+_ENTRIES = 1_000
+
+
+def _entry(ledger: str, number: int) -> str:
+    return f"{ledger}/{number // _ENTRIES:012d}/{number:015d}"
+
+
+def _last_entry(spark: SparkSession, ledger: str) -> int | None:
+    """Number of the last entry of a ledger; the numbers have no gaps."""
+    groups = folder_names(spark, ledger) if path_exists(spark, ledger) else []
+    if not groups:
+        return None
+    entries = [name for name in folder_names(spark, f"{ledger}/{max(groups)}") if not name.startswith("_")]
+    # A folder may be there before its first entry.
+    number = int(max(entries)) if entries else int(max(groups)) * _ENTRIES - 1
+    return number if number >= 0 else None
+
+
+def reserve_keys(spark: SparkSession, ledger: str, count: int, floor: Callable[[], int]) -> int:
+    """Take a range of ``count`` keys that no other writer gets; they follow the returned one.
+
+    A ledger is a folder with one small file for each range, which holds the last key of
+    it. A writer reads the last entry and tries to make the next; if another one was
+    faster, it reads again. So a range is taken by the making of one file, without a lock
+    that a dead writer could hold. ``floor`` gives the greatest existing key for an empty
+    ledger. A writer that fails later leaves a gap. Keys given past the ledger are not seen.
+    """
+    if count < 0:
+        raise ValueError("a range has no negative length")
+    while True:
+        number = _last_entry(spark, ledger)
+        after = floor() if number is None else int(spark.read.text(_entry(ledger, number)).first()[0])
+        if publish_file(spark, _entry(ledger, 0 if number is None else number + 1), str(after + count)):
+            return after
+
+
 def next_keys(
     existing: DataFrame,
     key: str,
@@ -67,6 +106,7 @@ def next_keys(
     order: list[str],
     mark: str | None = None,
     folder: str | None = None,
+    ledger: str | None = None,
 ) -> DataFrame:
     """Give the batch the keys that follow the greatest existing one.
 
@@ -74,8 +114,20 @@ def next_keys(
     ``mark``, a small state table that notes the greatest key given, only the
     first batch scans the keys of the whole table. The note is written before
     the keys are used, so a batch that fails leaves a gap and no key twice.
+    With ``ledger`` instead (see :func:`reserve_keys`) several batches may take
+    keys at once; the range is taken when the batch is numbered and counted.
     """
+    if mark and ledger:
+        raise ValueError("keys are noted in a mark or in a ledger, not in both")
     spark = batch.sparkSession
+    if ledger:
+        folder = folder or new_folder(spark, "numbered")
+        numbered = number_rows(batch, order, key, folder=folder)
+        rows = spark.read.schema(batch.schema).parquet(folder).count()
+        if not rows:
+            return numbered
+        after = reserve_keys(spark, ledger, rows, lambda: existing.agg(F.max(key)).first()[0] or 0)
+        return numbered.withColumn(key, F.col(key) + after)
     after = read_mark(spark, mark) if mark else None
     if after is None:
         after = existing.agg(F.max(key)).first()[0] or 0
@@ -88,10 +140,16 @@ def next_keys(
 
 
 def insert_with_keys(
-    existing: DataFrame, key: str, batch: DataFrame, order: list[str], insert, mark: str | None = None
+    existing: DataFrame,
+    key: str,
+    batch: DataFrame,
+    order: list[str],
+    insert,
+    mark: str | None = None,
+    ledger: str | None = None,
 ) -> None:
     """Hand the batch with its new keys to ``insert``, then remove the numbered copy."""
     spark = batch.sparkSession
     folder = new_folder(spark, "numbered")
-    insert(next_keys(existing, key, batch, order, mark, folder))
+    insert(next_keys(existing, key, batch, order, mark, folder, ledger))
     remove_folder(spark, folder)

@@ -6,6 +6,7 @@ The written folders lie in the shared folder of the session.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ from tidelake.sinks.partitioned import compact, write_partitioned
 from tidelake.sinks.publish import compact_small, publish_batch, stored_files
 from tidelake.sinks.text import line_values, write_partition_lines
 from tidelake.sources.files import ANY_TEXT, read_csv, read_lines
+from tidelake.sources.inference import infer_types as types_of, read_csv_typed
 from tidelake.sources.tables import literal_rows as rows_of, read_table
 
 _KEYS = ["store_id", "rental_dt"]
@@ -28,6 +30,12 @@ _LAYOUT = """
            event_type AS store_id, strftime(ts, '%Y-%m-%d') AS rental_dt
     FROM events
 """
+_CODED = """
+    SELECT o_orderkey, lpad(CAST(o_custkey AS VARCHAR), 20, '0') AS code, CAST(o_totalprice AS DECIMAL(18,2)) AS price,
+           CAST(o_orderdate AS DATE) AS day, CAST(o_orderdate AS DATE) + INTERVAL 750 MINUTE AS moment,
+           o_orderkey % 2 = 0 AS even, o_orderstatus
+    FROM orders
+"""
 _DAYS = "o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS o_orderdate"
 
 
@@ -51,6 +59,31 @@ def scan_csv_infer(spark, sf_dir):
     return found.withColumns({name: F.col(name).cast("bigint") for name in ("o_orderkey", "o_custkey")})
 
 
+def _coded_orders(spark, sf_dir):
+    """Orders with a code that must keep its zeros, an amount, a day and a moment, as CSV."""
+    rows = t.table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.lpad(F.col("o_custkey").cast("string"), 20, "0").alias("code"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
+        F.col("o_orderdate").cast("date").alias("day"),
+        F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit("T12:30:00")).alias("moment"),
+        (F.col("o_orderkey") % 2 == 0).alias("even"),
+        "o_orderstatus",
+    )
+    return t.write_csv(rows, new_folder(spark, "csv"))
+
+
+def scan_csv_typed(spark, sf_dir):
+    """Types that lose no text; the digits of the amounts follow the data, the query fixes them."""
+    found = read_csv_typed(spark, _coded_orders(spark, sf_dir))
+    return found.withColumn("price", F.col("price").cast("decimal(18,2)"))
+
+
+def infer_types(spark, sf_dir):
+    """The inferred type of each column."""
+    return types_of(read_csv(spark, _coded_orders(spark, sf_dir)))
+
+
 def scan_text(spark, sf_dir):
     folder = new_folder(spark, "text")
     t.table(spark, sf_dir, "pages").select(F.col("url").alias("value")).write.text(folder)
@@ -209,6 +242,36 @@ def insert_rows(spark, sf_dir):
     return found
 
 
+def reserved_keys(spark, sf_dir):
+    """Customers and parts take order keys at the same time; who comes first is open.
+
+    Per row its place in the keys of its batch, how many rows hold its key, and the
+    greatest key of all.
+    """
+    ledger, folder = new_folder(spark, "ledger"), new_folder(spark, "keyed")
+    existing = t.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"))
+    batches = {
+        "customer": t.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")),
+        "part": t.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id")),
+    }
+
+    def write(writer):
+        def keep(rows):
+            rows.write.parquet(f"{folder}/writer={writer}")
+
+        insert_with_keys(existing, "key", batches[writer], ["id"], keep, ledger=ledger)
+
+    with ThreadPoolExecutor(len(batches)) as writers:
+        list(writers.map(write, batches))
+    stored = spark.read.schema("id long, key long, writer string").parquet(folder)
+    holders = stored.groupBy("key").agg(F.count(F.lit(1)).alias("holders"))
+    firsts = stored.groupBy("writer").agg((F.min("key") - 1).alias("before"))
+    greatest = stored.agg(F.max("key")).first()[0]
+    return stored.join(holders, "key").join(firsts, "writer").select(
+        "writer", "id", (F.col("key") - F.col("before")).alias("place"), "holders", F.lit(greatest).cast("long").alias("greatest")
+    )
+
+
 def sink_text(spark, sf_dir):
     """Values written as lists, one line per part of a partition, and taken apart again."""
     folder = new_folder(spark, "lines")
@@ -269,6 +332,8 @@ def rental_mart_days(spark, sf_dir):
 QUERIES = {
     "scan_csv_header": scan_csv_header,
     "scan_csv_infer": scan_csv_infer,
+    "scan_csv_typed": scan_csv_typed,
+    "infer_types": infer_types,
     "scan_text": scan_text,
     "scan_catalog": scan_catalog,
     "literal_rows": literal_rows,
@@ -280,6 +345,7 @@ QUERIES = {
     "external_csv_table": external_csv_table,
     "recover_partitions": recover_partitions,
     "insert_rows": insert_rows,
+    "reserved_keys": reserved_keys,
     "sink_text": sink_text,
     "pivot_job": pivot_job,
     "rental_mart": rental_mart,
@@ -293,6 +359,22 @@ SQL = {
         FROM orders
     """,
     "scan_csv_infer": f"SELECT {_DAYS} FROM orders",
+    "scan_csv_typed": _CODED,
+    "infer_types": f"""
+        WITH texts AS (
+          UNPIVOT (SELECT CAST(COLUMNS(* EXCLUDE moment) AS VARCHAR), strftime(moment, '%Y-%m-%dT%H:%M:%S') AS moment FROM ({_CODED}))
+          ON o_orderkey, code, price, day, moment, even, o_orderstatus INTO NAME "column" VALUE v
+        )
+        SELECT "column", count(v) AS filled, CASE
+          WHEN bool_and(regexp_full_match(v, '0|-?[1-9][0-9]*')) THEN 'bigint'
+          WHEN bool_and(regexp_full_match(v, '-?(0|[1-9][0-9]*)\.[0-9]+'))
+            THEN 'decimal(' || (max(length(regexp_replace(v, '^-?0?|\.[0-9]*$', '', 'g'))) + 2) || ',2)'
+          WHEN bool_and(try_cast(v AS DATE) IS NOT NULL AND length(v) = 10) THEN 'date'
+          WHEN bool_and(try_cast(v AS TIMESTAMP) IS NOT NULL) THEN 'timestamp_ntz'
+          WHEN bool_and(v IN ('true', 'false')) THEN 'boolean'
+          ELSE 'string' END AS type
+        FROM texts GROUP BY "column"
+    """,
     "scan_text": "SELECT url AS value FROM pages",
     "scan_catalog": """
         SELECT c_custkey AS customer_id, c_nationkey AS store_id, c_name AS name, c_acctbal AS balance
@@ -331,6 +413,12 @@ SQL = {
                TIMESTAMP '2024-01-01 10:00:00', TIMESTAMP '2024-01-05 10:00:00', NULL
         FROM supplier
     """,
+    "reserved_keys": """
+        SELECT *, 1::BIGINT AS holders,
+               (SELECT max(o_orderkey) FROM orders) + (SELECT count(*) FROM customer) + (SELECT count(*) FROM part) AS greatest
+        FROM (SELECT 'customer' AS writer, c_custkey AS id, row_number() OVER (ORDER BY c_custkey) AS place FROM customer
+              UNION ALL SELECT 'part', p_partkey, row_number() OVER (ORDER BY p_partkey) FROM part)
+    """,
     "sink_text": f"""
         SELECT 'a' AS part, coalesce({t.odd_sql("c_custkey")}, c_name) AS name FROM customer
         UNION ALL SELECT 'b', {t.odd_sql("c_custkey")} FROM customer

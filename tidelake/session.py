@@ -104,6 +104,28 @@ def mark_file(spark: SparkSession, path: str) -> None:
     system.create(place, True).close()
 
 
+def publish_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a file with its text, whole or not at all; says no if there is one by that name.
+
+    Of several that try at once, one makes it. This needs a file system whose rename spares
+    an existing file, such as HDFS; on a local or mounted disk it is a hard link.
+    """
+    system, place = _located(spark, path)
+    _, draft = _located(spark, f"{path.rpartition('/')[0]}/_{uuid.uuid4().hex}")
+    stream = system.create(draft, True)
+    stream.write(text.encode())
+    stream.close()
+    try:
+        if system.getScheme() != "file":
+            return not system.exists(place) and system.rename(draft, place)
+        os.link(draft.toUri().getPath(), place.toUri().getPath())
+        return True
+    except FileExistsError:
+        return False
+    finally:
+        system.delete(draft, False)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of this library's own."""
     system, folder = _located(spark, path)
