@@ -56,6 +56,20 @@ def test_frequent_shingles_change_nothing(spark, monkeypatch):
     check(spark, copies(3))
 
 
+def test_sieves_that_let_everything_through_change_nothing(spark, monkeypatch):
+    docs = jaccard_join.keyed(table(spark, copies(4)), "doc_id", "text")
+    sets = jaccard_join.scan(docs).filter("digest is not null")
+    classes = sets.groupBy("digest", "n").agg({"doc_id": "min"}).withColumnRenamed("min(doc_id)", "doc_id")
+
+    def chains():
+        found = jaccard_join.chains(docs, classes, np.empty(0, np.uint64)).collect()
+        return sorted((r["class"], r["least"]) for r in found)
+
+    sieved = chains()
+    monkeypatch.setattr(jaccard_join, "sifted", lambda df, sieves: df)
+    assert len(sieved) > 20 and chains() == sieved
+
+
 def test_odd_and_empty_tables(odd, empty):
     found = sorted((r["doc_id"] is None, r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.join(odd).collect() if r["doc_id"] is not None)
     of = {(d, n): c for _, d, n, c in found}
@@ -66,6 +80,17 @@ def test_odd_and_empty_tables(odd, empty):
     assert jaccard_join.join(empty).count() == 0
 
 
+def test_null_ids_and_one_id_with_two_texts(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(None, a), (None, a + " z"), (3, a), (3, b), (4, b + " z"), (None, c)]
+    found = jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    as_found = sorted(((r["doc_id"] is None, r["doc_id"] or 0, r["n_shingles"], r["component_id"]) for r in found), key=str)
+    # The least id of a class that has one; a class of null ids only keeps null.
+    assert as_found == sorted(
+        [(True, 0, 56, 3), (True, 0, 57, 3), (False, 3, 56, 3), (False, 3, 56, 3), (False, 4, 57, 3), (True, 0, 56, None)], key=str
+    )
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text("ab \t\nAB\x1f\xa0", max_size=30), max_size=8))
 def test_sets_are_those_of_the_words(texts):
@@ -100,7 +125,9 @@ def test_prefixes_of_linked_sets_share_enough(n):
         assert both >= max(jaccard_join.wanted(n), jaccard_join.wanted(m))
 
 
-def test_the_tree_finds_all_links():
+@pytest.mark.parametrize("most", [1 << 26, 1 << 12, 1])
+def test_the_tree_finds_all_links(most, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SIGNATURE_BYTES", most)
     rng = np.random.default_rng(3)
     base = [rng.integers(0, 1 << 63, n, dtype=np.uint64) for n in (8, 50, 51, 300)]
     sets = []

@@ -8,15 +8,21 @@ from tidelake.llm.tables import written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Each node hands its greater neighbours to the least of its neighbourhood."""
+    """Each node hands its greater neighbours to the least of its neighbourhood.
+
+    The minima are written, so that the join has a shuffle of its own, which Spark can
+    split at a node with very many neighbours.
+    """
     both = edges.union(edges.select("b", "a")).toDF("u", "v")
     least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
+    least = written(least, "least")
     return both.filter(F.col("v") > F.col("u")).join(least, F.col("u") == F.col("w")).select("v", "m").toDF("a", "b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node and its lesser neighbours go to the least of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    edges = written(edges, "large")
+    least = written(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     own = least.select("a", F.col("m").alias("b"))
     others = (
         edges.join(least.withColumnRenamed("a", "w"), F.col("a") == F.col("w"))

@@ -50,6 +50,8 @@ HEAVY_PER_TASK = 20_000
 
 TILE_SETS = 512
 TILE_SHINGLES = 2_000_000
+# All leaves of a signature tree together.
+SIGNATURE_BYTES = 64 << 20
 
 
 # Percent of its size by which the prefix of a set is longer, and which it then has to share.
@@ -261,18 +263,21 @@ def _wanted(n):
 def chains(documents: DataFrame, classes: DataFrame, heavy: np.ndarray) -> DataFrame:
     """Pairs (class, least) that connect all classes that may be linked.
 
-    The rounds only leave out what cannot be linked; that sieves and repeated rows
-    keep a few classes too many does no harm.
+    The rounds only leave out what cannot be linked; that repeated rows keep a few
+    classes too many does no harm. Sieves only spare the joins that follow them most rows:
+    what stays is the same when they let everything through.
     """
     rows = written(shared_rows(documents, heavy), "shared")
     sizes = classes.groupBy(_short_of(F.col("digest")).alias("class")).agg(F.min("n").alias("n"))
     for _ in range(ROUNDS):
         counts = rows.groupBy("class").agg(F.count(F.lit(1)).alias("c"))
         enough_shared = counts.join(sizes, "class").filter(F.col("c") >= _wanted(F.col("n")))
-        sieves = {"class": sieve(enough_shared.select("class"))}
-        owners = sifted(rows, sieves).groupBy("shingle").agg(F.min("class").alias("a"), F.max("class").alias("b"))
-        sieves["shingle"] = sieve(owners.filter("a <> b").select("shingle"))
-        rows = written(sifted(rows, sieves), "shared")
+        enough_shared = written(enough_shared.select("class"), "enough")
+        rows = written(sifted(rows, {"class": sieve(enough_shared)}).join(enough_shared, "class", "left_semi"), "enough")
+        owners = rows.groupBy("shingle").agg(F.min("class").alias("a"), F.max("class").alias("b"))
+        owned = written(owners.filter("a <> b").select("shingle"), "owned")
+        rows = sifted(rows.select("shingle", "class"), {"shingle": sieve(owned)}).join(owned, "shingle", "left_semi")
+        rows = written(rows, "shared")
     least = rows.groupBy("shingle").agg(F.min("class").alias("least"))
     return rows.join(least, "shingle").filter("class <> least").select("class", "least").distinct()
 
@@ -285,6 +290,8 @@ class SignatureTree:
         self.order = sorted(range(len(sets)), key=lambda i: sets[i][:2].tolist())
         longest = max(len(s) for s in sets)
         bits = max(256, 1 << (2 * longest - 1).bit_length())
+        # A long set beside many others gets a narrower bitmap, which only prunes less.
+        bits = min(bits, max(256, 1 << max(8 * SIGNATURE_BYTES // len(sets), 1).bit_length() - 1))
         signature = np.zeros((len(sets), bits // 8), np.uint8)
         for row, i in enumerate(self.order):
             at = (sets[i] >> np.uint64(20)).astype(np.int64) & bits - 1
