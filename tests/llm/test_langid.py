@@ -139,3 +139,25 @@ def test_a_label_keeps_its_strings_beside_others(spark, monkeypatch):
     known = np.unique(np.concatenate([b.known[langid.ORDER] for b in beside.blocks]))
     strings = alone.blocks if isinstance(alone, langid.Blocks) else [alone]
     assert len(known) >= max(len(b.known[langid.ORDER]) for b in strings)
+
+
+def test_a_label_keeps_its_most_frequent_strings(spark):
+    rng = random.Random(3)
+    # One label with nearly all strings, many equal counts, one label with less than is kept.
+    sizes = {"aa": 5000, "bb": 40, "cc": 3}
+    rows = [(lang, gram, rng.choice([1, 1, 1, 2, 9])) for lang, size in sizes.items() for gram in range(size)]
+    rng.shuffle(rows)
+    found = langid.frequent(spark.createDataFrame(rows, "lang string, gram long, n long"), 25).collect()
+    wanted = [
+        row
+        for lang in sizes
+        for row in sorted((r for r in rows if r[0] == lang), key=lambda r: (-r[2], r[1]))[:25]
+    ]
+    assert sorted(map(tuple, found)) == sorted(wanted)
+
+
+def test_ties_go_to_the_first_label(spark):
+    rows = [("ba do ki", "zz"), ("ba do ki", "mm"), ("lu lu", "zz"), ("lu lu", "mm")]
+    labelled = spark.createDataFrame(rows, "text string, lang string")
+    found = langid.predict(labelled, langid.train(labelled)).collect()
+    assert {(r["lang_pred"], r["score"]) for r in found} == {("mm", 0.5)}

@@ -29,10 +29,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidelake.llm.memory import enter
 from tidelake.llm.tables import keyed, small_batches, with_columns, written
+from tidelake.operators.surrogate_keys import number_rows
 
 ORDER = 3  # bytes of the longest context
 LANGUAGES: int | None = None  # all
@@ -264,6 +265,17 @@ class Blocks(Model):
         return np.concatenate(found, axis=1)
 
 
+def frequent(counted: DataFrame, most: int) -> DataFrame:
+    """Of each label the ``most`` strings of greatest count, of equal ones the lesser.
+
+    All strings are numbered in one sorted run, in ranges that also cut the strings of one
+    label, and a label keeps those that are near its first; so no task holds a whole label.
+    """
+    numbered = number_rows(counted.withColumn("less", -F.col("n")), ["lang", "less", "gram"], "place")
+    first = written(numbered.groupBy("lang").agg(F.min("place").alias("first")), "labels")
+    return numbered.join(first, "lang").filter(F.col("place") - F.col("first") < most).select("lang", "gram", "n")
+
+
 def train(labelled: DataFrame) -> Model | None:
     """The model of a DataFrame of lang and text, from all its rows."""
     small_batches(labelled.sparkSession)
@@ -275,13 +287,7 @@ def train(labelled: DataFrame) -> Model | None:
         return None
     if LANGUAGES is not None:
         counted = counted.filter(F.col("lang").isin(languages))
-    by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    kept = (
-        counted.withColumn("place", F.row_number().over(by_count))
-        .filter(F.col("place") <= GRAMS)
-        .select("lang", "gram", "n")
-        .toArrow()
-    )
+    kept = frequent(counted, GRAMS).toArrow()
     names = kept.column(0).combine_chunks().dictionary_encode()
     of, gram, n = names.indices.to_numpy(), kept.column(1).to_numpy(), kept.column(2).to_numpy()
     order = np.argsort(of, kind="stable")
