@@ -22,9 +22,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidelake.llm import bpe, decontam, jaccard_join, langid, pii
-from tidelake.llm.tables import ROW, row_hash, table
+from tidelake.llm.tables import ROW, row_hash, sieve_pages, table, with_sieve, written
 from tidelake.session import new_folder
 
+# Whether a row may go or repeat, and whether it may stay.
+_OPEN, _KEPT = "_open", "_kept"
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.model_of(docs)
@@ -39,16 +42,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     # By row, as ids may be null or repeat; rows that repeat an id and a text are copies.
     rows = docs.withColumn(ROW, row_hash("doc_id", "text"))
     joined = jaccard_join.join(rows, key=ROW).distinct()
-    known = rows.select(F.col(ROW).alias("doc_id"), F.col("doc_id").alias("of")).distinct()
+    known = rows.groupBy(F.col(ROW).alias("doc_id")).agg(F.min("doc_id").alias("of"), F.count(F.lit(1)).alias("times"))
+    named = written(joined.join(known, "doc_id"), "named")
     # Known ids come before null.
     order = F.struct(F.col("of").isNull().alias("last"), "of", "doc_id")
-    kept = (
-        joined.join(known, "doc_id")
-        .groupBy("component_id")
-        .agg(F.min(order).alias("least"))
-        .select(F.col("least.doc_id").alias(ROW))
-    )
-    return rows.join(kept, ROW, "left_semi").dropDuplicates([ROW]).select(docs.columns)
+    least = named.groupBy("component_id").agg(F.min(order).alias("least"))
+    kept = written(least.select(F.col("least.doc_id").alias(ROW)), "kept")
+    repeated = named.filter("times > 1").select(F.col("doc_id").alias(ROW))
+    open_rows = named.select(F.col("doc_id").alias(ROW)).join(kept, ROW, "left_anti").union(repeated)
+    # A row in no sieve of what goes or repeats stays; texts are shuffled only of those that
+    # are in it and in the sieve of what stays.
+    marked = rows
+    for name, hashes in {_OPEN: open_rows, _KEPT: kept}.items():
+        marked = with_sieve(marked, ROW, written(sieve_pages(hashes), "sieve"), name)
+    sure = marked.filter(~F.col(_OPEN))
+    decided = marked.filter(F.col(_OPEN) & F.col(_KEPT)).join(kept, ROW, "left_semi").dropDuplicates([ROW])
+    return sure.select(docs.columns).union(decided.select(docs.columns))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 from tests.llm.brute import components, shingles, similar
 
+from tidelake.llm.tables import probable, sieve, sieve_pages, with_sieve
+
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -106,3 +108,32 @@ def test_without_labels_only_texts_without_letters_go(spark, tables):
     kept = corpus_pipeline.language(spark, docs.withColumn("lang", F.lit(None).cast("string")), tables)
     assert kept.columns == COLUMNS
     assert sorted((r["doc_id"], r["lang"]) for r in kept.collect()) == [(i, None) for i in (0, 0, 10, 20, 30, 40, 80)]
+
+
+def test_texts_that_stay_for_sure_are_not_shuffled(spark, tables):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    kept = corpus_pipeline.near_duplicates(spark, docs, tables)
+    plan = kept._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Union"
+    sure = plan.children().apply(0).toString()
+    assert "Aggregate" not in sure and "LeftSemi" not in sure and "strategy=broadcast" in sure
+
+
+def test_a_full_sieve_changes_no_result(spark, tables, monkeypatch):
+    """With all bits set every row is in the sieves, and the exact steps decide."""
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    wanted = sorted(map(str, corpus_pipeline.near_duplicates(spark, docs, tables).collect()))
+    full = spark.range(1, 2049).select(F.col("id").alias("page"), F.unhex(F.repeat(F.lit("FF"), 4096)).alias("bits"))
+    monkeypatch.setattr(corpus_pipeline, "sieve_pages", lambda hashes: full)
+    assert sorted(map(str, corpus_pipeline.near_duplicates(spark, docs, tables).collect())) == wanted
+
+
+def test_a_sieve_in_spark_says_what_one_in_numpy_does(spark):
+    rows = spark.range(3000).select("id", F.xxhash64("id").alias("h"))
+    keys = rows.filter("id % 7 = 0").select("h")
+    found = with_sieve(rows, "h", sieve_pages(keys), "found")
+    assert found.columns == ["id", "h", "found"]
+    got = found.toPandas()
+    assert (probable(sieve(keys), got["h"].to_numpy()) == got["found"]).all()
+    assert 429 <= got["found"].sum() < 600
+    assert not with_sieve(rows, "h", sieve_pages(keys.limit(0)), "found").filter("found").count()

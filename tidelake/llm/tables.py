@@ -57,19 +57,26 @@ def written(df: DataFrame, label: str) -> DataFrame:
 SIEVE_BITS = 1 << 26
 
 
+def _bit(hash_: Column) -> Column:
+    return F.pmod(hash_, F.lit(SIEVE_BITS)) + 1
+
+
+def sieve_pages(hashes: DataFrame) -> DataFrame:
+    """page and bits (4,096 bytes) of the sieve of the one column of 64-bit hashes."""
+    bit = _bit(F.col(hashes.columns[0]))
+    return hashes.groupBy(F.bitmap_bucket_number(bit).alias("page")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")
+    )
+
+
 def sieve(hashes: DataFrame) -> np.ndarray:
     """A bit for each remainder of the one column of 64-bit hashes, for `probable`.
 
     A fixed size bounds what is collected; with too many keys it lets more rows through,
     so that an exact join has to follow.
     """
-    [name] = hashes.columns
-    bit = F.pmod(F.col(name), F.lit(SIEVE_BITS)) + 1
-    pages = hashes.groupBy(F.bitmap_bucket_number(bit).alias("page")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")
-    )
     found = np.zeros(SIEVE_BITS // 8, np.uint8)
-    for row in pages.collect():
+    for row in sieve_pages(hashes).collect():
         part = np.frombuffer(row["bits"], np.uint8)
         found[(row["page"] - 1) * len(part) : row["page"] * len(part)] = part
     return found
@@ -96,6 +103,20 @@ def sifted(df: DataFrame, sieves: dict[str, np.ndarray]) -> DataFrame:
     return df.mapInArrow(work, df.schema)
 
 
+def with_sieve(df: DataFrame, hash_: str, pages: DataFrame, found: str) -> DataFrame:
+    """The rows with a boolean column ``found``, false only where no key of the sieve has the hash.
+
+    Wide rows are neither shuffled nor handed to Python; the sieve is broadcast.
+    """
+    page, bits = f"{found}_page", f"{found}_bits"
+    bit = _bit(F.col(hash_))
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring(F.col(bits), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    is_set = F.floor(byte / F.pow(F.lit(2), at % 8)) % 2 == 1
+    joined = df.join(F.broadcast(pages.toDF(page, bits)), F.bitmap_bucket_number(bit) == F.col(page), "left")
+    return joined.withColumn(found, F.coalesce(is_set, F.lit(False))).drop(page, bits)
+
+
 def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in parts of some ``size`` bytes of a column of texts; a longer text is a part of its own."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())
