@@ -104,6 +104,20 @@ def test_new_pre_tokens_go_together(spark):
         assert [ids.tolist() for ids in found] == [encode(t) for t in texts]
 
 
+def test_what_is_remembered_is_bounded_and_outlives_a_full_memory(monkeypatch):
+    encode, plain, learned = token_records.Encoder(remembered=5), library(), []
+    learn = encode._learn
+    monkeypatch.setattr(encode, "_learn", lambda new: learned.extend(new) or learn(new))
+    letters = "abcdefghijklmnopqrstuvwx"
+    texts = [f"x the {letters[i]}{letters[i + 1]} {letters[i + 2]}{letters[i]}" for i in range(20)]
+    for text in [*texts, " ".join(texts), texts[0]]:
+        [ids] = encode(pa.array([text]))
+        assert ids.tolist() == plain(text)
+        assert len(encode._known) <= 5 and len(encode._before) <= 5
+        if text is texts[-1]:  # what each text asks for is learned once
+            assert learned.count("x") == learned.count(" the") == 1 and len(learned) > 40
+
+
 def test_added_tokens_are_those_of_the_tokenizer_as_loaded(spark):
     texts = ["a<|endoftext|> here", "<|endoftext|>", "a <|endof text|> b", "x <|endoftext|>\n<|endoftext|> y z", "a here", "<| endoftext |>"]
     tokenizer = Tokenizer.from_file(token_records.TOKENIZER)
@@ -114,6 +128,16 @@ def test_added_tokens_are_those_of_the_tokenizer_as_loaded(spark):
     assert [r["ids_crc32"] for r in index] == [zlib.crc32(np.array(ids, "<u4").tobytes()) for ids in wanted]
 
 
+def test_white_space_beyond_ascii_goes_with_white_space(spark):
+    wide = "\x85\xa0\u1680\u2000\u2003\u200a\u2028\u2029\u202f\u205f\u3000\x1c\u200b"
+    around = ["", " ", "\n", "  ", "\n ", "a", "é", "1", ",", "'s", "a ", " b", "\t"]
+    texts = [f"{before}{space}{after}" for space in wide for before in around for after in around]
+    texts += [f"x {a}{b} y" for a in wide for b in wide]
+    wanted = list(map(library(), texts))
+    assert [ids.tolist() for ids in token_records.Encoder()(pa.array(texts))] == wanted
+    assert [ids.tolist() for ids in token_records.Encoder()(pa.array([" ".join(texts)]))] == [library()(" ".join(texts))]
+
+
 PARTS = [
     " ", "  ", "\n", "\n\n ", "\t", "\r\n", "\xa0", "\x85", "\u2003", "\x1c", "\x0b", "a", "Word", "é", "Ā", "ß", "×", "÷", "1", "42", "²", "٠", "'s", "'",
     "''re", "don't", ",", ".", "--", "(", "<|", "<|endoftext|>", "中文", "\U0001f600", "e\u0301", "\x00", "_", "\u200b",

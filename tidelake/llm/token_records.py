@@ -38,8 +38,8 @@ from tidelake.llm.tables import keyed, slices
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
-# A worker remembers so many short units: some 200 MB at most.
-REMEMBERED = 1_000_000
+# A worker remembers so many short units, and as many that it met before: some 100 MB at most.
+REMEMBERED = 200_000
 BLOCK_BYTES = 2 << 20
 BLOCKS_PER_FILE = 8
 INDEX = "_index"
@@ -104,17 +104,33 @@ def check_ids(ids: np.ndarray) -> int:
 
 
 # Classes of bytes, for cuts that the tokenizer makes wherever they occur: between letters,
-# digits and other signs than the apostrophe, and around white space.
-_OTHER, _LETTER, _SIGN, _DIGIT, _SPACE = range(5)
+# digits and other signs than the apostrophe, and around white space. Beside white space
+# beyond ASCII there are none, as it goes on what is before it or after it.
+_OTHER, _LETTER, _SIGN, _DIGIT, _SPACE, _WIDE = range(6)
 _CLASSES = np.full(256, _OTHER, np.uint8)
 _CLASSES[33:127] = _SIGN
 _CLASSES[ord("'")] = _OTHER
 for _first, _last, _class in ("a", "z", _LETTER), ("A", "Z", _LETTER), ("0", "9", _DIGIT), ("\t", "\r", _SPACE), (" ", " ", _SPACE):
     _CLASSES[ord(_first) : ord(_last) + 1] = _class
-_CUTS = np.zeros((5, 5), bool)
+_CUTS = np.zeros((6, 6), bool)
 for _a in _LETTER, _SIGN, _DIGIT:
     _CUTS[_a, [_b for _b in (_LETTER, _SIGN, _DIGIT) if _b != _a]] = True
 _CUTS[[_OTHER, _LETTER, _SIGN, _DIGIT], _SPACE] = True
+# In UTF-8, those of three bytes.
+_WIDE_CODES = [
+    int.from_bytes(chr(_code).encode(), "big")
+    for _code in (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+]
+
+
+def _wide_spaces(data: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of the bytes of white space beyond ASCII."""
+    padded = np.append(data, np.zeros(2, np.uint8))
+    at = np.flatnonzero((data == 0xC2) | (data - np.uint8(0xE1) <= 2))
+    code = padded[at].astype(np.uint32) << 16 | padded[at + 1].astype(np.uint32) << 8 | padded[at + 2]
+    two = at[np.isin(code >> 8, [0xC285, 0xC2A0])]
+    three = at[np.isin(code, _WIDE_CODES)]
+    yield from (two, two + 1, three, three + 1, three + 2)
 
 
 def units(column: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
@@ -130,12 +146,14 @@ def units(column: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
     # Two bytes that begin so are a letter (U+00C0 to U+017F), except for two signs.
     letters = (data[:-1] >= 0xC3) & (data[:-1] <= 0xC5) & ~((data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7)))
     classes[1:][letters] = _LETTER
+    for wide in _wide_spaces(data):
+        classes[wide] = _WIDE
     cut = np.zeros(len(data) + 1, bool)
     cut[1:-1] = _CUTS[classes[:-1], classes[1:]]
     cut[starts] = True
     space = classes == _SPACE
     # The last of white space that a word of the same text follows, and what follows it.
-    last = np.flatnonzero(space[:-1] & ~space[1:] & ~cut[1:-1])
+    last = np.flatnonzero(space[:-1] & ~space[1:] & (classes[1:] != _WIDE) & ~cut[1:-1])
     cut[last] = True
     cut[last[data[last] != ord(" ")] + 1] = True
     places = np.flatnonzero(cut)
@@ -165,6 +183,7 @@ class Encoder:
         self._opens = np.array([(self._tokenizer.id_to_token(i) or "").startswith(space) for i in range(size)])
         [self._break] = self._ids("\n").tolist()
         self._known: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
         self._remembered = remembered
 
     def _ids(self, text: str) -> np.ndarray:
@@ -193,7 +212,7 @@ class Encoder:
                 found[unit] = self._ids(unit).tobytes()
             elif unit[0] == " " and unit[1:].isalpha():
                 words.append(unit)
-            elif len(unit.split()) == 1 and (unit[0] == " " or not unit[0].isspace()) and not unit[-1].isspace():
+            elif len(unit.split()) == 1 and not unit.removeprefix(" ")[:1].isspace() and not unit[-1].isspace():
                 marks.append(unit)
             else:  # white space
                 found[unit] = self._ids(unit).tobytes()
@@ -204,12 +223,15 @@ class Encoder:
         if None not in packed:
             return packed
         absent = [i for i, ids in enumerate(packed) if ids is None]
-        found = self._learn([some[i] for i in absent])
+        found = {unit: ids for i in absent if (ids := self._before.get(unit := some[i])) is not None}
+        found |= self._learn([some[i] for i in absent if some[i] not in found])
         for i in absent:
             packed[i] = found[some[i]]
-        if len(self._known) + len(found) > self._remembered:
-            self._known.clear()
-        self._known.update((unit, ids) for unit, ids in found.items() if len(unit) <= CACHE_CHARS)
+        for unit, ids in found.items():
+            if len(unit) <= CACHE_CHARS:
+                if len(self._known) >= self._remembered:  # what is asked for again is taken over
+                    self._before, self._known = self._known, {}
+                self._known[unit] = ids
         return packed
 
     def __call__(self, column: pa.Array) -> Iterator[np.ndarray]:
