@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -118,6 +120,43 @@ def test_what_is_remembered_is_bounded_and_outlives_a_full_memory(monkeypatch):
             assert learned.count("x") == learned.count(" the") == 1 and len(learned) > 40
 
 
+def test_what_is_remembered_is_held_by_arrow_not_in_python_objects():
+    encode, rng = token_records.Encoder(), random.Random(3)
+    text = "".join(" " + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(30_000))
+    list(encode(pa.array(["a b", text[:50]])))  # what the first call loads
+    tracemalloc.start()
+    try:
+        [ids] = encode(pa.array([text]))
+        del ids
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert len(encode._known) > 29_000
+    assert held < 1 << 20 and encode._known.nbytes < 40 * len(encode._known)
+
+
+@pytest.mark.parametrize("together", [1, 3, 20_000])
+def test_many_new_units_go_in_several_calls(monkeypatch, together):
+    monkeypatch.setattr(token_records, "TOGETHER", together)
+    texts = [" alpha beta, gamma's\n\n delta 12 é ж 中文  x", "", "...?! a-b\tc\x1c d\x85 \x00e", " alpha new"]
+    encode = token_records.Encoder(remembered=6)
+    for _ in range(2):
+        assert [ids.tolist() for ids in encode(pa.array(texts))] == list(map(library(), texts))
+
+
+def test_small_batches_are_put_together_by_bytes(monkeypatch):
+    monkeypatch.setattr(token_records, "TEXT_BYTES", 1_000)
+    sizes = [10, 0, None, 400, 300, 5_000, 10, 990, 1] + [20] * 100
+    texts = [None if n is None else "x" * n for n in sizes]
+    column = pa.array(texts)
+    batches = [pa.record_batch([pa.array([i]), column.slice(i, 1)], ["doc_id", "text"]) for i in range(len(texts))]
+    found = list(token_records.gathered(iter(batches), 1))
+    rows = [row for part in found for row in zip(*(c.to_pylist() for c in part.columns), strict=True)]
+    assert rows == list(enumerate(texts)) and len(found) < 10
+    assert all(part.num_rows == 1 or sum(len(t or "") for t in part.column(1).to_pylist()) <= 1_000 for part in found)
+    assert list(token_records.gathered(iter([]), 1)) == []
+
+
 def test_added_tokens_are_those_of_the_tokenizer_as_loaded(spark):
     texts = ["a<|endoftext|> here", "<|endoftext|>", "a <|endof text|> b", "x <|endoftext|>\n<|endoftext|> y z", "a here", "<| endoftext |>"]
     tokenizer = Tokenizer.from_file(token_records.TOKENIZER)

@@ -33,13 +33,15 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
 from tidelake.llm.memory import enter
-from tidelake.llm.pieces import CACHE_CHARS, is_latin
+from tidelake.llm.pieces import CACHE_CHARS, LATIN, LETTERS
 from tidelake.llm.tables import keyed, slices
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
-# A worker remembers so many short units, and as many that it met before: some 100 MB at most.
-REMEMBERED = 200_000
+# A worker remembers so many short units, and as many that it met before: some 20 MB, if they are words.
+REMEMBERED = 300_000
+TEXT_BYTES = 8 << 20  # of texts whose units are looked up at a time
+TOGETHER = 20_000  # new units in one call of the tokenizer
 BLOCK_BYTES = 2 << 20
 BLOCKS_PER_FILE = 8
 INDEX = "_index"
@@ -163,14 +165,22 @@ def units(column: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
     return found, np.searchsorted(places, starts)
 
 
+# Units of Latin script that go to the tokenizer together. What Python takes for white space there is
+# in neither, but for a space at the beginning.
+_LATIN = rf"\A[\x00-{LATIN}]*\z"
+_WORD = rf"\A [{LETTERS}]+\z"
+_MARK = rf"\A ?[^ \t-\r\x1c-\x1f\x{{85}}\x{{a0}}]+\z"
+
+
 class Encoder:
     """The tokenizer's ids of texts; those of short units are remembered.
 
-    Arrow finds the units of many texts and which of them are the same. New ones go to the
-    tokenizer in one text, in which it cuts them as before. If they are a space and
-    letters, each begins with a token that begins with a space, and no other token holds
-    one; others without white space inside are set apart by line breaks, which are tokens
-    of their own. Units beyond Latin script go one by one, texts with an added token whole.
+    Arrow finds the units of many texts, which of them are the same, and which are known;
+    what is remembered are two Arrow columns. New units go to the tokenizer in one text, in
+    which it cuts them as before. If they are a space and letters, each begins with a token
+    that begins with a space, and no other token holds one; others without white space
+    inside are set apart by line breaks, which are tokens of their own. Units beyond Latin
+    script go one by one, texts with an added token whole.
     """
 
     def __init__(self, path: str = TOKENIZER, remembered: int = REMEMBERED):
@@ -182,57 +192,68 @@ class Encoder:
         space = self._tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]  # as the vocabulary writes it
         self._opens = np.array([(self._tokenizer.id_to_token(i) or "").startswith(space) for i in range(size)])
         [self._break] = self._ids("\n").tolist()
-        self._known: dict[str, bytes] = {}
-        self._before: dict[str, bytes] = {}
+        self._known = self._before = pa.record_batch([pa.array([], pa.string()), _packs([])], ["unit", "ids"])
         self._remembered = remembered
 
     def _ids(self, text: str) -> np.ndarray:
         [encoded] = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(encoded.ids, self.kind)
 
-    def _together(self, pieces: list[str], apart: str) -> dict[str, bytes]:
-        if not pieces:
-            return {}
+    def _alone(self, pieces: list[str]) -> pa.LargeBinaryArray:
+        return _packs([self._ids(piece).tobytes() for piece in pieces])
+
+    def _together(self, pieces: list[str], apart: str) -> pa.LargeBinaryArray:
         joined = apart.join(["", *pieces])
         if any(content in joined for content in self._added):  # at a seam, as no unit holds one
-            return {piece: self._ids(piece).tobytes() for piece in pieces}
+            return self._alone(pieces)
         ids = self._ids(joined)
         starts = np.flatnonzero(ids == self._break if apart else self._opens[ids])
         if len(starts) != len(pieces):
             raise ValueError("the tokenizer does not cut units as expected")
-        width, packed = ids.itemsize, ids.tobytes()
-        ends = [*(starts[1:] * width).tolist(), len(packed)]
-        begins = ((starts + len(apart)) * width).tolist()
-        return {piece: packed[a:b] for piece, a, b in zip(pieces, begins, ends, strict=True)}
-
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        words, marks, found = [], [], {}
-        for unit in new:
-            if not is_latin(unit):
-                found[unit] = self._ids(unit).tobytes()
-            elif unit[0] == " " and unit[1:].isalpha():
-                words.append(unit)
-            elif len(unit.split()) == 1 and not unit.removeprefix(" ")[:1].isspace() and not unit[-1].isspace():
-                marks.append(unit)
-            else:  # white space
-                found[unit] = self._ids(unit).tobytes()
-        return found | self._together(words, "") | self._together(marks, "\n")
-
-    def _packed(self, some: list[str]) -> list[bytes]:
-        packed = list(map(self._known.get, some))
-        if None not in packed:
+        if apart:
+            ids = np.delete(ids, starts)
+            starts = starts - np.arange(len(starts))
+        ends = np.append(starts, len(ids)) * ids.itemsize
+        buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids.tobytes())]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(pieces), buffers)
+
+    def _learn(self, new: list[str]) -> pa.LargeBinaryArray:
+        column = pa.array(new, pa.string())
+        latin, word, mark = (
+            pc.match_substring_regex(column, kind).to_numpy(zero_copy_only=False) for kind in (_LATIN, _WORD, _MARK)
+        )
+        places, packed = [], [_packs([])]
+        for kind, work in (
+            (word, lambda some: self._together(some, "")),
+            (latin & mark & ~word, lambda some: self._together(some, "\n")),
+            (~(latin & mark), self._alone),  # white space is among them
+        ):
+            at = np.flatnonzero(kind)
+            places.append(at)
+            for start in range(0, len(at), TOGETHER):
+                packed.append(work([new[i] for i in at[start : start + TOGETHER].tolist()]))
+        return pa.concat_arrays(packed).take(pa.array(np.argsort(np.concatenate(places))))
+
+    def _packed(self, some: pa.StringArray) -> pa.LargeBinaryArray:
+        """The ids of each of these units, which differ."""
+        known = pc.index_in(some, value_set=self._known["unit"])
+        packed = self._known["ids"].take(known)
+        if not known.null_count:
             return packed
-        absent = [i for i, ids in enumerate(packed) if ids is None]
-        found = {unit: ids for i in absent if (ids := self._before.get(unit := some[i])) is not None}
-        found |= self._learn([some[i] for i in absent if some[i] not in found])
-        for i in absent:
-            packed[i] = found[some[i]]
-        for unit, ids in found.items():
-            if len(unit) <= CACHE_CHARS:
-                if len(self._known) >= self._remembered:  # what is asked for again is taken over
-                    self._before, self._known = self._known, {}
-                self._known[unit] = ids
-        return packed
+        absent = some.filter(known.is_null())
+        before = pc.index_in(absent, value_set=self._before["unit"])
+        learned = self._learn(absent.filter(before.is_null()).to_pylist())
+        found = pc.replace_with_mask(self._before["ids"].take(before), before.is_null(), learned)
+        self._remember(pa.record_batch([absent, found], ["unit", "ids"]))
+        return pc.replace_with_mask(packed, known.is_null(), found)
+
+    def _remember(self, found: pa.RecordBatch) -> None:
+        """What is asked for again is among ``found`` and so is taken over."""
+        known = pa.concat_batches([self._known, found.filter(pc.less_equal(pc.utf8_length(found["unit"]), CACHE_CHARS))])
+        if len(known) > self._remembered:
+            cut = max(self._remembered, len(known) - self._remembered)
+            self._before, known = known.slice(cut - self._remembered, self._remembered), known.slice(cut)
+        self._known = known
 
     def __call__(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text with the end id."""
@@ -243,7 +264,7 @@ class Encoder:
                 whole[i] = self._ids(plain[i].as_py())
         cut, bounds = units(plain)
         same = cut.dictionary_encode()
-        taken = pa.array(self._packed(same.dictionary.to_pylist()), pa.large_binary()).take(same.indices)
+        taken = self._packed(same.dictionary).take(same.indices)
         ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(taken) + 1] // self.kind.itemsize
         found = np.frombuffer(taken.buffers()[2] or b"", self.kind)[: ends[-1]]
         places = ends[bounds].tolist()
@@ -252,6 +273,25 @@ class Encoder:
             yield np.concatenate([whole.get(i, found[a:b]), end])
 
 
+def _packs(ids: list[bytes]) -> pa.LargeBinaryArray:
+    return pa.array(ids, pa.large_binary())
+
+
+def gathered(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of some ``TEXT_BYTES`` of a column of texts; a longer text is one of its own."""
+    waiting, size = [], 0
+    for batch in batches:
+        for part in slices(batch, column):
+            more = part.column(column).nbytes
+            if waiting and size + more > TEXT_BYTES:
+                yield pa.concat_batches(waiting)
+                waiting, size = [], 0
+            waiting.append(part)
+            size += more
+    if waiting:
+        yield pa.concat_batches(waiting)
+
+
 @functools.lru_cache(maxsize=2)
 def encoder(path: str = TOKENIZER) -> Encoder:
     return Encoder(path)
@@ -270,15 +310,14 @@ def write_records(df: DataFrame, target: str, key: str = "doc_id", text: str = "
             # The last newline is added by the writer of lines.
             return pa.RecordBatch.from_arrays([pa.array([b"".join(block)[: -len(_CLOSE)]], pa.binary())], ["frames"])
 
-        for batch in batches:
-            for part in slices(batch, 1):
-                for k, ids in zip(part.column(0).to_pylist(), encode(part.column(1)), strict=True):
-                    framed = frame(pack(k, ids))
-                    if block and size + len(framed) > BLOCK_BYTES:
-                        yield out()
-                        block, size = [], 0
-                    block.append(framed)
-                    size += len(framed)
+        for part in gathered(batches, 1):
+            for k, ids in zip(part.column(0).to_pylist(), encode(part.column(1)), strict=True):
+                framed = frame(pack(k, ids))
+                if block and size + len(framed) > BLOCK_BYTES:
+                    yield out()
+                    block, size = [], 0
+                block.append(framed)
+                size += len(framed)
         if block:
             yield out()
 
