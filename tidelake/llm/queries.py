@@ -114,7 +114,8 @@ FROM reached r LEFT JOIN sizes s ON s.id = r.id GROUP BY r.id
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
-    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", digest, "n_passages", "n_passage_words")
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

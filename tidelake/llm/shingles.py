@@ -109,3 +109,20 @@ def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
             size += len(text) + 1
     if some:
         yield from _sets(some)
+
+
+def word_groups(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of the words of some texts at a time, in order, and where the words of each begin and the last ones end."""
+    at = 0
+    while at < len(texts):
+        some, size = [], 0
+        while at < len(texts) and (not some or size + len(texts[at]) < BATCH_BYTES):
+            some.append(texts[at])
+            size += len(texts[at]) + 1
+            at += 1
+        if len(some) == 1 and size >= BATCH_BYTES:  # a long text
+            words = np.concatenate([_word_hashes(p)[1] for p in _pieces(np.frombuffer(some[0], np.uint8))])
+            yield words, np.array([0, len(words)])
+        else:
+            starts, words = _word_hashes(np.frombuffer(b" ".join(some) + b" ", np.uint8))
+            yield words, np.searchsorted(starts, np.cumsum([0, *(len(text) + 1 for text in some)]))

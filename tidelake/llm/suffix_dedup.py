@@ -19,6 +19,10 @@ of more than ``GROUP`` anchors is dealt into parts; strings that have no match i
 part are then looked up by hash among all strings of the other parts, those matched
 there included, so that none is lost.
 
+Beside the bytes, passages of over 50 words that also stand in another document are
+counted (see `passages`): words are short, so that many of these have less than
+``LENGTH`` bytes, and nothing of them is removed for it.
+
 Null texts are empty. Rows that repeat a key and a text are documents of their own.
 Texts shorter than the length lose nothing. An empty table gives no rows. Columns other
 than key and text are left out.
@@ -33,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tidelake.llm import passages
 from tidelake.llm.memory import enter
 from tidelake.llm.shingles import mix
 from tidelake.llm.tables import keyed, probable, sieve, sifted, written
@@ -346,7 +351,7 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def covered(documents: DataFrame) -> DataFrame:
-    """digest, copies and spans (start, end) of each text that repeats or holds repeated strings.
+    """digest, copies, spans (start, end) and passages (in words) of each text that repeats or holds repeated strings.
 
     ``documents``: doc_id, text (not null), digest.
     """
@@ -354,9 +359,8 @@ def covered(documents: DataFrame) -> DataFrame:
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = documents.groupBy("digest").agg(F.min("doc_id").alias("of"), F.count(F.lit(1)).alias("copies"))
     texts = written(texts, "texts")
-    long_enough = documents.filter(F.octet_length("text") >= LENGTH).select(
-        "digest", "text", F.xxhash64("digest", "doc_id").alias("h")
-    )
+    hashed = documents.select("digest", "text", F.xxhash64("digest", "doc_id").alias("h"))
+    long_enough = hashed.filter(F.octet_length("text") >= LENGTH)
     # Of equal texts, as a rule, only that of the least key is looked at.
     one = spark.sparkContext.broadcast(sieve(texts.select(F.xxhash64("digest", "of").alias("h"))))
     scanned = written(long_enough.mapInArrow(functools.partial(_scan, one), _SCAN_KIND), "anchors")
@@ -413,7 +417,7 @@ def covered(documents: DataFrame) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
     )
     copied = texts.filter("copies > 1").select("digest", "copies")
-    return copied.join(spans, "digest", "full")
+    return copied.join(spans, "digest", "full").join(passages.shared(hashed, one), "digest", "full")
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -427,12 +431,16 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return result
 
 
+_COUNTS = ["doc_id", "n_bytes", "n_removed", "n_spans", "n_passages", "n_passage_words"]
+_REMOVED = dict.fromkeys(_COUNTS, pa.int64()) | {"kept": pa.binary()}
+_REMOVED_KIND = "".join(f"{name} long, " for name in _COUNTS) + "kept binary"
+
+
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = {"doc_id": pa.int64(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept": pa.binary()}
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             part, rows = batch.slice(at, 512), []
-            for key, text, copies, spans in zip(*(part.column(i) for i in range(4)), strict=True):
+            for key, text, copies, spans, runs in zip(*(part.column(i) for i in range(5)), strict=True):
                 data = text.as_buffer().to_pybytes()
                 if copies.is_valid and len(data) >= LENGTH:
                     gone = [(0, len(data))]
@@ -440,12 +448,16 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     gone = merged([(s["start"], s["end"]) for s in spans.as_py() or []])
                 edges = [0, *(edge for span in gone for edge in span), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                rows.append((key.as_py(), len(data), len(data) - len(kept), len(gone), kept))
-            yield _batch(kind, rows)
+                shared = merged([(s["start"], s["end"]) for s in runs.as_py() or []])
+                if copies.is_valid and (words := len(data.split())) >= passages.WORDS:
+                    shared = [(0, words)]
+                counts = len(gone), len(shared), sum(end - start for start, end in shared)
+                rows.append((key.as_py(), len(data), len(data) - len(kept), *counts, kept))
+            yield _batch(_REMOVED, rows)
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept (the remaining bytes) of each document."""
+    """doc_id, n_bytes, n_removed, n_spans, n_passages, n_passage_words and kept (the remaining bytes) of each document."""
     docs = keyed(df, key, text).select(
         "doc_id",
         F.coalesce("text", F.lit("")).alias("text"),
@@ -454,6 +466,6 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     marks = written(covered(docs), "spans")
     return (
         docs.join(marks, "digest", "left")
-        .select("doc_id", "text", "copies", "spans")
-        .mapInArrow(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+        .select("doc_id", "text", "copies", "spans", "passages")
+        .mapInArrow(_removed, _REMOVED_KIND)
     )
