@@ -56,6 +56,39 @@ def test_frequent_shingles_change_nothing(spark, monkeypatch):
     check(spark, copies(3))
 
 
+@pytest.mark.parametrize("few", [0, 2])
+def test_parted_components_hold_every_link(spark, monkeypatch, few):
+    monkeypatch.setattr(jaccard_join, "TILE_SETS", 4)
+    monkeypatch.setattr(jaccard_join, "FEW", few)
+    check(spark, copies(5, sizes=(40, 60), each=12))
+
+
+def test_passages_of_few_sets_do_not_make_one_large_component(spark, monkeypatch):
+    # Each text shares one passage with the one before and another with the one after.
+    rng = random.Random(6)
+    passages = [" ".join(f"p{n}x{i}" for i in range(150)) for n in range(13)]
+    texts = [f"{passages[n]} {' '.join(f'w{rng.randrange(10**9)}' for _ in range(300))} {passages[n + 1]}" for n in range(12)]
+    texts += [texts[3] + " end", texts[8] + " end"]
+    joined, rows = jaccard_join._joined, []
+
+    def counted(units):
+        rows.append(units.count())
+        return joined(units)
+
+    monkeypatch.setattr(jaccard_join, "TILE_SETS", 4)
+    monkeypatch.setattr(jaccard_join, "_joined", counted)
+    assert check(spark, texts) == 12
+    assert rows == [4]
+
+
+def test_equal_sets_of_several_tasks_give_a_row_once(spark):
+    texts = [" ".join(f"{name}{i}" for i in range(40)) for name in "ab"]
+    texts = [texts[0], texts[0] + " end", texts[1]]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 6)], "doc_id long, text string").repartition(9)
+    rows = [tuple(r) for r in jaccard_join.shared_rows(docs, np.empty(0, np.uint64)).collect()]
+    assert len(rows) <= 2 * len(set(rows)) and len({c for _, c in rows}) == 2
+
+
 def test_sieves_that_let_everything_through_change_nothing(spark, monkeypatch):
     docs = jaccard_join.keyed(table(spark, copies(4)), "doc_id", "text")
     sets = jaccard_join.scan(docs).filter("digest is not null")

@@ -8,9 +8,13 @@
    for each task at most. Sets that share too little of their prefix with all others
    together are left out, twice, as this may deprive others; the rest that share a
    shingle are chained to the least of them.
-3. Components of these chains hold every link. They are dealt into tiles of bounded
-   size by size class (linked sets differ by a quarter at most, so only neighbouring
-   classes meet) and a hash.
+3. Components of these chains hold every link. In a large corpus passages that a few
+   sets share chain most of them into one, so those too large for one tile are parted:
+   only pairs that share enough of their prefixes stay, of sizes that can be linked. Of
+   a shingle with few owners the pairs are counted; one with many may be shared by any
+   two that hold such ones, and only sets with enough of them are still chained.
+   Components are dealt into tiles of bounded size by size class (linked sets differ by
+   a quarter at most, so only neighbouring classes meet) and a hash.
 4. A tile, or a pair of them, is joined by a signature tree: leaves are bitmaps of the
    shingles of a set, nodes combine them by OR and hold the range of sizes; a dual
    traversal from the root drops node pairs whose largest possible overlap is too
@@ -57,6 +61,8 @@ SIGNATURE_BYTES = 64 << 20
 # Percent of its size by which the prefix of a set is longer, and which it then has to share.
 MORE = 15
 ROUNDS = 2
+# Of a shingle with so many owners at most, pairs are counted.
+FEW = 8
 
 
 def extra(n: int) -> int:
@@ -202,14 +208,16 @@ def _shared_across(shingle: np.ndarray, owner: np.ndarray, state: np.ndarray) ->
     of = np.cumsum(opens) - 1
     other = np.r_[False, ~opens[1:] & (owner[1:] != owner[:-1])]
     met = np.bincount(of, other | (state == _SEVERAL)) > 0
-    kept = met[of] & (state == _ALONE)
+    # Equal sets of several tasks give one row.
+    kept = met[of] & (state == _ALONE) & np.r_[True, (shingle[1:] != shingle[:-1]) | (owner[1:] != owner[:-1]) | (state[:-1] != _ALONE)]
     return _rows(shingle[kept], owner[kept], _SHARED)
 
 
 def shared_rows(documents: DataFrame, heavy: np.ndarray) -> DataFrame:
     """shingle and class of each shingle in the prefixes of two or more classes.
 
-    Equal sets in several tasks may repeat a row.
+    Equal sets in several tasks may give a row twice: once from where their task had
+    others that share the shingle, once from where it had none.
     """
     broadcast = documents.sparkSession.sparkContext.broadcast(heavy)
 
@@ -232,11 +240,15 @@ def shared_rows(documents: DataFrame, heavy: np.ndarray) -> DataFrame:
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int8)]
+        last = None
         for batch in batches:
             columns = [batch.column(i).to_numpy() for i in range(3)]
             ready = columns[2] == _SHARED
             if ready.any():
-                yield batch.filter(pa.array(ready))
+                shingle, owner = columns[0][ready], columns[1][ready]
+                new = np.r_[(shingle[0], owner[0]) != last, (shingle[1:] != shingle[:-1]) | (owner[1:] != owner[:-1])]
+                last = shingle[-1], owner[-1]
+                yield _rows(shingle[new], owner[new], _SHARED)
             columns = [np.concatenate([h, c[~ready]]) for h, c in zip(held, columns, strict=True)]
             if len(columns[0]):
                 # The last shingle may go on in the next batch; it has a row for each task at most.
@@ -260,8 +272,8 @@ def _wanted(n):
     return F.greatest(F.lit(1), F.floor(F.ceil(n * SHARE / OF) * MORE / 100))
 
 
-def chains(documents: DataFrame, classes: DataFrame, heavy: np.ndarray) -> DataFrame:
-    """Pairs (class, least) that connect all classes that may be linked.
+def enough_rows(documents: DataFrame, classes: DataFrame, heavy: np.ndarray) -> DataFrame:
+    """shingle, class, its n, and whether the shingle has ``many`` rows, of all classes that may be linked.
 
     The rounds only leave out what cannot be linked; that repeated rows keep a few
     classes too many does no harm. Sieves only spare the joins that follow them most rows:
@@ -272,16 +284,57 @@ def chains(documents: DataFrame, classes: DataFrame, heavy: np.ndarray) -> DataF
     for _ in range(ROUNDS):
         counts = rows.groupBy("class").agg(F.count(F.lit(1)).alias("c"))
         enough_shared = counts.join(sizes, "class").filter(F.col("c") >= _wanted(F.col("n")))
-        enough_shared = written(enough_shared.select("class"), "enough")
-        rows = written(sifted(rows, {"class": sieve(enough_shared)}).join(enough_shared, "class", "left_semi"), "enough")
-        owners = rows.groupBy("shingle").agg(F.min("class").alias("a"), F.max("class").alias("b"))
-        owned = written(owners.filter("a <> b").select("shingle"), "owned")
-        rows = sifted(rows.select("shingle", "class"), {"shingle": sieve(owned)}).join(owned, "shingle", "left_semi")
-        rows = written(rows, "shared")
+        enough_shared = written(enough_shared.select("class", "n"), "enough")
+        rows = sifted(rows.select("shingle", "class"), {"class": sieve(enough_shared)})
+        rows = written(rows.join(enough_shared, "class").select("shingle", "class", "n"), "enough")
+        owners = rows.groupBy("shingle").agg(
+            F.min("class").alias("a"), F.max("class").alias("b"), (F.count(F.lit(1)) > FEW).alias("many")
+        )
+        owned = written(owners.filter("a <> b").select("shingle", "many"), "owned")
+        rows = written(sifted(rows, {"shingle": sieve(owned)}).join(owned, "shingle"), "shared")
+    return rows
+
+
+def _chained(rows: DataFrame) -> DataFrame:
     least = rows.groupBy("shingle").agg(F.min("class").alias("least"))
     return rows.join(least, "shingle").filter("class <> least").select("class", "least").distinct()
 
 
+def chains(documents: DataFrame, classes: DataFrame, heavy: np.ndarray) -> DataFrame:
+    """Pairs (class, least) that connect all classes that may be linked."""
+    return _chained(enough_rows(documents, classes, heavy))
+
+
+def _bucket(n):
+    return F.floor(F.log(n) / math.log(OF / SHARE)).cast("int")
+
+
+def parted(rows: DataFrame) -> DataFrame:
+    """Pairs (class, least) that connect all that may be linked, of less that may not than `_chained`.
+
+    Linked sets share the greater of their wanted numbers in both prefixes. As many of
+    these as each of the two has shingles with many owners may be such ones; the others
+    are counted. Two that share no other have enough of them each.
+    """
+    held = written(rows.filter("many").groupBy("class", "n").agg(F.count(F.lit(1)).alias("held")), "held")
+    few = rows.filter("not many").drop("many")
+    a, b = (few.select("shingle", F.col("class").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
+    fit = (F.col("a") < F.col("b")) & (OF * F.col("n_a") >= SHARE * F.col("n_b")) & (OF * F.col("n_b") >= SHARE * F.col("n_a"))
+    pairs = a.join(b, "shingle").filter(fit).groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c"))
+    wanted_of_both = F.greatest(_wanted(F.col("n_a")), _wanted(F.col("n_b")))
+    for x in "ab":
+        pairs = pairs.join(held.select(F.col("class").alias(x), F.col("held").alias(f"held_{x}")), x, "left")
+    spare = F.least(F.coalesce("held_a", F.lit(0)), F.coalesce("held_b", F.lit(0)))
+    counted = pairs.filter(F.col("c") + spare >= wanted_of_both).select(F.col("b").alias("class"), F.col("a").alias("least"))
+    # Sets of neighbouring size classes meet in one of the two windows that each is in.
+    rich = held.filter(F.col("held") >= _wanted(F.col("n"))).select("class")
+    windows = F.explode(F.array(_bucket(F.col("n")), _bucket(F.col("n")) - 1)).alias("window")
+    among = written(rows.filter("many").join(rich, "class", "left_semi").select("shingle", "class", windows), "rich")
+    least = written(among.groupBy("shingle", "window").agg(F.min("class").alias("least")), "least")
+    chained = among.join(least, ["shingle", "window"]).filter("class <> least").select("class", "least")
+    return counted.union(chained).distinct()
+
+
 class SignatureTree:
     """Bitmaps and sizes of sets, combined in pairs up to one root."""
 
@@ -430,14 +483,20 @@ def links(documents: DataFrame, classes: DataFrame, heavy: np.ndarray) -> DataFr
 
     ``classes``: digest, n, doc_id of one document; ``documents``: doc_id, text.
     """
-    chain = components(chains(documents, classes, heavy))
+    rows = enough_rows(documents, classes, heavy)
+    chain = components(_chained(rows))
     grouped = classes.withColumn("node", _short_of(F.col("digest"))).join(
         chain.select("node", F.col("component").alias("group")), "node"
     )
-    members = grouped.select(
-        "doc_id", "digest", "n", "group", F.floor(F.log("n") / math.log(OF / SHARE)).cast("int").alias("bucket")
-    )
+    members = grouped.select("doc_id", "digest", "n", "node", "group", _bucket(F.col("n")).alias("bucket"))
     members = written(members, "members")
+    sums = members.groupBy("group").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
+    wide = written(sums.filter((F.col("sets") > TILE_SETS) | (F.col("shingles") > TILE_SHINGLES)).select("group"), "wide")
+    if not wide.isEmpty():
+        inside = written(members.join(wide, "group", "left_semi"), "inside")
+        narrow = components(parted(rows.join(inside.select(F.col("node").alias("class")).distinct(), "class", "left_semi")))
+        narrowed = inside.drop("group").join(narrow.withColumnRenamed("component", "group"), "node")
+        members = written(members.join(wide, "group", "left_anti").unionByName(narrowed), "members")
     # Parts by number of sets and of shingles; a component that fits one tile is one unit.
     in_bucket = members.groupBy("group", "bucket").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
     parts = F.greatest(F.ceil(F.col("sets") / TILE_SETS), F.ceil(F.col("shingles") / TILE_SHINGLES)).cast("int")
